@@ -89,7 +89,7 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
     w = Window.partitionBy("_r").orderBy(F.desc(score))
     run = w.rowsBetween(Window.unboundedPreceding, 0)
     pts = per.join(F.broadcast(rng), "_r").select(
-        score, "_rc", "_bp", "_bn", "_rp", "_rn", "_has_prev", "_next_first", "_tot_p", "_tot_n",
+        score, "_r", "_rc", "_bp", "_bn", "_rp", "_rn", "_has_prev", "_next_first", "_tot_p", "_tot_n",
         (F.col("_bp") + F.sum("_p").over(run)).alias("tps"),
         (F.col("_bn") + F.sum("_n").over(run)).alias("fps"),
         F.row_number().over(w).alias("_i"))
