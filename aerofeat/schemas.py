@@ -101,9 +101,16 @@ def with_timestamp_type(schema: T.StructType, ts_type: T.DataType) -> T.StructTy
         for f in schema.fields])
 
 
+def relaxed(schema: T.StructType) -> T.StructType:
+    """Same fields, all nullable (Spark derives nullability from the plan;
+    a filtered-out null still leaves the column typed nullable)."""
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in schema.fields])
+
+
 def conform(df, schema: T.StructType):
     """Schema contract (the record-type → schema mapping of the reference):
-    project and cast ``df`` to ``schema`` by name. ``DataFrame.to`` raises on
-    a missing column or an incompatible type, so a drifting upstream fails
-    loudly instead of writing a malformed feature file."""
-    return df.to(schema)
+    project ``df`` to ``schema``'s columns by name and type. ``DataFrame.to``
+    raises on a missing column or a type that cannot be cast safely, so a
+    drifting upstream fails loudly instead of writing a malformed feature
+    file. Non-null fields are checked by the parser, not by the plan."""
+    return df.to(relaxed(schema))

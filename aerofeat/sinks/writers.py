@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import AIRPORT_SCHEMA, FLIGHT_SCHEMA, READ_INSTANCE_COLUMNS
+from ..schemas import AIRPORT_SCHEMA, FLIGHT_SCHEMA, READ_INSTANCE_COLUMNS, conform
 from ..session import scratch_path
 
 # --- fixed values -----------------------------------------------------------
@@ -47,7 +47,7 @@ def avro_schema_json(schema: T.StructType, name: str, namespace: str = AVRO_NAME
 def write_features(df: DataFrame, path: str, schema: T.StructType, record_name: str,
                    fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write feature rows with a fixed schema (``df.to`` fails on drift)."""
-    out = df.to(schema)
+    out = conform(df, schema)
     w = out.write.mode(mode).format(fmt)
     if fmt == "avro":
         out = out.select(*[F.col(f.name).cast("timestamp") if isinstance(f.dataType, T.TimestampNTZType)

@@ -81,7 +81,8 @@ def read_text_lines(spark: SparkSession, path) -> DataFrame:
     return spark.read.text(path)
 
 
-def read_named_csv(spark: SparkSession, path, columns=TRAIN_SOURCE_COLUMNS) -> DataFrame:
+def read_named_csv(spark: SparkSession, path, columns=TRAIN_SOURCE_COLUMNS,
+                   with_order: bool = False) -> DataFrame:
     """By-name read of a CSV with a header row, keeping ``columns``.
 
     The header decides which position each name has; every kept column is
@@ -94,20 +95,26 @@ def read_named_csv(spark: SparkSession, path, columns=TRAIN_SOURCE_COLUMNS) -> D
     missing = [c for c in columns if c not in df.columns]
     if missing:
         raise ValueError(f"columns not in the CSV header: {missing}")
+    if with_order:
+        return df.select(*columns, *order_columns())
     return df.select(*columns)
 
 
-def file_order_key(df: DataFrame) -> list[Column]:
-    """Sort key that reproduces file order for a file scan: file path, block
-    start within the file, then the row's position in its split."""
-    return [F.col("_metadata.file_path"), F.col("_metadata.file_block_start")]
+ORDER_COLUMNS = ["_file", "_block", "_pos"]
+
+
+def order_columns():
+    """File order of a file scan: file path, split start, position in split."""
+    return [F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_pos")]
 
 
 def first_n(df: DataFrame, n: int | None, order: list | None = None) -> DataFrame:
     """The first ``n`` rows in a defined order (``None`` → all rows).
 
     ``order`` is the list of sort columns (for a file scan, the file order of
-    :func:`file_order_key` plus the row's position). Plain ``limit`` promises
+    :func:`order_columns`). Plain ``limit`` promises
     no order; ``orderBy(...).limit(n)`` plans a ``TakeOrderedAndProject``: each
     task keeps its own top ``n`` and only those reach the final merge, so the
     cost is one pass plus n rows per task, with no full sort.
@@ -120,8 +127,5 @@ def first_n(df: DataFrame, n: int | None, order: list | None = None) -> DataFram
 
 
 def read_raw_csv_ordered(spark: SparkSession, path) -> DataFrame:
-    """Raw read with a file-order key ``_row_order`` (file, split, position)."""
-    df = read_raw_csv(spark, path)
-    return df.select("*", F.col("_metadata.file_path").alias("_file"),
-                     F.col("_metadata.file_block_start").alias("_block"),
-                     F.monotonically_increasing_id().alias("_pos"))
+    """Raw read with the file-order columns of :data:`ORDER_COLUMNS`."""
+    return read_raw_csv(spark, path).select("*", *order_columns())
