@@ -23,8 +23,8 @@ FLIGHT_NUMBER_SEPARATOR = "//"
 HEADER_MARKER = "Year"
 # ---------------------------------------------------------------------------
 
-# Field counter for one CSV line (RFC 4180 quoting, doubled quotes inside).
-CSV_FIELD_RE = r'(?:^|,)(?:"(?:[^"]|"")*"|[^,"]*)'
+# A quoted CSV field (RFC 4180: a quote inside is doubled).
+CSV_QUOTED_RE = r'"(?:[^"]|"")*"'
 
 
 def _s(c) -> Column:
@@ -81,8 +81,9 @@ def iso_z(ts) -> Column:
 
 
 def csv_field_count(line) -> Column:
+    """Number of fields of a CSV line: separators outside quoted fields + 1."""
     col = F.col(line) if isinstance(line, str) else line
-    return F.regexp_count(col, F.lit(CSV_FIELD_RE))
+    return F.size(F.split(F.regexp_replace(col, CSV_QUOTED_RE, ""), ",", -1))
 
 
 # Training-side predicates (by-name reader, numeric columns).

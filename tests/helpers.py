@@ -1,0 +1,36 @@
+"""Build raw CSV lines for hand-written cases (109 positional fields)."""
+
+from aerofeat.schemas import RAW_COLUMNS
+
+BASE = {
+    "Year": "2020", "FlightDate": "2020-05-01", "Reporting_Airline": "AA",
+    "Flight_Number_Reporting_Airline": "100", "OriginAirportID": "10397",
+    "OriginCityName": "Atlanta, GA", "WheelsOff": "0930", "DepDelay": "-4.00",
+    "ArrDelay": "-10.00", "TaxiOut": "16.00", "Distance": "153.00", "Cancelled": "0.00",
+    "Diverted": "0.00",
+}
+
+
+def quote(v: str) -> str:
+    if any(ch in v for ch in ',"\n'):
+        return '"' + v.replace('"', '""') + '"'
+    return v
+
+
+def line(trailing_comma: bool = False, n_fields: int | None = None, **over) -> str:
+    rec = {**BASE, **over}
+    fields = [quote(rec.get(c, "")) for c in RAW_COLUMNS]
+    if n_fields is not None:
+        fields = fields[:n_fields]
+    s = ",".join(fields)
+    return s + "," if trailing_comma else s
+
+
+def header() -> str:
+    return ",".join(RAW_COLUMNS)
+
+
+def write_lines(path: str, lines: list[str]) -> str:
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
