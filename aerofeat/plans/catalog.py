@@ -48,7 +48,9 @@ def _split(spark, sf):
 
 
 def _r(c: str, name: str | None = None):
-    return F.round(F.col(c), ROUND_DIGITS).alias(name or c)
+    """Rounded, with -0.0 folded into 0.0 (``+ 0.0``) so both engines agree
+    on the sign of a rounded tiny value."""
+    return (F.round(F.col(c), ROUND_DIGITS) + F.lit(0.0)).alias(name or c)
 
 
 # Lines → positional CSV decode

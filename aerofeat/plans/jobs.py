@@ -89,19 +89,19 @@ def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_S
 def ingest_monthly(spark: SparkSession, zip_glob: str, out_dir: str, sample_dir: str | None = None,
                    sample_rows: int | None = 5000, fmt: str = "parquet",
                    strict_names: bool = True) -> DataFrame:
-    """Monthly zip archives → raw rows partitioned by year/month (only the
-    months present are replaced), plus the first ``sample_rows`` data rows
-    of every month (file order) for quick experiments."""
+    """Monthly zip archives → raw rows partitioned by ``file_year`` /
+    ``file_month`` (only the months present are replaced), plus the first
+    ``sample_rows`` data rows of every month (file order)."""
     configure(spark)
     lines = zips.read_zip_lines(spark, zip_glob, strict_names=strict_names)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    decoded = csvsrc.decode_lines(lines.repartition(n), keep=("year", "month", "line_no"))
-    writers.write_monthly(decoded, out_dir, fmt=fmt)
+    decoded = csvsrc.decode_lines(lines.repartition(n), keep=("file_year", "file_month", "line_no"))
+    writers.write_monthly(decoded, out_dir, "file_year", "file_month", fmt=fmt)
     if sample_dir and sample_rows:
         # line 0 is the header; the sample is the next sample_rows lines
         monthly = spark.read.format(fmt).load(out_dir)
         sample = monthly.filter((F.col("line_no") >= 1) & (F.col("line_no") <= sample_rows))
-        writers.write_monthly(sample, sample_dir, fmt=fmt)
+        writers.write_monthly(sample, sample_dir, "file_year", "file_month", fmt=fmt)
     return spark.read.format(fmt).load(out_dir)
 
 
@@ -135,10 +135,11 @@ def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_di
     raw = ingest_monthly(spark, zip_glob, raw_dir)
     # the load's month: one row from the archive listing (file metadata)
     latest = zips.list_archives(spark, zip_glob).filter("name_ok") \
-        .agg(F.max(F.struct("year", "month")).alias("m")).first()["m"]
+        .agg(F.max(F.struct("file_year", "file_month")).alias("m")).first()["m"]
     res = run_training(spark, raw, split_date, model_path=model_path, eval_rows=eval_rows)
     for name, df in (("roc", res.roc), ("confusion", res.confusion)):
-        df.select("*", F.lit(latest["year"]).alias("year"), F.lit(latest["month"]).alias("month")) \
+        df.select("*", F.lit(latest["file_year"]).alias("file_year"),
+                  F.lit(latest["file_month"]).alias("file_month")) \
             .write.mode("append").parquet(f"{metrics_dir}/{name}")
     return res
 

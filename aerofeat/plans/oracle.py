@@ -160,7 +160,7 @@ WITH w AS (
   FROM events, (SELECT unnest(range(0, 4)) AS i) k
 )
 SELECT window_start, window_start + INTERVAL 4 HOUR AS window_end, event_type,
-       round(avg(value), 6) AS avg_value
+       (round(avg(value), 6) + 0.0) AS avg_value
 FROM w GROUP BY window_start, event_type""",
 
     "read_instances": _FL + """
@@ -176,8 +176,8 @@ SELECT flight_number AS flight, origin_airport_id AS airport,
     "first_n_rows": _RF + "SELECT * FROM raw_flights ORDER BY event_id LIMIT 5000",
 
     "impute_mean": _with(RAW_FLIGHTS, TRAIN, _SCALE_STATS) + """
-SELECT event_id, round(DepDelay, 6) AS DepDelay, round(TaxiOut, 6) AS TaxiOut,
-       round(Distance, 6) AS Distance, target FROM imp""",
+SELECT event_id, (round(DepDelay, 6) + 0.0) AS DepDelay, (round(TaxiOut, 6) + 0.0) AS TaxiOut,
+       (round(Distance, 6) + 0.0) AS Distance, target FROM imp""",
 
     "standardise": _with(RAW_FLIGHTS, TRAIN, _SCALE_STATS) + """
 , st AS (
@@ -185,9 +185,9 @@ SELECT event_id, round(DepDelay, 6) AS DepDelay, round(TaxiOut, 6) AS TaxiOut,
          avg(Distance) AS m3, stddev_pop(Distance) AS s3 FROM imp
 )
 SELECT event_id,
-  round((DepDelay - m1) / CASE WHEN s1 > 0 THEN s1 ELSE 1.0 END, 6) AS DepDelay,
-  round((TaxiOut - m2) / CASE WHEN s2 > 0 THEN s2 ELSE 1.0 END, 6) AS TaxiOut,
-  round((Distance - m3) / CASE WHEN s3 > 0 THEN s3 ELSE 1.0 END, 6) AS Distance,
+  (round((DepDelay - m1) / CASE WHEN s1 > 0 THEN s1 ELSE 1.0 END, 6) + 0.0) AS DepDelay,
+  (round((TaxiOut - m2) / CASE WHEN s2 > 0 THEN s2 ELSE 1.0 END, 6) + 0.0) AS TaxiOut,
+  (round((Distance - m3) / CASE WHEN s3 > 0 THEN s3 ELSE 1.0 END, 6) + 0.0) AS Distance,
   target
 FROM imp, st""",
 
@@ -260,7 +260,7 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY origin_airport_id, ws ORDER BY load_id DESC, v DESC) AS rn
   FROM loads
 )
-SELECT origin_airport_id, ws AS "timestamp", round(v, 6) AS average_departure_delay
+SELECT origin_airport_id, ws AS "timestamp", (round(v, 6) + 0.0) AS average_departure_delay
 FROM ranked WHERE rn = 1""",
 
     "latest_features": _AW + """

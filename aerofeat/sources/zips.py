@@ -25,7 +25,9 @@ ZIP_NAME_PATTERN = r"(?:^|.*[/_])([0-9]+)_([0-9]+)\.zip$"
 # ---------------------------------------------------------------------------
 
 LINE_BATCH = 20000
-LINES_SCHEMA = "path string, year int, month int, line_no long, value string"
+# year/month of the archive name (the raw rows have their own Year/Month
+# columns, and Spark column names are case-insensitive)
+LINES_SCHEMA = "path string, file_year int, file_month int, line_no long, value string"
 
 
 def _open(path: str):
@@ -45,7 +47,7 @@ def _open(path: str):
 
 def _extract(batches):
     for pdf in batches:
-        for path, year, month in zip(pdf["path"], pdf["year"], pdf["month"]):
+        for path, year, month in zip(pdf["path"], pdf["file_year"], pdf["file_month"]):
             with _open(path) as fh, zipfile.ZipFile(fh) as zf:
                 members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
                 if len(members) != 1:
@@ -65,22 +67,23 @@ def _extract(batches):
 
 def _batch(path, year, month, start, lines):
     n = len(lines)
-    return pd.DataFrame({"path": [path] * n, "year": [int(year)] * n, "month": [int(month)] * n,
+    return pd.DataFrame({"path": [path] * n, "file_year": [int(year)] * n,
+                         "file_month": [int(month)] * n,
                          "line_no": range(start, start + n), "value": lines})
 
 
 def list_archives(spark: SparkSession, zip_glob: str) -> DataFrame:
-    """(path, year, month, name_ok) of every archive matching ``zip_glob``."""
+    """(path, file_year, file_month, name_ok) of every archive matching ``zip_glob``."""
     files = spark.read.format("binaryFile").load(zip_glob).select("path")
     y = F.regexp_extract("path", ZIP_NAME_PATTERN, 1)
     m = F.regexp_extract("path", ZIP_NAME_PATTERN, 2)
     ok = (y != "") & (m != "")
-    return files.select("path", F.when(ok, y.cast("int")).alias("year"),
-                        F.when(ok, m.cast("int")).alias("month"), ok.alias("name_ok"))
+    return files.select("path", F.when(ok, y.cast("int")).alias("file_year"),
+                        F.when(ok, m.cast("int")).alias("file_month"), ok.alias("name_ok"))
 
 
 def read_zip_lines(spark: SparkSession, zip_glob: str, strict_names: bool = True) -> DataFrame:
-    """CSV lines of all monthly archives: ``path, year, month, line_no, value``.
+    """CSV lines of all monthly archives: ``path, file_year, file_month, line_no, value``.
 
     A name without ``_{year}_{month}.zip`` (e.g. a duplicate download
     ``2020_05 (1).zip``) raises when ``strict_names``, else is skipped.
@@ -90,7 +93,7 @@ def read_zip_lines(spark: SparkSession, zip_glob: str, strict_names: bool = True
         arch = arch.withColumn("_chk", F.when(~F.col("name_ok"), F.raise_error(
             F.concat(F.lit("archive name has no _year_month: "), F.col("path")))))
         arch = arch.filter(F.col("_chk").isNull())
-    arch = arch.filter("name_ok").select("path", "year", "month")
+    arch = arch.filter("name_ok").select("path", "file_year", "file_month")
     # round-robin: with no more archives than partitions, one archive per task
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     arch = arch.repartition(n)
