@@ -19,7 +19,7 @@ from ..operators.instances import read_instances
 from ..operators.parse import parse_flights
 from ..functions import flight as ff
 from ..schemas import FLIGHT_ENTITY_FEATURES, TRAIN_FEATURES
-from ..session import configure
+from ..session import configure, stage
 from ..sources import csv as csvsrc
 from ..sources.events_flights import RAW_FLIGHT_COLUMNS, raw_flights, read_events
 
@@ -146,7 +146,7 @@ def q_roc_curve(spark, sf):
 
 
 def _flight_loads(spark, sf) -> DataFrame:
-    fl = _flights(spark, sf)
+    fl = stage(_flights(spark, sf), "flights")
     day = F.to_date("timestamp")
     load1 = fl.filter(day < F.lit(LOAD1_BEFORE).cast("date")).withColumn("load_id", F.lit(1))
     load2 = fl.filter(day >= F.lit(LOAD2_FROM).cast("date")) \
@@ -163,7 +163,7 @@ def q_feature_ingest_flight(spark, sf):
 
 # K8: airport entity ingest of two loads
 def q_feature_ingest_airport(spark, sf):
-    fl = _flights(spark, sf)
+    fl = stage(_flights(spark, sf), "flights")
     day = F.to_date("timestamp")
     a1 = airport_windows(fl.filter(day < F.lit(LOAD1_BEFORE).cast("date"))) \
         .withColumn("load_id", F.lit(1))
@@ -182,8 +182,11 @@ def q_latest_features(spark, sf):
 
 # Point-in-time airport feature for each flight (window end <= flight time)
 def q_asof_features(spark, sf):
-    fl = _flights(spark, sf).select("event_id", "flight_number", "origin_airport_id", "timestamp")
-    feats = airport_windows(_flights(spark, sf))
+    # the flight table is read by both sides (as the batch job does, from
+    # its written flight table)
+    flights = stage(_flights(spark, sf), "flights")
+    fl = flights.select("event_id", "flight_number", "origin_airport_id", "timestamp")
+    feats = airport_windows(flights)
     j = pit.asof_join(fl, feats, ["origin_airport_id"], ["origin_airport_id"],
                       "timestamp", "window_end", ["average_departure_delay"], out_time="feature_time")
     return j

@@ -25,6 +25,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     """Local session for tests and the bench (UI off, no server started)."""
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
+         # no Python call-site capture per Column call (error-message context
+         # only); it costs several JVM round trips per function call
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "8g")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
@@ -86,3 +89,16 @@ def local_fs_path(path: str) -> str:
 def ensure_parent(path: str) -> None:
     if is_local_path(path):
         os.makedirs(os.path.dirname(local_fs_path(path)) or ".", exist_ok=True)
+
+
+def stage(df, name: str = "stage", fmt: str = "parquet"):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    For a result that several branches of a plan read (Spark would recompute
+    it per branch): the written table cuts the lineage, survives the loss of
+    an executor, and its columnar re-read is pruned to the columns each
+    branch uses."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").format(fmt).save(path)
+    return spark.read.format(fmt).load(path)
