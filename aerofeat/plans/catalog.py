@@ -199,6 +199,50 @@ def q_model_fit_predict(spark, sf):
     return model.score(m, sp.test, keep=("event_id", "target"))
 
 
+def _model_scored(spark, sf):
+    sp = _split(spark, sf)
+    return model.score(model.fit_model(sp.train), sp.test, keep=("event_id", "target"))
+
+
+# M5 on the model's probabilities (the reference's evaluation, whole test set)
+def q_model_roc(spark, sf):
+    return evaluation.roc_curve(_model_scored(spark, sf), "target", "probability")
+
+
+# M6 on the model's predictions
+def q_model_confusion(spark, sf):
+    return evaluation.confusion_matrix(_model_scored(spark, sf), "target", "prediction")
+
+
+# E5: confusion matrix per flight day of the test period (rule DepDelay > 15)
+def q_daily_confusion(spark, sf):
+    from .jobs import daily_confusion
+    lab = training.labelled(_raw(spark, sf))
+    test = lab.filter(F.col("FlightDate") >= F.lit(SPLIT_DATE)).select(
+        "FlightDate", "target", F.coalesce(F.col("DepDelay") > 15, F.lit(False)).alias("prediction"))
+    return daily_confusion(test, "FlightDate").withColumnRenamed("date", "flight_date")
+
+
+# S1-S3 on files: raw rows rendered as CSV text files, read back by the
+# positional CSV reader (pruned CSV scan)
+def q_csv_file_decode(spark, sf):
+    from ..session import scratch_path
+    path = scratch_path(spark, "raw_csv")
+    csvsrc.encode_lines(_raw(spark, sf), keep=()).write.text(path)
+    # no row key in the text: compared as a multiset of rows
+    return csvsrc.read_raw_csv(spark, path).select(*RAW_FLIGHT_COLUMNS[1:])
+
+
+# K3: read instances written as CSV with a header and read back
+def q_read_instances_csv(spark, sf):
+    from ..session import scratch_path
+    from ..sinks.writers import write_read_instances
+    path = scratch_path(spark, "read_instances")
+    write_read_instances(read_instances(_flights(spark, sf)), path)
+    return spark.read.option("header", True).option("escape", '"').schema(
+        "flight string, airport string, timestamp string").csv(path)
+
+
 def queries() -> dict[str, Query]:
     from ..streaming.airport_stream import q_stream_airport_mean
     from ..sinks.writers import q_sink_roundtrip
@@ -223,6 +267,11 @@ def queries() -> dict[str, Query]:
         "latest_features": q_latest_features,
         "asof_features": q_asof_features,
         "model_fit_predict": q_model_fit_predict,
+        "model_roc": q_model_roc,
+        "model_confusion": q_model_confusion,
+        "daily_confusion": q_daily_confusion,
+        "csv_file_decode": q_csv_file_decode,
+        "read_instances_csv": q_read_instances_csv,
         "sink_roundtrip": q_sink_roundtrip,
         "stream_airport_mean": q_stream_airport_mean,
     }

@@ -30,14 +30,17 @@ def _raw(spark: SparkSession, raw) -> DataFrame:
 
 def run_batch_features(spark: SparkSession, raw, output_airports: str, output_flights: str,
                        output_read_instances: str, fmt: str = "parquet", strict: bool = False,
-                       output_rejects: str | None = None) -> None:
+                       output_rejects: str | None = None,
+                       read_instance_files: int | None = None) -> None:
     """Raw CSV (path/glob/list, or a raw DataFrame) → flight features,
     airport sliding means and the read-instances CSV.
 
     The parsed flights are written once (the flight feature table); the
     airport features and read instances are then computed from that written
     table, so the CSV is parsed once and a lost executor costs a re-read of
-    Parquet, not a re-parse. The airport aggregate reads two columns of it.
+    Parquet, not a re-parse. The airport aggregate reads three columns of it.
+    The read instances are written in parallel part files unless
+    ``read_instance_files`` asks for a fixed number (1 = a single file).
     """
     configure(spark)
     parsed = parse_flights(_raw(spark, raw), strict=strict)
@@ -48,7 +51,8 @@ def run_batch_features(spark: SparkSession, raw, output_airports: str, output_fl
     if fmt == "avro":
         flights = flights.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
     writers.write_airport_features(airport_features(flights), output_airports, fmt)
-    writers.write_read_instances(read_instances(flights), output_read_instances)
+    writers.write_read_instances(read_instances(flights), output_read_instances,
+                                 read_instance_files)
 
 
 class TrainingResult(NamedTuple):

@@ -276,6 +276,27 @@ FROM flights f ASOF LEFT JOIN airport_means a
 
     "sink_roundtrip": _FL + f"SELECT {_FLIGHT_COLS} FROM flights",
 
+    "daily_confusion": _TR + """
+, t AS (
+  SELECT FlightDate AS flight_date, target AS actual, coalesce(DepDelay > 15, false) AS predicted
+  FROM labelled WHERE FlightDate >= '2024-01-20'
+),
+days AS (SELECT DISTINCT flight_date FROM t),
+grid AS (
+  SELECT d.flight_date, g.actual, g.predicted
+  FROM days d, (VALUES (false, false), (false, true), (true, false), (true, true)) g(actual, predicted)
+)
+SELECT g.flight_date, g.actual, g.predicted, count(t.actual) AS n
+FROM grid g LEFT JOIN t ON t.flight_date = g.flight_date AND t.actual = g.actual AND t.predicted = g.predicted
+GROUP BY g.flight_date, g.actual, g.predicted""",
+
+    "csv_file_decode": _RF + "SELECT " + ", ".join(
+        f"nullif(\"{c}\", '') AS \"{c}\"" for c in _RAW_COLS) + " FROM raw_flights",
+
+    "read_instances_csv": _FL + """
+SELECT flight_number AS flight, origin_airport_id AS airport,
+       strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') AS "timestamp" FROM flights""",
+
     "stream_airport_mean": _AW + """
 SELECT window_start, window_end, origin_airport_id, average_departure_delay FROM airport_means""",
 }

@@ -64,15 +64,21 @@ def write_airport_features(airports: DataFrame, path: str, fmt: str = "parquet")
     write_features(airports.select(*AIRPORT_SCHEMA.names), path, AIRPORT_SCHEMA, AIRPORT_RECORD_NAME, fmt)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = True, mode: str = "overwrite") -> None:
-    """One CSV part file with a header. ``repartition(1)`` (not
-    ``coalesce``) keeps everything upstream parallel; only the final
-    write is one task, which is the point of a single file."""
-    df.repartition(1).write.mode(mode).option("header", header).option("escape", '"').csv(path)
+def write_csv_files(df: DataFrame, path: str, num_files: int | None = None, header: bool = True,
+                    mode: str = "overwrite") -> None:
+    """CSV with a header in every part file.
 
+    ``num_files=None`` writes in parallel, one file per partition (readers
+    take the folder). ``num_files=1`` gives the single file of the original
+    layout: ``repartition(1)`` (not ``coalesce``) keeps everything upstream
+    parallel, but the write itself is then one task, so keep it for outputs
+    that fit one task."""
+    out = df if num_files is None else df.repartition(int(num_files))
+    out.write.mode(mode).option("header", header).option("escape", '"').csv(path)
 
-def write_read_instances(instances: DataFrame, path: str) -> None:
-    write_single_csv(instances.select(*READ_INSTANCE_COLUMNS), path)
+
+def write_read_instances(instances: DataFrame, path: str, num_files: int | None = None) -> None:
+    write_csv_files(instances.select(*READ_INSTANCE_COLUMNS), path, num_files)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -20,7 +20,7 @@ def test_batch_feature_job(spark, tmpdir_path):
     src = _raw_csv(spark, tmpdir_path)
     out = tmpdir_path
     run_batch_features(spark, src + "/*.txt", out + "/airports", out + "/flights", out + "/inst",
-                       output_rejects=out + "/rejects")
+                       output_rejects=out + "/rejects", read_instance_files=1)
     flights = spark.read.parquet(out + "/flights")
     expect = parse_flights(raw_flights(spark, SF001)).flights
     assert flights.count() == expect.count()
