@@ -64,16 +64,17 @@ class TrainingResult(NamedTuple):
 
 def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_SPLIT_DATE,
                  model_path: str | None = None, eval_rows: int | None = 1000,
-                 metrics_path: str | None = None) -> TrainingResult:
+                 metrics_path: str | None = None, order: list[str] | None = None) -> TrainingResult:
     """By-name CSV (or DataFrame) → split by date → fit → evaluate on the
     first ``eval_rows`` test rows in file order (``None``: all) → ROC points
-    and confusion matrix."""
+    and confusion matrix. For a DataFrame, ``order`` names the columns that
+    give file order; without it the whole test set is evaluated."""
     configure(spark)
     if isinstance(data, (str, list, tuple)):
         src = csvsrc.read_named_csv(spark, data, with_order=True)
         keep = order = tuple(csvsrc.ORDER_COLUMNS)
     else:
-        src, keep, order = data, (), None
+        src, keep = data, tuple(order or ())
     split = training.split_by_date(src, split_date, keep=keep)
     fitted = model.fit_model(split.train)
     if model_path:
@@ -140,7 +141,8 @@ def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_di
     # the load's month: one row from the archive listing (file metadata)
     latest = zips.list_archives(spark, zip_glob).filter("name_ok") \
         .agg(F.max(F.struct("file_year", "file_month")).alias("m")).first()["m"]
-    res = run_training(spark, raw, split_date, model_path=model_path, eval_rows=eval_rows)
+    res = run_training(spark, raw, split_date, model_path=model_path, eval_rows=eval_rows,
+                       order=["file_year", "file_month", "line_no"])
     for name, df in (("roc", res.roc), ("confusion", res.confusion)):
         df.select("*", F.lit(latest["file_year"]).alias("file_year"),
                   F.lit(latest["file_month"]).alias("file_month")) \

@@ -63,3 +63,26 @@ def test_daily_confusion(spark):
                                "day string, target boolean, prediction boolean")
     got = {(r["date"], r["actual"], r["predicted"]): r["n"] for r in daily_confusion(df, "day").collect()}
     assert len(got) == 8 and got[("d1", True, True)] == 1 and got[("d2", True, True)] == 0
+
+
+def test_avro_schema_contract():
+    import json
+    from aerofeat.schemas import AIRPORT_SCHEMA, FLIGHT_SCHEMA
+    from aerofeat.sinks.writers import avro_schema_json
+    f = json.loads(avro_schema_json(FLIGHT_SCHEMA, "Flight"))
+    assert f["namespace"] == "flight_delay_prediction" and f["name"] == "Flight"
+    assert f["fields"][0] == {"name": "timestamp",
+                              "type": [{"type": "long", "logicalType": "timestamp-micros"}, "null"]}
+    assert [x["type"] for x in f["fields"][1:]] == ["string", "string", "boolean"] + ["double"] * 4
+    a = json.loads(avro_schema_json(AIRPORT_SCHEMA, "Airport"))
+    assert [x["name"] for x in a["fields"]] == ["timestamp", "origin_airport_id", "average_departure_delay"]
+
+
+def test_conform_rejects_drift(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from aerofeat.schemas import AIRPORT_SCHEMA, conform
+    bad = spark.createDataFrame([("x", "A", 1.0)], "timestamp string, origin_airport_id string, "
+                                                   "average_departure_delay double")
+    with pytest.raises(PySparkException):
+        conform(bad, AIRPORT_SCHEMA).collect()

@@ -59,3 +59,16 @@ def test_ingest_monthly_layout_and_sample(spark, tmp_path):
     s = spark.read.parquet(sample)
     assert sorted(r[0] for r in s.select("line_no").collect()) == [1, 2, 3, 4, 5]
     assert s.filter(F.col("Year") == "Year").count() == 0
+
+
+def test_monthly_refresh(spark, tmp_path):
+    from aerofeat.plans.jobs import monthly_refresh
+    rows = [line(FlightDate=f"2020-05-{d:02d}", DepDelay=str(d * 3 - 20), ArrDelay=str(d * 3 - 10),
+                 Flight_Number_Reporting_Airline=str(d)) for d in range(1, 29)]
+    _zip(tmp_path / "2020_05.zip", {"a.csv": "\n".join([header()] + rows) + "\n"})
+    res = monthly_refresh(spark, str(tmp_path / "*.zip"), str(tmp_path / "raw"),
+                          str(tmp_path / "metrics"), split_date="2020-05-20", eval_rows=5)
+    assert res.scored.count() == 5
+    cm = spark.read.parquet(str(tmp_path / "metrics/confusion"))
+    assert cm.count() == 4
+    assert {(r["file_year"], r["file_month"]) for r in cm.collect()} == {(2020, 5)}
