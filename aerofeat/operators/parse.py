@@ -115,15 +115,18 @@ def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
     """Split raw rows into typed flights and rejects.
 
     ``keep`` names raw columns to carry along (e.g. a row key). ``n_fields``
-    names a column holding each line's field count (strict mode uses it to
-    detect short lines; see ``sources.csv``).
+    names a column holding each line's field count (default ``_n_fields``
+    when present, as ``sources.csv.read_raw_lines`` gives); strict mode uses
+    it to detect short lines.
     """
     typed = _typed_columns()
     reason = reject_reason(typed)
     cols = [F.col(k) for k in keep] + [v.alias(k) for k, v in typed.items()]
     cols += [reason.alias("_reason"), ff.is_header().alias("_header")]
     if strict:
-        cols.append(_strict_guard(reason, F.col(n_fields) if n_fields else None).alias("_guard"))
+        nf = F.col(n_fields) if n_fields else (
+            F.col("_n_fields") if "_n_fields" in raw.columns else None)
+        cols.append(_strict_guard(reason, nf).alias("_guard"))
     staged = raw.select(*cols)
     if strict:
         # evaluated on every row before the split, so a bad row fails the job

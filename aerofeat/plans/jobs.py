@@ -24,8 +24,11 @@ from ..sources import csv as csvsrc
 from ..sources import zips
 
 
-def _raw(spark: SparkSession, raw) -> DataFrame:
-    return csvsrc.read_raw_csv(spark, raw) if isinstance(raw, (str, list, tuple)) else raw
+def _raw(spark: SparkSession, raw, strict: bool = False) -> DataFrame:
+    if isinstance(raw, (str, list, tuple)):
+        # strict mode needs each line's field count (text scan + decode)
+        return csvsrc.read_raw_lines(spark, raw) if strict else csvsrc.read_raw_csv(spark, raw)
+    return raw
 
 
 def run_batch_features(spark: SparkSession, raw, output_airports: str, output_flights: str,
@@ -43,7 +46,7 @@ def run_batch_features(spark: SparkSession, raw, output_airports: str, output_fl
     ``read_instance_files`` asks for a fixed number (1 = a single file).
     """
     configure(spark)
-    parsed = parse_flights(_raw(spark, raw), strict=strict)
+    parsed = parse_flights(_raw(spark, raw, strict), strict=strict)
     writers.write_flight_features(parsed.flights, output_flights, fmt)
     if output_rejects:
         parsed.rejects.write.mode("overwrite").format(fmt).save(output_rejects)

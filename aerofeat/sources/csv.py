@@ -10,35 +10,34 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA, TRAIN_SOURCE_COLUMNS
 
-CORRUPT_COLUMN = "_corrupt_record"
-
 # RFC-4180 style quoting: a quote inside a quoted field is doubled.
 CSV_OPTIONS = {"escape": '"', "quote": '"', "sep": ",", "mode": "PERMISSIVE"}
 
 
-def read_raw_csv(spark: SparkSession, path, keep_corrupt: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path) -> DataFrame:
     """Positional read of raw flight CSV files (a path, a glob or a list).
 
     Fields bind to :data:`RAW_COLUMNS` by position; surplus trailing fields are
     dropped, missing ones are null, and empty fields (quoted or not) are null.
     Header rows are *not* skipped here: they can occur anywhere (concatenated
-    monthly files), so the parser drops them by value.
-
-    ``keep_corrupt`` adds the raw text of lines whose field count differs from
-    109 (needed by the strict parser to tell a short line from empty fields).
-    It turns off CSV column pruning, so it is off by default.
+    monthly files), so the parser drops them by value. Only the columns a
+    query uses are tokenised (CSV column pruning), which also means a short
+    line is not told apart from empty fields; :func:`read_raw_lines` does
+    that, for the strict parser.
     """
-    schema = RAW_SCHEMA
     reader = spark.read.options(**CSV_OPTIONS).option("header", False)
-    if keep_corrupt:
-        schema = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
     paths = [path] if isinstance(path, str) else list(path)
-    return reader.schema(schema).csv(paths)
+    return reader.schema(RAW_SCHEMA).csv(paths)
+
+
+def read_raw_lines(spark: SparkSession, path) -> DataFrame:
+    """Raw rows with each line's field count (``_n_fields``): a text scan
+    decoded with ``from_csv``. Tokenises all fields; used by strict parsing."""
+    paths = [path] if isinstance(path, str) else list(path)
+    return decode_lines(spark.read.text(paths), with_field_count=True)
 
 
 def raw_ddl(columns=RAW_COLUMNS) -> str:

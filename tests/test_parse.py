@@ -140,3 +140,15 @@ def test_field_count(spark):
     from aerofeat.functions.flight import csv_field_count
     df = spark.createDataFrame([("a,b,c",), (',,',), ('a,"b,c",d',), ('"a ""b"" c",x',)], "v string")
     assert [r[0] for r in df.select(csv_field_count("v")).collect()] == [3, 3, 3, 2]
+
+
+def test_strict_file_reader_detects_short_line(spark, tmp_path):
+    good = write_lines(str(tmp_path / "g.csv"), [header(), line(), line(trailing_comma=True)])
+    res = parse_flights(csvsrc.read_raw_lines(spark, good), strict=True)
+    assert res.flights.count() == 2
+    bad = write_lines(str(tmp_path / "b.csv"), [line(), line(n_fields=50)])
+    with pytest.raises(PySparkException):
+        parse_flights(csvsrc.read_raw_lines(spark, bad), strict=True).flights.collect()
+    # header rows short-circuit, as in the plain parser
+    hdr = write_lines(str(tmp_path / "h.csv"), [line(), "Year,Quarter"])
+    assert parse_flights(csvsrc.read_raw_lines(spark, hdr), strict=True).flights.count() == 1
