@@ -25,23 +25,21 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 
-def _range_column(per: DataFrame, score: str, n_ranges: int):
-    """Range id per distinct score, ascending in score; splits from
-    approximate quantiles (``n_ranges - 1`` numbers reach the driver)."""
+def _with_range(per: DataFrame, score: str, n_ranges: int) -> DataFrame:
+    """Add the range id ``_r`` (ascending in score) from approximate
+    quantiles of the distinct scores: ``n_ranges - 1`` split points reach the
+    driver; ``Bucketizer`` finds each score's range by binary search."""
+    from pyspark.ml.feature import Bucketizer
+
     if n_ranges <= 1:
-        return F.lit(0)
+        return per.withColumn("_r", F.lit(0.0))
     probs = [i / n_ranges for i in range(1, n_ranges)]
     qs = per.approxQuantile(score, probs, 1.0 / (4 * n_ranges))
-    splits = sorted(set(q for q in qs if q is not None))
-    if not splits:
-        return F.lit(0)
-    # bucket = number of splits <= score (a balanced CASE over sorted splits)
-    def build(lo, hi):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2  # bucket >= mid  <=>  score >= splits[mid-1]
-        return F.when(F.col(score) >= F.lit(splits[mid - 1]), build(mid, hi)).otherwise(build(lo, mid - 1))
-    return build(0, len(splits))
+    inner = sorted(set(q for q in qs if q is not None and q == q and abs(q) != float("inf")))
+    if not inner:
+        return per.withColumn("_r", F.lit(0.0))
+    splits = [float("-inf")] + inner + [float("inf")]
+    return Bucketizer(splits=splits, inputCol=score, outputCol="_r").transform(per)
 
 
 def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
@@ -66,7 +64,7 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
     if stage:
         checkpoint_dir(spark)
         per = per.checkpoint(eager=True)
-    per = per.withColumn("_r", _range_column(per, score, n_ranges))
+    per = _with_range(per, score, n_ranges)
 
     # one row per range: totals, first (highest-score) row's counts
     rng = per.groupBy("_r").agg(

@@ -40,9 +40,6 @@ WHEELS_OFF_POS = 37
 DISTANCE_POS = 54
 # ---------------------------------------------------------------------------
 
-REJECT_COLUMNS = ["reason"]
-
-
 class ParsedFlights(NamedTuple):
     flights: DataFrame
     rejects: DataFrame
@@ -90,6 +87,7 @@ def reject_reason(typed: dict[str, Column] | None = None) -> Column:
         (t["taxi_out_minutes"].isNull(), "bad_taxi_out"),
         (t["distance_miles"].isNull(), "bad_distance"),
     ]
+    assert [name for _, name in checks] == REASONS
     expr = F.when(ff.is_header(), F.lit(None).cast("string"))
     for cond, name in checks:
         expr = expr.when(cond, F.lit(name))

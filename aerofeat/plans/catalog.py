@@ -18,7 +18,7 @@ from ..operators.airport import airport_windows, sliding_mean
 from ..operators.instances import read_instances
 from ..operators.parse import parse_flights
 from ..functions import flight as ff
-from ..schemas import FLIGHT_ENTITY_FEATURES, TRAIN_FEATURES
+from ..schemas import FLIGHT_ENTITY_FEATURES, READ_INSTANCE_SCHEMA, TRAIN_FEATURES
 from ..session import configure, stage
 from ..sources import csv as csvsrc
 from ..sources.events_flights import RAW_FLIGHT_COLUMNS, raw_flights, read_events
@@ -239,8 +239,8 @@ def q_read_instances_csv(spark, sf):
     from ..sinks.writers import write_read_instances
     path = scratch_path(spark, "read_instances")
     write_read_instances(read_instances(_flights(spark, sf)), path)
-    return spark.read.option("header", True).option("escape", '"').schema(
-        "flight string, airport string, timestamp string").csv(path)
+    return spark.read.option("header", True).option("escape", '"') \
+        .schema(READ_INSTANCE_SCHEMA).csv(path)
 
 
 def queries() -> dict[str, Query]:

@@ -17,7 +17,7 @@ from ..operators import evaluation, model, pit, training
 from ..operators.airport import airport_features
 from ..operators.instances import read_instances
 from ..operators.parse import parse_flights
-from ..schemas import AIRPORT_ENTITY_FEATURES, FLIGHT_ENTITY_FEATURES
+from ..schemas import AIRPORT_ENTITY_FEATURES, FLIGHT_ENTITY_FEATURES, TRAIN_SCHEMA
 from ..session import configure
 from ..sinks import writers
 from ..sources import csv as csvsrc
@@ -67,11 +67,14 @@ class TrainingResult(NamedTuple):
 
 def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_SPLIT_DATE,
                  model_path: str | None = None, eval_rows: int | None = 1000,
-                 metrics_path: str | None = None, order: list[str] | None = None) -> TrainingResult:
+                 metrics_path: str | None = None, order: list[str] | None = None,
+                 datasets_path: str | None = None) -> TrainingResult:
     """By-name CSV (or DataFrame) → split by date → fit → evaluate on the
     first ``eval_rows`` test rows in file order (``None``: all) → ROC points
     and confusion matrix. For a DataFrame, ``order`` names the columns that
-    give file order; without it the whole test set is evaluated."""
+    give file order; without it the whole test set is evaluated.
+    ``datasets_path`` also writes the train and test sets as CSV with a header
+    (no index column)."""
     configure(spark)
     if isinstance(data, (str, list, tuple)):
         src = csvsrc.read_named_csv(spark, data, with_order=True)
@@ -79,6 +82,9 @@ def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_S
     else:
         src, keep = data, tuple(order or ())
     split = training.split_by_date(src, split_date, keep=keep)
+    if datasets_path:
+        writers.write_csv(split.train.select(*TRAIN_SCHEMA.names), f"{datasets_path}/train")
+        writers.write_csv(split.test.select(*TRAIN_SCHEMA.names), f"{datasets_path}/test")
     fitted = model.fit_model(split.train)
     if model_path:
         model.save_model(fitted, model_path)

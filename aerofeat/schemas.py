@@ -86,20 +86,6 @@ TRAIN_SCHEMA = T.StructType(
     [T.StructField(c, T.DoubleType(), True) for c in TRAIN_FEATURES]
     + [T.StructField("target", T.BooleanType(), False)])
 
-# By-name training source: the seven used columns, read as strings and cast
-# explicitly (see sources.csv.read_named_csv).
-TRAIN_SOURCE_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in TRAIN_SOURCE_COLUMNS])
-
-
-def with_timestamp_type(schema: T.StructType, ts_type: T.DataType) -> T.StructType:
-    """Same schema with every timestamp field re-typed (``timestamp`` vs
-    ``timestamp_ntz``); the flight data carries no zone (UTC by contract)."""
-    return T.StructType([
-        T.StructField(f.name, ts_type if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))
-                      else f.dataType, f.nullable)
-        for f in schema.fields])
-
 
 def relaxed(schema: T.StructType) -> T.StructType:
     """Same fields, all nullable (Spark derives nullability from the plan;

@@ -3,7 +3,6 @@ folder (``spark.checkpoint.dir``) used to cut lineage or stage files."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -78,19 +77,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/aerofeat-scratch/{uuid.uuid4().hex}/{name}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_parent(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(os.path.dirname(local_fs_path(path)) or ".", exist_ok=True)
-
-
 def stage(df, name: str = "stage", fmt: str = "parquet"):
     """Write ``df`` once to the shared checkpoint folder and read it back.
 

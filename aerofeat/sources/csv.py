@@ -75,11 +75,6 @@ def encode_lines(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return df.select(*keep, line.alias("value"))
 
 
-def read_text_lines(spark: SparkSession, path) -> DataFrame:
-    """Line scan over a path or glob (records end at a newline)."""
-    return spark.read.text(path)
-
-
 def read_named_csv(spark: SparkSession, path, columns=TRAIN_SOURCE_COLUMNS,
                    with_order: bool = False) -> DataFrame:
     """By-name read of a CSV with a header row, keeping ``columns``.
@@ -123,8 +118,3 @@ def first_n(df: DataFrame, n: int | None, order: list | None = None) -> DataFram
     if order is None:
         raise ValueError("first_n needs an order; plain limit promises none")
     return df.orderBy(*order).limit(int(n))
-
-
-def read_raw_csv_ordered(spark: SparkSession, path) -> DataFrame:
-    """Raw read with the file-order columns of :data:`ORDER_COLUMNS`."""
-    return read_raw_csv(spark, path).select("*", *order_columns())

@@ -54,3 +54,17 @@ def test_confusion_always_four_cells(spark):
     cm = {(r["actual"], r["predicted"]): r["n"] for r in confusion_matrix(df).collect()}
     assert cm == {(False, False): 0, (False, True): 1, (True, False): 0, (True, True): 2}
     assert sum(cm.values()) == df.count()
+
+
+def test_roc_many_ranges(spark):
+    rng = np.random.default_rng(11)
+    s = np.round(rng.normal(size=4000), 3)
+    y = rng.random(4000) < 1 / (1 + np.exp(-2 * s))
+    df = spark.createDataFrame([(float(a), bool(b)) for a, b in zip(s, y)], "score double, target boolean")
+    got = sorted((r["threshold"], r["fpr"], r["tpr"])
+                 for r in roc_curve(df, "target", "score", n_ranges=300).collect())
+    thr, fpr, tpr = roc_reference(y.astype(int), s)
+    want = sorted(zip(thr.tolist(), fpr.tolist(), tpr.tolist()))
+    assert len(got) == len(want)
+    for g, w in zip(got, want):
+        assert g == pytest.approx(w)

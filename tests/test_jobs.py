@@ -40,7 +40,11 @@ def test_training_job_from_csv(spark, tmpdir_path):
     path = tmpdir_path + "/train_src"
     raw.coalesce(1).write.option("header", True).csv(path)
     res = run_training(spark, path, split_date="2024-01-20", model_path=tmpdir_path + "/m",
-                       eval_rows=100, metrics_path=tmpdir_path + "/metrics")
+                       eval_rows=100, metrics_path=tmpdir_path + "/metrics",
+                       datasets_path=tmpdir_path + "/sets")
+    tr = spark.read.option("header", True).csv(tmpdir_path + "/sets/train")
+    assert tr.columns == ["DepDelay", "TaxiOut", "Distance", "target"]
+    assert {r[0] for r in tr.select("target").distinct().collect()} <= {"true", "false"}
     assert res.scored.count() == 100
     cm = res.confusion.collect()
     assert len(cm) == 4 and sum(r["n"] for r in cm) == 100
