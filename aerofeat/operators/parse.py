@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flight as ff
+from ..functions import per_context
 from ..schemas import FLIGHT_SCHEMA
 
 # --- fixed values -----------------------------------------------------------
@@ -45,6 +46,7 @@ class ParsedFlights(NamedTuple):
     rejects: DataFrame
 
 
+@per_context
 def _flag_parts():
     c = ff.to_double("Cancelled")
     d = ff.to_double("Diverted")
@@ -56,6 +58,7 @@ def _flag_parts():
     return cancelled_ok, diverted_ok, is_cancelled
 
 
+@per_context
 def _typed_columns() -> dict[str, Column]:
     _, _, is_cancelled = _flag_parts()
     return {
@@ -70,10 +73,11 @@ def _typed_columns() -> dict[str, Column]:
     }
 
 
-def reject_reason(typed: dict[str, Column] | None = None) -> Column:
+@per_context
+def reject_reason() -> Column:
     """Reason string of the first failing check, null for a good row
     (header rows included: they are not rejects)."""
-    t = typed or _typed_columns()
+    t = _typed_columns()
     cancelled_ok, diverted_ok, _ = _flag_parts()
     checks = [
         (~ff.wheels_off_ok(), "wheels_off_length"),
@@ -118,7 +122,7 @@ def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
     it to detect short lines.
     """
     typed = _typed_columns()
-    reason = reject_reason(typed)
+    reason = reject_reason()
     cols = [F.col(k) for k in keep] + [v.alias(k) for k, v in typed.items()]
     cols += [reason.alias("_reason"), ff.is_header().alias("_header")]
     if strict:

@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import per_context
+
 # --- fixed values -----------------------------------------------------------
 # (column, residue rule) of the derived table; the DuckDB twin in
 # ``plans/oracle.py`` spells the same rules in SQL.
@@ -42,10 +44,15 @@ def _is(rule) -> "F.Column":
 
 
 def raw_flights_from_events(events: DataFrame) -> DataFrame:
+    return events.select(*_raw_flight_columns())
+
+
+@per_context
+def _raw_flight_columns() -> list:
     s = "string"
     ts = F.col("ts")
     whole = F.floor("value").cast("bigint")
-    return events.select(
+    return [
         F.col("event_id"),
         F.when(F.col("event_id") % HEADER_EVERY == 0, F.lit("Year"))
          .otherwise(F.date_format(ts, "yyyy")).alias("Year"),
@@ -70,7 +77,7 @@ def raw_flights_from_events(events: DataFrame) -> DataFrame:
          .when((F.col("event_type") == "error") & (F.col("event_id") % 5 == 0), F.lit("1.00"))
          .otherwise(F.lit("0.00")).alias("Cancelled"),
         F.when(_is(DIVERTED), F.lit("1.00")).otherwise(F.lit("0.00")).alias("Diverted"),
-    )
+    ]
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
