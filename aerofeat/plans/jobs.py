@@ -144,8 +144,8 @@ def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_di
                     split_date: str, model_path: str | None = None,
                     eval_rows: int | None = 1000) -> TrainingResult:
     """Load this month's archives (replacing only their partitions), retrain
-    on the whole table, and append the month's evaluation to the metrics
-    history with the load's year/month."""
+    on the whole table, and store the month's evaluation in the metrics
+    history under the load's year/month (a re-run replaces it)."""
     raw = ingest_monthly(spark, zip_glob, raw_dir)
     # the load's month: one row from the archive listing (file metadata)
     latest = zips.list_archives(spark, zip_glob).filter("name_ok") \
@@ -153,9 +153,10 @@ def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_di
     res = run_training(spark, raw, split_date, model_path=model_path, eval_rows=eval_rows,
                        order=["file_year", "file_month", "line_no"])
     for name, df in (("roc", res.roc), ("confusion", res.confusion)):
-        df.select("*", F.lit(latest["file_year"]).alias("file_year"),
-                  F.lit(latest["file_month"]).alias("file_month")) \
-            .write.mode("append").parquet(f"{metrics_dir}/{name}")
+        # the month's partition is replaced, so a re-run leaves one copy
+        tagged = df.select("*", F.lit(latest["file_year"]).alias("file_year"),
+                           F.lit(latest["file_month"]).alias("file_month"))
+        writers.write_monthly(tagged, f"{metrics_dir}/{name}", "file_year", "file_month")
     return res
 
 

@@ -95,10 +95,13 @@ def write_monthly(df: DataFrame, path: str, year: str = "year", month: str = "mo
 
 
 def append_load(df: DataFrame, table_path: str, load_id: int, fmt: str = "parquet") -> None:
-    """Append one load of feature rows to a feature table (``load_id``
-    partition). Loads are never rewritten; the latest-load-wins view is the
-    upsert (``operators.pit.upsert``) over all loads, applied on read."""
-    (df.withColumn("load_id", F.lit(int(load_id))).write.mode("append")
+    """Add one load of feature rows to a feature table as its ``load_id``
+    partition. Dynamic partition overwrite replaces only that partition, so
+    re-running a load after a failure does not duplicate it. The
+    latest-load-wins view is the upsert (``operators.pit.upsert``) over all
+    loads, applied on read."""
+    (df.withColumn("load_id", F.lit(int(load_id))).write.mode("overwrite")
+       .option("partitionOverwriteMode", "dynamic")
        .partitionBy("load_id").format(fmt).save(table_path))
 
 

@@ -57,6 +57,10 @@ def test_feature_table_loads(spark, tmpdir_path):
     ingest_features(fl, t, "flight_number", "timestamp", ["departure_delay_minutes"], 1)
     ingest_features(fl.withColumn("departure_delay_minutes", F.lit(-1.0)), t, "flight_number",
                     "timestamp", ["departure_delay_minutes"], 2)
+    # re-running load 2 replaces it instead of adding a copy
+    ingest_features(fl.withColumn("departure_delay_minutes", F.lit(-1.0)), t, "flight_number",
+                    "timestamp", ["departure_delay_minutes"], 2)
+    assert spark.read.parquet(t).filter("load_id = 2").count() == fl.count()
     cur = read_feature_table(spark, t, "flight_number", "timestamp", ["departure_delay_minutes"])
     assert cur.count() == fl.select("flight_number", "timestamp").distinct().count()
     assert cur.filter(F.col("departure_delay_minutes") != -1.0).count() == 0

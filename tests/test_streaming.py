@@ -10,3 +10,35 @@ def test_stream_complete_mode_equals_batch(spark):
     b = catalog.q_airport_sliding_mean(spark, SF001)
     assert s.count() == b.count() > 0
     assert s.exceptAll(b).count() == 0 and b.exceptAll(s).count() == 0
+
+
+def test_stream_append_mode_emits_closed_windows_only(spark, tmpdir_path):
+    from aerofeat.operators.parse import parse_flights
+    from aerofeat.sources.events_flights import raw_flights_from_events
+    from aerofeat.streaming.airport_stream import airport_stream, events_stream, run_to_table
+    fl = parse_flights(raw_flights_from_events(events_stream(spark, SF001))).flights
+    out = tmpdir_path + "/append"
+    run_to_table(airport_stream(fl, watermark="0 seconds"), out + "/t", out + "/c", output_mode="append")
+    got = spark.read.parquet(out + "/t").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+        "origin_airport_id", "average_departure_delay")
+    batch = catalog.q_airport_sliding_mean(spark, SF001)
+    # every emitted window is final and equal to the batch value; the windows
+    # the watermark never passed (the end of a bounded input) are missing
+    assert 0 < got.count() < batch.count()
+    assert got.exceptAll(batch).count() == 0
+
+
+def test_score_a_stream(spark, tmpdir_path):
+    from aerofeat.operators import model, training
+    from aerofeat.sources.events_flights import raw_flights, raw_flights_from_events
+    from aerofeat.streaming.airport_stream import events_stream, run_to_table
+    sp = training.split_by_date(raw_flights(spark, SF001), "2024-01-20")
+    m = model.fit_model(sp.train)
+    stream = training.labelled(raw_flights_from_events(events_stream(spark, SF001)))
+    scored = model.score(m, stream.select("DepDelay", "TaxiOut", "Distance", "target"))
+    out = tmpdir_path + "/scored"
+    run_to_table(scored, out + "/t", out + "/c", output_mode="append")
+    n = spark.read.parquet(out + "/t").count()
+    assert n == training.labelled(raw_flights(spark, SF001)).count()

@@ -72,3 +72,7 @@ def test_monthly_refresh(spark, tmp_path):
     cm = spark.read.parquet(str(tmp_path / "metrics/confusion"))
     assert cm.count() == 4
     assert {(r["file_year"], r["file_month"]) for r in cm.collect()} == {(2020, 5)}
+    # a re-run of the same month replaces its metrics
+    monthly_refresh(spark, str(tmp_path / "*.zip"), str(tmp_path / "raw"),
+                    str(tmp_path / "metrics"), split_date="2020-05-20", eval_rows=5)
+    assert spark.read.parquet(str(tmp_path / "metrics/confusion")).count() == 4
