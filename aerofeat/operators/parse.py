@@ -112,15 +112,10 @@ def _strict_guard(reason: Column, n_fields: Column | None) -> Column:
         F.lit("unparseable flight row: "), F.coalesce(reason, F.lit("short line")))))
 
 
-def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
-                  n_fields: str | None = None) -> ParsedFlights:
-    """Split raw rows into typed flights and rejects.
-
-    ``keep`` names raw columns to carry along (e.g. a row key). ``n_fields``
-    names a column holding each line's field count (default ``_n_fields``
-    when present, as ``sources.csv.read_raw_lines`` gives); strict mode uses
-    it to detect short lines.
-    """
+def stage_parse(raw: DataFrame, strict: bool = False, keep: tuple = (),
+                n_fields: str | None = None) -> DataFrame:
+    """Every raw row typed, with ``_reason`` (null = good) and ``_header``:
+    the one projection both outputs of :func:`split_parsed` come from."""
     typed = _typed_columns()
     reason = reject_reason()
     cols = [F.col(k) for k in keep] + [v.alias(k) for k, v in typed.items()]
@@ -133,6 +128,10 @@ def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
     if strict:
         # evaluated on every row before the split, so a bad row fails the job
         staged = staged.filter(F.col("_guard").isNull()).drop("_guard")
+    return staged
+
+
+def split_parsed(staged: DataFrame, keep: tuple = ()) -> ParsedFlights:
     flights = staged.filter(F.col("_reason").isNull() & ~F.col("_header")) \
         .select(*keep, *FLIGHT_SCHEMA.names)
     rejects = staged.filter(F.col("_reason").isNotNull()) \
@@ -140,5 +139,19 @@ def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
     return ParsedFlights(flights, rejects)
 
 
+def parse_flights(raw: DataFrame, strict: bool = False, keep: tuple = (),
+                  n_fields: str | None = None) -> ParsedFlights:
+    """Split raw rows into typed flights and rejects.
+
+    ``keep`` names raw columns to carry along (e.g. a row key). ``n_fields``
+    names a column holding each line's field count (default ``_n_fields``
+    when present, as ``sources.csv.read_raw_lines`` gives); strict mode uses
+    it to detect short lines. The two outputs are two filters of one
+    projection; to compute both from one read, persist
+    :func:`stage_parse` and call :func:`split_parsed`.
+    """
+    return split_parsed(stage_parse(raw, strict, keep, n_fields), keep)
+
+
 def flight_records(raw: DataFrame, strict: bool = False, keep: tuple = ()) -> DataFrame:
     return parse_flights(raw, strict=strict, keep=keep).flights

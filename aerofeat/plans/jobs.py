@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import evaluation, model, pit, training
 from ..operators.airport import airport_features
 from ..operators.instances import read_instances
-from ..operators.parse import parse_flights
+from ..operators.parse import split_parsed, stage_parse
 from ..schemas import AIRPORT_ENTITY_FEATURES, FLIGHT_ENTITY_FEATURES, TRAIN_SCHEMA
 from ..session import configure
 from ..sinks import writers
@@ -46,10 +47,20 @@ def run_batch_features(spark: SparkSession, raw, output_airports: str, output_fl
     ``read_instance_files`` asks for a fixed number (1 = a single file).
     """
     configure(spark)
-    parsed = parse_flights(_raw(spark, raw, strict), strict=strict)
-    writers.write_flight_features(parsed.flights, output_flights, fmt)
+    staged = stage_parse(_raw(spark, raw, strict), strict=strict)
     if output_rejects:
-        parsed.rejects.write.mode("overwrite").format(fmt).save(output_rejects)
+        # both outputs from one read of the raw files (K12): the typed rows
+        # are kept (memory, spilling to disk) for the second write; a lost
+        # block is recomputed from its own input split only
+        staged = staged.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = split_parsed(staged)
+    try:
+        writers.write_flight_features(parsed.flights, output_flights, fmt)
+        if output_rejects:
+            parsed.rejects.write.mode("overwrite").format(fmt).save(output_rejects)
+    finally:
+        if output_rejects:
+            staged.unpersist()
     flights = spark.read.format(fmt).load(output_flights)
     if fmt == "avro":
         flights = flights.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
