@@ -12,8 +12,11 @@ from pyspark.sql import functions as F
 
 # --- fixed values -----------------------------------------------------------
 LOAD_ID = "load_id"
-# Default time bucket of the as-of lookup (see ``asof_join``).
+# Default time bucket of the as-of lookup, and the largest number of left
+# rows one (key, bucket) sort may hold before lookups are de-duplicated
+# first (see ``asof_join``).
 ASOF_BUCKET_SECONDS = 3600
+ASOF_MAX_GROUP_ROWS = 2_000_000
 # ---------------------------------------------------------------------------
 
 
@@ -52,26 +55,33 @@ def _bucket(ts, seconds: int):
 def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
               left_time: str, right_time: str, values: list[str],
               out_time: str | None = "feature_time",
-              bucket_seconds: int = ASOF_BUCKET_SECONDS) -> DataFrame:
+              bucket_seconds: int = ASOF_BUCKET_SECONDS,
+              max_group_rows: int = ASOF_MAX_GROUP_ROWS,
+              strategy: str = "auto") -> DataFrame:
     """Left as-of join: each ``left`` row gets the ``values`` of the latest
     ``right`` row with the same key and ``right_time <= left_time`` (nulls
     when there is none). A right row whose values are null is still the
     latest row; its nulls are returned, not an older value. Equal right
     times are decided by the values (max), so the result is deterministic.
 
-    Plan (no group holds more than one time bucket of one key, so a hot key
-    — say a third of all rows — is spread over its buckets; no pairs are
-    formed):
-
-    1. distinct lookup keys (key, time) of ``left``, combined map-side;
-    2. per (key, bucket) the latest right row (one aggregate);
-    3. ``carry`` = the latest right row of all earlier buckets of the key:
-       a running ``last(ignorenulls)`` over the small (key, bucket) table;
-    4. inside each (key, bucket): lookup keys and right rows are sorted by
-       time and each lookup takes the running latest right row;
-    5. answer = in-bucket match, else ``carry``; joined back to ``left`` on
-       (key, time) — unique on the right side, so a skewed key is split by
-       AQE's skew-join handling.
+    Both strategies cut each key's timeline into buckets of
+    ``bucket_seconds``; no sort ever spans more than one bucket of one key,
+    so a hot key (say a third of all rows) is spread over its buckets, and
+    no pairs are formed:
+
+    * the latest right row of every earlier bucket of a key (``carry``) is
+      a running ``last(ignorenulls)`` over the small (key, bucket) table;
+    * inside a (key, bucket), lookups and right rows are sorted by time and
+      each lookup takes the running latest right row, else ``carry``.
+
+    ``rows``: the left rows themselves go through the bucketed sort (one
+    shuffle of ``left``). ``keys``: only the distinct (key, time) lookups
+    do, and the answers are joined back on (key, time). That collapses any
+    number of rows sharing a key and time, and bounds a sort by the distinct
+    times in one bucket; the join's right side is unique, so AQE can split a
+    skewed left side. ``auto`` counts left rows per (key, bucket) (one
+    map-side-combined aggregate; one number reaches the driver) and takes
+    ``rows`` when no bucket exceeds ``max_group_rows``.
     """
     lk = [f"_k{i}" for i in range(len(left_on))]
     pay = F.struct(F.col(right_time).alias("_ft"), *[F.col(v).alias(v) for v in values])
@@ -79,37 +89,59 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
                      F.col(right_time).alias("_t"), pay.alias("_v")) \
         .filter(F.col("_t").isNotNull())
     R = R.withColumn("_b", _bucket("_t", bucket_seconds))
-    L = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)],
-                    F.col(left_time).alias("_t")).filter(F.col("_t").isNotNull()).distinct()
-    L = L.withColumn("_b", _bucket("_t", bucket_seconds))
-
-    # 2) latest right row per (key, bucket)
+    vtype = R.schema["_v"].dataType
+    Lkeys = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)],
+                        F.col(left_time).alias("_t")).filter(F.col("_t").isNotNull()) \
+        .withColumn("_b", _bucket("_t", bucket_seconds))
+    group_rows = Lkeys.groupBy(*lk, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    if strategy == "auto":
+        biggest = group_rows.agg(F.max("_n")).first()[0] or 0
+        strategy = "rows" if biggest <= max_group_rows else "keys"
+
+    # carry-in: latest right row of the earlier buckets, for each bucket that
+    # holds a lookup. Lookup buckets sort before a right bucket with the same
+    # number, so they only see strictly earlier buckets.
     rlast = R.groupBy(*lk, "_b").agg(F.max(F.struct("_t", "_v")).alias("_last"))
-    # 3) carry-in: latest right row of the earlier buckets, for each bucket
-    #    that holds a lookup key. Lookup buckets sort before a right bucket
-    #    with the same number, so they only see strictly earlier buckets.
-    kb = L.select(*lk, "_b", F.lit(0).alias("_kind"),
-                  F.lit(None).cast(rlast.schema["_last"].dataType).alias("_last")).distinct() \
+    kb = group_rows.select(*lk, "_b", F.lit(0).alias("_kind"),
+                           F.lit(None).cast(rlast.schema["_last"].dataType).alias("_last")) \
         .unionByName(rlast.select(*lk, "_b", F.lit(1).alias("_kind"), "_last"))
     wb = Window.partitionBy(*lk).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, 0)
     carry = kb.select(*lk, "_b", "_kind",
                       F.last(F.col("_last._v"), ignorenulls=True).over(wb).alias("_carry")) \
         .filter(F.col("_kind") == 0).drop("_kind")
-    # 4) in-bucket running latest (right rows sort before lookups at equal time)
-    u = R.select(*lk, "_b", "_t", F.lit(0).alias("_kind"), "_v") \
-        .unionByName(L.select(*lk, "_b", "_t", F.lit(1).alias("_kind"),
-                              F.lit(None).cast(R.schema["_v"].dataType).alias("_v")))
+
     wi = Window.partitionBy(*lk, "_b").orderBy("_t", "_kind", "_v") \
         .rowsBetween(Window.unboundedPreceding, 0)
-    inb = u.select(*lk, "_b", "_t", "_kind",
-                   F.last("_v", ignorenulls=True).over(wi).alias("_in")) \
-        .filter(F.col("_kind") == 1)
-    # 5) resolve and join back
-    res = inb.join(carry, [*lk, "_b"], "left") \
-        .select(*lk, "_t", F.coalesce("_in", "_carry").alias("_m"))
-    out = left.join(res.select(*[F.col(k).alias(c) for k, c in zip(lk, left_on)],
-                               F.col("_t").alias(left_time), "_m"),
-                    [*left_on, left_time], "left")
-    cols = [c for c in left.columns] + ([F.col("_m._ft").alias(out_time)] if out_time else []) \
+    right_rows = R.select(*lk, "_b", "_t", F.lit(0).alias("_kind"), "_v")
+    if strategy == "rows":
+        row_type = left.select(F.struct(*left.columns).alias("_row")).schema["_row"].dataType
+        lrows = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)],
+                            F.col(left_time).alias("_t"), F.struct(*left.columns).alias("_row")) \
+            .withColumn("_b", _bucket("_t", bucket_seconds))
+        u = right_rows.withColumn("_row", F.lit(None).cast(row_type)).unionByName(
+            lrows.select(*lk, "_b", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(vtype).alias("_v"),
+                         "_row"))
+        inb = u.select(*lk, "_b", "_kind", "_row",
+                       F.last("_v", ignorenulls=True).over(wi).alias("_in")) \
+            .filter(F.col("_kind") == 1)
+        # a null lookup time has no bucket: no match, values null
+        out = inb.join(carry, [*lk, "_b"], "left") \
+            .select("_row", F.when(F.col("_b").isNotNull(), F.coalesce("_in", "_carry")).alias("_m"))
+        cols = [F.col(f"_row.{c}").alias(c) for c in left.columns]
+    elif strategy == "keys":
+        L = Lkeys.distinct()
+        u = right_rows.unionByName(
+            L.select(*lk, "_b", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(vtype).alias("_v")))
+        inb = u.select(*lk, "_b", "_t", "_kind", F.last("_v", ignorenulls=True).over(wi).alias("_in")) \
+            .filter(F.col("_kind") == 1)
+        res = inb.join(carry, [*lk, "_b"], "left") \
+            .select(*lk, "_t", F.coalesce("_in", "_carry").alias("_m"))
+        out = left.join(res.select(*[F.col(k).alias(c) for k, c in zip(lk, left_on)],
+                                   F.col("_t").alias(left_time), "_m"),
+                        [*left_on, left_time], "left")
+        cols = [F.col(c) for c in left.columns]
+    else:
+        raise ValueError(f"unknown strategy {strategy!r}")
+    cols += ([F.col("_m._ft").alias(out_time)] if out_time else []) \
         + [F.col(f"_m.{v}").alias(v) for v in values]
     return out.select(*cols)

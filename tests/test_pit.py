@@ -11,6 +11,9 @@ T0 = dt.datetime(2024, 1, 1)
 def _brute(left, right):
     out = []
     for k, t, lid in left:
+        if t is None:
+            out.append((lid, None, None))
+            continue
         cands = [(rt, v) for rk, rt, v in right if rk == k and rt <= t]
         if cands:
             rt = max(c[0] for c in cands)
@@ -21,8 +24,9 @@ def _brute(left, right):
     return sorted(out, key=lambda x: x[0])
 
 
+@pytest.mark.parametrize("strategy", ["rows", "keys", "auto"])
 @pytest.mark.parametrize("bucket", [60, 3600, 86400])
-def test_asof_matches_brute_force(spark, bucket):
+def test_asof_matches_brute_force(spark, bucket, strategy):
     rnd = random.Random(bucket)
     keys = ["hot"] * 6 + ["a", "b", "c"]
     right = [(rnd.choice(keys), T0 + dt.timedelta(minutes=rnd.randrange(0, 3000)),
@@ -32,8 +36,10 @@ def test_asof_matches_brute_force(spark, bucket):
     left += [(left[0][0], left[0][1], 10_000 + i) for i in range(50)]   # repeated lookup key
     L = spark.createDataFrame(left, "k string, t timestamp_ntz, id long")
     R = spark.createDataFrame(right, "k string, ft timestamp_ntz, v double")
+    left += [("a", None, 20_000)]                                       # null lookup time
+    L = spark.createDataFrame(left, "k string, t timestamp_ntz, id long")
     got = asof_join(L, R, ["k"], ["k"], "t", "ft", ["v"], out_time="feature_time",
-                    bucket_seconds=bucket).collect()
+                    bucket_seconds=bucket, strategy=strategy, max_group_rows=40).collect()
     got = sorted(((r["id"], r["feature_time"], r["v"]) for r in got), key=lambda x: x[0])
     assert got == _brute(left, right)
 
