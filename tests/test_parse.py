@@ -152,3 +152,19 @@ def test_strict_file_reader_detects_short_line(spark, tmp_path):
     # header rows short-circuit, as in the plain parser
     hdr = write_lines(str(tmp_path / "h.csv"), [line(), "Year,Quarter"])
     assert parse_flights(csvsrc.read_raw_lines(spark, hdr), strict=True).flights.count() == 1
+
+
+def test_flight_timestamp_edges(spark):
+    import datetime as dt
+    from aerofeat.functions.flight import flight_timestamp
+    rows = [("2020-05-01", "0930", dt.datetime(2020, 5, 1, 9, 30)),
+            ("2020-02-29", "2359", dt.datetime(2020, 2, 29, 23, 59)),
+            ("2019-02-29", "1200", None), ("2020-13-01", "1200", None),
+            ("2020-05-00", "1200", None), ("0000-01-01", "1200", None),
+            ("2020-05-01", "2400", None), ("2020-05-01", "0960", None),
+            ("2020-05-01", " 930", None), ("2020-05-01", "+930", None),
+            ("+020-05-01", "1200", None), ("2020-05-1 ", "1200", None),
+            (None, "1200", None), ("2020-05-01", None, None)]
+    df = spark.createDataFrame([(a, b) for a, b, _ in rows], "FlightDate string, WheelsOff string")
+    got = [r[0] for r in df.select(flight_timestamp()).collect()]
+    assert got == [c for _, _, c in rows]
