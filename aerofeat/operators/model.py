@@ -20,6 +20,7 @@ L-BFGS iteration.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
@@ -82,17 +83,24 @@ def fit_model(train: DataFrame, features=TRAIN_FEATURES, label: str = "target",
     feats = list(features)
     data = train.select(*[F.col(c).cast("double").alias(c) for c in feats],
                         F.col(label).cast("double").alias("_label"))
-    fitted = fit_scaling(data, feats)
-    n = fitted["n"]
-    if not n:
-        raise ValueError("empty training set")
-    imputer, scaler = fitted["imputer"], scaling_transformer(fitted)
-    assembler = VectorAssembler(inputCols=[_std(c) for c in feats], outputCol="features",
-                                handleInvalid="error")
-    lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter, tol=tol,
-                            regParam=1.0 / (C * n), elasticNetParam=0.0,
-                            standardization=False, fitIntercept=True, family="binomial")
-    lr_model = lr.fit(assembler.transform(scaler.transform(imputer.transform(data))))
+    # the imputer, the moments and L-BFGS each pass over the training rows:
+    # keep the compact typed rows (spilling to disk) instead of re-deriving
+    # them from the source every time
+    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fitted = fit_scaling(data, feats)
+        n = fitted["n"]
+        if not n:
+            raise ValueError("empty training set")
+        imputer, scaler = fitted["imputer"], scaling_transformer(fitted)
+        assembler = VectorAssembler(inputCols=[_std(c) for c in feats], outputCol="features",
+                                    handleInvalid="error")
+        lr = LogisticRegression(featuresCol="features", labelCol="_label", maxIter=max_iter,
+                                tol=tol, regParam=1.0 / (C * n), elasticNetParam=0.0,
+                                standardization=False, fitIntercept=True, family="binomial")
+        lr_model = lr.fit(assembler.transform(scaler.transform(imputer.transform(data))))
+    finally:
+        data.unpersist()
     return PipelineModel(stages=[imputer, scaler, assembler, lr_model])
 
 
