@@ -94,3 +94,18 @@ def test_conform_rejects_drift(spark):
                                                    "average_departure_delay double")
     with pytest.raises(PySparkException):
         conform(bad, AIRPORT_SCHEMA).collect()
+
+
+def test_batch_job_strict_mode(spark, tmpdir_path):
+    import pytest
+    from pyspark.errors import PySparkException
+    from helpers import header, line, write_lines
+    good = write_lines(tmpdir_path + "/good.csv", [header(), line(), line(Distance="")])
+    run_batch_features(spark, good, tmpdir_path + "/a1", tmpdir_path + "/f1", tmpdir_path + "/i1",
+                       strict=True, output_rejects=tmpdir_path + "/r1")
+    assert spark.read.parquet(tmpdir_path + "/f1").count() == 1
+    assert spark.read.parquet(tmpdir_path + "/r1").count() == 1
+    bad = write_lines(tmpdir_path + "/bad.csv", [line(), line(Cancelled="x")])
+    with pytest.raises(PySparkException):
+        run_batch_features(spark, bad, tmpdir_path + "/a2", tmpdir_path + "/f2", tmpdir_path + "/i2",
+                           strict=True)
