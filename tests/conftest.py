@@ -14,8 +14,10 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from aerofeat.session import local_session
     s = local_session("*", shuffle_partitions=8, app="aerofeat-tests")
-    # tests set their own shared folder (a cluster names one in spark.checkpoint.dir)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerofeat-test-ckpt-"))
+    # the shared folder named in spark.checkpoint.dir; tests set their own
+    # only where the session has none
+    if not s.sparkContext.getCheckpointDir() and not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="aerofeat-test-ckpt-"))
     yield s
     s.stop()
 
