@@ -98,6 +98,22 @@ def reject_reason() -> Column:
     return expr
 
 
+@per_context
+def is_valid_flight() -> Column:
+    """True exactly for the rows that become flights (not a header and no
+    reject reason), as a plain conjunction of the checks: the flight
+    output filters on this instead of testing the reason string, which keeps
+    the generated code of the fused scan-parse stage small."""
+    t = _typed_columns()
+    cancelled_ok, diverted_ok, _ = _flag_parts()
+    cond = ~ff.is_header() & ff.wheels_off_ok() & ff.flight_date_ok() & ff.distance_present()
+    cond = cond & cancelled_ok & diverted_ok
+    for name in ("timestamp", "departure_delay_minutes", "arrival_delay_minutes",
+                 "taxi_out_minutes", "distance_miles"):
+        cond = cond & t[name].isNotNull()
+    return cond
+
+
 def _strict_guard(reason: Column, n_fields: Column | None) -> Column:
     """Expression that raises for the rows a plain parser would fail on."""
     bad_flag = reason.isin("bad_cancelled_flag", "bad_diverted_flag")
@@ -114,26 +130,26 @@ def _strict_guard(reason: Column, n_fields: Column | None) -> Column:
 
 def stage_parse(raw: DataFrame, strict: bool = False, keep: tuple = (),
                 n_fields: str | None = None) -> DataFrame:
-    """Every raw row typed, with ``_reason`` (null = good) and ``_header``:
-    the one projection both outputs of :func:`split_parsed` come from."""
+    """Every raw row typed, with ``_reason`` (null = good), ``_header`` and
+    ``_valid`` (a flight): the one projection both outputs of
+    :func:`split_parsed` come from (only the used columns are computed)."""
     typed = _typed_columns()
-    reason = reject_reason()
-    cols = [F.col(k) for k in keep] + [v.alias(k) for k, v in typed.items()]
-    cols += [reason.alias("_reason"), ff.is_header().alias("_header")]
+    reason, valid = reject_reason(), is_valid_flight()
     if strict:
         nf = F.col(n_fields) if n_fields else (
             F.col("_n_fields") if "_n_fields" in raw.columns else None)
-        cols.append(_strict_guard(reason, nf).alias("_guard"))
-    staged = raw.select(*cols)
-    if strict:
-        # evaluated on every row before the split, so a bad row fails the job
-        staged = staged.filter(F.col("_guard").isNull()).drop("_guard")
-    return staged
+        guard = _strict_guard(reason, nf)
+        # the guard comes first inside each output's own expression, so
+        # every row is checked whichever filter the optimizer runs first
+        reason = F.coalesce(guard.cast("string"), reason)
+        valid = F.coalesce(guard.cast("boolean"), valid)
+    cols = [F.col(k) for k in keep] + [v.alias(k) for k, v in typed.items()]
+    cols += [reason.alias("_reason"), ff.is_header().alias("_header"), valid.alias("_valid")]
+    return raw.select(*cols)
 
 
 def split_parsed(staged: DataFrame, keep: tuple = ()) -> ParsedFlights:
-    flights = staged.filter(F.col("_reason").isNull() & ~F.col("_header")) \
-        .select(*keep, *FLIGHT_SCHEMA.names)
+    flights = staged.filter(F.col("_valid")).select(*keep, *FLIGHT_SCHEMA.names)
     rejects = staged.filter(F.col("_reason").isNotNull()) \
         .select(*keep, F.col("_reason").alias("reason"))
     return ParsedFlights(flights, rejects)

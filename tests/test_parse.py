@@ -168,3 +168,12 @@ def test_flight_timestamp_edges(spark):
     df = spark.createDataFrame([(a, b) for a, b, _ in rows], "FlightDate string, WheelsOff string")
     got = [r[0] for r in df.select(flight_timestamp()).collect()]
     assert got == [c for _, _, c in rows]
+
+
+def test_valid_flag_equals_no_reason_and_no_header(spark):
+    from aerofeat.operators.parse import stage_parse
+    from aerofeat.sources.events_flights import raw_flights
+    st = stage_parse(raw_flights(spark, "/root/testdata/sf0.01"))
+    both = st.select(F.col("_valid"), (F.col("_reason").isNull() & ~F.col("_header")).alias("x"))
+    assert both.filter(F.col("_valid") != F.col("x")).count() == 0
+    assert both.filter("_valid").count() == 8810
