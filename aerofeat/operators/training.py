@@ -12,6 +12,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import flight as ff
 from ..schemas import TRAIN_FEATURES
@@ -26,17 +27,22 @@ class Split(NamedTuple):
     test: DataFrame
 
 
-def _num(c: str):
+def _num(source: DataFrame, c: str):
+    """Column ``c`` as double: text is converted leniently (null when it is
+    no number); a numeric column is cast directly."""
+    if isinstance(source.schema[c].dataType, T.NumericType):
+        return F.col(c).cast("double")
     return ff.to_double(F.col(c).cast("string"))
 
 
 def completed_flights(source: DataFrame, keep: tuple = ()) -> DataFrame:
     """Rows neither cancelled nor diverted (a missing flag counts as not set),
     with the training columns converted to double."""
-    done = ff.completed(_num("Cancelled"), _num("Diverted"))
+    done = ff.completed(_num(source, "Cancelled"), _num(source, "Diverted"))
     return source.filter(done).select(
-        *keep, *[_num(c).alias(c) for c in TRAIN_FEATURES],
-        _num("ArrDelay").alias("ArrDelay"), F.col("FlightDate").cast("string").alias("FlightDate"))
+        *keep, *[_num(source, c).alias(c) for c in TRAIN_FEATURES],
+        _num(source, "ArrDelay").alias("ArrDelay"),
+        F.col("FlightDate").cast("string").alias("FlightDate"))
 
 
 def labelled(source: DataFrame, keep: tuple = ()) -> DataFrame:

@@ -42,3 +42,12 @@ def test_split_partitions_completed_flights(spark):
     allc = {r[0] for r in done.filter(F.col("FlightDate").isNotNull()).select("event_id").collect()}
     assert not (tr & te)
     assert tr | te == allc
+
+
+def test_numeric_source_columns(spark):
+    rows = [(0.0, 0.0, 1.0, 2.0, 3.0, 20.0, "2020-05-01"), (float("nan"), 0.0, None, 2.0, 3.0, None, "2020-05-02"),
+            (1.0, 0.0, 1.0, 2.0, 3.0, 20.0, "2020-05-03")]
+    df = spark.createDataFrame(rows, "Cancelled double, Diverted double, DepDelay double, TaxiOut double, "
+                                     "Distance double, ArrDelay double, FlightDate string")
+    lab = training.labelled(df).collect()
+    assert [(r["DepDelay"], r["target"]) for r in lab] == [(1.0, True), (None, False)]
