@@ -109,3 +109,29 @@ def test_batch_job_strict_mode(spark, tmpdir_path):
     with pytest.raises(PySparkException):
         run_batch_features(spark, bad, tmpdir_path + "/a2", tmpdir_path + "/f2", tmpdir_path + "/i2",
                            strict=True)
+
+
+def test_first_n_rows_follow_file_order(spark, tmpdir_path):
+    """The first N rows in file order, across several files and across
+    the splits of a file read as more than one partition."""
+    from aerofeat.sources import csv as csvsrc
+    d = tmpdir_path + "/ordered"
+    os.makedirs(d)
+    expected = []
+    for f, n in (("a.csv", 5), ("b.csv", 30000), ("c.csv", 5)):
+        lines = ["Cancelled,Diverted,DepDelay,TaxiOut,Distance,ArrDelay,FlightDate"]
+        for i in range(n):
+            lines.append(f"0.00,0.00,{i},1,100,{f[0]}{i:08d},2020-05-01")
+            expected.append(f"{f[0]}{i:08d}")
+        with open(os.path.join(d, f), "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")    # b.csv → several splits
+    try:
+        src = csvsrc.read_named_csv(spark, d, with_order=True)
+        assert src.rdd.getNumPartitions() > 3
+        got = csvsrc.first_n(src, 20, order=[F.col(c) for c in csvsrc.ORDER_COLUMNS])
+        assert [r["ArrDelay"] for r in got.collect()] == expected[:20]
+        tail = csvsrc.first_n(src, 30008, order=[F.col(c) for c in csvsrc.ORDER_COLUMNS])
+        assert [r["ArrDelay"] for r in tail.collect()][-3:] == expected[30005:30008]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
