@@ -142,6 +142,15 @@ def read_feature_table(spark: SparkSession, table_path: str, entity_id: str, fea
     return pit.upsert(spark.read.format(fmt).load(table_path), entity_id, feature_time, features)
 
 
+def latest_feature_values(spark: SparkSession, table_path: str, entity_id: str,
+                          feature_time: str, features: list[str], fmt: str = "parquet") -> DataFrame:
+    """Online view of a feature table: per entity the values at its latest
+    feature time, after latest-load-wins. Two map-side-combined aggregates,
+    no window over a whole entity."""
+    current = read_feature_table(spark, table_path, entity_id, feature_time, features, fmt)
+    return pit.latest_values(current, entity_id, feature_time, features)
+
+
 def ingest_flight_features(flights: DataFrame, table_path: str, load_id: int) -> None:
     ingest_features(flights, table_path, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES, load_id)
 

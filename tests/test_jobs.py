@@ -135,3 +135,21 @@ def test_first_n_rows_follow_file_order(spark, tmpdir_path):
         assert [r["ArrDelay"] for r in tail.collect()][-3:] == expected[30005:30008]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_latest_feature_values_after_loads(spark, tmpdir_path):
+    import datetime as dt
+    from aerofeat.plans.jobs import latest_feature_values
+    t0 = dt.datetime(2024, 1, 1)
+    rows1 = [("A", t0, 1.0), ("A", t0 + dt.timedelta(hours=1), 2.0), ("B", t0, 5.0)]
+    rows2 = [("A", t0 + dt.timedelta(hours=1), 3.0)]                 # correction of A's latest
+    schema = "origin_airport_id string, timestamp timestamp_ntz, average_departure_delay double"
+    t = tmpdir_path + "/airport_table"
+    ingest_features(spark.createDataFrame(rows1, schema), t, "origin_airport_id", "timestamp",
+                    ["average_departure_delay"], 1)
+    ingest_features(spark.createDataFrame(rows2, schema), t, "origin_airport_id", "timestamp",
+                    ["average_departure_delay"], 2)
+    got = {r["origin_airport_id"]: (r["timestamp"], r["average_departure_delay"])
+           for r in latest_feature_values(spark, t, "origin_airport_id", "timestamp",
+                                          ["average_departure_delay"]).collect()}
+    assert got == {"A": (t0 + dt.timedelta(hours=1), 3.0), "B": (t0, 5.0)}
