@@ -194,3 +194,12 @@ def daily_confusion(scored: DataFrame, date_col: str, actual: str = "target",
         f"{str(x).lower()}, {str(y).lower()}, c{i}" for i, (x, y) in enumerate(cells)) \
         + ") as (actual, predicted, n)"
     return counts.selectExpr("date", stack)
+
+
+def daily_model_evaluation(fitted: PipelineModel, requests: DataFrame, date_col: str,
+                           actual: str = "target") -> DataFrame:
+    """Replayed requests scored by the model, then the confusion matrix per
+    day (four rows per day). Works on a batch or a streaming DataFrame of
+    requests (streaming needs an output mode that allows aggregation)."""
+    scored = model.score(fitted, requests, keep=(date_col, actual))
+    return daily_confusion(scored, date_col, actual, "prediction")

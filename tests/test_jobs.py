@@ -153,3 +153,17 @@ def test_latest_feature_values_after_loads(spark, tmpdir_path):
            for r in latest_feature_values(spark, t, "origin_airport_id", "timestamp",
                                           ["average_departure_delay"]).collect()}
     assert got == {"A": (t0 + dt.timedelta(hours=1), 3.0), "B": (t0, 5.0)}
+
+
+def test_daily_model_evaluation(spark):
+    from aerofeat.operators import model, training
+    from aerofeat.plans.jobs import daily_model_evaluation
+    lab = training.labelled(raw_flights(spark, SF001))
+    sp = training.split_by_date(raw_flights(spark, SF001), "2024-01-20")
+    fitted = model.fit_model(sp.train)
+    test = lab.filter(F.col("FlightDate") >= "2024-01-20")
+    daily = daily_model_evaluation(fitted, test, "FlightDate")
+    rows = daily.collect()
+    days = {r["date"] for r in rows}
+    assert len(rows) == 4 * len(days)
+    assert sum(r["n"] for r in rows) == test.count()
