@@ -15,7 +15,7 @@ LOAD_ID = "load_id"
 # Default time bucket of the as-of lookup, and the largest number of left
 # rows one (key, bucket) sort may hold before lookups are de-duplicated
 # first (see ``asof_join``).
-ASOF_BUCKET_SECONDS = 3600
+ASOF_BUCKET_SECONDS = 86400
 ASOF_MAX_GROUP_ROWS = 2_000_000
 # ---------------------------------------------------------------------------
 
