@@ -167,3 +167,13 @@ def test_daily_model_evaluation(spark):
     days = {r["date"] for r in rows}
     assert len(rows) == 4 * len(days)
     assert sum(r["n"] for r in rows) == test.count()
+
+
+def test_command_line(spark, tmpdir_path):
+    from aerofeat.__main__ import main
+    src = _raw_csv(spark, tmpdir_path)
+    out = tmpdir_path + "/cli"
+    main(["batch", "--input", src + "/*.txt", "--output-airports", out + "/a",
+          "--output-flights", out + "/f", "--output-read-instances", out + "/i"], spark=spark)
+    assert spark.read.parquet(out + "/f").count() == parse_flights(raw_flights(spark, SF001)).flights.count()
+    assert spark.read.parquet(out + "/a").count() > 0
