@@ -174,6 +174,21 @@ def q_feature_ingest_airport(spark, sf):
     return up.select("origin_airport_id", "timestamp", _r("average_departure_delay"))
 
 
+# K8 + E2: latest airport feature per airport after two loads (upsert, then
+# the latest value per entity)
+def q_latest_after_loads(spark, sf):
+    fl = stage(_flights(spark, sf), "flights")
+    day = F.to_date("timestamp")
+    a1 = airport_windows(fl.filter(day < F.lit(LOAD1_BEFORE).cast("date"))) \
+        .withColumn("load_id", F.lit(1))
+    a2 = airport_windows(fl.filter((day >= F.lit(LOAD2_FROM).cast("date")) & ~F.col("is_cancelled"))) \
+        .withColumn("load_id", F.lit(2))
+    rows = a1.unionByName(a2).withColumnRenamed("window_start", "timestamp")
+    current = pit.upsert(rows, "origin_airport_id", "timestamp", ["average_departure_delay"])
+    latest = pit.latest_values(current, "origin_airport_id", "timestamp", ["average_departure_delay"])
+    return latest.select("origin_airport_id", "timestamp", _r("average_departure_delay"))
+
+
 # Latest airport feature per airport
 def q_latest_features(spark, sf):
     feats = airport_windows(_flights(spark, sf))
@@ -265,6 +280,7 @@ def queries() -> dict[str, Query]:
         "feature_ingest_flight": q_feature_ingest_flight,
         "feature_ingest_airport": q_feature_ingest_airport,
         "latest_features": q_latest_features,
+        "latest_after_loads": q_latest_after_loads,
         "asof_features": q_asof_features,
         "model_fit_predict": q_model_fit_predict,
         "model_roc": q_model_roc,

@@ -263,6 +263,33 @@ ranked AS (
 SELECT origin_airport_id, ws AS "timestamp", (round(v, 6) + 0.0) AS average_departure_delay
 FROM ranked WHERE rn = 1""",
 
+    "latest_after_loads": _FL + """
+, l1 AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") - k.i * INTERVAL 1 HOUR AS ws, origin_airport_id,
+         departure_delay_minutes AS d
+  FROM flights, (SELECT unnest(range(0, 4)) AS i) k
+  WHERE CAST("timestamp" AS DATE) < DATE '2024-01-20'
+),
+l2 AS (
+  SELECT time_bucket(INTERVAL 1 HOUR, "timestamp") - k.i * INTERVAL 1 HOUR AS ws, origin_airport_id,
+         departure_delay_minutes AS d
+  FROM flights, (SELECT unnest(range(0, 4)) AS i) k
+  WHERE CAST("timestamp" AS DATE) >= DATE '2024-01-15' AND NOT is_cancelled
+),
+loads AS (
+  SELECT 1 AS load_id, ws, origin_airport_id, avg(d) AS v FROM l1 GROUP BY ws, origin_airport_id
+  UNION ALL
+  SELECT 2 AS load_id, ws, origin_airport_id, avg(d) AS v FROM l2 GROUP BY ws, origin_airport_id
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY origin_airport_id, ws ORDER BY load_id DESC, v DESC) AS rn
+  FROM loads
+),
+current AS (SELECT origin_airport_id, ws, v FROM ranked WHERE rn = 1)
+SELECT origin_airport_id, max(ws) AS "timestamp",
+       (round(arg_max(v, ws), 6) + 0.0) AS average_departure_delay
+FROM current GROUP BY origin_airport_id""",
+
     "latest_features": _AW + """
 SELECT origin_airport_id, max(window_start) AS window_start,
        arg_max(average_departure_delay, window_start) AS average_departure_delay
