@@ -63,7 +63,7 @@ def run_hash(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
     return mix((sums[end] - sums[start]) * powers(len(sums))[1][start])
 
 
-def string_slices(column, max_bytes: int = SLICE_BYTES):
+def string_slices(column, max_bytes: int = SLICE_BYTES, max_rows: int = 1 << 16):
     """Cut an Arrow string column into slices of whole texts of about
     ``max_bytes``: yields (first row, bytes, offsets). A null is empty."""
     import pyarrow as pa
@@ -78,7 +78,7 @@ def string_slices(column, max_bytes: int = SLICE_BYTES):
     first = 0
     while first < len(column):
         last = int(np.searchsorted(off, off[first] + max_bytes, side="right")) - 1
-        last = min(max(last, first + 1), len(column))
+        last = min(max(last, first + 1), first + max_rows, len(column))
         yield first, data[off[first]:off[last]], off[first:last + 1] - off[first]
         first = last
 
