@@ -1,0 +1,109 @@
+import gzip
+import hashlib
+import random
+
+import pytest
+
+from aerofeat.llm import warc
+
+SF001 = "/root/testdata/sf0.001"
+
+
+def brute(pages):
+    holder = {}
+    for i, html in pages:
+        raw = (html or "").encode()
+        if len(raw) >= 1000 and i is not None:
+            holder[raw] = max(holder.get(raw, i), i)
+    out = []
+    for i, html in pages:
+        raw = (html or "").encode()
+        h = holder.get(raw)
+        again = h is not None and h != i
+        out.append((i, len(raw), hashlib.sha1(raw).hexdigest(), "revisit" if again else "response", h if again else None))
+    return sorted(out, key=str)
+
+
+def round_trip(spark, df, path, **params):
+    warc.write_archives(df, path, **params)
+    rows = warc.read_archives(spark, path)
+    assert rows.filter("kind = 'gap'").count() == 0
+    return sorted((tuple(r) for r in warc.pages_of(rows).collect()), key=str)
+
+
+def test_round_trip(spark, tmpdir_path):
+    big, other = "<p>é漢</p>\r\n\r\nWARC/1.0\r\n" * 80, "y" * 1000
+    pages = [(1, big), (7, big), (3, big), (4, other), (5, other[:-1]), (6, other[:-1]), (8, None), (9, ""), (None, other),
+             (10, "x" * 300_000), (4, other), (11, "\x1f\x8b")]
+    df = spark.createDataFrame([(i, f"http://a/{i}\r\nX: 1", h, 0) for i, h in pages], "page_id long, url string, html string, digest int")
+    assert round_trip(spark, df, tmpdir_path + "/a", records_per_file=3) == brute(pages)
+    assert warc.records(df.limit(0)).count() == 0
+
+
+def test_given_pages(spark, tmpdir_path):
+    df = spark.read.parquet(f"{SF001}/pages.parquet")
+    pages = [(r.page_id, r.html) for r in df.collect()]
+    assert round_trip(spark, df.unionByName(df.limit(5).selectExpr("page_id + 100000 as page_id", "url", "html")), tmpdir_path + "/b") \
+        == brute(pages + [(i + 100000, h) for i, h in pages[:5]])
+
+
+def archive(n, rnd):
+    out = []
+    for i in range(n):
+        body = bytes(rnd.randrange(256) for _ in range(rnd.randrange(400)))
+        head = (f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:"
+                f"{hashlib.sha1(body).hexdigest()}\r\nContent-Length: {len(body)}\r\n\r\n").encode()
+        out.append((head + body + b"\r\n\r\n", body))
+    return out
+
+
+@pytest.mark.parametrize("zipped", [False, True])
+def test_salvage_after_damage(zipped):
+    rnd = random.Random(8)
+    for case in range(60):
+        made = archive(8, rnd)
+        members = [gzip.compress(r) if zipped else r for r, _ in made]
+        at, starts = 0, []
+        for m in members:
+            starts.append(at)
+            at += len(m)
+        data = bytearray(b"".join(members))
+        hurt = set()
+        for _ in range(rnd.randrange(3)):
+            i = rnd.randrange(8)
+            kind = rnd.randrange(3)
+            p = starts[i] + rnd.randrange(len(members[i]))
+            if kind == 0:
+                data[p] ^= 0x55
+                hurt.add(i)
+            elif kind == 1 and i == 7:
+                del data[p:]
+                hurt.add(7)
+        parts = list(warc.salvage(bytes(data)))
+        got = [p[4] for p in parts if p[0] == "record"]
+        for i in range(8):                      # every record that was not hurt is found
+            if i not in hurt:
+                assert made[i][1] in got
+        assert all(g in [b for _, b in made] for g in got)      # and nothing that was never written
+        spans = sorted({(p[1], p[2]) for p in parts})
+        assert [s for s, _ in spans] == [0, *[e for _, e in spans[:-1]]][:len(spans)]
+        assert not data or spans[-1][1] == len(data)
+        if not hurt:
+            assert not any(p[0] == "gap" for p in parts)
+
+
+def test_gaps_and_records_of_damaged_files(spark, tmpdir_path):
+    import os
+    made = archive(3, random.Random(1))
+    whole = b"".join(r for r, _ in made)
+    os.makedirs(tmpdir_path + "/d")
+    with open(tmpdir_path + "/d/x.warc", "wb") as f:
+        f.write(b"junk" + whole[:-10])
+    with open(tmpdir_path + "/d/empty.warc", "wb"):
+        pass
+    rows = warc.read_archives(spark, tmpdir_path + "/d").collect()
+    assert [(r.kind, r.offset) for r in rows][0] == ("gap", 0)
+    assert sum(r.kind == "record" for r in rows) == 2 and rows[-1].kind == "gap" and rows[-1].end == len(whole) - 6
+    assert list(warc.salvage(b"")) == []
+    member = gzip.compress(whole)
+    assert [p[4] for p in warc.salvage(member)] == [b for _, b in made]
