@@ -19,8 +19,10 @@ region of its first shared pivot.
 Inside a region, fixed reference sets A (64ths of the shingle universe, by
 hash) bound the distance from below by the triangle inequality:
 sum over A of ||x & A| - |y & A|| <= |x ^ y|, and a linked pair has
-|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass are compared on
-their whole sets.
+|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass meet a sharper
+bound of the same kind, the number of reference sets (at least 2 |x|, smaller
+ones, a bit each) that hold an odd number of one and an even number of the
+other. Pairs that pass both are compared on their whole sets.
 
 Recursion. A document with more than ``partners`` near ones in a region is
 compared with its nearest first. Components of the links found split such a
@@ -107,6 +109,40 @@ def _needed(n, share):
     return -(-n * share[0] // share[1])
 
 
+def _odd(hashes: np.ndarray) -> bytes:
+    """A bit for each of 2**j >= 2n reference sets: whether it holds an odd
+    number of the n shingles. Folding the upper half onto the lower one by
+    exclusive or gives the bits of half as many sets."""
+    size = 64
+    while size < 2 * len(hashes):
+        size *= 2
+    odd = np.bincount(((hashes >> np.uint64(8)) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """Reference sets that are odd in one and even in the other."""
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(a) > len(b):
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    while len(b) > len(a):
+        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
+def _close(share):
+    """Pairs with both sides' size and bits → those that pass the bound."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            col = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
+            least = np.minimum(col["na"].to_numpy(), col["nb"].to_numpy()) * (share[1] - share[0]) // share[0]
+            ok = [_differ(x.as_py(), y.as_py()) <= m for x, y, m in zip(col["xa"], col["xb"], least)]
+            ok = np.array(ok, bool)
+            yield pa.RecordBatch.from_arrays([pa.array(col[c].to_numpy()[ok]) for c in ("a", "b")], names=["a", "b"])
+    return run
+
+
 def _features(k: int, share, common, common_rank):
     def run(batches):
         import pyarrow as pa
@@ -132,12 +168,13 @@ def _features(k: int, share, common, common_rank):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(n.astype(np.int64)), pa.array(sig[0].view(np.int64)),
                  pa.array(sig[1].view(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()),
+                 pa.array([_odd(g[b:e]) for b, e in zip(at[:-1], at[1:])], pa.binary()),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(cells.view(np.int64)))],
-                names=[KEY, "n", "sig1", "sig2", "parts", "cells"])
+                names=[KEY, "n", "sig1", "sig2", "parts", "odd", "cells"])
     return run
 
 
-FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, parts binary, cells array<long>"
+FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, parts binary, odd binary, cells array<long>"
 
 
 def _near(share, partners: int | None):
@@ -209,8 +246,10 @@ def _sets(k: int):
     return run
 
 
-def _linked(docs: DataFrame, pairs: DataFrame, k: int, share) -> DataFrame:
+def _linked(docs: DataFrame, feats: DataFrame, pairs: DataFrame, k: int, share) -> DataFrame:
     """Of candidate pairs (a, b), those whose whole sets are linked."""
+    side = lambda c: feats.select(F.col(KEY).alias(c), F.col("n").alias("n" + c), F.col("odd").alias("x" + c))
+    pairs = stage(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_close(share), "a long, b long"), "close")
     ids = pairs.select(F.explode(F.array("a", "b")).alias(KEY)).distinct()
     sets = docs.join(ids, KEY, "left_semi").mapInArrow(_sets(k), f"{KEY} long, shingles array<long>")
     both = pairs.join(sets.select(F.col(KEY).alias("a"), F.col("shingles").alias("x")), "a") \
@@ -247,7 +286,7 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     found = stage(members.repartition("cell").sortWithinPartitions("cell", "n", KEY)
                   .select("cell", KEY, "n", "parts").mapInArrow(_near(share, partners), PAIRS), "near")
     pairs = stage(found.filter("not open").select("a", "b").distinct(), "pairs")
-    links = stage(_linked(docs, pairs, k, share), "links")
+    links = stage(_linked(docs, feats, pairs, k, share), "links")
     labels = components(links)
     opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()
     if not opened.isEmpty():
@@ -260,7 +299,7 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
             .mapInArrow(_near(share, None), PAIRS)
         more = stage(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
         if not more.isEmpty():
-            labels = components(links.unionByName(_linked(docs, more, k, share)))
+            labels = components(links.unionByName(_linked(docs, feats, more, k, share)))
     ids = docs.select(KEY, "doc_id")
     of = feats.select(KEY, "n", "sig1", "sig2").join(classes, ["n", "sig1", "sig2"], "left") \
         .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left") \
