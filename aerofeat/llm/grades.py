@@ -21,7 +21,7 @@ from .text import (BYTE_CODE, LOWER, WORD_ALNUM, WORD_NONSPACE, mix, prefix_sums
                    word_runs)
 
 BUCKETS = 1 << 18
-TRAIN_DOCS = 6000       # labelled documents that the model is fitted on, about
+TRAIN_DOCS = 12000      # labelled documents that the model is fitted on, about
 STEPS = 250
 RATE = 0.05
 DECAY = 1e-4
@@ -85,14 +85,14 @@ class Model:
 def fit_model(grades: np.ndarray, buckets: list[np.ndarray], n_grades: int = GRADES, steps: int = STEPS,
               rate: float = RATE, decay: float = DECAY) -> Model:
     """Full-batch Adam on the mean negative log-likelihood. Thresholds are a
-    first one and logarithms of gaps, so they stay ordered; every grade weighs
-    alike."""
+    first one and logarithms of gaps, so they stay ordered; a grade weighs as the
+    root of its share."""
     size = np.array([len(b) for b in buckets])
     idx = np.concatenate(buckets) if len(buckets) else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(size)), size)
     scale = 1 / np.sqrt(np.maximum(size, 1))
     share = np.bincount(grades, minlength=n_grades) / max(1, len(grades))
-    weight = 1 / np.maximum(share, 1e-9)[grades] / max(1, len(grades)) / n_grades
+    weight = np.maximum(share, 1e-9)[grades] ** -0.5 / max(1, len(grades))
     w = np.zeros(BUCKETS)
     t = np.concatenate([[-1.0], np.zeros(n_grades - 2)])
     m, v = [np.zeros_like(w), np.zeros_like(t)], [np.zeros_like(w), np.zeros_like(t)]

@@ -16,13 +16,13 @@ first pivot that x shares with y is among its first
 document into the regions of so many pivots lets every linked pair meet in the
 region of its first shared pivot.
 
-Inside a region, fixed reference sets A (64ths of the shingle universe, by
-hash) bound the distance from below by the triangle inequality:
-sum over A of ||x & A| - |y & A|| <= |x ^ y|, and a linked pair has
-|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass meet a sharper
-bound of the same kind, the number of reference sets (at least 2 |x|, smaller
-ones, a bit each) that hold an odd number of one and an even number of the
-other. Pairs that pass both are compared on their whole sets.
+Inside a region, distances are bounded from below with reference sets that
+part the shingle universe (by hash): |x ^ y| is at least the number of reference
+sets A with |x & A| odd and |y & A| even or the other way round, since each
+shingle in one set alone changes one parity. A linked pair has
+|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass with about |x| / 2
+reference sets meet the same bound with at least 2 |x| of them, and those that
+pass again are compared on their whole sets.
 
 Recursion. A document with more than ``partners`` near ones in a region is
 compared with its nearest first. Components of the links found split such a
@@ -42,7 +42,6 @@ from .text import LOWER, WORD_NONSPACE, gram_hashes, mix, prefix_sums, run_hash,
 
 K = 3                   # words of a shingle
 SHARE = (90, 100)       # linked: share[1] * |x & y| >= share[0] * |x | y|
-PARTS = 32              # reference sets of the lower bound
 PARTNERS = 16           # near documents compared before the region is split
 COMMON_IN_SLICE = 3     # documents of one slice that make a shingle a candidate for "common"
 COMMON_SHINGLES = 1 << 16  # common shingles that are ordered by count; the others come first, by hash
@@ -120,13 +119,23 @@ def _odd(hashes: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
 
+def _folded(odd: bytes, size: int) -> bytes:
+    """The bits of ``size`` reference sets out of those of more."""
+    a = np.frombuffer(odd, np.uint64)
+    while 64 * len(a) > size:
+        a = a[:len(a) // 2] ^ a[len(a) // 2:]
+    return a.tobytes()
+
+
+def _few(n: int) -> int:
+    """Reference sets used inside regions for a set of n: a power of two near n / 2."""
+    return 1 << max(6, int(np.rint(np.log2(max(1, n) / 2))))
+
+
 def _differ(x: bytes, y: bytes) -> int:
     """Reference sets that are odd in one and even in the other."""
-    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    while len(a) > len(b):
-        a = a[:len(a) // 2] ^ a[len(a) // 2:]
-    while len(b) > len(a):
-        b = b[:len(b) // 2] ^ b[len(b) // 2:]
+    size = 8 * min(len(x), len(y))
+    a, b = (np.frombuffer(_folded(v, size), np.uint64) for v in (x, y))
     return int(np.bitwise_count(a ^ b).sum())
 
 
@@ -153,9 +162,7 @@ def _features(k: int, share, common, common_rank):
             if len(g):
                 sig[0, some] = np.add.reduceat(mix(g ^ np.uint64(0xA5A5A5A5)), at[some])
                 sig[1, some] = np.bitwise_xor.reduceat(mix(g ^ np.uint64(0x5BD1E995)), at[some])
-            part = (g >> np.uint64(40)) % np.uint64(PARTS)
-            parts = np.bincount(d * PARTS + part.astype(np.int64), minlength=len(n) * PARTS)
-            parts = np.minimum(parts, 65535).astype(np.uint16).reshape(len(n), PARTS)
+            odd = [_odd(g[b:e]) for b, e in zip(at[:-1], at[1:])]
             rank = np.zeros(len(g), np.int64)
             if len(common):
                 i = np.minimum(np.searchsorted(common, g), len(common) - 1)
@@ -167,48 +174,57 @@ def _features(k: int, share, common, common_rank):
             off = np.concatenate([[0], np.cumsum(np.bincount(d[take], minlength=len(n)))]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(n.astype(np.int64)), pa.array(sig[0].view(np.int64)),
-                 pa.array(sig[1].view(np.int64)), pa.array([p.tobytes() for p in parts], pa.binary()),
-                 pa.array([_odd(g[b:e]) for b, e in zip(at[:-1], at[1:])], pa.binary()),
+                 pa.array(sig[1].view(np.int64)), pa.array([_folded(x, _few(m)) for x, m in zip(odd, n)], pa.binary()),
+                 pa.array(odd, pa.binary()),
                  pa.ListArray.from_arrays(pa.array(off), pa.array(cells.view(np.int64)))],
-                names=[KEY, "n", "sig1", "sig2", "parts", "odd", "cells"])
+                names=[KEY, "n", "sig1", "sig2", "few", "odd", "cells"])
     return run
 
 
-FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, parts binary, odd binary, cells array<long>"
+FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, few binary, odd binary, cells array<long>"
 
 
 def _near(share, partners: int | None):
     """Rows sorted by (cell, n, key) → pairs that pass the lower bound. With
     ``partners``, the nearest so many for each document, and the documents
-    that have more (b null). Without, the pairs of open documents outside
+    that have more in a cell (``open``). Without, the pairs of open documents outside
     their component."""
+    def gaps(new: list[bytes], held: list[bytes]) -> np.ndarray:
+        size = 8 * min(map(len, new + held))
+        a, b = (np.frombuffer(b"".join(_folded(x, size) for x in v), np.uint64).reshape(len(v), -1) for v in (new, held))
+        out = np.empty((len(a), len(b)), np.int32)
+        step = max(1, (1 << 20) // max(1, a.size))
+        for c in range(0, len(b), step):
+            out[:, c:c + step] = np.bitwise_count(a[:, None] ^ b[None, c:c + step]).sum(2, dtype=np.int32)
+        return out
+
     def run(batches):
         import pyarrow as pa
-        cell, keys, ns, parts, comps = None, None, None, None, None   # members that may still be near
+        cell, keys, ns, few, comps = None, None, None, [], None   # members that may still be near
         for batch in batches:
             if not batch.num_rows:
                 continue
             col = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             bc, bk, bn = (col[c].to_numpy() for c in ("cell", KEY, "n"))
-            bp = np.frombuffer(b"".join(col["parts"].to_pylist()), np.uint16).reshape(len(bc), PARTS).astype(np.int32)
+            bf = col["few"].to_pylist()
             bm = col["component"].to_numpy() if partners is None else bk
             bo = col["open"].to_numpy(zero_copy_only=False) if partners is None else np.ones(len(bc), bool)
-            out_a, out_b, out_cell = [], [], []
+            out_a, out_b, out_cell, out_open = [], [], [], []
             edges = np.flatnonzero(np.append(True, bc[1:] != bc[:-1]))
             for s, e in zip(edges, np.append(edges[1:], len(bc))):
                 if cell != bc[s]:
                     cell = bc[s]
-                    keys, ns, parts, comps = bk[:0], bn[:0], bp[:0], bm[:0]
+                    keys, ns, few, comps = bk[:0], bn[:0], [], bm[:0]
                 for s2 in range(s, e, 128):
                     e2 = min(e, s2 + 128)
                     # members are ordered by size: those too small for this block are too small for the rest
                     fit = int(np.searchsorted(ns, _needed(bn[s2], share)))
-                    keys, ns, parts, comps = (np.concatenate([x[fit:], y[s2:e2]])
-                                              for x, y in ((keys, bk), (ns, bn), (parts, bp), (comps, bm)))
+                    keys, ns, comps = (np.concatenate([x[fit:], y[s2:e2]]) for x, y in ((keys, bk), (ns, bn), (comps, bm)))
+                    few = few[fit:] + bf[s2:e2]
+                    if len(keys) == 1 or partners is None and not bo[s2:e2].any():
+                        continue
                     new = np.arange(len(keys) - (e2 - s2), len(keys))
-                    gap = np.empty((len(new), len(keys)), np.int32)
-                    for c in range(0, len(keys), 1024):
-                        gap[:, c:c + 1024] = np.abs(parts[new][:, None] - parts[None, c:c + 1024]).sum(2)
+                    gap = gaps(bf[s2:e2], few)
                     ok = (gap <= ns[None] * (share[1] - share[0]) // share[0]) \
                         & (ns[None] >= _needed(ns[new], share)[:, None]) \
                         & (np.arange(len(keys))[None] < new[:, None])
@@ -219,17 +235,22 @@ def _near(share, partners: int | None):
                             j = np.flatnonzero(ok[i])
                             ok[i, j[np.argsort(gap[i, j], kind="stable")[partners:]]] = False
                             out_a.append(keys[new[i]][None])
-                            out_b.append(np.full(1, -1))
+                            out_b.append(keys[new[i]][None])
                             out_cell.append(np.full(1, cell))
+                            out_open.append(np.ones(1, bool))
                     i, j = np.nonzero(ok)
                     out_a.append(keys[new[i]])
                     out_b.append(keys[j])
                     out_cell.append(np.zeros(len(i), np.int64))
-            a, b, c = (np.concatenate(x) for x in (out_a, out_b, out_cell))
-            opened = b == -1
+                    out_open.append(np.zeros(len(i), bool))
+            if not out_a:
+                continue
+            # a pair may share several regions
+            rows = np.unique(np.stack([np.concatenate(x) for x in (out_a, out_b, out_cell, out_open)]), axis=1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a), pa.array(np.where(opened, a, b)), pa.array(c), pa.array(opened)],
+                [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2]), pa.array(rows[3].astype(bool))],
                 names=["a", "b", "cell", "open"])
+
     return run
 
 
@@ -282,9 +303,9 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     members = reps.select(F.explode("cells").alias("cell"), KEY, "n") \
         .withColumn("before", F.lag(KEY).over(region)).withColumn("after", F.lead(KEY).over(region)) \
         .filter("before is not null or after is not null").select("cell", KEY, "n")
-    members = stage(members.join(feats.select(KEY, "parts"), KEY), "members")
+    members = stage(members.join(feats.select(KEY, "few"), KEY), "members")
     found = stage(members.repartition("cell").sortWithinPartitions("cell", "n", KEY)
-                  .select("cell", KEY, "n", "parts").mapInArrow(_near(share, partners), PAIRS), "near")
+                  .select("cell", KEY, "n", "few").mapInArrow(_near(share, partners), PAIRS), "near")
     pairs = stage(found.filter("not open").select("a", "b").distinct(), "pairs")
     links = stage(_linked(docs, feats, pairs, k, share), "links")
     labels = components(links)
@@ -293,7 +314,7 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
         again = members.join(opened.select("cell").distinct(), "cell", "left_semi") \
             .join(opened, [KEY, "cell"], "left") \
             .join(labels.withColumnRenamed("node", KEY), KEY, "left") \
-            .select("cell", KEY, "n", "parts", F.coalesce("component", KEY).alias("component"),
+            .select("cell", KEY, "n", "few", F.coalesce("component", KEY).alias("component"),
                     F.coalesce("open", F.lit(False)).alias("open"))
         more = again.repartition("cell").sortWithinPartitions("cell", "n", KEY) \
             .mapInArrow(_near(share, None), PAIRS)
@@ -305,6 +326,7 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
         .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left") \
         .select(KEY, F.col("n").alias("n_shingles"), F.coalesce("class_key", KEY).alias("class_key"),
                 F.coalesce("component", "class_key", KEY).alias("component")).join(ids, KEY)
-    least = of.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # keys are in the order of the ids
+    least = ids.select(F.col(KEY).alias("component"), F.col("doc_id").alias("component_id"))
     return of.join(least, "component").select(
         KEY, "doc_id", "n_shingles", "class_key", "component", "component_id")

@@ -25,7 +25,8 @@ Identifiers are 64-bit hashes; members share a bucket and a context, so an
 equality rests on 128 bits in step 2, and in step 3 on 64 bits of a 64-bit
 bucket.
 
-Skew: step 2 streams sorted rows (Spark's external sort) and holds one row,
+Skew: what repeats inside a slice of texts is settled there, before the
+shuffle. Step 2 streams sorted rows (Spark's external sort) and holds one row,
 whatever the size of a bucket. Step 3 holds the window identifiers of one
 bucket; buckets with over ``hot_classes`` classes are dealt out by window
 identifier and streamed as in step 2 instead.
@@ -93,25 +94,44 @@ def _signed(a: np.ndarray):
     return np.ascontiguousarray(a).view(np.int64)
 
 
+def _settled_here(bucket, context, rank) -> np.ndarray:
+    """Members of one slice whose context an earlier one of it has. ``rank``
+    is the order of their documents; a document's members come in order."""
+    o = np.argsort(rank, kind="stable")
+    both = (bucket ^ mix(context))[o]
+    p = np.argsort(both, kind="stable")
+    settled = np.zeros(len(both), bool)
+    settled[o[p[1:]]] = both[p[1:]] == both[p[:-1]]
+    return settled
+
+
 def _suffix_rows(length: int, q: int):
+    """Texts → their kept suffixes. Members that are settled inside the slice
+    (a text or line repeated there) have their span inverted and are dealt out
+    at random, so that a bucket gets one row of a slice for each context."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for first, buf, off in string_slices(batch.column(1)):
                 bucket, context, text, at, n = kept_suffixes(buf, off, length, q)
-                if len(bucket):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(_signed(bucket)), pa.array(_signed(context)),
-                         pa.array(keys[first + text]), pa.array((at << SPAN_BITS) + n)],
-                        names=["bucket", "context", KEY, "span"])
+                if not len(bucket):
+                    continue
+                rank = np.argsort(np.argsort(keys[first:first + len(off) - 1], kind="stable")).astype(np.uint16)
+                settled = _settled_here(bucket, context, rank[text])
+                span = (at << SPAN_BITS) + n
+                bucket[settled] = mix(bucket[settled] ^ mix((keys[first + text[settled]] ^ span[settled]).view(np.uint64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(_signed(bucket)), pa.array(_signed(context)),
+                     pa.array(keys[first + text]), pa.array(np.where(settled, ~span, span))],
+                    names=["bucket", "context", KEY, "span"])
     return run
 
 
 def _settle(batches):
     """Rows sorted by (bucket, context, key, span): settled members (their
-    context stood before) as kind 0; first members of a class in a bucket of
-    several classes as kind 1. Holds back one row."""
+    context stood before, here or in their slice) as kind 0; first members of
+    a class in a bucket of several classes as kind 1. Holds back one row."""
     import pyarrow as pa
     held = None       # the last row, while it may yet be the only class of its bucket
     last = (None, None)
@@ -125,6 +145,12 @@ def _settle(batches):
         if not batch.num_rows:
             continue
         b, c, k, s = (batch.column(i).to_numpy() for i in range(4))
+        done = s < 0
+        if done.any():
+            yield rows(b[done], k[done], ~s[done], np.zeros(int(done.sum())))
+            b, c, k, s = b[~done], c[~done], k[~done], s[~done]
+            if not len(b):
+                continue
         same_b = np.empty(len(b), bool)
         same_c = np.empty(len(b), bool)
         same_b[1:] = b[1:] == b[:-1]

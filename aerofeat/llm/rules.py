@@ -134,6 +134,8 @@ def decision_list(rules: list[list[Condition]]) -> Column:
 def _grow(rows: DataFrame, cuts: dict[str, list[float]], rule: list[Condition]) -> Condition | None:
     """The condition with the largest FOIL gain among rows the rule covers."""
     names = [f for f in cuts if cuts[f]]
+    if not names:
+        return None
     bins = [F.struct(F.lit(i).alias("f"), sum(((_value(f) > c).cast("int") for c in cuts[f]), F.lit(0)).alias("b"))
             for i, f in enumerate(names)]
     counts = rows.filter(_all(rule)).select("bad", F.explode(F.array(*bins)).alias("x")).filter("x.b is not null") \
