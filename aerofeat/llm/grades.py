@@ -5,8 +5,8 @@ sigmoid(w . x - theta_k), with one weight vector shared by all grades and
 ordered thresholds theta_0 < theta_1 < ... It gives an expected grade and, for
 selection, the probability of the top grade.
 
-x marks the distinct hashed features of a whole text, over the root of their
-number: lower-cased words, the shapes of the last four characters of
+x marks the distinct hashed features of a whole text, over the fourth root of
+their number: lower-cased words, the shapes of the last four characters of
 white-space-separated tokens, and how varied the words are.
 """
 
@@ -24,7 +24,8 @@ BUCKETS = 1 << 18
 TRAIN_DOCS = 12000      # labelled documents that the model is fitted on, about
 STEPS = 250
 RATE = 0.05
-DECAY = 1e-4
+DECAY = 1e-3
+DAMP = 0.25             # a text's features count as their number to the power -DAMP
 TAIL = 0.5              # selected: probability of the top grade from here on
 GRADES = 3              # 0 toxic, 1 poor, 2 good
 
@@ -78,7 +79,7 @@ class Model:
     def tails(self, text: np.ndarray, bucket: np.ndarray, n: int) -> np.ndarray:
         """P(grade > k) for each text and threshold."""
         size = np.bincount(text, minlength=n)
-        z = np.bincount(text, weights=self.weights[bucket], minlength=n) / np.sqrt(np.maximum(size, 1))
+        z = np.bincount(text, weights=self.weights[bucket], minlength=n) * np.maximum(size, 1.0) ** -DAMP
         return _sigmoid(z[:, None] - self.thresholds[None])
 
 
@@ -90,7 +91,7 @@ def fit_model(grades: np.ndarray, buckets: list[np.ndarray], n_grades: int = GRA
     size = np.array([len(b) for b in buckets])
     idx = np.concatenate(buckets) if len(buckets) else np.zeros(0, np.int64)
     row = np.repeat(np.arange(len(size)), size)
-    scale = 1 / np.sqrt(np.maximum(size, 1))
+    scale = np.maximum(size, 1.0) ** -DAMP
     share = np.bincount(grades, minlength=n_grades) / max(1, len(grades))
     weight = np.maximum(share, 1e-9)[grades] ** -0.5 / max(1, len(grades))
     w = np.zeros(BUCKETS)
