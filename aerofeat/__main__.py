@@ -4,7 +4,7 @@
     batch    --input GLOB --output-airports P --output-flights P
              --output-read-instances P [--output-rejects P] [--format parquet] [--strict]
     train    --data GLOB --split-date 2020-05-20 [--model P] [--metrics P]
-             [--datasets P] [--eval-rows 1000]
+             [--datasets P] [--eval-rows N]
     monthly  --zips GLOB --out P [--sample P] [--sample-rows 5000]
 """
 
@@ -33,7 +33,7 @@ def _parser() -> argparse.ArgumentParser:
     t.add_argument("--model")
     t.add_argument("--metrics")
     t.add_argument("--datasets")
-    t.add_argument("--eval-rows", type=int, default=1000, help="0 = the whole test set")
+    t.add_argument("--eval-rows", type=int, help="only the first so many test rows (all by default)")
     m = sub.add_parser("monthly", help="zip archives → monthly raw table (+ sample)")
     m.add_argument("--zips", required=True)
     m.add_argument("--out", required=True)
@@ -53,7 +53,7 @@ def main(argv=None, spark: SparkSession | None = None) -> None:
                                 read_instance_files=args.read_instance_files)
     elif args.command == "train":
         jobs.run_training(spark, args.data, args.split_date, model_path=args.model,
-                          eval_rows=args.eval_rows or None, metrics_path=args.metrics,
+                          eval_rows=args.eval_rows, metrics_path=args.metrics,
                           datasets_path=args.datasets)
     elif args.command == "monthly":
         jobs.ingest_monthly(spark, args.zips, args.out, sample_dir=args.sample,

@@ -53,13 +53,24 @@ def sliding_mean(df: DataFrame, ts: str, keys: list[str], value: str, out: str,
             .agg(F.avg(value).alias(out))
         return g.select(F.col("w.start").alias("window_start"),
                         F.col("w.end").alias("window_end"), *keys, out)
-    n = size_s // slide_s
-    # 1) one pass over the rows: partial sums per (keys, slide bucket)
+    return window_means(slide_sums(df, ts, keys, value, slide), keys, out, size, slide)
+
+
+def slide_sums(df: DataFrame, ts: str, keys: list[str], value: str, slide: str = WINDOW_SLIDE) -> DataFrame:
+    """One pass over the rows: sum and count per (keys, slide bucket), as
+    ``keys, _b, _sum, _n``. Also the stream's aggregate."""
     v = F.col(value).cast("double")
-    buckets = (df.groupBy(*keys, F.window(ts, slide).start.alias("_b"))
-                 .agg(F.sum(v).alias("_sum"), F.count(v).alias("_n")))
-    # 2) each bucket belongs to the n windows starting at b, b-slide, …
-    k = F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_k")
+    return (df.groupBy(*keys, F.window(ts, slide).alias("_w"))
+              .agg(F.sum(v).alias("_sum"), F.count(v).alias("_n"))
+              .select(*keys, F.col("_w.start").alias("_b"), "_sum", "_n"))
+
+
+def window_means(buckets: DataFrame, keys: list[str], out: str, size: str = WINDOW_SIZE,
+                 slide: str = WINDOW_SLIDE) -> DataFrame:
+    """Each bucket belongs to the ``size / slide`` windows starting at b,
+    b - slide, …: fan the buckets out, add up and divide."""
+    size_s, slide_s = _seconds(size), _seconds(slide)
+    k = F.explode(F.sequence(F.lit(0), F.lit(size_s // slide_s - 1))).alias("_k")
     fanned = buckets.select(*keys, "_b", "_sum", "_n", k)
     start = F.col("_b") - F.make_dt_interval(secs=F.col("_k") * F.lit(slide_s))
     g = (fanned.groupBy(*keys, start.alias("window_start"))

@@ -9,7 +9,7 @@ threshold ``max score + 1`` is prepended; rates are divided by the totals.
 Distributed prefix sums: a running sum ordered by score over the whole data
 would put every distinct score into one task. Instead the distinct scores
 are cut into ``n_ranges`` score ranges (approximate quantiles, a bounded
-list), each range is summed (one row per range), the per-range offsets are a
+list of its own setting), each range is summed (one row per range), the per-range offsets are a
 running sum over those ``n_ranges`` rows, and the running sum inside each
 range is a window partitioned by range. Only the per-range table (size
 ``n_ranges``, fixed by the caller, not by the data) is broadcast. Neighbours
@@ -24,6 +24,10 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
+# --- fixed values -----------------------------------------------------------
+RANGES = 64        # score ranges of the prefix sums, whatever the shuffle's partitions
+# ---------------------------------------------------------------------------
+
 
 def _with_range(per: DataFrame, score: str, n_ranges: int) -> DataFrame:
     """Add the range id ``_r`` (ascending in score) from approximate
@@ -43,23 +47,24 @@ def _with_range(per: DataFrame, score: str, n_ranges: int) -> DataFrame:
 
 
 def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
-              drop_intermediate: bool = True, n_ranges: int | None = None,
+              drop_intermediate: bool = True, n_ranges: int = RANGES,
               stage: bool = True) -> DataFrame:
     """ROC points ``(threshold, fpr, tpr)`` of ``score`` against boolean
-    ``label``. Rows with a null or NaN score are not scored.
+    ``label``. A null or NaN score, or a null label, fails the job: a curve
+    over the other rows alone would look complete. Callers that mean to leave
+    such rows out filter them first.
 
-    ``n_ranges`` (default: ``spark.sql.shuffle.partitions``) sets how many
-    score ranges the prefix sum is split into. ``stage`` checkpoints the
+    ``n_ranges`` sets how many score ranges the prefix sum is split into; its
+    quantiles and its broadcast table are of that size. ``stage`` checkpoints the
     distinct-score table to the shared checkpoint folder so the quantile pass
     and the final pass read it once and see the same ranges.
     """
     spark = scored.sparkSession
-    if n_ranges is None:
-        n_ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = F.col(score).cast("double")
+    gap = s.isNull() | F.isnan(s) | F.col(label).isNull()
+    s = F.when(gap, F.raise_error(F.lit(f"row without {score} or {label}")).cast("double")).otherwise(s)
     pos = F.when(F.col(label), 1).otherwise(0).cast("long")
-    per = (scored.filter(s.isNotNull() & ~F.isnan(s) & F.col(label).isNotNull())
-                 .groupBy(s.alias(score))
+    per = (scored.groupBy(s.alias(score))
                  .agg(F.sum(pos).alias("_p"), F.sum(1 - pos).alias("_n")))
     if stage:
         checkpoint_dir(spark)
@@ -119,17 +124,17 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
     return origin.unionByName(rates)
 
 
-def confusion_matrix(df: DataFrame, actual: str = "target",
-                     predicted: str = "prediction") -> DataFrame:
-    """Always four rows ``(actual, predicted, n)`` for the 2×2 grid, zero
-    counts included. One partial aggregate (four counters) then a ``stack``:
-    no shuffle of rows, no join."""
+def confusion_matrix(df: DataFrame, actual: str = "target", predicted: str = "prediction",
+                     by: list[str] | None = None) -> DataFrame:
+    """Four rows ``(by..., actual, predicted, n)`` of the 2×2 grid, zero counts
+    included, for the whole table or each value of ``by`` (a day, a month). One
+    partial aggregate (four counters) then a ``stack``: no join."""
     a, p = F.col(actual), F.col(predicted)
     cells = [(False, False), (False, True), (True, False), (True, True)]
-    counts = df.agg(*[
+    counts = df.groupBy(*(by or [])).agg(*[
         F.count(F.when((a == F.lit(x)) & (p == F.lit(y)), 1)).alias(f"c{i}")
         for i, (x, y) in enumerate(cells)])
     stack = "stack(4, " + ", ".join(
         f"{str(x).lower()}, {str(y).lower()}, c{i}" for i, (x, y) in enumerate(cells)) \
         + ") as (actual, predicted, n)"
-    return counts.selectExpr(stack)
+    return counts.selectExpr(*(by or []), stack)

@@ -10,30 +10,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 # --- fixed values -----------------------------------------------------------
 LOAD_ID = "load_id"
-# Default time bucket of the as-of lookup, and the largest number of left
-# rows one (key, bucket) sort may hold before lookups are de-duplicated
-# first (see ``asof_join``).
-ASOF_BUCKET_SECONDS = 86400
-ASOF_MAX_GROUP_ROWS = 2_000_000
 # ---------------------------------------------------------------------------
 
 
 def upsert(rows: DataFrame, entity_id: str, feature_time: str, features: list[str],
            load_id: str = LOAD_ID) -> DataFrame:
     """Keep one row per (entity id, feature time): the one of the highest
-    load; equal loads are decided by the feature values, so the result never
-    depends on task order.
+    load; equal loads are decided by the feature values (nulls lowest), so the
+    result never depends on task order.
 
-    One ``max(struct(load, values…))`` aggregate: it combines map-side, so a
-    key repeated across many loads or rows (even a third of the table) is
-    reduced inside each task before the shuffle.
+    (Entity, time) keys are nearly unique, so combining before the shuffle
+    would sort every row and reduce nothing: one shuffle and one sort by key,
+    then the first row of each key. A key that repeats over many loads is
+    thinned inside each task first (Spark's group limit for a row number of 1).
     """
-    best = F.max(F.struct(F.col(load_id).alias("_load"),
-                          *[F.col(c).alias(c) for c in features])).alias("_best")
-    g = rows.groupBy(entity_id, feature_time).agg(best)
-    return g.select(entity_id, feature_time, *[F.col(f"_best.{c}").alias(c) for c in features])
+    order = [F.col(load_id).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in features]]
+    first = F.row_number().over(Window.partitionBy(entity_id, feature_time).orderBy(*order))
+    return rows.select(entity_id, feature_time, load_id, *features).withColumn("_n", first) \
+        .filter("_n = 1").select(entity_id, feature_time, *features)
 
 
 def latest_values(table: DataFrame, entity_id: str, feature_time: str,
@@ -47,101 +45,58 @@ def latest_values(table: DataFrame, entity_id: str, feature_time: str,
                     *[F.col(f"_best.{c}").alias(c) for c in features])
 
 
-def _bucket(ts, seconds: int):
-    micros = F.unix_micros(F.col(ts).cast("timestamp")) if isinstance(ts, str) else F.unix_micros(ts)
-    return F.floor(micros / F.lit(seconds * 1_000_000)).cast("long")
-
-
 def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
               left_time: str, right_time: str, values: list[str],
-              out_time: str | None = "feature_time",
-              bucket_seconds: int = ASOF_BUCKET_SECONDS,
-              max_group_rows: int = ASOF_MAX_GROUP_ROWS,
-              strategy: str = "auto") -> DataFrame:
+              out_time: str | None = "feature_time", n_ranges: int | None = None) -> DataFrame:
     """Left as-of join: each ``left`` row gets the ``values`` of the latest
     ``right`` row with the same key and ``right_time <= left_time`` (nulls
     when there is none). A right row whose values are null is still the
     latest row; its nulls are returned, not an older value. Equal right
-    times are decided by the values (max), so the result is deterministic.
-
-    Both strategies cut each key's timeline into buckets of
-    ``bucket_seconds``; no sort ever spans more than one bucket of one key,
-    so a hot key (say a third of all rows) is spread over its buckets, and
-    no pairs are formed:
-
-    * the latest right row of every earlier bucket of a key (``carry``) is
-      a running ``last(ignorenulls)`` over the small (key, bucket) table;
-    * inside a (key, bucket), lookups and right rows are sorted by time and
-      each lookup takes the running latest right row, else ``carry``.
-
-    ``rows``: the left rows themselves go through the bucketed sort (one
-    shuffle of ``left``). ``keys``: only the distinct (key, time) lookups
-    do, and the answers are joined back on (key, time). That collapses any
-    number of rows sharing a key and time, and bounds a sort by the distinct
-    times in one bucket; the join's right side is unique, so AQE can split a
-    skewed left side. ``auto`` counts left rows per (key, bucket) (one
-    map-side-combined aggregate; one number reaches the driver) and takes
-    ``rows`` when no bucket exceeds ``max_group_rows``.
-    """
+    times are decided by the values (max), so the result is deterministic. A
+    row with a null key or time matches nothing.
+
+    One plan for every size and skew: lookups and right rows (one per key and
+    time) are dealt into ``n_ranges`` ranges of (key, time, row), balanced by
+    Spark's sampling and written once. A hot key, or many lookups of one key and
+    time, thus spans several ranges. Inside a (range, key) each lookup takes
+    the running latest right row; a lookup with none there takes the latest of
+    the key's earlier ranges, a running ``last`` over one row per (key, range).
+    No sort spans more than a range, and no pairs are formed.
+    ``n_ranges`` is ``spark.sql.shuffle.partitions`` by default and changes
+    the balance only, never the result."""
+    spark = left.sparkSession
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     lk = [f"_k{i}" for i in range(len(left_on))]
+    present = " and ".join(f"{c} is not null" for c in [*lk, "_t"])
     pay = F.struct(F.col(right_time).alias("_ft"), *[F.col(v).alias(v) for v in values])
-    R = right.select(*[F.col(c).alias(k) for c, k in zip(right_on, lk)],
-                     F.col(right_time).alias("_t"), pay.alias("_v")) \
-        .filter(F.col("_t").isNotNull())
-    R = R.withColumn("_b", _bucket("_t", bucket_seconds))
-    vtype = R.schema["_v"].dataType
-    Lkeys = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)],
-                        F.col(left_time).alias("_t")).filter(F.col("_t").isNotNull()) \
-        .withColumn("_b", _bucket("_t", bucket_seconds))
-    group_rows = Lkeys.groupBy(*lk, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    if strategy == "auto":
-        biggest = group_rows.agg(F.max("_n")).first()[0] or 0
-        strategy = "rows" if biggest <= max_group_rows else "keys"
-
-    # carry-in: latest right row of the earlier buckets, for each bucket that
-    # holds a lookup. Lookup buckets sort before a right bucket with the same
-    # number, so they only see strictly earlier buckets.
-    rlast = R.groupBy(*lk, "_b").agg(F.max(F.struct("_t", "_v")).alias("_last"))
-    kb = group_rows.select(*lk, "_b", F.lit(0).alias("_kind"),
-                           F.lit(None).cast(rlast.schema["_last"].dataType).alias("_last")) \
-        .unionByName(rlast.select(*lk, "_b", F.lit(1).alias("_kind"), "_last"))
-    wb = Window.partitionBy(*lk).orderBy("_b", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    carry = kb.select(*lk, "_b", "_kind",
-                      F.last(F.col("_last._v"), ignorenulls=True).over(wb).alias("_carry")) \
-        .filter(F.col("_kind") == 0).drop("_kind")
-
-    wi = Window.partitionBy(*lk, "_b").orderBy("_t", "_kind", "_v") \
-        .rowsBetween(Window.unboundedPreceding, 0)
-    right_rows = R.select(*lk, "_b", "_t", F.lit(0).alias("_kind"), "_v")
-    if strategy == "rows":
-        row_type = left.select(F.struct(*left.columns).alias("_row")).schema["_row"].dataType
-        lrows = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)],
-                            F.col(left_time).alias("_t"), F.struct(*left.columns).alias("_row")) \
-            .withColumn("_b", _bucket("_t", bucket_seconds))
-        u = right_rows.withColumn("_row", F.lit(None).cast(row_type)).unionByName(
-            lrows.select(*lk, "_b", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(vtype).alias("_v"),
-                         "_row"))
-        inb = u.select(*lk, "_b", "_kind", "_row",
-                       F.last("_v", ignorenulls=True).over(wi).alias("_in")) \
-            .filter(F.col("_kind") == 1)
-        # a null lookup time has no bucket: no match, values null
-        out = inb.join(carry, [*lk, "_b"], "left") \
-            .select("_row", F.when(F.col("_b").isNotNull(), F.coalesce("_in", "_carry")).alias("_m"))
-        cols = [F.col(f"_row.{c}").alias(c) for c in left.columns]
-    elif strategy == "keys":
-        L = Lkeys.distinct()
-        u = right_rows.unionByName(
-            L.select(*lk, "_b", "_t", F.lit(1).alias("_kind"), F.lit(None).cast(vtype).alias("_v")))
-        inb = u.select(*lk, "_b", "_t", "_kind", F.last("_v", ignorenulls=True).over(wi).alias("_in")) \
-            .filter(F.col("_kind") == 1)
-        res = inb.join(carry, [*lk, "_b"], "left") \
-            .select(*lk, "_t", F.coalesce("_in", "_carry").alias("_m"))
-        out = left.join(res.select(*[F.col(k).alias(c) for k, c in zip(lk, left_on)],
-                                   F.col("_t").alias(left_time), "_m"),
-                        [*left_on, left_time], "left")
-        cols = [F.col(c) for c in left.columns]
-    else:
-        raise ValueError(f"unknown strategy {strategy!r}")
-    cols += ([F.col("_m._ft").alias(out_time)] if out_time else []) \
+    R = right.select(*[F.col(c).alias(k) for c, k in zip(right_on, lk)], F.col(right_time).alias("_t"),
+                     pay.alias("_v")).filter(present).groupBy(*lk, "_t").agg(F.max("_v").alias("_v"))
+    L = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)], F.col(left_time).alias("_t"),
+                    F.struct(*left.columns).alias("_row"))
+    row, pay_type = L.schema["_row"].dataType, R.schema["_v"].dataType
+    # the row number only spreads equal lookups over ranges
+    both = R.select(*lk, "_t", F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_salt"), "_v",
+                    F.lit(None).cast(row).alias("_row")) \
+        .unionByName(L.filter(present).select(
+            *lk, "_t", F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_salt"),
+            F.lit(None).cast(pay_type).alias("_v"), "_row"))
+    dealt = stage(stage(both, "asof").repartitionByRange(n, *lk, "_t", "_kind", "_salt")
+                  .withColumn("_range", F.spark_partition_id()), "asof_ranges")
+
+    ends = dealt.filter("_kind = 0").groupBy(*lk, "_range").agg(F.max(F.struct("_t", "_v")).alias("_last"))
+    spots = dealt.filter("_kind = 1").select(*lk, "_range").distinct()
+    steps = spots.select(*lk, "_range", F.lit(0).alias("_end"), F.lit(None).cast(ends.schema["_last"].dataType).alias("_last")) \
+        .unionByName(ends.select(*lk, "_range", F.lit(1).alias("_end"), "_last"))
+    earlier = Window.partitionBy(*lk).orderBy("_range", "_end").rowsBetween(Window.unboundedPreceding, 0)
+    carry = steps.withColumn("_carry", F.last("_last._v", ignorenulls=True).over(earlier)) \
+        .filter("_end = 0").select(*lk, "_range", "_carry")
+
+    so_far = Window.partitionBy(*lk, "_range").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
+    found = dealt.withColumn("_in", F.last("_v", ignorenulls=True).over(so_far)).filter("_kind = 1") \
+        .join(carry, [*lk, "_range"]).select("_row", F.coalesce("_in", "_carry").alias("_m"))
+    rest = L.filter(f"not ({present})").select("_row", F.lit(None).cast(pay_type).alias("_m"))
+    out = found.unionByName(rest)
+    cols = [F.col(f"_row.{c}").alias(c) for c in left.columns] \
+        + ([F.col("_m._ft").alias(out_time)] if out_time else []) \
         + [F.col(f"_m.{v}").alias(v) for v in values]
     return out.select(*cols)

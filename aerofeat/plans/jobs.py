@@ -7,6 +7,7 @@ plans run by Spark. Nothing here iterates over data on the driver.
 
 from __future__ import annotations
 
+import functools
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -14,12 +15,13 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import flight as ff
 from ..operators import evaluation, model, pit, training
 from ..operators.airport import airport_features
 from ..operators.instances import read_instances
 from ..operators.parse import split_parsed, stage_parse
 from ..schemas import AIRPORT_ENTITY_FEATURES, FLIGHT_ENTITY_FEATURES, TRAIN_SCHEMA
-from ..session import configure
+from ..session import configure, drop_paths, stage
 from ..sinks import writers
 from ..sources import csv as csvsrc
 from ..sources import zips
@@ -77,22 +79,28 @@ class TrainingResult(NamedTuple):
 
 
 def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_SPLIT_DATE,
-                 model_path: str | None = None, eval_rows: int | None = 1000,
+                 model_path: str | None = None, eval_rows: int | None = None,
                  metrics_path: str | None = None, order: list[str] | None = None,
-                 datasets_path: str | None = None) -> TrainingResult:
+                 datasets_path: str | None = None, keep: tuple = ()) -> TrainingResult:
     """By-name CSV (or DataFrame) → split by date → fit → evaluate on the
-    first ``eval_rows`` test rows in file order (``None``: all) → ROC points
-    and confusion matrix. For a DataFrame, ``order`` names the columns that
-    give file order; without it the whole test set is evaluated.
+    whole test set → ROC points and confusion matrix.
+
+    ``eval_rows`` asks for the first so many test rows in file order instead;
+    for a DataFrame ``order`` must then name the columns that give that order.
+    ``keep`` names columns to carry into ``scored``. The scored test set is
+    written once to the shared folder; the metrics read it from there.
     ``datasets_path`` also writes the train and test sets as CSV with a header
-    (no index column)."""
+    (no index column), and ``metrics_path`` the two metrics."""
     configure(spark)
     if isinstance(data, (str, list, tuple)):
         src = csvsrc.read_named_csv(spark, data, with_order=True)
-        keep = order = tuple(csvsrc.ORDER_COLUMNS)
+        order = list(csvsrc.ORDER_COLUMNS)
     else:
-        src, keep = data, tuple(order or ())
-    split = training.split_by_date(src, split_date, keep=keep)
+        src = data
+        if eval_rows is not None and not order:
+            raise ValueError("eval_rows of a DataFrame needs the order of its rows")
+    kept = tuple(dict.fromkeys([*keep, *(order or ())]))
+    split = training.split_by_date(src, split_date, keep=kept)
     if datasets_path:
         writers.write_csv(split.train.select(*TRAIN_SCHEMA.names), f"{datasets_path}/train")
         writers.write_csv(split.test.select(*TRAIN_SCHEMA.names), f"{datasets_path}/test")
@@ -100,9 +108,9 @@ def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_S
     if model_path:
         model.save_model(fitted, model_path)
     test = split.test
-    if eval_rows is not None and order:
+    if eval_rows is not None:
         test = csvsrc.first_n(test, eval_rows, order=[F.col(c) for c in order])
-    scored = model.score(fitted, test)
+    scored = stage(model.score(fitted, test), "scored")
     roc = evaluation.roc_curve(scored, "target", "probability")
     cm = evaluation.confusion_matrix(scored, "target", "prediction")
     if metrics_path:
@@ -111,43 +119,93 @@ def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_S
     return TrainingResult(fitted, scored, roc, cm)
 
 
+MONTH = ["file_year", "file_month"]
+FILES_PER_MONTH = 8     # files a month of raw rows is written into
+
+
+def _months(spark: SparkSession, zip_glob: str) -> list[tuple[int, int]]:
+    """The months of an archive listing (names only)."""
+    rows = zips.list_archives(spark, zip_glob).filter("name_ok").select(*MONTH).distinct().orderBy(*MONTH).collect()
+    return [tuple(r) for r in rows]
+
+
+def _of_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given months, as a filter that prunes partitions."""
+    match = F.lit(False)
+    for y, m in months:
+        match = match | ((F.col("file_year") == y) & (F.col("file_month") == m))
+    return df.filter(match)
+
+
 def ingest_monthly(spark: SparkSession, zip_glob: str, out_dir: str, sample_dir: str | None = None,
-                   sample_rows: int | None = 5000, fmt: str = "parquet",
-                   strict_names: bool = True) -> DataFrame:
+                   sample_rows: int | None = 5000, fmt: str = "parquet", strict_names: bool = True,
+                   files_per_month: int = FILES_PER_MONTH) -> DataFrame:
     """Monthly zip archives → raw rows partitioned by ``file_year`` /
-    ``file_month`` (only the months present are replaced), plus the first
-    ``sample_rows`` data rows of every month (file order)."""
+    ``file_month``, plus the first ``sample_rows`` data rows of each (file
+    order). Only the months of this load are replaced, read and sampled.
+    Header lines are known by their value, wherever they stand, and are not
+    stored; a month is written as ``files_per_month`` files at most."""
     configure(spark)
     lines = zips.read_zip_lines(spark, zip_glob, strict_names=strict_names)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    decoded = csvsrc.decode_lines(lines.repartition(n), keep=("file_year", "file_month", "line_no"))
-    writers.write_monthly(decoded, out_dir, "file_year", "file_month", fmt=fmt)
+    dealt = lines.withColumn("_part", F.pmod(F.xxhash64("path", "line_no"), F.lit(files_per_month))) \
+        .repartition(n, *MONTH, "_part")
+    rows = csvsrc.decode_lines(dealt, keep=(*MONTH, "line_no")).filter(~ff.is_header())
+    writers.write_monthly(rows, out_dir, *MONTH, fmt=fmt)
+    table = spark.read.format(fmt).load(out_dir)
     if sample_dir and sample_rows:
-        # line 0 is the header; the sample is the next sample_rows lines
-        monthly = spark.read.format(fmt).load(out_dir)
-        sample = monthly.filter((F.col("line_no") >= 1) & (F.col("line_no") <= sample_rows))
-        writers.write_monthly(sample, sample_dir, "file_year", "file_month", fmt=fmt)
-    return spark.read.format(fmt).load(out_dir)
+        # one ordered top-N for each month of the load: no month is sorted as a whole
+        firsts = [_of_months(table, [m]).orderBy("line_no").limit(sample_rows) for m in _months(spark, zip_glob)]
+        if firsts:
+            writers.write_monthly(functools.reduce(DataFrame.unionByName, firsts), sample_dir, *MONTH, fmt=fmt)
+    return table
 
 
 def ingest_features(df: DataFrame, table_path: str, entity_id: str, feature_time: str,
                     features: list[str], load_id: int, fmt: str = "parquet") -> None:
-    """Append one load (id, time, features) to a feature table."""
-    writers.append_load(df.select(entity_id, feature_time, *features), table_path, load_id, fmt)
+    """Append one load (id, time, features) to a feature table, partitioned
+    by feature date and load."""
+    writers.append_load(df.select(entity_id, feature_time, *features), table_path, load_id, fmt, feature_time)
 
 
 def read_feature_table(spark: SparkSession, table_path: str, entity_id: str, feature_time: str,
-                       features: list[str], fmt: str = "parquet") -> DataFrame:
-    """Current view of a feature table: one row per (id, time), latest load wins."""
-    return pit.upsert(spark.read.format(fmt).load(table_path), entity_id, feature_time, features)
+                       features: list[str], fmt: str = "parquet", since=None, until=None) -> DataFrame:
+    """Current view of a feature table: one row per (id, time), latest load
+    wins. ``since`` and ``until`` (dates, inclusive) prune the partitions that
+    are read."""
+    rows = spark.read.format(fmt).load(table_path)
+    if since is not None:
+        rows = rows.filter(F.col(writers.FEATURE_DATE) >= F.lit(since).cast("date"))
+    if until is not None:
+        rows = rows.filter(F.col(writers.FEATURE_DATE) <= F.lit(until).cast("date"))
+    return pit.upsert(rows, entity_id, feature_time, features)
+
+
+def compact_feature_table(spark: SparkSession, table_path: str, entity_id: str, feature_time: str,
+                          features: list[str], since, until, fmt: str = "parquet") -> None:
+    """Replace the loads of the days ``since``..``until`` by one: the rows
+    that win, under the highest load id of each day. The compacted days are
+    staged first; then they are written and only afterwards are their older
+    loads removed by overwriting them with nothing."""
+    rows = spark.read.format(fmt).load(table_path).filter(
+        F.col(writers.FEATURE_DATE).between(F.lit(since).cast("date"), F.lit(until).cast("date")))
+    last = rows.groupBy(writers.FEATURE_DATE).agg(F.max(pit.LOAD_ID).alias(pit.LOAD_ID))
+    won = pit.upsert(rows, entity_id, feature_time, features) \
+        .withColumn(writers.FEATURE_DATE, F.to_date(feature_time)).join(last, writers.FEATURE_DATE)
+    won = stage(won, "compacted")
+    old = [tuple(r) for r in rows.select(writers.FEATURE_DATE, pit.LOAD_ID).distinct()
+           .join(last.withColumnRenamed(pit.LOAD_ID, "_last"), writers.FEATURE_DATE)
+           .filter(F.col(pit.LOAD_ID) < F.col("_last")).select(writers.FEATURE_DATE, pit.LOAD_ID).collect()]
+    writers.write_partitions(won, table_path, [writers.FEATURE_DATE, pit.LOAD_ID], fmt)
+    drop_paths(spark, [f"{table_path}/{writers.FEATURE_DATE}={d}/{pit.LOAD_ID}={i}" for d, i in old])
 
 
 def latest_feature_values(spark: SparkSession, table_path: str, entity_id: str,
-                          feature_time: str, features: list[str], fmt: str = "parquet") -> DataFrame:
+                          feature_time: str, features: list[str], fmt: str = "parquet",
+                          since=None, until=None) -> DataFrame:
     """Online view of a feature table: per entity the values at its latest
-    feature time, after latest-load-wins. Two map-side-combined aggregates,
-    no window over a whole entity."""
-    current = read_feature_table(spark, table_path, entity_id, feature_time, features, fmt)
+    feature time, after latest-load-wins."""
+    current = read_feature_table(spark, table_path, entity_id, feature_time, features, fmt, since, until)
     return pit.latest_values(current, entity_id, feature_time, features)
 
 
@@ -162,38 +220,39 @@ def ingest_airport_features(airports: DataFrame, table_path: str, load_id: int)
 
 def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_dir: str,
                     split_date: str, model_path: str | None = None,
-                    eval_rows: int | None = 1000) -> TrainingResult:
-    """Load this month's archives (replacing only their partitions), retrain
-    on the whole table, and store the month's evaluation in the metrics
-    history under the load's year/month (a re-run replaces it)."""
+                    eval_rows: int | None = None) -> TrainingResult:
+    """Load this delivery's archives (replacing only their months), retrain on
+    the whole table, and store the evaluation of each loaded month, on all of
+    that month's test rows, in the metrics history (a re-run replaces it).
+    ``eval_rows`` asks for the first so many test rows of each month instead.
+    A month without test rows gets no metrics."""
     raw = ingest_monthly(spark, zip_glob, raw_dir)
-    # the load's month: one row from the archive listing (file metadata)
-    latest = zips.list_archives(spark, zip_glob).filter("name_ok") \
-        .agg(F.max(F.struct("file_year", "file_month")).alias("m")).first()["m"]
-    res = run_training(spark, raw, split_date, model_path=model_path, eval_rows=eval_rows,
-                       order=["file_year", "file_month", "line_no"])
-    for name, df in (("roc", res.roc), ("confusion", res.confusion)):
-        # the month's partition is replaced, so a re-run leaves one copy
-        tagged = df.select("*", F.lit(latest["file_year"]).alias("file_year"),
-                           F.lit(latest["file_month"]).alias("file_month"))
-        writers.write_monthly(tagged, f"{metrics_dir}/{name}", "file_year", "file_month")
-    return res
+    split = training.split_by_date(raw, split_date, keep=(*MONTH, "line_no"))
+    fitted = model.fit_model(split.train)
+    if model_path:
+        model.save_model(fitted, model_path)
+    months = _months(spark, zip_glob)
+    test = _of_months(split.test, months)
+    if eval_rows is not None:
+        test = functools.reduce(DataFrame.unionByName, [
+            _of_months(split.test, [m]).orderBy("line_no").limit(eval_rows) for m in months])
+    scored = stage(model.score(fitted, test), "scored")
+    confusion = evaluation.confusion_matrix(scored, "target", "prediction", by=MONTH)
+    writers.write_monthly(confusion, f"{metrics_dir}/confusion", *MONTH)
+    curves = []
+    for y, m in months:
+        curve = evaluation.roc_curve(_of_months(scored, [(y, m)]), "target", "probability")
+        curves.append(curve.select("*", F.lit(y).alias("file_year"), F.lit(m).alias("file_month")))
+    roc = functools.reduce(DataFrame.unionByName, curves)
+    writers.write_monthly(roc, f"{metrics_dir}/roc", *MONTH)
+    return TrainingResult(fitted, scored, roc, confusion)
 
 
 def daily_confusion(scored: DataFrame, date_col: str, actual: str = "target",
                     predicted: str = "prediction") -> DataFrame:
     """Confusion matrix per day of replayed requests: four rows per day
-    ``(date, actual, predicted, n)``. One partial aggregate keyed by day
-    (four counters), then a ``stack``; no join."""
-    a, p = F.col(actual), F.col(predicted)
-    cells = [(False, False), (False, True), (True, False), (True, True)]
-    counts = scored.groupBy(F.col(date_col).alias("date")).agg(*[
-        F.count(F.when((a == F.lit(x)) & (p == F.lit(y)), 1)).alias(f"c{i}")
-        for i, (x, y) in enumerate(cells)])
-    stack = "stack(4, " + ", ".join(
-        f"{str(x).lower()}, {str(y).lower()}, c{i}" for i, (x, y) in enumerate(cells)) \
-        + ") as (actual, predicted, n)"
-    return counts.selectExpr("date", stack)
+    ``(date, actual, predicted, n)``."""
+    return evaluation.confusion_matrix(scored.withColumn("date", F.col(date_col)), actual, predicted, by=["date"])
 
 
 def daily_model_evaluation(fitted: PipelineModel, requests: DataFrame, date_col: str,

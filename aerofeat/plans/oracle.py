@@ -138,6 +138,108 @@ imp AS (
   FROM train
 )"""
 
+# --- logistic regression by Newton's method, unrolled --------------------------
+# Standardised features x1..x3 and the constant x0 = 1; ridge 1/2 on the
+# weights, none on the constant. Each step is one pass of sums (gradient g,
+# Hessian h) and a 4x4 symmetric solve by L D L'.
+NEWTON_STEPS = 9
+_X = ["1.0", "x1", "x2", "x3"]
+
+
+def _newton_step(k: int) -> str:
+    z = " + ".join(f"b{i} * {x}" for i, x in enumerate(_X))
+    g = ", ".join(f"sum((p - y) * {x}) AS s{i}" for i, x in enumerate(_X))
+    h = ", ".join(f"sum(p * (1 - p) * {_X[i]} * {_X[j]}) AS r{i}{j}" for i in range(4) for j in range(i + 1))
+    ridge = lambda i: 1 if i else 0
+    parts = [f"""
+t{k} AS MATERIALIZED (SELECT b0, b1, b2, b3, {g}, {h} FROM (
+  SELECT *, 1 / (1 + exp(-({z}))) AS p FROM std, w{k - 1}) GROUP BY b0, b1, b2, b3)""", f"""
+h{k} AS (SELECT b0, b1, b2, b3, {", ".join(f"s{i} + {ridge(i)} * b{i} AS g{i}" for i in range(4))},
+  {", ".join(f"r{i}{j} + {ridge(i) if i == j else 0} AS h{i}{j}" for i in range(4) for j in range(i + 1))} FROM t{k})"""]
+    prev, carry = f"h{k}", "*"
+    for j in range(4):          # column j of L, and d_j
+        d = f"h{j}{j}" + "".join(f" - l{j}{m} * l{j}{m} * d{m}" for m in range(j))
+        parts.append(f"\nd{k}_{j} AS (SELECT {carry}, {d} AS d{j} FROM {prev})")
+        cols = ", ".join(f"(h{i}{j}" + "".join(f" - l{i}{m} * l{j}{m} * d{m}" for m in range(j)) + f") / d{j} AS l{i}{j}"
+                         for i in range(j + 1, 4))
+        prev = f"d{k}_{j}"
+        if cols:
+            parts.append(f"\nl{k}_{j} AS (SELECT *, {cols} FROM {prev})")
+            prev = f"l{k}_{j}"
+    for i in range(4):          # forward
+        parts.append(f"\nf{k}_{i} AS (SELECT *, g{i}" + "".join(f" - l{i}{m} * f{m}" for m in range(i)) + f" AS f{i} FROM {prev})")
+        prev = f"f{k}_{i}"
+    for i in (3, 2, 1, 0):      # backward
+        parts.append(f"\nu{k}_{i} AS (SELECT *, f{i} / d{i}" + "".join(f" - l{m}{i} * u{m}" for m in range(i + 1, 4))
+                     + f" AS u{i} FROM {prev})")
+        prev = f"u{k}_{i}"
+    parts.append(f"\nw{k} AS MATERIALIZED (SELECT {', '.join(f'b{i} - u{i} AS b{i}' for i in range(4))} FROM {prev})")
+    return ",".join(parts)
+
+
+def _filled(c: str, source: str) -> str:
+    return f"coalesce(CASE WHEN isnan({c}) THEN NULL ELSE {c} END, i.{c})" if source else ""
+
+
+_FEATURES = ["DepDelay", "TaxiOut", "Distance"]
+MODEL = """
+means AS MATERIALIZED (SELECT """ + ", ".join(
+    f"avg(CASE WHEN isnan({c}) THEN NULL ELSE {c} END) AS {c}" for c in _FEATURES) + """ FROM train),
+moments AS MATERIALIZED (SELECT """ + ", ".join(
+    f"avg(v{n}) AS m{n}, CASE WHEN stddev_pop(v{n}) > 0 THEN stddev_pop(v{n}) ELSE 1.0 END AS s{n}" for n in (1, 2, 3)) + """
+  FROM (SELECT """ + ", ".join(f"{_filled('t.' + c, 'i').replace('i.t.', 'i.')} AS v{n}" for n, c in enumerate(_FEATURES, 1)) + """
+        FROM train t, means i)),
+std AS MATERIALIZED (SELECT CASE WHEN target THEN 1.0 ELSE 0.0 END AS y, """ + ", ".join(
+    f"({_filled('t.' + c, 'i').replace('i.t.', 'i.')} - m{n}) / s{n} AS x{n}" for n, c in enumerate(_FEATURES, 1)) + """
+  FROM train t, means i, moments),
+w0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2, 0.0::DOUBLE AS b3),""" \
+    + ",".join(_newton_step(k) for k in range(1, NEWTON_STEPS + 1)) + """,
+scored AS MATERIALIZED (SELECT event_id, target, 1 / (1 + exp(-(b0 + """ + " + ".join(
+    f"b{n} * ({_filled('t.' + c, 'i').replace('i.t.', 'i.')} - m{n}) / s{n}" for n, c in enumerate(_FEATURES, 1)) + f"""))) AS p
+  FROM test t, means i, moments, w{NEWTON_STEPS})"""
+
+GRID = "(VALUES (false, false), (false, true), (true, false), (true, true)) g(actual, predicted)"
+
+
+def _roc(points: str) -> str:
+    """ROC points of a relation (score, target)."""
+    return f"""
+, s AS (SELECT score, sum(CASE WHEN target THEN 1 ELSE 0 END) AS p, sum(CASE WHEN target THEN 0 ELSE 1 END) AS n
+        FROM ({points}) GROUP BY score),
+c AS (SELECT score, sum(p) OVER w AS tps, sum(n) OVER w AS fps FROM s
+      WINDOW w AS (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+k AS (SELECT score, tps, fps, lag(tps) OVER o AS lt, lead(tps) OVER o AS nt, lag(fps) OVER o AS lf, lead(fps) OVER o AS nf
+      FROM c WINDOW o AS (ORDER BY score DESC)),
+tot AS (SELECT sum(p) AS P, sum(n) AS N, max(score) AS mx FROM s),
+roc AS (SELECT mx + 1 AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM tot WHERE mx IS NOT NULL
+  UNION ALL
+  SELECT score AS threshold, CAST(fps AS DOUBLE) / N AS fpr, CAST(tps AS DOUBLE) / P AS tpr FROM k, tot
+  WHERE lt IS NULL OR nt IS NULL OR nt - 2 * tps + lt <> 0 OR nf - 2 * fps + lf <> 0)"""
+
+
+_MODEL = _with(RAW_FLIGHTS, TRAIN, MODEL)
+_SCORES = "SELECT event_id, target, round(p, 4) + 0.0 AS probability, p > 0.5 AS prediction FROM scored"
+_CONFUSION = f"""
+SELECT g.actual, g.predicted, count(t.target) AS n FROM {GRID}
+LEFT JOIN scored t ON t.target = g.actual AND (t.p > 0.5) = g.predicted GROUP BY g.actual, g.predicted"""
+_INGESTED = """
+, loads AS (
+  SELECT 1 AS load_id, * FROM flights WHERE CAST("timestamp" AS DATE) < DATE '2024-01-20'
+  UNION ALL
+  SELECT 2 AS load_id, event_id, "timestamp", flight_number, origin_airport_id, is_cancelled,
+         departure_delay_minutes + 1, arrival_delay_minutes, taxi_out_minutes, distance_miles
+  FROM flights WHERE CAST("timestamp" AS DATE) >= DATE '2024-01-15'
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY flight_number, "timestamp"
+    ORDER BY load_id DESC, origin_airport_id DESC, is_cancelled DESC, departure_delay_minutes DESC,
+             arrival_delay_minutes DESC, taxi_out_minutes DESC, distance_miles DESC) AS rn
+  FROM loads
+)
+SELECT flight_number, "timestamp", origin_airport_id, is_cancelled, departure_delay_minutes,
+       arrival_delay_minutes, taxi_out_minutes, distance_miles
+FROM ranked WHERE rn = 1"""
+
 SQL = {
     "csv_decode": _RF + "SELECT event_id, " + ", ".join(
         f"nullif(\"{c}\", '') AS \"{c}\"" for c in _RAW_COLS) + " FROM raw_flights",
@@ -301,7 +403,55 @@ SELECT f.event_id, f.flight_number, f.origin_airport_id, f."timestamp",
 FROM flights f ASOF LEFT JOIN airport_means a
   ON f.origin_airport_id = a.origin_airport_id AND f."timestamp" >= a.window_end""",
 
-    "sink_roundtrip": _FL + f"SELECT {_FLIGHT_COLS} FROM flights",
+    "asof_skewed": _AW + """
+, f AS (SELECT event_id, CASE WHEN event_id % 11 = 0 THEN NULL WHEN event_id % 3 = 0 THEN '10000' ELSE origin_airport_id END
+          AS airport, "timestamp" FROM flights),
+a AS (SELECT CASE WHEN hour(window_start) % 13 = 0 THEN NULL ELSE origin_airport_id END AS airport, window_end,
+        average_departure_delay FROM airport_means)
+SELECT f.event_id, f.airport, f."timestamp", a.window_end AS feature_time, a.average_departure_delay
+FROM f ASOF LEFT JOIN a ON f.airport = a.airport AND f."timestamp" >= a.window_end""",
+
+    "model_fit_predict": _MODEL + _SCORES,
+
+    "model_saved_scores": _MODEL + _SCORES,
+
+    "model_roc": _MODEL + _roc("SELECT round(p, 4) + 0.0 AS score, target FROM scored") + "SELECT * FROM roc",
+
+    "model_confusion": _MODEL + _CONFUSION,
+
+    "training_job_confusion": _MODEL + _CONFUSION,
+
+    "training_job_roc": _MODEL + _roc("SELECT p AS score, target FROM scored") + """
+, pts AS (SELECT fpr, tpr, lag(fpr) OVER o AS f0, lag(tpr) OVER o AS t0 FROM roc WINDOW o AS (ORDER BY fpr, tpr))
+SELECT max(fpr) AS fpr_end, max(tpr) AS tpr_end, round(sum((fpr - f0) * (tpr + t0) / 2), 4) AS area FROM pts""",
+
+    "train_test_csv": _TR + """
+SELECT 'train' AS part, DepDelay, TaxiOut, Distance, target FROM train
+UNION ALL SELECT 'test' AS part, DepDelay, TaxiOut, Distance, target FROM test""",
+
+    # an empty field of a CSV file reads as null, and a null date is in neither set
+    "named_csv_training": _TR + "SELECT train.* FROM train JOIN raw_flights USING (event_id) WHERE FlightDate <> ''",
+
+    "batch_job_flights": _FL + "SELECT " + _FLIGHT_COLS.replace("event_id, ", "") + " FROM flights",
+
+    "batch_job_airports": _AW + """
+SELECT window_start AS "timestamp", origin_airport_id, average_departure_delay FROM airport_means""",
+
+    "batch_job_instances": _FL + """
+SELECT flight_number AS flight, origin_airport_id AS airport,
+       strftime("timestamp", '%Y-%m-%dT%H:%M:%SZ') AS "timestamp" FROM flights""",
+
+    "feature_table_flight": _FL + _INGESTED,
+
+    "feature_table_compacted": _FL + _INGESTED,
+
+    "delivery_evaluation": _TR + f"""
+, t AS (SELECT l.*, 2024 AS file_year, CASE WHEN l.FlightDate >= '2024-01-25' THEN 2 ELSE 1 END AS file_month
+        FROM labelled l JOIN raw_flights r USING (event_id) WHERE r."Year" <> 'Year' AND l.FlightDate >= '2024-01-20')
+SELECT m.file_year, m.file_month, g.actual, g.predicted, count(t.target) AS n
+FROM (SELECT DISTINCT file_year, file_month FROM t) m CROSS JOIN {GRID}
+LEFT JOIN t ON t.file_month = m.file_month AND t.target = g.actual AND coalesce(t.DepDelay > 15, false) = g.predicted
+GROUP BY ALL""",
 
     "daily_confusion": _TR + """
 , t AS (

@@ -38,13 +38,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the session settings the engine depends on to an existing
-    session (the time zone above all)."""
-    for k, v in DEFAULT_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a running session: keep the cluster's value
-            pass
+    """Check the one setting results depend on: event times carry no zone, so
+    the session's must be UTC. It is set where it is not, and a session that
+    keeps another fails here. All other settings stay the caller's."""
+    if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        if spark.conf.get("spark.sql.session.timeZone") != "UTC":
+            raise RuntimeError("spark.sql.session.timeZone must be UTC")
     return spark
 
 
@@ -88,3 +88,26 @@ def stage(df, name: str = "stage", fmt: str = "parquet"):
     path = scratch_path(spark, name)
     df.write.mode("overwrite").format(fmt).save(path)
     return spark.read.format(fmt).load(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def is_file(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p) and fs.getFileStatus(p).isFile()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def drop_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders that this engine has written (a replaced partition, a
+    staged table whose reader is done), through the file system Spark uses."""
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)

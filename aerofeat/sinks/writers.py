@@ -8,14 +8,11 @@ is not on this class path).
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import AIRPORT_SCHEMA, FLIGHT_SCHEMA, READ_INSTANCE_COLUMNS, conform
-from ..session import scratch_path
 
 # --- fixed values -----------------------------------------------------------
 AVRO_NAMESPACE = "flight_delay_prediction"
@@ -24,35 +21,16 @@ AIRPORT_RECORD_NAME = "Airport"
 # ---------------------------------------------------------------------------
 
 
-def avro_schema_json(schema: T.StructType, name: str, namespace: str = AVRO_NAMESPACE) -> str:
-    """Avro record schema of a flat ``StructType`` (string, boolean, double,
-    timestamp as ``long``/``timestamp-micros``; nullable → union with null)."""
-    def avro_type(dt):
-        if isinstance(dt, T.StringType):
-            return "string"
-        if isinstance(dt, T.BooleanType):
-            return "boolean"
-        if isinstance(dt, T.DoubleType):
-            return "double"
-        if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-            return {"type": "long", "logicalType": "timestamp-micros"}
-        raise NotImplementedError(f"unsupported type: {dt}")
-    fields = []
-    for f in schema.fields:
-        t = avro_type(f.dataType)
-        fields.append({"name": f.name, "type": [t, "null"] if f.nullable else t})
-    return json.dumps({"namespace": namespace, "type": "record", "name": name, "fields": fields})
-
-
 def write_features(df: DataFrame, path: str, schema: T.StructType, record_name: str,
                    fmt: str = "parquet", mode: str = "overwrite") -> None:
     """Write feature rows with a fixed schema (``df.to`` fails on drift)."""
     out = conform(df, schema)
-    w = out.write.mode(mode).format(fmt)
-    if fmt == "avro":
+    if fmt == "avro":       # the writer derives the record schema from the columns
         out = out.select(*[F.col(f.name).cast("timestamp") if isinstance(f.dataType, T.TimestampNTZType)
                            else F.col(f.name) for f in schema.fields])
-        w = out.write.mode(mode).format(fmt).option("avroSchema", avro_schema_json(schema, record_name))
+    w = out.write.mode(mode).format(fmt)
+    if fmt == "avro":
+        w = w.option("recordName", record_name).option("recordNamespace", AVRO_NAMESPACE)
     w.save(path)
 
 
@@ -86,34 +64,37 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
+def write_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
+                     mode: str = "overwrite") -> None:
+    """Write a partitioned table; with dynamic partition overwrite only the
+    partitions present in ``df`` are replaced."""
+    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*by).format(fmt).save(path))
+
+
 def write_monthly(df: DataFrame, path: str, year: str = "year", month: str = "month",
                   fmt: str = "parquet", mode: str = "overwrite") -> None:
-    """``{path}/year=YYYY/month=M`` layout; with dynamic partition overwrite
-    only the months present in ``df`` are replaced (a monthly re-load)."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
-       .partitionBy(year, month).format(fmt).save(path))
+    """``{path}/year=YYYY/month=MM`` layout (the month with two digits; it
+    reads back as a number). Only the months present in ``df`` are replaced."""
+    write_partitions(df.withColumn(month, F.format_string("%02d", F.col(month).cast("int"))), path,
+                     [year, month], fmt, mode)
 
 
-def append_load(df: DataFrame, table_path: str, load_id: int, fmt: str = "parquet") -> None:
-    """Add one load of feature rows to a feature table as its ``load_id``
-    partition. Dynamic partition overwrite replaces only that partition, so
-    re-running a load after a failure does not duplicate it. The
-    latest-load-wins view is the upsert (``operators.pit.upsert``) over all
-    loads, applied on read."""
-    (df.withColumn("load_id", F.lit(int(load_id))).write.mode("overwrite")
-       .option("partitionOverwriteMode", "dynamic")
-       .partitionBy("load_id").format(fmt).save(table_path))
+FEATURE_DATE = "feature_date"
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+def append_load(df: DataFrame, table_path: str, load_id: int, fmt: str = "parquet",
+                feature_time: str = "timestamp") -> None:
+    """Add one load of feature rows to a feature table as its ``load_id``,
+    partitioned by feature date and load. Only this load's partitions of the
+    dates it holds are replaced, so re-running a load after a failure does not
+    duplicate it. The latest-load-wins view is the upsert
+    (``operators.pit.upsert``) over all loads, applied on read; a date range
+    prunes it."""
+    rows = df.withColumn(FEATURE_DATE, F.to_date(feature_time)).withColumn("load_id", F.lit(int(load_id)))
+    write_partitions(rows.repartition(FEATURE_DATE, F.pmod(F.xxhash64(*df.columns), F.lit(8))), table_path,
+                     [FEATURE_DATE, "load_id"], fmt)
 
 
-# K1-K4, K12 round trip: flights written to the shared scratch folder and
-# read back (the driver's oracle is the flight_records SQL)
-def q_sink_roundtrip(spark, sf):
-    from ..plans.catalog import _flights
-    fl = _flights(spark, sf)
-    path = scratch_path(spark, "flights")
-    fl.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return spark.read.format(fmt).load(path)

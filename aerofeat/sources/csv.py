@@ -8,7 +8,9 @@ prunes the CSV ``ReadSchema``), and simple filters are pushed into the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import functools
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..schemas import RAW_COLUMNS, RAW_SCHEMA, TRAIN_SOURCE_COLUMNS
@@ -51,7 +53,8 @@ def decode_lines(lines: DataFrame, line_col: str = "value", keep: tuple = (),
     For lines that are already a column (a text scan, a Kafka value, a zip
     member). ``from_csv`` with options tokenises every field, so prefer
     :func:`read_raw_csv` for files. Blank lines are skipped, as the file reader
-    does.
+    does; with the field count (strict parsing) they stay, one empty field each,
+    and fail as any short line does.
     """
     from ..functions.flight import csv_field_count
 
@@ -60,7 +63,9 @@ def decode_lines(lines: DataFrame, line_col: str = "value", keep: tuple = (),
     cols = [F.col(k) for k in keep] + [rec.alias("_r")]
     if with_field_count:
         cols.append(csv_field_count(line).alias("_n_fields"))
-    out = lines.filter(F.length(F.trim(line)) > 0).select(*cols)
+    if not with_field_count:
+        lines = lines.filter(F.length(F.trim(line)) > 0)
+    out = lines.select(*cols)
     return out.select(*keep, "_r.*", *(["_n_fields"] if with_field_count else []))
 
 
@@ -75,23 +80,43 @@ def encode_lines(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return df.select(*keep, line.alias("value"))
 
 
+def header_groups(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: {column names: paths}. One job of one row for
+    each file (monthly files: hundreds, not millions)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    names = F.split(F.regexp_replace("value", "^\ufeff", ""), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for file in sorted(spark.read.text(paths).inputFiles()):
+        first = spark.read.text(file).select(names.alias("names")).first()
+        if first:                                   # an empty file has no rows either
+            groups.setdefault(tuple(n.strip().strip('"').replace('""', '"') for n in first["names"]), []).append(file)
+    return groups
+
+
 def read_named_csv(spark: SparkSession, path, columns=TRAIN_SOURCE_COLUMNS,
                    with_order: bool = False) -> DataFrame:
-    """By-name read of a CSV with a header row, keeping ``columns``.
-
-    The header decides which position each name has; every kept column is
-    read as a string and converted by the caller with ``try_cast``: explicit
-    and one pass, where type inference would need an extra scan and can give
-    different types for different months.
+    """By-name read of CSV files with a header row, keeping ``columns``.
+
+    The header of each file decides which position each name has: files may
+    order their columns differently or have more (an index column). Files of
+    one header are one scan, and the scans are united by name. Every kept column
+    is read as a string and converted by the caller with ``try_cast``:
+    explicit and one pass, where type inference would need an extra scan and
+    can give different types for different months.
     """
-    df = spark.read.options(**CSV_OPTIONS).option("header", True) \
-        .option("inferSchema", False).csv(path)
-    missing = [c for c in columns if c not in df.columns]
-    if missing:
-        raise ValueError(f"columns not in the CSV header: {missing}")
-    if with_order:
-        return df.select(*columns, *order_columns())
-    return df.select(*columns)
+    parts = []
+    for names, files in header_groups(spark, path).items():
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"columns not in the CSV header of {files[0]}: {missing}")
+        # names of columns that are not kept may repeat or be empty
+        fields = [f"`{n}` string" if n in columns else f"`_{i}` string" for i, n in enumerate(names)]
+        df = spark.read.options(**CSV_OPTIONS).option("header", True).option("enforceSchema", True) \
+            .schema(", ".join(fields)).csv(files)
+        parts.append(df.select(*columns, *order_columns()) if with_order else df.select(*columns))
+    if not parts:
+        raise ValueError(f"no CSV file at {path}")
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 ORDER_COLUMNS = ["_file", "_block", "_pos"]

@@ -30,46 +30,47 @@ LINE_BATCH = 20000
 LINES_SCHEMA = "path string, file_year int, file_month int, line_no long, value string"
 
 
-def _open(path: str):
-    """Open a file for reading on any Hadoop-style URI Arrow knows (local
-    ``file:`` paths without Arrow's help)."""
-    if path.startswith("file:"):
-        p = path[len("file:"):]
-        while p.startswith("//"):
-            p = p[1:]
-        return open(p, "rb")
-    if "://" not in path:
-        return open(path, "rb")
-    from pyarrow import fs
-    filesystem, p = fs.FileSystem.from_uri(path)
-    return filesystem.open_input_file(p)
-
-
-def _extract(batches):
-    for pdf in batches:
-        for path, year, month in zip(pdf["path"], pdf["file_year"], pdf["file_month"]):
-            with _open(path) as fh, zipfile.ZipFile(fh) as zf:
-                members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
-                if len(members) != 1:
-                    raise ValueError(f"{path}: expected exactly one .csv member, found {len(members)}")
-                with zf.open(members[0]) as raw:
-                    text = io.TextIOWrapper(raw, encoding="utf-8", errors="replace", newline="")
-                    buf, start = [], 0
-                    for line in text:
-                        buf.append(line.rstrip("\r\n"))
-                        if len(buf) >= LINE_BATCH:
-                            yield _batch(path, year, month, start, buf)
-                            start += len(buf)
-                            buf = []
-                    if buf:
-                        yield _batch(path, year, month, start, buf)
-
-
-def _batch(path, year, month, start, lines):
-    n = len(lines)
-    return pd.DataFrame({"path": [path] * n, "file_year": [int(year)] * n,
-                         "file_month": [int(month)] * n,
-                         "line_no": range(start, start + n), "value": lines})
+def _extractor(line_batch: int = LINE_BATCH):
+    """The task function, made inside a function so that workers get it by
+    value: they need not have this package installed."""
+    # Hadoop's names of schemes that Arrow knows by another
+    schemes = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+    def opened(path):
+        scheme, colon, rest = path.partition(":")
+        if not colon or scheme == "file":
+            return open("/" + rest.lstrip("/") if colon else path, "rb")
+        from pyarrow import fs
+        filesystem, p = fs.FileSystem.from_uri(f"{schemes.get(scheme, scheme)}:{rest}")
+        return filesystem.open_input_file(p)
+
+    def batch(path, year, month, start, lines):
+        n = len(lines)
+        return pd.DataFrame({"path": [path] * n, "file_year": [int(year)] * n,
+                             "file_month": [int(month)] * n,
+                             "line_no": range(start, start + n), "value": lines})
+
+    def extract(batches):
+        for pdf in batches:
+            for path, year, month in zip(pdf["path"], pdf["file_year"], pdf["file_month"]):
+                with opened(path) as fh, zipfile.ZipFile(fh) as zf:
+                    members = [m for m in zf.namelist() if m.lower().endswith(".csv")]
+                    if len(members) != 1:
+                        raise ValueError(f"{path}: expected exactly one .csv member, found {len(members)}")
+                    with zf.open(members[0]) as raw:
+                        # bytes that are not UTF-8 fail the load
+                        text = io.TextIOWrapper(raw, encoding="utf-8", newline="")
+                        buf, start = [], 0
+                        for line in text:
+                            buf.append(line.rstrip("\r\n"))
+                            if len(buf) >= line_batch:
+                                yield batch(path, year, month, start, buf)
+                                start += len(buf)
+                                buf = []
+                        if buf:
+                            yield batch(path, year, month, start, buf)
+
+    return extract
 
 
 def list_archives(spark: SparkSession, zip_glob: str) -> DataFrame:
@@ -97,4 +98,4 @@ def read_zip_lines(spark: SparkSession, zip_glob: str, strict_names: bool = True
     # round-robin: with no more archives than partitions, one archive per task
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     arch = arch.repartition(n)
-    return arch.mapInPandas(_extract, LINES_SCHEMA)
+    return arch.mapInPandas(_extractor(), LINES_SCHEMA)

@@ -39,6 +39,8 @@ def test_training_job_from_csv(spark, tmpdir_path):
         "Cancelled", "Diverted", "DepDelay", "TaxiOut", "Distance", "ArrDelay", "FlightDate")
     path = tmpdir_path + "/train_src"
     raw.coalesce(1).write.option("header", True).csv(path)
+    whole = run_training(spark, path, split_date="2024-01-20")
+    assert whole.scored.count() == whole.confusion.agg(F.sum("n")).first()[0] > 100
     res = run_training(spark, path, split_date="2024-01-20", model_path=tmpdir_path + "/m",
                        eval_rows=100, metrics_path=tmpdir_path + "/metrics",
                        datasets_path=tmpdir_path + "/sets")
@@ -61,6 +63,11 @@ def test_feature_table_loads(spark, tmpdir_path):
     ingest_features(fl.withColumn("departure_delay_minutes", F.lit(-1.0)), t, "flight_number",
                     "timestamp", ["departure_delay_minutes"], 2)
     assert spark.read.parquet(t).filter("load_id = 2").count() == fl.count()
+    day = read_feature_table(spark, t, "flight_number", "timestamp", ["departure_delay_minutes"], since="2024-01-05",
+                             until="2024-01-06")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(feature_date" in plan and plan.count("Sort [") <= 2
+    assert {r[0] for r in day.select(F.to_date("timestamp").cast("string")).distinct().collect()} == {"2024-01-05", "2024-01-06"}
     cur = read_feature_table(spark, t, "flight_number", "timestamp", ["departure_delay_minutes"])
     assert cur.count() == fl.select("flight_number", "timestamp").distinct().count()
     assert cur.filter(F.col("departure_delay_minutes") != -1.0).count() == 0
@@ -73,19 +80,6 @@ def test_daily_confusion(spark):
     assert len(got) == 8 and got[("d1", True, True)] == 1 and got[("d2", True, True)] == 0
 
 
-def test_avro_schema_contract():
-    import json
-    from aerofeat.schemas import AIRPORT_SCHEMA, FLIGHT_SCHEMA
-    from aerofeat.sinks.writers import avro_schema_json
-    f = json.loads(avro_schema_json(FLIGHT_SCHEMA, "Flight"))
-    assert f["namespace"] == "flight_delay_prediction" and f["name"] == "Flight"
-    assert f["fields"][0] == {"name": "timestamp",
-                              "type": [{"type": "long", "logicalType": "timestamp-micros"}, "null"]}
-    assert [x["type"] for x in f["fields"][1:]] == ["string", "string", "boolean"] + ["double"] * 4
-    a = json.loads(avro_schema_json(AIRPORT_SCHEMA, "Airport"))
-    assert [x["name"] for x in a["fields"]] == ["timestamp", "origin_airport_id", "average_departure_delay"]
-
-
 def test_conform_rejects_drift(spark):
     import pytest
     from pyspark.errors import PySparkException
@@ -177,3 +171,52 @@ def test_command_line(spark, tmpdir_path):
           "--output-flights", out + "/f", "--output-read-instances", out + "/i"], spark=spark)
     assert spark.read.parquet(out + "/f").count() == parse_flights(raw_flights(spark, SF001)).flights.count()
     assert spark.read.parquet(out + "/a").count() > 0
+
+
+def test_named_csv_of_unlike_headers(spark, tmpdir_path):
+    """Column orders that differ, an index column, a quoted header, an
+    empty file; a file that lacks a column raises."""
+    import pytest
+    cols = ["Cancelled", "Diverted", "DepDelay", "TaxiOut", "Distance", "ArrDelay", "FlightDate"]
+    files = {"a.csv": [",".join(cols), "0,0,1,2,3,4,2020-05-01"],
+             "b.csv": ["," + ",".join(cols[::-1]), '7,"2020-05-02",14,13,12,11,0,0'],
+             "c.csv": ['"FlightDate","a ""b"", c",' + ",".join(cols[:-1]), "2020-05-03,x,0,0,21,22,23,24"], "d.csv": []}
+    for name, lines in files.items():
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+    got = sorted(tuple(r) for r in csvsrc.read_named_csv(spark, tmpdir_path + "/*.csv", columns=cols[2:]).collect())
+    assert got == [("1", "2", "3", "4", "2020-05-01"), ("11", "12", "13", "14", "2020-05-02"), ("21", "22", "23", "24", "2020-05-03")]
+    with open(os.path.join(tmpdir_path, "e.csv"), "w") as f:
+        f.write("FlightDate\n2020-05-01\n")
+    with pytest.raises(ValueError):
+        csvsrc.read_named_csv(spark, tmpdir_path + "/*.csv", columns=cols)
+
+
+def test_eval_rows_need_an_order(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        run_training(spark, raw_flights(spark, SF001), split_date="2024-01-20", eval_rows=5)
+
+
+def test_roc_fails_on_a_missing_score(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from aerofeat.operators.evaluation import roc_curve
+    for bad in (None, float("nan")):
+        df = spark.createDataFrame([(True, 0.5), (False, bad)], "target boolean, score double")
+        with pytest.raises(PySparkException):
+            roc_curve(df).collect()
+
+
+def test_compaction_keeps_the_view(spark, tmpdir_path):
+    from aerofeat.plans.jobs import compact_feature_table
+    fl = parse_flights(raw_flights(spark, SF001)).flights
+    t, of = tmpdir_path + "/ft", ("flight_number", "timestamp", ["departure_delay_minutes"])
+    for i in (1, 2, 3):
+        ingest_features(fl.withColumn("departure_delay_minutes", F.col("departure_delay_minutes") + i), t, *of, i)
+    before = sorted(map(str, read_feature_table(spark, t, *of).collect()))
+    compact_feature_table(spark, t, *of, "2024-01-05", "2024-01-20")
+    loads = spark.read.parquet(t).groupBy("feature_date").agg(F.countDistinct("load_id").alias("n")) \
+        .select(F.col("feature_date").cast("string").alias("d"), "n").collect()
+    assert {r.n for r in loads if "2024-01-05" <= r.d <= "2024-01-20"} == {1} and {r.n for r in loads if r.d < "2024-01-05"} == {3}
+    assert sorted(map(str, read_feature_table(spark, t, *of).collect())) == before

@@ -40,7 +40,7 @@ def test_bucketed_window_has_no_row_expansion(spark):
 
 
 def test_roc_has_no_unpartitioned_window_over_scores(spark):
-    tr = catalog._split(spark, SF001).train
+    tr = catalog._split(spark, SF001).train.filter("DepDelay is not null")
     roc = roc_curve(tr, "target", "DepDelay", n_ranges=4)
     roc.collect()
     text = roc._jdf.queryExecution().executedPlan().toString()
@@ -51,7 +51,7 @@ def test_roc_has_no_unpartitioned_window_over_scores(spark):
     assert "BroadcastHashJoin" in text or "BroadcastExchange" in text
 
 
-def test_asof_windows_are_bucketed(spark):
+def test_asof_windows_are_ranged(spark):
     fl = catalog._flights(spark, SF001)
     feats = airport_windows(fl)
     j = asof_join(fl, feats, ["origin_airport_id"], ["origin_airport_id"], "timestamp",
@@ -59,12 +59,15 @@ def test_asof_windows_are_bucketed(spark):
     text = plan(j)
     parts = re.findall(r"Window \[.*?\], \[([^\]]*)\]", text)
     assert parts and all("_k0" in p for p in parts)
-    # the in-bucket window is keyed by (key, bucket), never by the key alone
-    assert any("_b" in p for p in parts)
+    # the window over lookups is keyed by (key, range), never by the key alone
+    assert any("_range" in p for p in parts)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    # the feature rows were computed once, before this plan: it reads written tables only
+    assert "window_end" not in "".join(re.findall(r"HashAggregate\(keys=\[[^\]]*", text))
 
 
-def test_upsert_combines_map_side(spark):
+def test_upsert_is_one_shuffle_and_one_key_sort(spark):
     fl = catalog._flights(spark, SF001).selectExpr("*", "1 AS load_id")
     text = plan(upsert(fl, "flight_number", "timestamp", ["departure_delay_minutes"]))
-    assert "partial_max" in text
+    assert text.count("Exchange hashpartitioning") == 1 and "Aggregate" not in text
+    assert "WindowGroupLimit" in text          # a repeated key is thinned before the shuffle
