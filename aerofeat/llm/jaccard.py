@@ -20,14 +20,15 @@ Inside a region, distances are bounded from below with reference sets that
 part the shingle universe (by hash): |x ^ y| is at least the number of reference
 sets A with |x & A| odd and |y & A| even or the other way round, since each
 shingle in one set alone changes one parity. A linked pair has
-|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass with about |x| / 2
-reference sets meet the same bound with at least 2 |x| of them, and those that
-pass again are compared on their whole sets.
+|x ^ y| <= (eps / (1 - eps)) min(|x|, |y|). Pairs that pass with few reference
+sets (about |x| / 2 of them for large sets) meet the same bound with at least
+2 |x|, and those that pass again are compared on their whole sets.
 
 Recursion. A document with more than ``partners`` near ones in a region is
 compared with its nearest first. Components of the links found split such a
-region, and each open document is then compared with all near ones outside
-its component: pairs inside a component cannot change the result.
+region, and each open document is then compared, under the sharper bound, with
+all near ones outside its component: pairs inside a component cannot change the
+result.
 """
 
 from __future__ import annotations
@@ -128,8 +129,10 @@ def _folded(odd: bytes, size: int) -> bytes:
 
 
 def _few(n: int) -> int:
-    """Reference sets used inside regions for a set of n: a power of two near n / 2."""
-    return 1 << max(6, int(np.rint(np.log2(max(1, n) / 2))))
+    """Reference sets used inside regions for a set of n: a power of two near
+    n / 2, but for small sets 2n, or 512, where that is more."""
+    near = 1 << max(6, int(np.rint(np.log2(max(1, n) / 2))))
+    return max(near, min(512, 1 << int(np.ceil(np.log2(max(32, n)))) + 1))
 
 
 def _differ(x: bytes, y: bytes) -> int:
@@ -311,8 +314,8 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     labels = components(links)
     opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()
     if not opened.isEmpty():
-        again = members.join(opened.select("cell").distinct(), "cell", "left_semi") \
-            .join(opened, [KEY, "cell"], "left") \
+        again = members.drop("few").join(opened.select("cell").distinct(), "cell", "left_semi") \
+            .join(opened, [KEY, "cell"], "left").join(feats.select(KEY, F.col("odd").alias("few")), KEY) \
             .join(labels.withColumnRenamed("node", KEY), KEY, "left") \
             .select("cell", KEY, "n", "few", F.coalesce("component", KEY).alias("component"),
                     F.coalesce("open", F.lit(False)).alias("open"))
