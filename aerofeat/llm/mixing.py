@@ -8,10 +8,13 @@ expected tokens of every domain meet target weights.
 2. A document of t tokens taken at rate r adds r * t * p to the domains'
    expected tokens. Projected-gradient least squares fits rates in
    [0, ``most``] whose sums meet target * total. With c_d the share of domain
-   d at rate 1, minimise sum_d (sum_i r_i t_i p_id / T - target_d)^2 / c_d by
-   r_i <- clip(r_i - sum_d p_id * miss_d / c_d, 0, most), from r_i = 1. In this
-   metric the curvature is at most 1, so the step is 1 and small domains
-   converge as fast as large ones.
+   d at rate 1, it minimises sum_d (sum_i r_i t_i p_id / T - target_d)^2 / c_d
+   from r_i = 1. The gradient for a document is sum_d p_id miss_d / c_d, so the
+   sum of all steps so far is one number for each domain, u_d, and the
+   projection of that sum onto the box is r_i = clip(1 - sum_d p_id u_d, 0,
+   most): a lazy projection. In this metric the curvature is at most 1, so the
+   step is 1; the steps are accelerated by momentum, which starts anew
+   whenever the objective rises.
 
 Every pass over documents is a DataFrame aggregate; the driver sees one number
 for each domain and pass (and the classifier's table of domains x buckets).
@@ -30,7 +33,7 @@ BUCKETS = 2048          # hashed words of the classifier
 TRAIN_DOCS = 20_000     # labelled documents the classifier is fitted on, about and at most
 SHARPNESS = 20.0        # words' worth of evidence in a text's mean log-likelihood
 MOST = 8.0              # largest rate
-ROUNDS = 40
+ROUNDS = 60
 TOLERANCE = 1e-4        # largest miss of a target share at which the fit ends
 DOMAINS = ("good", "poor", "toxic")
 TARGET = {"good": 0.8, "poor": 0.2, "toxic": 0.0}
@@ -98,26 +101,38 @@ def fit_rates(members: DataFrame, target: dict[str, float], most: float = MOST,
               tolerance: float = TOLERANCE) -> tuple[Column, list[list[float]]]:
     """The rate of each row of ``members`` (tokens, p_<domain>...) as one
     expression, and the expected shares after each round. A round is one
-    aggregate over ``members``; the residuals it leaves are literals in the
-    next round's expression, so the plan reads ``members`` alone."""
+    aggregate over ``members``, of one expression with a literal for each
+    domain; the best round's is returned."""
     p = [F.col(f"p_{d}") for d in target]
     weigh = sum(target.values())
     goal = [w / weigh for w in target.values()]
+
+    def rate(u: list[float]) -> Column:
+        move = sum((x * F.lit(v) for x, v in zip(p, u)), F.lit(0.0))
+        return F.least(F.greatest(F.lit(1.0) - move, F.lit(0.0)), F.lit(float(most)))
+
     first = members.agg(F.sum("tokens"), *[F.sum(F.col("tokens") * x) for x in p]).first()
     total = float(first[0] or 0)
     if not total:
         return F.lit(1.0), []
     scale = [total / x if x else 0.0 for x in first[1:]]
-    rate, shares = F.lit(1.0), []
+    u = before = [0.0] * len(p)          # where the gradient is taken; the last step's end
+    best, best_u, last, age, shares = math.inf, u, math.inf, 0, []
     for _ in range(rounds):
-        got = members.agg(*[F.sum(rate * F.col("tokens") * x) for x in p]).first()
+        got = members.agg(*[F.sum(rate(u) * F.col("tokens") * x) for x in p]).first()
         shares.append([float(x) / total for x in got])
         miss = [x - g for x, g in zip(shares[-1], goal)]
+        far = sum(c * m * m for c, m in zip(scale, miss))
+        if far < best:
+            best, best_u = far, u
         if max(map(abs, miss)) <= tolerance:
             break
-        move = sum((x * F.lit(c * m) for x, c, m in zip(p, scale, miss)), F.lit(0.0))
-        rate = F.least(F.greatest(rate - move, F.lit(0.0)), F.lit(float(most)))
-    return rate, shares
+        age = age + 1 if far <= last else 1
+        last = far
+        after = [x + c * m for x, c, m in zip(u, scale, miss)]
+        push = (age - 1) / (age + 2)
+        u, before = [x + push * (x - y) for x, y in zip(after, before)], after
+    return rate(best_u), shares
 
 
 def mix(documents: DataFrame, labels: DataFrame, key: str = "doc_id", target: dict[str, float] | None = None,

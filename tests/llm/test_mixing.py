@@ -8,18 +8,16 @@ SF01 = "/root/testdata/sf0.01"
 
 
 def projected_gradient(t, p, goal, most, rounds):
+    """Plain projected gradient, one step after the other."""
     total, r = t.sum(), np.ones(len(t))
     share = t @ p / total
     for _ in range(rounds):
-        miss = (r * t) @ p / total - goal
-        if abs(miss).max() <= mixing.TOLERANCE:
-            break
-        r = np.clip(r - p @ (miss / share), 0, most)
+        r = np.clip(r - p @ (((r * t) @ p / total - goal) / share), 0, most)
     return r
 
 
 @pytest.mark.parametrize("goal", [{"good": 0.5, "poor": 0.3, "toxic": 0.2}, {"good": 1, "poor": 0, "toxic": 0}])
-def test_rates_equal_brute_force_and_meet_targets(spark, goal):
+def test_rates_are_as_good_as_a_long_plain_fit(spark, goal):
     rnd = np.random.default_rng(1)
     t = rnd.integers(0, 1000, 400)
     p = rnd.dirichlet([0.3, 0.3, 0.3], 400)
@@ -27,13 +25,16 @@ def test_rates_equal_brute_force_and_meet_targets(spark, goal):
                                "k long, tokens long, p_good double, p_poor double, p_toxic double")
     rate, shares = mixing.fit_rates(df, goal)
     got = np.array([r[0] for r in df.orderBy("k").select(rate.alias("r")).collect()])
-    share = np.array([goal[d] for d in mixing.DOMAINS])
-    want = projected_gradient(t, p, share, mixing.MOST, mixing.ROUNDS)
-    assert np.allclose(got, want, atol=1e-6) and got.min() >= 0
+    share, c = np.array([goal[d] for d in mixing.DOMAINS]), t @ p / t.sum()
+    far = lambda r: (np.square((r * t) @ p / t.sum() - share) / c).sum()
+    # a target of zero is approached slowly: no document is wholly outside a domain
+    assert far(got) <= far(projected_gradient(t, p, share, mixing.MOST, 3000)) + (1e-6 if goal["poor"] else 5e-3)
+    assert far(got) < 0.01 * far(np.ones(len(t)))
+    assert got.min() >= 0 and got.max() <= mixing.MOST
     if goal["poor"]:
         assert np.abs((got * t) @ p / t.sum() - share).max() <= mixing.TOLERANCE
-    miss = [np.square(np.array(s) - share).sum() for s in shares]
-    assert miss[-1] <= miss[0]
+        assert np.allclose(got, np.clip(got, 0, mixing.MOST)) and len(shares) <= mixing.ROUNDS
+    assert np.allclose(shares[0], c)
 
 
 def test_given_documents(spark):
@@ -53,7 +54,7 @@ def test_given_documents(spark):
     c = t @ p / want
     far = lambda x: (np.square(np.array(x) - goal) / c).sum()
     best = (projected_gradient(t, p, goal, mixing.MOST, 5000) * t) @ p / want
-    assert far(got) <= 1.5 * far(best) + 1e-6 and far(got) < 0.1 * far(c)
+    assert far(got) <= far(best) + 1e-3 and np.abs(np.array(got) - goal).max() <= 0.005
 
 
 def test_missing_rows(spark):

@@ -73,7 +73,7 @@ def test_salvage_after_damage(zipped):
             i = rnd.randrange(8)
             kind = rnd.randrange(3)
             p = starts[i] + rnd.randrange(len(members[i]))
-            if kind == 0:
+            if kind == 0 and p < len(data):
                 data[p] ^= 0x55
                 hurt.add(i)
             elif kind == 1 and i == 7:
