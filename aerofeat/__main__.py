@@ -14,6 +14,8 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from .session import clean_scratch
+
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="aerofeat")
@@ -43,9 +45,16 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv=None, spark: SparkSession | None = None) -> None:
-    from .plans import jobs
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("aerofeat").getOrCreate()
+    try:
+        _run(spark, args)
+    finally:
+        clean_scratch(spark)      # the outputs are written; nothing reads the staged tables any more
+
+
+def _run(spark: SparkSession, args) -> None:
+    from .plans import jobs
     if args.command == "batch":
         jobs.run_batch_features(spark, args.input, args.output_airports, args.output_flights,
                                 args.output_read_instances, fmt=args.format, strict=args.strict,

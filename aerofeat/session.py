@@ -71,10 +71,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/aerofeat-scratch/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for staged tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/aerofeat-scratch/{uuid.uuid4().hex}/{name}"
+    return f"{_scratch(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove every staged table of this application, once the results read
+    from them are written (a job's caller knows; the command line does it)."""
+    drop_paths(spark, [_scratch(spark)])
 
 
 def stage(df, name: str = "stage", fmt: str = "parquet"):
