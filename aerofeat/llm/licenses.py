@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from .text import LOWER, WORD_ALNUM, string_slices, word_hashes
 
-SHARE = (80, 100)
+SHARE = (90, 100)       # of a template's words that a block must hold
 
 # --- fixed values: phrases and labels of the base scan, templates ------------
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}

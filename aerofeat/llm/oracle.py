@@ -3,7 +3,7 @@ a model (4, 5, 6, 7, 9) and are tested against brute force or held-out labels.""
 
 from __future__ import annotations
 
-from .licenses import PHRASES, TEMPLATES
+from .licenses import PHRASES, SHARE, TEMPLATES
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -60,7 +60,7 @@ blocks AS (SELECT DISTINCT doc_id, list_distinct({_alnum('block')}) AS bw
            FROM (SELECT doc_id, unnest(string_split(regexp_replace(text, '([.!?;])([ \t-\r])', '\1' || chr(10) || '\2', 'g'), chr(10))) AS block
                  FROM documents WHERE text IS NOT NULL)),
 found AS (SELECT doc_id, label, len(list_intersect(bw, tw)) / len(tw) AS share
-          FROM blocks, t WHERE list_has_any(bw, tw) AND 100 * len(list_intersect(bw, tw)) >= 80 * len(tw)),
+          FROM blocks, t WHERE list_has_any(bw, tw) AND {SHARE[1]} * len(list_intersect(bw, tw)) >= {SHARE[0]} * len(tw)),
 every AS (SELECT doc_id, label, share FROM found UNION ALL SELECT doc_id, label, 1.0 FROM places),
 al AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM every GROUP BY doc_id)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,

@@ -17,7 +17,7 @@ from aerofeat.llm import decontaminate, jaccard, langid, mixing, repeats
 from aerofeat.llm.keys import KEY, keyed, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-LEAST_SCORE = 0.4       # of a language that is accepted; an even guess among four scores 0.25
+LEAST_SCORE = 0.3       # of a language that is accepted; an even guess among four scores 0.25
 #: No SQL: the stages learn models and remove byte spans across documents.
 ORACLE_SQL = None
 

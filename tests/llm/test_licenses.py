@@ -13,7 +13,7 @@ def words(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
 
 
-def brute(text, share=0.8, templates=TEMPLATES):
+def brute(text, share=0.9, templates=TEMPLATES):
     w = words(text)
     places, base, labels, score = [], set(), set(), 0.0
     for p, label in PHRASES.items():
@@ -60,6 +60,8 @@ def test_equals_brute_force(spark, messy):
     df = spark.createDataFrame(messy, "doc_id long, text string").repartition(3)
     got = {r.doc_id: row(r) for r in scan_licenses(df).collect()}
     assert got == {d: brute(t) for d, t in messy}
+    loose = {r.doc_id: row(r) for r in scan_licenses(df, share=(60, 100)).collect()}
+    assert loose == {d: brute(t, 0.6) for d, t in messy} != got
     assert any("mit" in x[5] for x in got.values())
 
 
@@ -72,6 +74,6 @@ def test_given_documents(spark):
 def test_other_templates_and_empty_tables(spark):
     df = spark.createDataFrame([(1, "a b c d", "z"), (1, "a b c d", "z"), (None, "a b", "z")], "doc_id long, text string, labels string")
     t = {"t": ["a b c d e"], "none": ["!!"]}
-    got = sorted((str(r.doc_id), r.labels, r.score) for r in scan_licenses(df, t).collect())
+    got = sorted((str(r.doc_id), r.labels, r.score) for r in scan_licenses(df, t, share=(80, 100)).collect())
     assert got == [("1", "t", 0.8), ("1", "t", 0.8), ("None", "", 0.0)]
     assert scan_licenses(df, {}).count() == 3 and scan_licenses(df.limit(0)).count() == 0
