@@ -35,10 +35,10 @@ def summarise(df) -> dict:
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     only = sys.argv[2:]
-    import __spark_entry__ as E
+    from aerofeat.plans import catalog
     from aerofeat.session import local_session
     spark = local_session(8)
-    for name, fn in E.queries().items():
+    for name, fn in catalog.queries().items():
         if only and name not in only:
             continue
         s = summarise(fn(spark, sf))
