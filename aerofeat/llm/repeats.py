@@ -21,9 +21,9 @@ order to depth ``length`` matters here, so:
    is refined once more, on the identifiers of its single windows.
 4. Runs: windows found are merged per document, and covered bytes removed.
 
-Identifiers are 64-bit hashes; members share a bucket and a context, so an
-equality rests on 128 bits in step 2, and in step 3 on 64 bits of a 64-bit
-bucket.
+Identifiers are 64-bit hashes: an equality rests on bucket and context (128
+bits) in step 2, on 64 bits of both inside a slice, and on a window's 64 bits
+within a bucket in step 3.
 
 Skew: what repeats inside a slice of texts is settled there, before the
 shuffle. Step 2 streams sorted rows (Spark's external sort) and holds one row,
@@ -320,13 +320,13 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, q: int = Q,
         return docs.join(need, KEY).mapInArrow(
             _merged(_contexts(length)), f"bucket long, {KEY} long, lo long, bytes binary")
 
-    hot = open_marks.groupBy("bucket").count().filter(F.col("count") > hot_classes).select("bucket")
+    hot = stage(open_marks.groupBy("bucket").count().filter(F.col("count") > hot_classes).select("bucket"), "hot")
     rows = [marks.filter("kind = 0").select(KEY, "span")]
     if hot.isEmpty():
         small = contexts(open_marks)
-    else:  # at most (rows / hot_classes) identifiers
-        small = contexts(open_marks.join(F.broadcast(hot), "bucket", "left_anti"))
-        rows.append(contexts(open_marks.join(F.broadcast(hot), "bucket", "left_semi"))
+    else:
+        small = contexts(open_marks.join(hot, "bucket", "left_anti"))
+        rows.append(contexts(open_marks.join(hot, "bucket", "left_semi"))
                     .mapInArrow(_single_windows(length), f"window long, {KEY} long, lo long")
                     .repartition("window").sortWithinPartitions("window", KEY, "lo")
                     .mapInArrow(_repeated_windows, f"{KEY} long, span long"))
