@@ -71,6 +71,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
     pay = F.struct(F.col(right_time).alias("_ft"), *[F.col(v).alias(v) for v in values])
     R = right.select(*[F.col(c).alias(k) for c, k in zip(right_on, lk)], F.col(right_time).alias("_t"),
                      pay.alias("_v")).filter(present).groupBy(*lk, "_t").agg(F.max("_v").alias("_v"))
+    R = stage(R, "asof_right")     # read by the range sampling and by the shuffle
     L = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)], F.col(left_time).alias("_t"),
                     F.struct(*left.columns).alias("_row"))
     row, pay_type = L.schema["_row"].dataType, R.schema["_v"].dataType
@@ -80,7 +81,7 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: l
         .unionByName(L.filter(present).select(
             *lk, "_t", F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_salt"),
             F.lit(None).cast(pay_type).alias("_v"), "_row"))
-    dealt = stage(stage(both, "asof").repartitionByRange(n, *lk, "_t", "_kind", "_salt")
+    dealt = stage(both.repartitionByRange(n, *lk, "_t", "_kind", "_salt")
                   .withColumn("_range", F.spark_partition_id()), "asof_ranges")
 
     ends = dealt.filter("_kind = 0").groupBy(*lk, "_range").agg(F.max(F.struct("_t", "_v")).alias("_last"))

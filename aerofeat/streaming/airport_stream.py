@@ -89,9 +89,8 @@ def airport_means(hours: DataFrame, final: bool = False, size: str = WINDOW_SIZE
     that end by the end of the newest closed hour."""
     out = window_means(hours, KEYS, "average_departure_delay", size, slide)
     if final:
-        newest = hours.agg(F.max("_b").alias("_newest"))
-        out = out.crossJoin(F.broadcast(newest)).filter(      # one row
-            F.col("window_end") <= F.col("_newest") + F.expr(f"INTERVAL {slide}")).drop("_newest")
+        newest = hours.agg(F.max("_b")).first()[0]
+        out = out.filter(F.col("window_end") <= F.lit(newest).cast("timestamp") + F.expr(f"INTERVAL {slide}"))
     return out.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),
                       *KEYS, "average_departure_delay")
