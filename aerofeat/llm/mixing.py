@@ -3,8 +3,9 @@ expected tokens of every domain meet target weights.
 
 1. A classifier learnt from a labelled table gives each document posteriors
    p over the domains (a soft membership, since labels cover few documents):
-   multinomial naive Bayes over hashed words, in its mean log-likelihood per
-   word so that long texts do not saturate.
+   naive Bayes over those hashed words whose share differs most significantly
+   between the domains. Their log-ratios are summed over a text and divided by
+   the root of its number of words, so that long texts do not saturate.
 2. A document of t tokens taken at rate r adds r * t * p to the domains'
    expected tokens. Projected-gradient least squares fits rates in
    [0, ``most``] whose sums meet target * total. With c_d the share of domain
@@ -17,7 +18,7 @@ expected tokens of every domain meet target weights.
    whenever the objective rises.
 
 Every pass over documents is a DataFrame aggregate; the driver sees one number
-for each domain and pass (and the classifier's table of domains x buckets).
+for each domain and pass. The classifier is a table of ``WORDS`` rows at most.
 """
 
 from __future__ import annotations
@@ -29,14 +30,17 @@ from pyspark.sql import functions as F
 
 from .keys import stage
 
-BUCKETS = 2048          # hashed words of the classifier
+BUCKETS = 1 << 16       # hashed words that are counted
+WORDS = 4096            # of them in the classifier, at most
+SIGNIFICANT = 4.0       # standard deviations from the expected count that put a word there
+SMOOTH = 500.0          # words of the overall distribution added to each domain's counts
 TRAIN_DOCS = 20_000     # labelled documents the classifier is fitted on, about and at most
-SHARPNESS = 20.0        # words' worth of evidence in a text's mean log-likelihood
+SHARPNESS = 3.0         # weight of a text's summed log-ratios over the root of its words
 MOST = 8.0              # largest rate
 ROUNDS = 60
 TOLERANCE = 1e-4        # largest miss of a target share at which the fit ends
 DOMAINS = ("good", "poor", "toxic")
-TARGET = {"good": 0.8, "poor": 0.2, "toxic": 0.0}
+TARGET = {"good": 0.9, "poor": 0.05, "toxic": 0.05}
 
 
 def domain(quality: Column, toxic: Column) -> Column:
@@ -56,45 +60,52 @@ def _buckets(docs: DataFrame, keep: list[str], buckets: int) -> DataFrame:
 
 
 def train(documents: DataFrame, labels: DataFrame, buckets: int = BUCKETS,
-          train_docs: int = TRAIN_DOCS) -> dict[str, list[float]]:
-    """log P(bucket | domain) with add-one smoothing, for the domains that
-    have labelled words. Labelled ids are thinned by a hash to ``train_docs``
-    documents in expectation; labels that contradict each other for one id are
-    settled as toxic first, then poor. Documents sharing an id share its
-    label."""
+          train_docs: int = TRAIN_DOCS) -> tuple[DataFrame, dict[str, float]]:
+    """The classifier: (b, w_<domain>...), the log-ratio of a word's share in
+    the domain to its share in all; and the domains' shares of labelled words
+    (only domains that have some). Labelled ids are thinned by a hash to
+    ``train_docs`` documents in expectation; labels that contradict each other
+    for one id are settled as toxic first, then poor. Documents sharing an id
+    share its label."""
     known = labels.select("doc_id", domain(F.col("quality"), F.col("toxic")).alias("d")) \
         .filter("d is not null and doc_id is not null").groupBy("doc_id").agg(F.max("d").alias("d"))
     known = stage(known, "labelled")
     share = min(1.0, train_docs / max(1, known.count()))
     chosen = stage(known.filter(F.abs(F.xxhash64("doc_id", F.lit(11))) <= F.lit(share * float(1 << 63))), "labelled")
     texts = documents.select("doc_id", "text").join(chosen, "doc_id")
-    counts = _buckets(texts, ["d"], buckets).filter("b is not null").groupBy("d", "b").count()
-    table: dict[str, list[float]] = {}
-    for r in counts.collect():              # domains x buckets numbers
-        table.setdefault(r["d"], [1.0] * buckets)[r["b"]] += r["count"]
-    return {d: [math.log(x / total) for x in row] for d in DOMAINS if d in table
-            for row in (table[d],) for total in (sum(row),)}
-
-
-def posteriors(documents: DataFrame, key: str, table: dict[str, list[float]], buckets: int = BUCKETS,
+    counts = _buckets(texts, ["d"], buckets).filter("b is not null").groupBy("b").agg(
+        *[F.count(F.when(F.col("d") == d, 1)).alias(d) for d in DOMAINS])
+    counts = stage(counts.withColumn("n", sum((F.col(d) for d in DOMAINS), F.lit(0))), "counts")
+    sums = counts.agg(*[F.sum(d).alias(d) for d in DOMAINS], F.sum("n").alias("n")).first()
+    total = float(sums["n"] or 0)
+    shares = {d: sums[d] / total for d in DOMAINS if total and sums[d]}
+    far = [F.abs(F.col(d) - F.col("n") * s) / F.sqrt(F.col("n") * s + 1) for d, s in shares.items()] or [F.lit(0.0)]
+    ratio = [F.log((F.col(d) + SMOOTH * F.col("n") / total) / (F.col("n") / total) / F.lit(total * s + SMOOTH)).alias(f"w_{d}")
+             for d, s in shares.items()]
+    far = F.greatest(*far) if len(far) > 1 else far[0]
+    words = counts.withColumn("far", far).filter(F.col("far") >= SIGNIFICANT).orderBy(F.desc("far"), "b").limit(WORDS)
+    return stage(words.select("b", *ratio), "words"), shares
+
+
+def posteriors(documents: DataFrame, key: str, model: tuple[DataFrame, dict[str, float]], buckets: int = BUCKETS,
                sharpness: float = SHARPNESS) -> DataFrame:
-    """(key, tokens, p_<domain>...): softmax of sharpness x the mean
-    log-likelihood per word. A text without words, or without a classifier,
-    belongs to all domains alike. Words are summed inside the task that reads
-    them, before any shuffle."""
-    names = list(table)
-    word = _buckets(documents.select(key, "text"), [key], buckets)
-    column = {d: F.expr("array(" + ",".join(f"{x!r}D" for x in table[d]) + ")") for d in names}
-    rows = word.groupBy(key).agg(F.count("b").alias("tokens"),
-                                 *[F.avg(F.get(column[d], F.col("b"))).alias(f"l_{d}") for d in names])
-    if not names:
-        return rows.select(key, "tokens", *[F.lit(1.0 / len(DOMAINS)).alias(f"p_{d}") for d in DOMAINS])
-    top = F.greatest(*[f"l_{d}" for d in names]) if len(names) > 1 else F.col(f"l_{names[0]}")
-    e = {d: F.exp(sharpness * (F.col(f"l_{d}") - top)) for d in names}
+    """(key, tokens, p_<domain>...): softmax of log share + sharpness x summed
+    log-ratios / root of the number of words. A text without words gets the
+    shares; without a classifier every domain is as likely. Words are summed
+    inside the task that reads them, before any shuffle."""
+    ratios, shares = model
+    rows = _buckets(documents.select(key, "text"), [key], buckets)
+    if not shares:
+        return rows.groupBy(key).agg(F.count("b").alias("tokens")).select(
+            key, "tokens", *[F.lit(1.0 / len(DOMAINS)).alias(f"p_{d}") for d in DOMAINS])
+    sums = rows.join(F.broadcast(ratios), "b", "left").groupBy(key).agg(       # WORDS rows at most
+        F.count("b").alias("tokens"), *[F.coalesce(F.sum(f"w_{d}"), F.lit(0.0)).alias(f"l_{d}") for d in shares])
+    size = F.sqrt(F.greatest(F.col("tokens"), F.lit(1)))
+    logit = {d: math.log(s) + sharpness * F.col(f"l_{d}") / size for d, s in shares.items()}
+    top = F.greatest(*logit.values()) if len(logit) > 1 else next(iter(logit.values()))
+    e = {d: F.exp(x - top) for d, x in logit.items()}
     total = sum(e.values(), F.lit(0.0))
-    return rows.select(key, "tokens",
-                       *[(F.coalesce(e[d] / total, F.lit(1.0 / len(names))) if d in names else F.lit(0.0)).alias(f"p_{d}")
-                         for d in DOMAINS])
+    return sums.select(key, "tokens", *[(e[d] / total if d in shares else F.lit(0.0)).alias(f"p_{d}") for d in DOMAINS])
 
 
 def fit_rates(members: DataFrame, target: dict[str, float], most: float = MOST, rounds: int = ROUNDS,
@@ -148,7 +159,7 @@ def mix(documents: DataFrame, labels: DataFrame, key: str = "doc_id", target: di
     goal = {d: float((target or TARGET).get(d, 0.0)) for d in DOMAINS}
     if min(goal.values()) < 0 or sum(goal.values()) <= 0:
         raise ValueError("target weights must not be negative, and not all zero")
-    table = train(documents, labels, buckets, train_docs)
-    members = stage(posteriors(documents, key, table, buckets, sharpness), "members")
+    model = train(documents, labels, buckets, train_docs)
+    members = stage(posteriors(documents, key, model, buckets, sharpness), "members")
     rate, _ = fit_rates(members, goal, most, rounds, tolerance)
     return members.withColumn("rate", rate)
