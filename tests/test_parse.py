@@ -177,3 +177,22 @@ def test_valid_flag_equals_no_reason_and_no_header(spark):
     both = st.select(F.col("_valid"), (F.col("_reason").isNull() & ~F.col("_header")).alias("x"))
     assert both.filter(F.col("_valid") != F.col("x")).count() == 0
     assert both.filter("_valid").count() == 8810
+
+
+def test_strict_mode_fails_on_a_blank_line(spark, tmpdir_path):
+    p = write_lines(tmpdir_path + "/blank.csv", [line(), "", line()])
+    assert parse_flights(csvsrc.read_raw_csv(spark, p)).flights.count() == 2
+    with pytest.raises(PySparkException):
+        parse_flights(csvsrc.read_raw_lines(spark, p), strict=True).flights.collect()
+
+
+def test_flight_time_does_not_follow_the_session_zone(spark, tmpdir_path):
+    p = write_lines(tmpdir_path + "/dst.csv", [line(FlightDate="2020-03-08", WheelsOff="0230"),
+                                               line(FlightDate="0000-03-08", WheelsOff="0230")])
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")   # 02:30 is skipped there that day
+    try:
+        got = parse_flights(csvsrc.read_raw_csv(spark, p)).flights.select(F.col("timestamp").cast("string")).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert [r[0] for r in got] == ["2020-03-08 02:30:00"]
