@@ -44,6 +44,7 @@ from .text import LOWER, WORD_NONSPACE, gram_hashes, mix, prefix_sums, run_hash,
 K = 3                   # words of a shingle
 SHARE = (90, 100)       # linked: share[1] * |x & y| >= share[0] * |x | y|
 PARTNERS = 16           # near documents compared before the region is split
+SLICE = 2 << 20         # bytes of texts that are handled at once
 COMMON_IN_SLICE = 3     # documents of one slice that make a shingle a candidate for "common"
 COMMON_SHINGLES = 1 << 16  # common shingles that are ordered by count; the others come first, by hash
 
@@ -75,7 +76,7 @@ def _slices(batches, k):
     for batch in batches:
         names = batch.schema.names
         keys = batch.column(names.index(KEY)).to_numpy()
-        for first, buf, off in string_slices(batch.column(names.index("text"))):
+        for first, buf, off in string_slices(batch.column(names.index("text")), SLICE):
             g, d = shingle_sets(buf, off, k)
             yield keys[first:first + len(off) - 1], g, d, np.searchsorted(d, np.arange(len(off)))
 

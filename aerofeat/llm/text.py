@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _rng = np.random.default_rng(20240229)
