@@ -62,9 +62,11 @@ def _training(batches):
     for batch in batches:
         for first, buf, off in string_slices(batch.column(1)):
             text, bucket = features(buf, off)
-            at = np.searchsorted(text, np.arange(len(off))).astype(np.int32)
+            at = np.searchsorted(text, np.arange(len(off)))
+            bucket = bucket.astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(first, len(off) - 1), pa.ListArray.from_arrays(pa.array(at), pa.array(bucket.astype(np.int32)))],
+                [batch.column(0).slice(first, len(off) - 1),
+                 pa.array([bucket[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
                 names=["grade", "buckets"])
 
 
@@ -134,13 +136,12 @@ def learn(documents: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS,
     share = min(1.0, train_docs / max(1, graded.count()))
     chosen = stage(graded.filter(F.abs(F.xxhash64("doc_id", F.lit(13))) <= F.lit(share * float(1 << 63))), "grades")
     rows = documents.select("doc_id", "text").join(chosen, "doc_id").select("grade", "text")
-    got = rows.mapInArrow(_training, "grade int, buckets array<int>").toPandas()
+    got = rows.mapInArrow(_training, "grade int, buckets binary").toPandas()
     if not len(got):
         return None
     # the same model whatever the order the rows came in
-    got = got.assign(size=got["buckets"].map(len), low=got["buckets"].map(lambda b: int(b.sum()) if len(b) else 0)) \
-        .sort_values(["grade", "size", "low"], kind="stable")
-    return fit_model(got["grade"].to_numpy(), list(got["buckets"]), **params)
+    got = got.assign(buckets=got["buckets"].map(bytes)).sort_values(["grade", "buckets"], kind="stable")
+    return fit_model(got["grade"].to_numpy(), [np.frombuffer(b, np.int32) for b in got["buckets"]], **params)
 
 
 def score(documents: DataFrame, model: Model | None, tail: float = TAIL) -> DataFrame:
