@@ -58,11 +58,11 @@ def _distinct_grams(batches):
         lang, rank = batch.column(names.index("lang")), batch.column(names.index("rank"))
         for first, buf, off in string_slices(batch.column(names.index("text")), max_rows=256):
             pairs = np.unique(np.concatenate([t * _CODES + c for c, t in _grams(buf, off)] or [np.zeros(0, np.int64)]))
-            at = np.searchsorted(pairs // _CODES, np.arange(len(off))).astype(np.int32)
-            n = len(off) - 1
+            at = np.searchsorted(pairs // _CODES, np.arange(len(off)))
+            codes, n = (pairs % _CODES).astype(np.int32), len(off) - 1
             yield pa.RecordBatch.from_arrays(
                 [lang.slice(first, n), rank.slice(first, n),
-                 pa.ListArray.from_arrays(pa.array(at), pa.array((pairs % _CODES).astype(np.int32)))],
+                 pa.array([codes[s:e].tobytes() for s, e in zip(at[:-1], at[1:])], pa.binary())],
                 names=["lang", "rank", "grams"])
 
 
@@ -96,9 +96,10 @@ def fit(labelled: DataFrame, per_class: int = PER_CLASS, landmarks: int = LANDMA
     teach nothing. None where nothing is left."""
     rows = labelled.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & has_letter(F.col("text")))
     # at most per_class sets of distinct n-grams for each language
-    got = sample(rows, per_class).mapInArrow(_distinct_grams, "lang string, rank int, grams array<int>").toPandas()
+    got = sample(rows, per_class).mapInArrow(_distinct_grams, "lang string, rank int, grams binary").toPandas()
     if not len(got):
         return None
+    got["grams"] = got["grams"].map(lambda b: np.frombuffer(bytes(b), np.int32))
     got = got.assign(size=got["grams"].map(len)).sort_values(["lang", "rank", "size"], kind="stable").reset_index(drop=True)
     langs = sorted(got["lang"].unique())
     y = np.array([langs.index(x) for x in got["lang"]])
