@@ -21,8 +21,8 @@ from .text import (BYTE_CODE, LOWER, WORD_ALNUM, WORD_NONSPACE, mix, prefix_sums
                    word_runs)
 
 BUCKETS = 1 << 18
-TRAIN_DOCS = 12000      # labelled documents that the model is fitted on, about
-STEPS = 250
+TRAIN_DOCS = 5000       # labelled documents that the model is fitted on, about
+STEPS = 200
 RATE = 0.05
 DECAY = 1e-3
 DAMP = 0.25             # a text's features count as their number to the power -DAMP
