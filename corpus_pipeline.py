@@ -18,6 +18,8 @@ from aerofeat.llm.keys import KEY, keyed, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.3       # of a language that is accepted; an even guess among four scores 0.25
+NEAR_WORDS = 5          # words of a shingle, and
+NEAR_SHARE = (80, 100)  # the similarity from which on documents are near copies (op10 has its own)
 #: No SQL: the stages learn models and remove byte spans across documents.
 ORACLE_SQL = None
 
@@ -40,9 +42,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of linked documents stays: the one with
-    the smallest key."""
+    the smallest key. Documents link on shingles of ``NEAR_WORDS`` words."""
     named = _named(docs)
-    found = jaccard.jaccard_components(named.select(KEY, "doc_id", "text"))
+    found = jaccard.jaccard_components(named.select(KEY, "doc_id", "text"), NEAR_WORDS, NEAR_SHARE)
     keep = found.groupBy("component").agg(F.min(KEY).alias(KEY)).select(KEY)
     return named.join(keep, KEY, "left_semi").select(COLUMNS)
 

@@ -40,6 +40,23 @@ def test_one_document_of_each_component_stays(results):
     assert {d for d, _ in texts(results[2])} == want
 
 
+def test_near_copies_are_found_on_five_words(spark):
+    """Two words of a hundred changed: 86 of 106 five-word shingles are
+    shared, but only 92 of 104 three-word ones, which is under 0.9."""
+    words = [f"w{i}" for i in range(100)]
+    near = words[:30] + ["other"] + words[31:70] + ["another"] + words[71:]
+    far = near[:10] + ["third"] + near[11:50] + ["fourth", "fifth"] + near[52:]
+    rows = [(1, " ".join(words), "en", "s", 1), (2, " ".join(near), "en", "s", 1), (3, " ".join(far[::-1]), "en", "s", 1)]
+    out = cp.near_duplicates(spark, spark.createDataFrame(rows, SCHEMA), SF001)
+    assert {r.doc_id for r in out.select("doc_id").collect()} == {1, 3}
+
+
+def test_near_copies_equal_brute_force_on_five_words(results):
+    docs = texts(results[1])
+    want = {c for _, c in brute_components(docs, (80, 100), 5).values()}
+    assert {d for d, _ in texts(results[2])} == want
+
+
 def test_repeats_are_cut(results):
     docs = texts(results[2])
     want = {}
