@@ -130,12 +130,16 @@ def grade(labels: DataFrame) -> DataFrame:
 
 
 def learn(documents: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS, **params) -> Model | None:
-    """Fit on a sample of about ``train_docs`` labelled documents, thinned by a
-    hash of the id. None where no text is labelled."""
+    """Fit on a sample of about ``train_docs`` labelled texts, thinned by a hash
+    of id and text; rows that repeat both count once, and unlike texts of one
+    id are documents of their own. None where no text is labelled."""
     graded = stage(grade(labels), "grades")
-    share = min(1.0, train_docs / max(1, graded.count()))
-    chosen = stage(graded.filter(F.abs(F.xxhash64("doc_id", F.lit(13))) <= F.lit(share * float(1 << 63))), "grades")
-    rows = documents.select("doc_id", "text").join(chosen, "doc_id").select("grade", "text")
+    rows = documents.select("doc_id", "text", F.xxhash64("text").alias("th"))
+    ids = stage(rows.select("doc_id", "th").distinct().join(graded, "doc_id"), "grades")
+    share = min(1.0, train_docs / max(1, ids.count()))
+    chosen = stage(ids.filter(F.abs(F.xxhash64("doc_id", "th", F.lit(13))) <= F.lit(share * float(1 << 63))), "grades")
+    rows = rows.join(F.broadcast(chosen), ["doc_id", "th"]) \
+        .groupBy("doc_id", "th", "grade").agg(F.min("text").alias("text")).select("grade", "text")
     got = rows.mapInArrow(_training, "grade int, buckets binary").toPandas()
     if not len(got):
         return None

@@ -80,14 +80,19 @@ class Model:
 
 def sample(labelled: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
     """(lang, rank, text): ``per_class`` texts of each language by a hash of
-    the id. Only ids are shuffled, thinned to about twice as many by the
-    counts before they are ranked; the chosen ids find their texts."""
-    ids = labelled.select("doc_id", "lang", F.abs(F.xxhash64("doc_id", F.lit(7))).alias("u"))
+    id and text; rows that repeat doc_id, lang and text count once. Only ids and
+    hashes are shuffled, thinned to about twice as many by the counts before
+    they are ranked; the chosen ones find one row each."""
+    rows = labelled.select("doc_id", "lang", "text", F.xxhash64("text").alias("th"))
+    ids = stage(rows.select("doc_id", "lang", "th").distinct()
+                .withColumn("u", F.abs(F.xxhash64("doc_id", "th", F.lit(7)))), "ids")
     counts = ids.groupBy("lang").count()
-    likely = ids.join(counts, "lang").filter(F.col("u") <= F.lit(float(1 << 63)) * (2 * per_class + 50) / F.col("count"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id"))
-    chosen = stage(likely.select("doc_id", "lang", rank.alias("rank")).filter(F.col("rank") <= per_class), "sample")
-    return labelled.select("doc_id", "lang", "text").join(chosen, ["doc_id", "lang"]).select("lang", "rank", "text")
+    likely = ids.join(F.broadcast(counts), "lang").filter(F.col("u") <= F.lit(float(1 << 63)) * (2 * per_class + 50) / F.col("count"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("u", "doc_id", "th"))
+    chosen = stage(likely.select("doc_id", "lang", "th", rank.alias("rank")).filter(F.col("rank") <= per_class), "sample")
+    # copies of a chosen row are settled inside tasks before they meet
+    return rows.join(F.broadcast(chosen), ["doc_id", "lang", "th"]) \
+        .groupBy("lang", "rank").agg(F.min("text").alias("text"))
 
 
 def fit(labelled: DataFrame, per_class: int = PER_CLASS, landmarks: int = LANDMARKS, grams: int = GRAMS,

@@ -63,3 +63,14 @@ def test_missing_rows(spark):
     none = grades.grade_documents(df, labels.limit(0)).collect()
     assert all(r.expected_grade is None and not r.selected for r in none)
     assert grades.grade_documents(df.limit(0), labels).count() == 0
+
+
+def test_one_id_on_many_rows_keeps_the_fit_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(grades, "fit_model", lambda y, b, **_: seen.append(len(y)))
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    copies = spark.createDataFrame([(1, "same text")] * 500 + [(2, None)] * 9, "doc_id long, text string")
+    grades.learn(copies, labels, train_docs=50)
+    unlike = spark.createDataFrame([(1, f"text {i}") for i in range(2000)], "doc_id long, text string")
+    grades.learn(unlike, labels, train_docs=50)
+    assert seen[0] == 2 and 10 <= seen[1] <= 150

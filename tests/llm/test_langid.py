@@ -51,3 +51,13 @@ def test_scores_equal_the_kernel_written_out(spark):
                 want.add((i, c + int(langid._START[n - 1])))
             assert {x for x in seen[n - 1] if x[0] == i} == want
     assert np.all(langid._SYMBOL < 128)
+
+
+def test_one_id_on_many_rows_keeps_the_sample_bounded(spark):
+    rows = [(7, "the cat sat", "en")] * 300 + [(7, f"the cat {i} sat", "en") for i in range(300)]
+    rows += [(i, f"der hund {i}", "de") for i in range(100, 180)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = langid.sample(df, 20).collect()
+    for lang in ("en", "de"):
+        mine = [r for r in got if r.lang == lang]
+        assert sorted(r["rank"] for r in mine) == list(range(1, 21)) and len({r.text for r in mine}) == 20
