@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
+from ..session import stage as stage_table
 
 # --- fixed values -----------------------------------------------------------
 RANGES = 64        # score ranges of the prefix sums, whatever the shuffle's partitions
@@ -124,6 +125,27 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
     return origin.unionByName(rates)
 
 
+def roc_area(points: DataFrame, n_ranges: int = RANGES) -> DataFrame:
+    """One row (fpr_end, tpr_end, area): the largest rates of ROC ``points``
+    and the trapezoids between neighbours in the order of (fpr, tpr). Points are
+    dealt into ``n_ranges`` ranges and written once; steps inside a range use
+    ``lag``, and those between ranges one row for each range. Steps with a null
+    rate are left out; null where no step is left."""
+    dealt = stage_table(points.select("fpr", "tpr").repartitionByRange(n_ranges, "fpr", "tpr")
+                        .withColumn("_r", F.spark_partition_id()), "roc")
+    p = F.struct("fpr", "tpr")
+    wide = lambda a, b: (b["fpr"] - a["fpr"]) * (a["tpr"] + b["tpr"]) / 2
+    w = Window.partitionBy("_r").orderBy("fpr", "tpr")
+    rng = dealt.select("_r", p.alias("p"), F.lag(p).over(w).alias("before")) \
+        .groupBy("_r").agg(F.sum(wide(F.col("before"), F.col("p"))).alias("inside"),
+                           F.min("p").alias("first"), F.max("p").alias("last"))
+    # one row per range
+    edge = rng.select("inside", "last", wide(F.lag("last").over(Window.orderBy("_r")), F.col("first")).alias("edge"))
+    zero = F.lit(0.0)
+    step = F.when(F.coalesce("inside", "edge").isNotNull(), F.coalesce("inside", zero) + F.coalesce("edge", zero))
+    return edge.agg(F.max("last.fpr").alias("fpr_end"), F.max("last.tpr").alias("tpr_end"), F.sum(step).alias("area"))
+
+
 def confusion_matrix(df: DataFrame, actual: str = "target", predicted: str = "prediction",
                      by: list[str] | None = None) -> DataFrame:
     """Four rows ``(by..., actual, predicted, n)`` of the 2×2 grid, zero counts

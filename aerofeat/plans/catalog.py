@@ -276,13 +276,7 @@ def q_training_job_roc(spark, sf):
     path = scratch_path(spark, "metrics")
     run_training(spark, _raw(spark, sf), SPLIT_DATE, metrics_path=path)
     roc = spark.read.parquet(path + "/roc")
-    # one row per point; the rates are sorted together
-    xs = F.sort_array(F.collect_list(F.struct("fpr", "tpr")))
-    area = F.aggregate(F.zip_with(F.slice("p", F.lit(1), F.size("p") - 1), F.slice("p", F.lit(2), F.size("p") - 1),
-                                  lambda a, b: (b["fpr"] - a["fpr"]) * (a["tpr"] + b["tpr"]) / 2),
-                       F.lit(0.0), lambda acc, x: acc + x)
-    return roc.agg(xs.alias("p"), F.max("fpr").alias("fpr_end"), F.max("tpr").alias("tpr_end")) \
-        .select("fpr_end", "tpr_end", F.round(area, 4).alias("area"))
+    return evaluation.roc_area(roc).select("fpr_end", "tpr_end", F.round("area", 4).alias("area"))
 
 
 # Train and test sets written as CSV by the training job, read again

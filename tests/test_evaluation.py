@@ -68,3 +68,19 @@ def test_roc_many_ranges(spark):
     assert len(got) == len(want)
     for g, w in zip(got, want):
         assert g == pytest.approx(w)
+
+
+def test_area_is_summed_without_one_array(spark):
+    import numpy as np
+    from aerofeat.operators import evaluation
+    from aerofeat.plans import catalog
+    rnd = np.random.default_rng(4)
+    x, y = np.sort(rnd.random(999).round(2)), np.sort(rnd.random(999))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y)], "fpr double, tpr double").repartition(5)
+    want = ((x[1:] - x[:-1]) * (y[1:] + y[:-1]) / 2).sum()
+    for n in (1, 7, 64):
+        got = evaluation.roc_area(df, n).first()
+        assert (got.fpr_end, got.tpr_end) == (x[-1], y[-1]) and abs(got.area - want) < 1e-9
+    assert evaluation.roc_area(df.limit(0)).first().area is None
+    plan = catalog.q_training_job_roc(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
