@@ -107,6 +107,65 @@ SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
 """
 
+def _crc_table() -> list[int]:
+    """The table of the reflected CRC-32 polynomial, by its rule."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
+OP11 = rf"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all({_low('text')}, '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run),
+bytes AS (SELECT run, n, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS hx FROM counted),
+crc AS (SELECT run, n, xor(list_reduce(
+    list_transform(range(0, len(hx) // 2), lambda i: CAST('0x' || substr(hx, 2 * i + 1, 2) AS BIGINT)),
+    lambda c, b: xor(c >> 8, list_extract({_crc_table()}::BIGINT[], (xor(c, b) & 255) + 1)),
+    4294967295::BIGINT), 4294967295) AS h FROM bytes),
+cut AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM crc),
+w AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+without AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS gap FROM places),
+pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM without a JOIN without b ON a.i = b.i AND a.gap = b.gap AND a.word <> b.word
+          UNION SELECT w.word, b.word, b.n FROM without b JOIN w ON w.word = b.gap
+          UNION SELECT b.word, w.word, w.n FROM without b JOIN w ON w.word = b.gap),
+best AS (SELECT word, near, near_n, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k,
+           count(*) OVER (PARTITION BY word) AS n_near FROM pairs),
+known AS (SELECT w.word, w.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+            CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+          FROM w LEFT JOIN best ON best.word = w.word AND k = 1),
+chain(word, last) AS (SELECT word, word FROM known UNION ALL SELECT c.word, form FROM chain c JOIN known k ON k.word = c.last WHERE form IS NOT NULL)
+SELECT known.word, known.form, c.last AS root, known.n, known.n_near, known.form_n
+FROM known JOIN chain c ON c.word = known.word JOIN known e ON e.word = c.last AND e.form IS NULL
+"""
+
+OP12 = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_low('text')}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^ \t]+') AS ws FROM pieces),
+g AS (SELECT lang, size, array_to_string(list_slice(ws, i, i + size - 1), ' ') AS w
+      FROM (SELECT lang, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM p, (VALUES (1), (2), (3)) s(size) WHERE len(ws) >= size)),
+f AS (SELECT lang, size, w, count(*) AS f FROM g GROUP BY lang, size, w),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+often AS (SELECT lang, w, f FROM f WHERE f >= 10),
+c AS (SELECT lang, size, w, string_split(w, ' ') AS ws, f AS a FROM f WHERE size > 1 AND f >= 10),
+cut AS (SELECT lang, w, a, k, array_to_string(list_slice(ws, 1, k), ' ') AS lw, array_to_string(list_slice(ws, k + 1, size), ' ') AS rw
+        FROM (SELECT *, unnest(range(1, size)) AS k FROM c)),
+cuts AS (SELECT cut.lang, cut.w, a, k, x.f AS l, y.f AS r, (1000000 * a::HUGEINT * a) // (x.f::HUGEINT * y.f) AS score
+         FROM cut JOIN often x ON x.lang = cut.lang AND x.w = lw JOIN often y ON y.lang = cut.lang AND y.w = rw),
+low AS (SELECT *, row_number() OVER (PARTITION BY lang, w ORDER BY score, k) AS choice FROM cuts),
+around AS (SELECT lang, array_to_string(list_slice(ws, i, i + 1), ' ') AS w, max(a) AS around
+           FROM (SELECT lang, ws, a, unnest([1, 2]) AS i FROM c WHERE size = 3) GROUP BY ALL),
+kept AS (SELECT low.* FROM low LEFT JOIN around USING (lang, w)
+         WHERE choice = 1 AND (around IS NULL OR 100 * around < 50 * low.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, w) AS rank FROM kept)
+SELECT lang, rank, w AS phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": OP1, "op2_license_scan": OP2, "op3_suffix_dedup": OP3, "op8_warc_salvage": OP8,
-    "op10_jaccard_join": OP10}
+    "op10_jaccard_join": OP10, "op11_spelling_variants": OP11,
+    "op12_phrase_collocations": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grades, jaccard, langid, licenses, mixing, pseudo_lm, repeats, rules, warc
+from . import decontaminate, grades, jaccard, langid, licenses, mixing, phrases, pseudo_lm, repeats, rules, spelling, warc
 from .keys import scratch_path
 
 
@@ -63,10 +63,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_license_scan, op3_suffix_dedup, op4_pseudo_likelihood, op5_mix_sources,
-        op6_ordinal_quality, op7_language_id, op8_warc_salvage, op9_quality_rules, op10_jaccard_join)}
+        op6_ordinal_quality, op7_language_id, op8_warc_salvage, op9_quality_rules, op10_jaccard_join,
+        op11_spelling_variants, op12_phrase_collocations)}
 
 
 def oracle_sql() -> dict[str, str]:
