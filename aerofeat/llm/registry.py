@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, grades, jaccard, langid, licenses, mixing, phrases, pseudo_lm, repeats, rules, spelling, warc
+from . import bpe, decontaminate, grades, jaccard, langid, licenses, mixing, phrases, pseudo_lm, repeats, rules, spelling, warc
 from .keys import scratch_path
 
 
@@ -71,11 +71,18 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    out = bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), decode=True)
+    return out.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+                      F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_decontaminate, op2_license_scan, op3_suffix_dedup, op4_pseudo_likelihood, op5_mix_sources,
         op6_ordinal_quality, op7_language_id, op8_warc_salvage, op9_quality_rules, op10_jaccard_join,
-        op11_spelling_variants, op12_phrase_collocations)}
+        op11_spelling_variants, op12_phrase_collocations, op13_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
