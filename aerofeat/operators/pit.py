@@ -7,6 +7,8 @@ entity id, the feature time and any number of value columns.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,59 +47,92 @@ def latest_values(table: DataFrame, entity_id: str, feature_time: str,
                     *[F.col(f"_best.{c}").alias(c) for c in features])
 
 
-def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
-              left_time: str, right_time: str, values: list[str],
-              out_time: str | None = "feature_time", n_ranges: int | None = None) -> DataFrame:
-    """Left as-of join: each ``left`` row gets the ``values`` of the latest
-    ``right`` row with the same key and ``right_time <= left_time`` (nulls
-    when there is none). A right row whose values are null is still the
-    latest row; its nulls are returned, not an older value. Equal right
-    times are decided by the values (max), so the result is deterministic. A
-    row with a null key or time matches nothing.
-
-    One plan for every size and skew: lookups and right rows (one per key and
-    time) are dealt into ``n_ranges`` ranges of (key, time, row), balanced by
-    Spark's sampling and written once. A hot key, or many lookups of one key and
-    time, thus spans several ranges. Inside a (range, key) each lookup takes
-    the running latest right row; a lookup with none there takes the latest of
-    the key's earlier ranges, a running ``last`` over one row per (key, range).
-    No sort spans more than a range, and no pairs are formed.
-    ``n_ranges`` is ``spark.sql.shuffle.partitions`` by default and changes
-    the balance only, never the result."""
-    spark = left.sparkSession
-    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lk = [f"_k{i}" for i in range(len(left_on))]
+class FeatureView(NamedTuple):
+    """A feature table as a lookup sees it: ``rows`` keyed by ``key`` and
+    ``time``, matched with the columns ``on`` of the instances; ``values`` maps
+    its columns to the output's. A value older than ``max_age`` (an interval such
+    as ``2 hours``) is stale: null, not replaced by an older one still."""
+    rows: DataFrame
+    on: list[str]
+    key: list[str]
+    time: str
+    values: dict[str, str]
+    out_time: str | None = None
+    max_age: str | None = None
+
+
+def _found(lookups: DataFrame, time: str, on: list[str], views: list[FeatureView], n: int) -> DataFrame:
+    """(``_row``, ``_m0``, ``_m1``, ...): for each lookup the latest row of each
+    view, as struct (``_ft``, values), for views that share the key ``on``."""
+    lk = [f"_k{i}" for i in range(len(on))]
     present = " and ".join(f"{c} is not null" for c in [*lk, "_t"])
-    pay = F.struct(F.col(right_time).alias("_ft"), *[F.col(v).alias(v) for v in values])
-    R = right.select(*[F.col(c).alias(k) for c, k in zip(right_on, lk)], F.col(right_time).alias("_t"),
-                     pay.alias("_v")).filter(present).groupBy(*lk, "_t").agg(F.max("_v").alias("_v"))
-    R = stage(R, "asof_right")     # read by the range sampling and by the shuffle
-    L = left.select(*[F.col(c).alias(k) for c, k in zip(left_on, lk)], F.col(left_time).alias("_t"),
-                    F.struct(*left.columns).alias("_row"))
-    row, pay_type = L.schema["_row"].dataType, R.schema["_v"].dataType
-    # the row number only spreads equal lookups over ranges
-    both = R.select(*lk, "_t", F.lit(0).alias("_kind"), F.lit(0).cast("long").alias("_salt"), "_v",
-                    F.lit(None).cast(row).alias("_row")) \
-        .unionByName(L.filter(present).select(
-            *lk, "_t", F.lit(1).alias("_kind"), F.monotonically_increasing_id().alias("_salt"),
-            F.lit(None).cast(pay_type).alias("_v"), "_row"))
-    dealt = stage(both.repartitionByRange(n, *lk, "_t", "_kind", "_salt")
-                  .withColumn("_range", F.spark_partition_id()), "asof_ranges")
+    types = [lookups.schema[c].dataType for c in [*on, time]]
 
-    ends = dealt.filter("_kind = 0").groupBy(*lk, "_range").agg(F.max(F.struct("_t", "_v")).alias("_last"))
-    spots = dealt.filter("_kind = 1").select(*lk, "_range").distinct()
-    steps = spots.select(*lk, "_range", F.lit(0).alias("_end"), F.lit(None).cast(ends.schema["_last"].dataType).alias("_last")) \
-        .unionByName(ends.select(*lk, "_range", F.lit(1).alias("_end"), "_last"))
-    earlier = Window.partitionBy(*lk).orderBy("_range", "_end").rowsBetween(Window.unboundedPreceding, 0)
-    carry = steps.withColumn("_carry", F.last("_last._v", ignorenulls=True).over(earlier)) \
-        .filter("_end = 0").select(*lk, "_range", "_carry")
+    def keyed(df, columns, *more):
+        named = [F.col(c).cast(t).alias(k) for c, k, t in zip(columns, [*lk, "_t"], types)]
+        return df.select(*named, *more).filter(present)
 
+    found = [f"_m{i}" for i in range(len(views))]
+    both = keyed(lookups, [*on, time], F.lit(1).alias("_kind"), F.col("_row"), F.col("_row").alias("_salt"))
+    for v, m in zip(views, found):
+        pay = F.struct(F.col(v.time).cast(types[-1]).alias("_ft"), *[F.col(c).alias(name) for c, name in v.values.items()])
+        rows = keyed(v.rows, [*v.key, v.time], F.lit(0).alias("_kind"), pay.alias(m))
+        both = both.unionByName(rows.withColumn("_salt", F.xxhash64(m)), allowMissingColumns=True)
+    # the salt spreads equal keys and times over ranges
+    dealt = stage(both.repartitionByRange(n, *lk, "_t", "_kind", "_salt").drop("_salt")
+                  .withColumn("_range", F.spark_partition_id()), "asof_ranges")
+    earlier = Window.partitionBy(*lk).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    carry = dealt.groupBy(*lk, "_range").agg(*[F.max(m).alias(m) for m in found]) \
+        .select(*lk, "_range", *[F.max(m).over(earlier).alias(f"{m}c") for m in found])
     so_far = Window.partitionBy(*lk, "_range").orderBy("_t", "_kind").rowsBetween(Window.unboundedPreceding, 0)
-    found = dealt.withColumn("_in", F.last("_v", ignorenulls=True).over(so_far)).filter("_kind = 1") \
-        .join(carry, [*lk, "_range"]).select("_row", F.coalesce("_in", "_carry").alias("_m"))
-    rest = L.filter(f"not ({present})").select("_row", F.lit(None).cast(pay_type).alias("_m"))
-    out = found.unionByName(rest)
-    cols = [F.col(f"_row.{c}").alias(c) for c in left.columns] \
-        + ([F.col("_m._ft").alias(out_time)] if out_time else []) \
-        + [F.col(f"_m.{v}").alias(v) for v in values]
-    return out.select(*cols)
+    # time is the first field: the largest struct is the latest row, ties by value
+    return dealt.select(*lk, "_range", "_kind", "_row", *[F.max(m).over(so_far).alias(m) for m in found]) \
+        .filter("_kind = 1").join(carry, [*lk, "_range"]) \
+        .select("_row", *[F.greatest(m, f"{m}c").alias(m) for m in found])
+
+
+def retrieve(instances: DataFrame, time: str, views: list[FeatureView], n_ranges: int | None = None) -> DataFrame:
+    """Point-in-time lookup of several feature tables: each row of
+    ``instances`` with, for every view, the values of its latest row of the same
+    key and a time not after the instance's (nulls when there is none). A row
+    whose values are null is still the latest; equal times are decided by
+    the values (max). A null key or time matches nothing; instances that repeat
+    stay repeated.
+
+    The instances are written once under a row number; only (key, time, row
+    number) is dealt and sorted, and the other columns are joined to what was
+    found. All views of one instance key go through one deal: their rows and the
+    lookups are put into ``n_ranges`` ranges of (key, time, row) balanced by
+    Spark's sampling, so a hot key, or very many rows of one key and time,
+    spans several ranges. Inside a (range, key) a running maximum over (time, values) gives
+    the latest row of every view at once; what came in the key's earlier ranges
+    is a running maximum over one row per (key, range). No sort spans more than
+    a range and no pairs are formed. ``n_ranges`` (``spark.sql.shuffle.partitions``
+    by default) changes the balance only."""
+    spark = instances.sparkSession
+    n = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = stage(instances.withColumn("_row", F.monotonically_increasing_id()), "instances")
+    kinds: dict[tuple[str, ...], list[FeatureView]] = {}
+    for v in views:
+        kinds.setdefault(tuple(v.on), []).append(v)
+    out, columns = rows, [F.col(c) for c in instances.columns]
+    for k, (on, group) in enumerate(kinds.items()):
+        lookups = rows.select("_row", *dict.fromkeys([time, *on]))
+        found = _found(lookups, time, list(on), group, n)
+        out = out.join(found.withColumnsRenamed({f"_m{i}": f"_{k}m{i}" for i in range(len(group))}), "_row", "left")
+        for i, v in enumerate(group):
+            m = f"_{k}m{i}"
+            fresh = F.lit(True) if v.max_age is None else \
+                F.col(f"{m}._ft") + F.expr(f"INTERVAL {v.max_age}") >= F.col(time)
+            named = [("_ft", v.out_time)] if v.out_time else []
+            columns += [F.when(fresh, F.col(f"{m}.{c}")).alias(name)
+                        for c, name in [*named, *((name, name) for name in v.values.values())]]
+    return out.select(*columns)
+
+
+def asof_join(left: DataFrame, right: DataFrame, left_on: list[str], right_on: list[str],
+              left_time: str, right_time: str, values: list[str],
+              out_time: str | None = "feature_time", n_ranges: int | None = None) -> DataFrame:
+    """Left as-of join with one table: ``retrieve`` with a single view."""
+    view = FeatureView(right, left_on, right_on, right_time, {v: v for v in values}, out_time)
+    return retrieve(left, left_time, [view], n_ranges)

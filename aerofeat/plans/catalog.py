@@ -31,6 +31,7 @@ LOAD1_BEFORE = "2024-01-20"        # first feature load: flights before this day
 LOAD2_FROM = "2024-01-15"          # second (correcting) load: flights from this day
 DELIVERY2_FROM = "2024-01-25"      # rows of the second delivery
 PROBABILITY_DIGITS = 4
+FLIGHT_AGE, AIRPORT_AGE = "2 hours", "30 minutes"   # older feature values are stale
 # ---------------------------------------------------------------------------
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +210,21 @@ def q_asof_features(spark, sf):
     return j
 
 
+# Training rows for the read instances, from both feature tables (two
+# loads of the flights); airport means are known from their window's end
+def q_training_rows(spark, sf):
+    from .jobs import ingest_airport_features, read_feature_table, training_rows
+    flights = stage(_flights(spark, sf), "flights")
+    path = scratch_path(spark, "airport_table")
+    ingest_airport_features(airport_windows(flights).withColumnRenamed("window_end", "timestamp"), path, 1)
+    flight_table = read_feature_table(spark, _flight_table(spark, sf), "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES)
+    airport_table = read_feature_table(spark, path, "origin_airport_id", "timestamp", ["average_departure_delay"])
+    # some requests come a while after the flight, when values may be stale
+    late = F.make_dt_interval(mins=F.col("event_id") % 5 * 45)
+    asked = read_instances(flights.withColumn("timestamp", F.col("timestamp") + late))
+    return training_rows(asked, flight_table, airport_table, FLIGHT_AGE, AIRPORT_AGE)
+
+
 # E1 on skewed keys: a third of the flights share one airport, every 11th
 # has none, and so has every 13th feature row
 def q_asof_skewed(spark, sf):

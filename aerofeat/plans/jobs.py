@@ -218,6 +218,23 @@ def ingest_airport_features(airports: DataFrame, table_path: str, load_id: int)
                     AIRPORT_ENTITY_FEATURES, load_id)
 
 
+def training_rows(instances: DataFrame, flight_features: DataFrame, airport_features: DataFrame,
+                  flight_age: str | None = None, airport_age: str | None = None) -> DataFrame:
+    """Read instances (``flight``, ``airport``, ``timestamp`` as ISO text) →
+    one training row for each, with the flight's features and the airport's mean
+    as they were known at that time. Both tables are keyed by their entity id and
+    ``timestamp``, the time from which a value is known. A value older than its
+    age limit is null."""
+    at = F.to_timestamp_ntz(F.rtrim("timestamp", F.lit("Z")), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
+    keys = instances.select("flight", "airport", at.alias("timestamp"))
+    # the airport of a flight's features is not the instance's own column
+    flight = {c: c for c in FLIGHT_ENTITY_FEATURES}
+    return pit.retrieve(keys, "timestamp", [
+        pit.FeatureView(flight_features, ["flight"], ["flight_number"], "timestamp", flight, "flight_time", flight_age),
+        pit.FeatureView(airport_features, ["airport"], ["origin_airport_id"], "timestamp",
+                        {c: c for c in AIRPORT_ENTITY_FEATURES}, "airport_time", airport_age)])
+
+
 def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_dir: str,
                     split_date: str, model_path: str | None = None,
                     eval_rows: int | None = None) -> TrainingResult:

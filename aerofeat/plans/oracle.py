@@ -411,6 +411,21 @@ a AS (SELECT CASE WHEN hour(window_start) % 13 = 0 THEN NULL ELSE origin_airport
 SELECT f.event_id, f.airport, f."timestamp", a.window_end AS feature_time, a.average_departure_delay
 FROM f ASOF LEFT JOIN a ON f.airport = a.airport AND f."timestamp" >= a.window_end""",
 
+    "training_rows": _AW + _INGESTED.replace("SELECT flight_number", ", ft AS (SELECT flight_number", 1) + """),
+asked AS (SELECT flight_number AS flight, origin_airport_id AS airport, date_trunc('second', "timestamp") + (event_id % 5 * 45) * INTERVAL 1 MINUTE AS "timestamp" FROM flights),
+a AS (SELECT q.*, f."timestamp" AS flight_time, f.origin_airport_id, f.is_cancelled, f.departure_delay_minutes,
+        f.arrival_delay_minutes, f.taxi_out_minutes, f.distance_miles
+      FROM asked q ASOF LEFT JOIN ft f ON q.flight = f.flight_number AND q."timestamp" >= f."timestamp"),
+b AS (SELECT a.*, flight_time + INTERVAL 2 HOUR >= a."timestamp" AS fresh, m.window_end AS airport_time, m.average_departure_delay,
+        m.window_end + INTERVAL 30 MINUTE >= a."timestamp" AS near
+      FROM a ASOF LEFT JOIN airport_means m ON a.airport = m.origin_airport_id AND a."timestamp" >= m.window_end)
+SELECT flight, airport, "timestamp", """ + ", ".join(
+        f"CASE WHEN fresh THEN {c} END AS {c}" for c in (
+            "flight_time", "origin_airport_id", "is_cancelled", "departure_delay_minutes", "arrival_delay_minutes",
+            "taxi_out_minutes", "distance_miles")) + """,
+  CASE WHEN near THEN airport_time END AS airport_time, CASE WHEN near THEN average_departure_delay END AS average_departure_delay
+FROM b""",
+
     "model_fit_predict": _MODEL + _SCORES,
 
     "model_saved_scores": _MODEL + _SCORES,
