@@ -29,7 +29,8 @@ LONGEST = 3            # words of a phrase
 LEAST = 10             # occurrences of a candidate
 INSIDE = (50, 100)     # a candidate goes if a longer one around it has this share of its count
 TOP = 2000             # phrases reported for each language
-SLICE_BYTES = 4 << 20  # texts hashed at a time
+SLICE_BYTES = 1 << 20  # texts hashed at a time
+TOGETHER = 1 << 20     # runs that a task adds up before they are shuffled
 MAP_BITS = 27          # positions of the bit map of frequent fingerprints: 16 MB, whatever the corpus
 BLOCK_BITS = 16        # positions of one row of it
 NO_LANG = "und"
@@ -51,13 +52,16 @@ def _hashed(buf: np.ndarray, off: np.ndarray):
 
 
 def _prints(hashed, size: int, salt: np.ndarray, width: int):
-    """Runs of ``size`` words inside a piece: (fingerprint, check, first word).
+    """Runs of ``size`` words inside a piece: (fingerprint, first word).
     ``salt`` is the hash of each text's language."""
     words, _, _, text, piece = hashed
     g, first = gram_hashes(words, piece, size)
-    # the check is a polynomial over other values of the same words
-    check = run_hash(prefix_sums(mix(words ^ np.uint64(0x5851F42D4C957F2D))), first, first + size)
-    return mix(g ^ salt[text[first]]) & np.uint64((1 << width) - 1), check, first
+    return mix(g ^ salt[text[first]]) & np.uint64((1 << width) - 1), first
+
+
+def _checks(hashed, size: int, first: np.ndarray) -> np.ndarray:
+    """A polynomial over other values of the same words."""
+    return run_hash(prefix_sums(mix(hashed[0] ^ np.uint64(0x5851F42D4C957F2D))), first, first + size)
 
 
 def _marked(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -65,14 +69,16 @@ def _marked(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
     return (bits[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def _frequent_parts(hashed, prints, first, size, salt, width, bits):
-    """Whether both parts of each run, one word shorter, are in the bit map."""
+def _with_frequent_parts(hashed, size, salt, width, bits):
+    """The runs both of whose parts, one word shorter, are in the bit map."""
+    prints, first = _prints(hashed, size, salt, width)
     if bits is None:
-        return np.ones(len(prints), bool)
-    shorter, _, at = _prints(hashed, size - 1, salt, width)
-    frequent = np.zeros(len(hashed[0]), bool)
+        return prints, first
+    shorter, at = _prints(hashed, size - 1, salt, width)
+    frequent = np.zeros(len(hashed[0]) + 1, bool)
     frequent[at[_marked(bits, shorter)]] = True
-    return frequent[first] & frequent[first + 1]
+    keep = frequent[first] & frequent[first + 1]
+    return prints[keep], first[keep]
 
 
 def _slices(batch, keys: int, slice_bytes: int):
@@ -82,20 +88,34 @@ def _slices(batch, keys: int, slice_bytes: int):
         yield row, _hashed(buf, off), off, buf, salts[row:row + len(off) - 1]
 
 
-def _counts(size: int, parts, width: int, slice_bytes: int):
-    """(key, salt, text) → the runs of ``size`` words of each slice, equal ones
-    added up, with the place of one of them. With the single words goes, as
-    size 0, the number of all words of a language."""
+def _place(start, end):
+    """First byte and number of bytes in one number; a text has less than 2**31."""
+    return start << np.int64(32) | (end - start)
+
+
+def _counts(size: int, parts, width: int, slice_bytes: int, together: int):
+    """(key, salt, text) → the runs of ``size`` words, equal ones added up
+    ``together`` at a time, with the place of one of them. With the single
+    words goes, as size 0, the number of all words of a language."""
     def run(batches):
         import pyarrow as pa
         bits = None if parts is None else np.frombuffer(parts.value, np.uint8)
 
-        def rows(size, prints, n, check, text, start, length):
-            check = pa.array(check.view(np.int64))
-            spot = pa.StructArray.from_arrays([pa.array(text), pa.array(start), pa.array(length)], names=["text", "start", "bytes"])
+        def rows(size, prints, n, check, text, place):
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(prints), size, np.int32)), pa.array(prints.view(np.int64)), pa.array(n), check, check, spot],
-                names=["size", "print", "n", "least", "most", "spot"])
+                [pa.array(np.full(len(prints), size, np.int32)), pa.array(prints.view(np.int64)), pa.array(n),
+                 pa.array(check.view(np.int64)), pa.array(text), pa.array(place)],
+                names=["size", "print", "n", "check", "text", "place"])
+
+        def added(held):
+            prints, check, text, place = (np.concatenate(c) for c in zip(*held))
+            order = np.argsort(prints)
+            p, c = prints[order], check[order]
+            head = np.flatnonzero(np.append(True, (p[1:] != p[:-1]) | (c[1:] != c[:-1])))
+            one = order[head]
+            return rows(size, p[head], np.diff(np.append(head, len(p))), c[head], text[one], place[one])
+
+        held, n = [], 0
         for batch in batches:
             keys = batch.column(0).to_numpy()
             for row, hashed, off, _, salt in _slices(batch, 1, slice_bytes):
@@ -104,19 +124,18 @@ def _counts(size: int, parts, width: int, slice_bytes: int):
                     per_text = np.bincount(text, minlength=len(salt))
                     langs, where, of = np.unique(salt, return_index=True, return_inverse=True)
                     zero = np.zeros(len(langs), np.int64)
-                    yield rows(0, langs, np.bincount(of, per_text).astype(np.int64), zero, keys[row + where], zero, zero)
-                prints, check, first = _prints(hashed, size, salt, width)
-                keep = _frequent_parts(hashed, prints, first, size, salt, width, bits)
-                prints, check, first = prints[keep], check[keep], first[keep]
+                    yield rows(0, langs, np.bincount(of, per_text).astype(np.int64), zero, keys[row + where], zero)
+                prints, first = _with_frequent_parts(hashed, size, salt, width, bits)
                 if not len(prints):
                     continue
-                order = np.lexsort((check, prints))
-                prints, check, first = prints[order], check[order], first[order]
-                head = np.flatnonzero(np.append(True, (prints[1:] != prints[:-1]) | (check[1:] != check[:-1])))
-                one = first[head]
-                begin = off[text[one]]
-                yield rows(size, prints[head], np.diff(np.append(head, len(prints))), check[head], keys[row + text[one]],
-                           start[one] - begin, end[one + size - 1] - start[one])
+                of, last = text[first], first + size - 1
+                held.append((prints, _checks(hashed, size, first), keys[row + of], _place(start[first] - off[of], end[last] - off[of])))
+                n += len(prints)
+                if n >= together:
+                    yield added(held)
+                    held, n = [], 0
+        if held:
+            yield added(held)
     return run
 
 
@@ -136,7 +155,8 @@ def _read(width: int):
                 raw, salt = text.as_py().encode(), np.array([salt.as_py()], np.int64).view(np.uint64)
                 out = []
                 for s in spots.as_py():
-                    piece = np.frombuffer(raw, np.uint8)[s["start"]:s["start"] + s["bytes"]]
+                    start, length = s["place"] >> 32, s["place"] & 0xFFFFFFFF
+                    piece = np.frombuffer(raw, np.uint8)[start:start + length]
                     if s["size"]:
                         prints = _prints(_hashed(piece, np.array([0, len(piece)])), s["size"], salt, width)[0].view(np.int64)
                         if len(prints) != 1 or prints[0] != s["print"]:
@@ -158,7 +178,7 @@ def _recounts(size: int, shared, width: int):
             langs = batch.column(0).to_pylist()
             for row, hashed, _, buf, salt in _slices(batch, 1, SLICE_BYTES):
                 _, start, end, text, _ = hashed
-                prints, _, first = _prints(hashed, size, salt, width)
+                prints, first = _prints(hashed, size, salt, width)
                 seen: dict = {}
                 for i in np.flatnonzero(_marked(bits, prints)):
                     a = first[i]
@@ -197,7 +217,7 @@ def _bit_map(prints: DataFrame):
 
 
 def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEAST, width: int = 64,
-                  slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                  slice_bytes: int = SLICE_BYTES, together: int = TOGETHER) -> DataFrame:
     """(``lang``, ``size``, ``phrase``, ``f``): every phrase of up to ``longest``
     words with ``least`` occurrences or more in the texts of its language, and
     as size 0 with an empty phrase the number of all words of the language.
@@ -207,16 +227,17 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
     docs = documents.select(lang, F.coalesce("text", F.lit("")).alias("text"))
     salted = docs.select("lang", F.xxhash64("lang").alias("salt"), "text")
     keyed = salted.withColumn("key", F.xxhash64("lang", "text"))
-    grams = "size int, print long, n long, least long, most long, spot struct<text:long,start:long,bytes:long>"
+    grams = "size int, print long, n long, check long, text long, place long"
     parts, found, counted = None, [], []
     for size in range(1, longest + 1):
-        sums = keyed.select("key", "salt", "text").mapInArrow(_counts(size, parts, width, slice_bytes), grams) \
-            .groupBy("size", "print").agg(F.sum("n").alias("n"), F.min("least").alias("least"),
-                                          F.max("most").alias("most"), F.min("spot").alias("spot"))
+        # both parts of the pointer come from one and the same row
+        sums = keyed.select("key", "salt", "text").mapInArrow(_counts(size, parts, width, slice_bytes, together), grams) \
+            .groupBy("size", "print").agg(F.sum("n").alias("n"), F.min("check").alias("least"), F.max("check").alias("most"),
+                                          F.first("text").alias("text"), F.first("place").alias("place"))
         frequent = stage(sums.filter((F.col("n") >= least) | (F.col("size") == 0)), "grams")
         if parts is not None:
             parts.unpersist()
-        found.append(frequent.filter("least = most").select("size", "print", "n", "spot"))
+        found.append(frequent.filter("least = most").select("size", "print", "n", "text", "place"))
         shared = frequent.filter("least <> most").select("print")
         if not shared.isEmpty():
             counted.append(stage(salted.mapInArrow(_recounts(size, _bit_map(shared), width), "print long, lang string, phrase string, f long")
@@ -224,8 +245,8 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
                                  .filter(F.col("f") >= least).select("lang", F.lit(size).alias("size"), "phrase", "f"), "recounted"))
         if size < longest:
             parts = _bit_map(frequent.filter("size > 0").select("print"))
-    spots = stage(reduce(DataFrame.unionByName, found).groupBy(F.col("spot.text").alias("key")).agg(
-        F.collect_list(F.struct("size", "print", "n", "spot.start", "spot.bytes")).alias("spots")), "spots")
+    spots = stage(reduce(DataFrame.unionByName, found).groupBy(F.col("text").alias("key")).agg(
+        F.collect_list(F.struct("size", "print", "n", "place")).alias("spots")), "spots")
     # the texts that pointers name, before any text is shuffled
     named = keyed.join(spots.select("key"), "key", "left_semi").withColumn("same", F.hash("text")) \
         .dropDuplicates(["key", "same", "lang"])
@@ -235,7 +256,7 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
 
 
 def collocations(documents: DataFrame, longest: int = LONGEST, least: int = LEAST, inside: tuple[int, int] = INSIDE,
-                 top: int = TOP, width: int = 64, slice_bytes: int = SLICE_BYTES) -> DataFrame:
+                 top: int = TOP, width: int = 64, slice_bytes: int = SLICE_BYTES, together: int = TOGETHER) -> DataFrame:
     """The ``top`` phrases of two to ``longest`` words of each language:
     ``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score``.
 
@@ -248,7 +269,7 @@ def collocations(documents: DataFrame, longest: int = LONGEST, least: int = LEAS
     Arithmetic is exact for a up to 10 ** 16. A null text is empty, a null
     language is ``und``; every row counts, also repeated ones; other columns
     are ignored; a table without phrases gives no row."""
-    counts = phrase_counts(documents, longest, least, width, slice_bytes)
+    counts = phrase_counts(documents, longest, least, width, slice_bytes, together)
     totals = counts.filter("size = 0").groupBy("lang").agg(F.sum("f").alias("n"))
     known = counts.filter("size > 0").select("lang", "phrase", "f")
     long = counts.filter("size > 1").select("lang", "size", "phrase", F.col("f").alias("a"), F.split("phrase", " ").alias("w"))

@@ -58,7 +58,7 @@ def messy():
     return docs + [("en", None), ("en", ""), ("zz", " \t "), (None, None), ("en", "of of of " * 4000), ("en", docs[0][1]), ("en", docs[0][1])]
 
 
-@pytest.mark.parametrize("how", [{}, {"width": 6}, {"slice_bytes": 200}, {"longest": 4}, {"top": 5, "least": 3}])
+@pytest.mark.parametrize("how", [{}, {"width": 6}, {"slice_bytes": 200, "together": 50}, {"longest": 4}, {"top": 5, "least": 3}])
 def test_equals_brute_force(spark, messy, how):
     """Also with fingerprints so short that nearly all of them collide."""
     df = spark.createDataFrame([(lang, t, 1, "p") for lang, t in messy], "lang string, text string, n int, phrase string").repartition(3)
