@@ -7,14 +7,14 @@ straight line with both neighbours are dropped; a first point (0, 0) with
 threshold ``max score + 1`` is prepended; rates are divided by the totals.
 
 Distributed prefix sums: a running sum ordered by score over the whole data
-would put every distinct score into one task. Instead the distinct scores
-are cut into ``n_ranges`` score ranges (approximate quantiles, a bounded
-list of its own setting), each range is summed (one row per range), the per-range offsets are a
-running sum over those ``n_ranges`` rows, and the running sum inside each
-range is a window partitioned by range. Only the per-range table (size
-``n_ranges``, fixed by the caller, not by the data) is broadcast. Neighbours
-across a range boundary come from that table as well, so the collinearity
-test needs no extra shuffle.
+would put every distinct score into one task. Instead the distinct (group, score)
+rows are dealt into ranges of (group, score), balanced by Spark's sampling, each range of
+a group is summed (one row per group and range), the offsets are a running sum
+over a group's few ranges, and the running sum inside is a window
+partitioned by (group, range). How many ranges there are follows from the counted rows;
+a large group spans many, many small groups share one. Neighbours across a range
+boundary come from the table of ranges, so the collinearity test needs
+no extra shuffle, and Spark chooses how to join that table by its size.
 """
 
 from __future__ import annotations
@@ -22,66 +22,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
-from ..session import stage as stage_table
+from ..session import stage
 
 # --- fixed values -----------------------------------------------------------
-RANGES = 64        # score ranges of the prefix sums, whatever the shuffle's partitions
+ROWS_PER_RANGE = 500_000    # distinct scores (or points) that one task sorts
 # ---------------------------------------------------------------------------
 
 
-def _with_range(per: DataFrame, score: str, n_ranges: int) -> DataFrame:
-    """Add the range id ``_r`` (ascending in score) from approximate
-    quantiles of the distinct scores: ``n_ranges - 1`` split points reach the
-    driver; ``Bucketizer`` finds each score's range by binary search."""
-    from pyspark.ml.feature import Bucketizer
-
-    if n_ranges <= 1:
-        return per.withColumn("_r", F.lit(0.0))
-    probs = [i / n_ranges for i in range(1, n_ranges)]
-    qs = per.approxQuantile(score, probs, 1.0 / (4 * n_ranges))
-    inner = sorted(set(q for q in qs if q is not None and q == q and abs(q) != float("inf")))
-    if not inner:
-        return per.withColumn("_r", F.lit(0.0))
-    splits = [float("-inf")] + inner + [float("inf")]
-    return Bucketizer(splits=splits, inputCol=score, outputCol="_r").transform(per)
+def _dealt(rows: DataFrame, by: list[str], name: str, n_ranges: int | None) -> DataFrame:
+    """The rows with their range ``_r`` in the order of ``by``, written. The
+    number of ranges follows from the rows, which are written and counted first."""
+    rows = stage(rows, name)
+    n = n_ranges or -(-rows.count() // ROWS_PER_RANGE)
+    if n <= 1:
+        return rows.withColumn("_r", F.lit(0))
+    return stage(rows.repartitionByRange(n, *by).withColumn("_r", F.spark_partition_id()), name)
 
 
 def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
-              drop_intermediate: bool = True, n_ranges: int = RANGES,
-              stage: bool = True) -> DataFrame:
-    """ROC points ``(threshold, fpr, tpr)`` of ``score`` against boolean
-    ``label``. A null or NaN score, or a null label, fails the job: a curve
+              drop_intermediate: bool = True, n_ranges: int | None = None,
+              by: list[str] | None = None) -> DataFrame:
+    """ROC points ``(by..., threshold, fpr, tpr)`` of ``score`` against boolean
+    ``label``, one curve for the table or for each value of ``by`` (a month, a day)
+    in one plan. A null or NaN score, or a null label, fails the job: a curve
     over the other rows alone would look complete. Callers that mean to leave
     such rows out filter them first.
 
-    ``n_ranges`` sets how many score ranges the prefix sum is split into; its
-    quantiles and its broadcast table are of that size. ``stage`` checkpoints the
-    distinct-score table to the shared checkpoint folder so the quantile pass
-    and the final pass read it once and see the same ranges.
+    ``n_ranges`` sets how many score ranges the prefix sum is split into, instead of one for each
+    ``ROWS_PER_RANGE`` distinct scores; the points are the same for any. The distinct scores
+    are written to the shared folder, so that all passes see the same ranges.
     """
-    spark = scored.sparkSession
+    by = list(by or [])
     s = F.col(score).cast("double")
     gap = s.isNull() | F.isnan(s) | F.col(label).isNull()
     s = F.when(gap, F.raise_error(F.lit(f"row without {score} or {label}")).cast("double")).otherwise(s)
     pos = F.when(F.col(label), 1).otherwise(0).cast("long")
-    per = (scored.groupBy(s.alias(score))
-                 .agg(F.sum(pos).alias("_p"), F.sum(1 - pos).alias("_n")))
-    if stage:
-        checkpoint_dir(spark)
-        per = per.checkpoint(eager=True)
-    per = _with_range(per, score, n_ranges)
-
-    # one row per range: totals, first (highest-score) row's counts
-    rng = per.groupBy("_r").agg(
+    per = scored.groupBy(*by, s.alias(score)).agg(F.sum(pos).alias("_p"), F.sum(1 - pos).alias("_n"))
+    per = _dealt(per, [*by, score], "roc_scores", n_ranges)
+
+    # one row per group and range: totals, first (highest-score) row's counts
+    rng = per.groupBy(*by, "_r").agg(
         F.sum("_p").alias("_rp"), F.sum("_n").alias("_rn"), F.count(F.lit(1)).alias("_rc"),
         F.max_by(F.struct("_p", "_n"), score).alias("_first"),
         F.max(score).alias("_rmax"))
-    wd = Window.orderBy(F.desc("_r"))
+    group = by or [F.lit(0)]
+    wd = Window.partitionBy(*group).orderBy(F.desc("_r"))
     before = wd.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(F.lit(0))
+    whole = wd.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rng = rng.select(
-        "_r", "_rc", "_rmax",
+        *by, "_r", "_rc", "_rmax",
         F.coalesce(F.sum("_rp").over(before), F.lit(0)).alias("_bp"),
         F.coalesce(F.sum("_rn").over(before), F.lit(0)).alias("_bn"),
         F.lag("_r").over(wd).isNotNull().alias("_has_prev"),
@@ -90,20 +79,25 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
         F.sum("_rp").over(whole).alias("_tot_p"), F.sum("_rn").over(whole).alias("_tot_n"),
         F.max("_rmax").over(whole).alias("_max"))
 
-    w = Window.partitionBy("_r").orderBy(F.desc(score))
+    w = Window.partitionBy(*by, "_r").orderBy(F.desc(score))
     run = w.rowsBetween(Window.unboundedPreceding, 0)
-    pts = per.join(F.broadcast(rng), "_r").select(
-        score, "_r", "_rc", "_bp", "_bn", "_rp", "_rn", "_has_prev", "_next_first", "_tot_p", "_tot_n",
-        (F.col("_bp") + F.sum("_p").over(run)).alias("tps"),
-        (F.col("_bn") + F.sum("_n").over(run)).alias("fps"),
-        F.row_number().over(w).alias("_i"))
+    left, right = per.alias("s"), rng.alias("t")
+    same = F.col("s._r") == F.col("t._r")
+    for c in by:
+        same = same & F.col(f"s.{c}").eqNullSafe(F.col(f"t.{c}"))
+    pts = left.join(right, same).select(
+        *[F.col(f"s.{c}").alias(c) for c in by], score, F.col("s._r").alias("_r"), "_p", "_n",
+        "_rc", "_bp", "_bn", "_rp", "_rn", "_has_prev", "_next_first", "_tot_p", "_tot_n")
+    pts = pts.select(
+        "*", (F.col("_bp") + F.sum("_p").over(run)).alias("tps"),
+        (F.col("_bn") + F.sum("_n").over(run)).alias("fps"), F.row_number().over(w).alias("_i"))
     if drop_intermediate:
         # same partitioning and order as above: no extra shuffle
         pts = pts.select("*", F.lag("tps").over(w).alias("_lt"), F.lag("fps").over(w).alias("_lf"),
                          F.lead("tps").over(w).alias("_nt"), F.lead("fps").over(w).alias("_nf"))
         first, last = F.col("_i") == 1, F.col("_i") == F.col("_rc")
         # neighbours across a range edge: end of the previous range, or the
-        # first row of the next one (both from the broadcast range table)
+        # first row of the next one (both from the table of ranges)
         prev_t = F.when(~first, F.col("_lt")).when(F.col("_has_prev"), F.col("_bp"))
         prev_f = F.when(~first, F.col("_lf")).when(F.col("_has_prev"), F.col("_bn"))
         next_t = F.when(~last, F.col("_nt")).when(
@@ -115,24 +109,23 @@ def roc_curve(scored: DataFrame, label: str = "target", score: str = "score",
                 | ((next_f - 2 * F.col("fps") + prev_f) != 0))
         pts = pts.filter(keep)
     rates = pts.select(
-        F.col(score).alias("threshold"),
+        *by, F.col(score).alias("threshold"),
         # a class that never occurs gives NaN-free nulls instead of 0/0
         F.try_divide(F.col("fps").cast("double"), F.col("_tot_n")).alias("fpr"),
         F.try_divide(F.col("tps").cast("double"), F.col("_tot_p")).alias("tpr"))
-    origin = rng.agg((F.max("_max") + 1).alias("threshold")) \
+    origin = rng.groupBy(*by).agg((F.max("_max") + 1).alias("threshold")) \
         .filter(F.col("threshold").isNotNull()) \
-        .select("threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
+        .select(*by, "threshold", F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return origin.unionByName(rates)
 
 
-def roc_area(points: DataFrame, n_ranges: int = RANGES) -> DataFrame:
+def roc_area(points: DataFrame, n_ranges: int | None = None) -> DataFrame:
     """One row (fpr_end, tpr_end, area): the largest rates of ROC ``points``
     and the trapezoids between neighbours in the order of (fpr, tpr). Points are
-    dealt into ``n_ranges`` ranges and written once; steps inside a range use
+    dealt into ranges and written; steps inside a range use
     ``lag``, and those between ranges one row for each range. Steps with a null
     rate are left out; null where no step is left."""
-    dealt = stage_table(points.select("fpr", "tpr").repartitionByRange(n_ranges, "fpr", "tpr")
-                        .withColumn("_r", F.spark_partition_id()), "roc")
+    dealt = _dealt(points.select("fpr", "tpr"), ["fpr", "tpr"], "roc", n_ranges)
     p = F.struct("fpr", "tpr")
     wide = lambda a, b: (b["fpr"] - a["fpr"]) * (a["tpr"] + b["tpr"]) / 2
     w = Window.partitionBy("_r").orderBy("fpr", "tpr")

@@ -21,7 +21,7 @@ from ..functions import flight as ff
 from ..schemas import FLIGHT_ENTITY_FEATURES, READ_INSTANCE_SCHEMA, TRAIN_FEATURES, TRAIN_SCHEMA
 from ..session import configure, scratch_path, stage
 from ..sources import csv as csvsrc
-from ..sources.events_flights import RAW_FLIGHT_COLUMNS, raw_flights, read_events
+from ..sources.events_flights import RAW_FLIGHT_COLUMNS, raw_flights, raw_flights_from_events, read_events
 
 # --- fixed values -----------------------------------------------------------
 SPLIT_DATE = "2024-01-20"          # train < split <= test (the events span January 2024)
@@ -31,6 +31,8 @@ LOAD1_BEFORE = "2024-01-20"        # first feature load: flights before this day
 LOAD2_FROM = "2024-01-15"          # second (correcting) load: flights from this day
 DELIVERY2_FROM = "2024-01-25"      # rows of the second delivery
 PROBABILITY_DIGITS = 4
+SAMPLE_ROWS = 100                  # rows of each archive in the monthly sample
+DELIVERIES = [(1, 3), (4, 5)]      # first and last archive of the two deliveries
 FLIGHT_AGE, AIRPORT_AGE = "2 hours", "30 minutes"   # older feature values are stale
 # ---------------------------------------------------------------------------
 
@@ -381,6 +383,57 @@ def q_delivery_evaluation(spark, sf):
     return evaluation.confusion_matrix(rule, by=["file_year", "file_month"])
 
 
+def _week_archives(spark, sf, path: str, first: int = 1, last: int = 5) -> str:
+    """The raw flights of the weeks ``first``..``last`` of the month as monthly
+    zip archives (a week stands for a month)."""
+    from ..sources.zip_format import write_archives
+    configure(spark)
+    week = F.expr("1 + (day(ts) - 1) div 7").cast("int")
+    raw = raw_flights_from_events(read_events(spark, sf), keep=("ts",)) \
+        .withColumns({"file_year": F.lit(2024), "file_month": week}).filter(F.col("file_month").between(first, last))
+    write_archives(csvsrc.encode_lines(raw, keep=("event_id", "file_year", "file_month")), path, ["event_id"])
+    return path
+
+
+# Raw flights written as archives and loaded again
+def q_zip_round_trip(spark, sf):
+    from .jobs import ingest_monthly
+    path = scratch_path(spark, "zips")
+    _week_archives(spark, sf, path)
+    raw = ingest_monthly(spark, path + "/*.zip", path + "/raw")
+    return raw.select("file_year", "file_month", *RAW_FLIGHT_COLUMNS[1:])
+
+
+# The first data rows of each loaded archive
+def q_monthly_sample(spark, sf):
+    from .jobs import ingest_monthly
+    path = scratch_path(spark, "zips")
+    _week_archives(spark, sf, path)
+    ingest_monthly(spark, path + "/*.zip", path + "/raw", sample_dir=path + "/sample", sample_rows=SAMPLE_ROWS)
+    return spark.read.parquet(path + "/sample").select("file_year", "file_month", *RAW_FLIGHT_COLUMNS[1:])
+
+
+def _refreshed(spark, sf) -> str:
+    """Two deliveries of archives, each taken by a run of the incremental load."""
+    from ..streaming.deliveries import refresh_deliveries
+    path = scratch_path(spark, "deliveries")
+    for first, last in DELIVERIES:
+        _week_archives(spark, sf, path + "/zips", first, last)
+        refresh_deliveries(spark, path + "/zips", path + "/raw", path + "/metrics", SPLIT_DATE, path + "/_checkpoint",
+                           threshold_digits=PROBABILITY_DIGITS, fit={"max_iter": 500, "tol": 1e-12})
+    return path + "/metrics"
+
+
+# The month's evaluation after each delivery, by the model of that time
+def q_monthly_confusion(spark, sf):
+    return spark.read.parquet(_refreshed(spark, sf) + "/confusion").select("file_year", "file_month", "actual", "predicted", "n")
+
+
+# Every ROC point of every loaded month
+def q_monthly_roc(spark, sf):
+    return spark.read.parquet(_refreshed(spark, sf) + "/roc").select("file_year", "file_month", "threshold", "fpr", "tpr")
+
+
 # E5: confusion matrix per flight day of the test period (rule DepDelay > 15)
 def q_daily_confusion(spark, sf):
     from .jobs import daily_confusion

@@ -7,12 +7,11 @@ plans run by Spark. Nothing here iterates over data on the driver.
 
 from __future__ import annotations
 
-import functools
 from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import flight as ff
@@ -120,10 +119,9 @@ def run_training(spark: SparkSession, data, split_date: str = training.DEFAULT_S
 
 
 MONTH = ["file_year", "file_month"]
-FILES_PER_MONTH = 8     # files a month of raw rows is written into
 
 
-def _months(spark: SparkSession, zip_glob: str) -> list[tuple[int, int]]:
+def _months(spark: SparkSession, zip_glob) -> list[tuple[int, int]]:
     """The months of an archive listing (names only)."""
     rows = zips.list_archives(spark, zip_glob).filter("name_ok").select(*MONTH).distinct().orderBy(*MONTH).collect()
     return [tuple(r) for r in rows]
@@ -137,27 +135,29 @@ def _of_months(df: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
     return df.filter(match)
 
 
-def ingest_monthly(spark: SparkSession, zip_glob: str, out_dir: str, sample_dir: str | None = None,
-                   sample_rows: int | None = 5000, fmt: str = "parquet", strict_names: bool = True,
-                   files_per_month: int = FILES_PER_MONTH) -> DataFrame:
+def _first_of_months(rows: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` rows of each month in file order: tasks thin a month to
+    ``n`` rows each before they are shuffled (Spark's group limit)."""
+    place = F.row_number().over(Window.partitionBy(*MONTH).orderBy("line_no"))
+    return rows.withColumn("_place", place).filter(F.col("_place") <= n).drop("_place")
+
+
+def ingest_monthly(spark: SparkSession, zip_glob, out_dir: str, sample_dir: str | None = None,
+                   sample_rows: int | None = 5000, fmt: str = "parquet", strict_names: bool = True) -> DataFrame:
     """Monthly zip archives → raw rows partitioned by ``file_year`` /
     ``file_month``, plus the first ``sample_rows`` data rows of each (file
     order). Only the months of this load are replaced, read and sampled.
     Header lines are known by their value, wherever they stand, and are not
-    stored; a month is written as ``files_per_month`` files at most."""
+    stored."""
     configure(spark)
     lines = zips.read_zip_lines(spark, zip_glob, strict_names=strict_names)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = lines.withColumn("_part", F.pmod(F.xxhash64("path", "line_no"), F.lit(files_per_month))) \
-        .repartition(n, *MONTH, "_part")
-    rows = csvsrc.decode_lines(dealt, keep=(*MONTH, "line_no")).filter(~ff.is_header())
+    # the lines are balanced by size before they are decoded: an archive is one task, a month many
+    rows = csvsrc.decode_lines(lines.hint("rebalance"), keep=(*MONTH, "line_no")).filter(~ff.is_header())
     writers.write_monthly(rows, out_dir, *MONTH, fmt=fmt)
     table = spark.read.format(fmt).load(out_dir)
     if sample_dir and sample_rows:
-        # one ordered top-N for each month of the load: no month is sorted as a whole
-        firsts = [_of_months(table, [m]).orderBy("line_no").limit(sample_rows) for m in _months(spark, zip_glob)]
-        if firsts:
-            writers.write_monthly(functools.reduce(DataFrame.unionByName, firsts), sample_dir, *MONTH, fmt=fmt)
+        firsts = _first_of_months(_of_months(table, _months(spark, zip_glob)), sample_rows)
+        writers.write_monthly(firsts, sample_dir, *MONTH, fmt=fmt)
     return table
 
 
@@ -185,8 +185,8 @@ def compact_feature_table(spark: SparkSession, table_path: str, entity_id: str,
                           features: list[str], since, until, fmt: str = "parquet") -> None:
     """Replace the loads of the days ``since``..``until`` by one: the rows
     that win, under the highest load id of each day. The compacted days are
-    staged first; then they are written and only afterwards are their older
-    loads removed by overwriting them with nothing."""
+    staged first; then they are written, and only afterwards are the folders of
+    their older loads deleted."""
     rows = spark.read.format(fmt).load(table_path).filter(
         F.col(writers.FEATURE_DATE).between(F.lit(since).cast("date"), F.lit(until).cast("date")))
     last = rows.groupBy(writers.FEATURE_DATE).agg(F.max(pit.LOAD_ID).alias(pit.LOAD_ID))
@@ -235,32 +235,30 @@ def training_rows(instances: DataFrame, flight_features: DataFrame, airport_feat
                         {c: c for c in AIRPORT_ENTITY_FEATURES}, "airport_time", airport_age)])
 
 
-def monthly_refresh(spark: SparkSession, zip_glob: str, raw_dir: str, metrics_dir: str,
+def monthly_refresh(spark: SparkSession, zip_glob, raw_dir: str, metrics_dir: str,
                     split_date: str, model_path: str | None = None,
-                    eval_rows: int | None = None) -> TrainingResult:
+                    eval_rows: int | None = None, threshold_digits: int | None = None,
+                    fit: dict | None = None) -> TrainingResult:
     """Load this delivery's archives (replacing only their months), retrain on
     the whole table, and store the evaluation of each loaded month, on all of
     that month's test rows, in the metrics history (a re-run replaces it).
     ``eval_rows`` asks for the first so many test rows of each month instead.
-    A month without test rows gets no metrics."""
+    A month without test rows gets no metrics. ``threshold_digits`` rounds the
+    scores of the ROC points, which bounds their number; ``fit`` has further
+    arguments of ``fit_model``. ``zip_glob`` may be a list of archives."""
     raw = ingest_monthly(spark, zip_glob, raw_dir)
     split = training.split_by_date(raw, split_date, keep=(*MONTH, "line_no"))
-    fitted = model.fit_model(split.train)
+    fitted = model.fit_model(split.train, **(fit or {}))
     if model_path:
         model.save_model(fitted, model_path)
-    months = _months(spark, zip_glob)
-    test = _of_months(split.test, months)
+    test = _of_months(split.test, _months(spark, zip_glob))
     if eval_rows is not None:
-        test = functools.reduce(DataFrame.unionByName, [
-            _of_months(split.test, [m]).orderBy("line_no").limit(eval_rows) for m in months])
+        test = _first_of_months(test, eval_rows)
     scored = stage(model.score(fitted, test), "scored")
     confusion = evaluation.confusion_matrix(scored, "target", "prediction", by=MONTH)
+    score = F.col("probability") if threshold_digits is None else F.round("probability", threshold_digits) + F.lit(0.0)
+    roc = evaluation.roc_curve(scored.withColumn("probability", score), "target", "probability", by=MONTH)
     writers.write_monthly(confusion, f"{metrics_dir}/confusion", *MONTH)
-    curves = []
-    for y, m in months:
-        curve = evaluation.roc_curve(_of_months(scored, [(y, m)]), "target", "probability")
-        curves.append(curve.select("*", F.lit(y).alias("file_year"), F.lit(m).alias("file_month")))
-    roc = functools.reduce(DataFrame.unionByName, curves)
     writers.write_monthly(roc, f"{metrics_dir}/roc", *MONTH)
     return TrainingResult(fitted, scored, roc, confusion)
 

@@ -240,7 +240,55 @@ SELECT flight_number, "timestamp", origin_airport_id, is_cancelled, departure_de
        arrival_delay_minutes, taxi_out_minutes, distance_miles
 FROM ranked WHERE rn = 1"""
 
+# a week of the month stands for a month; an empty field of a CSV is null, and header lines are not stored
+_WEEK = "1 + (day(ts) - 1) // 7"
+_STORED = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in _RAW_COLS)
+
+
+def _delivery(first: int, last: int) -> str:
+    """Scored test rows of the archives ``first``..``last``, by the model of all archives so far."""
+    chain = _with(RAW_FLIGHTS, TRAIN.split("train AS (")[0] + f"""stored AS (
+  SELECT l.*, {_WEEK} AS week FROM labelled l JOIN events USING (event_id) JOIN raw_flights r USING (event_id)
+  WHERE r."Year" <> 'Year' AND l.FlightDate <> ''),
+train AS (SELECT event_id, DepDelay, TaxiOut, Distance, target FROM stored WHERE FlightDate < '2024-01-20' AND week <= {last}),
+test AS (SELECT * FROM stored WHERE FlightDate >= '2024-01-20' AND week BETWEEN {first} AND {last})""", MODEL)
+    return f"SELECT * FROM ({chain} SELECT week, scored.target, p FROM scored JOIN test USING (event_id))"
+
+
+_DELIVERIES = f"WITH d AS MATERIALIZED ({_delivery(1, 3)} UNION ALL {_delivery(4, 5)})"
+_MONTHLY_ROC = """
+, s AS (SELECT week, round(p, 4) + 0.0 AS score, sum(CASE WHEN target THEN 1 ELSE 0 END) AS p, sum(CASE WHEN target THEN 0 ELSE 1 END) AS n
+        FROM d GROUP BY week, round(p, 4) + 0.0),
+c AS (SELECT week, score, sum(p) OVER w AS tps, sum(n) OVER w AS fps FROM s
+      WINDOW w AS (PARTITION BY week ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+k AS (SELECT *, lag(tps) OVER o AS lt, lead(tps) OVER o AS nt, lag(fps) OVER o AS lf, lead(fps) OVER o AS nf
+      FROM c WINDOW o AS (PARTITION BY week ORDER BY score DESC)),
+tot AS (SELECT week, sum(p) AS P, sum(n) AS N, max(score) AS mx FROM s GROUP BY week)
+SELECT 2024 AS file_year, CAST(week AS INTEGER) AS file_month, mx + 1 AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr FROM tot
+UNION ALL
+SELECT 2024, CAST(week AS INTEGER), score, CASE WHEN N > 0 THEN CAST(fps AS DOUBLE) / N END, CASE WHEN P > 0 THEN CAST(tps AS DOUBLE) / P END
+FROM k JOIN tot USING (week)
+WHERE lt IS NULL OR nt IS NULL OR nt - 2 * tps + lt <> 0 OR nf - 2 * fps + lf <> 0"""
+
 SQL = {
+    "zip_round_trip": _RF + f"""
+SELECT 2024 AS file_year, CAST({_WEEK} AS INTEGER) AS file_month, {_STORED}
+FROM raw_flights JOIN events USING (event_id) WHERE "Year" <> 'Year'""",
+
+    "monthly_sample": _RF + f"""
+SELECT * EXCLUDE (k) FROM (
+  SELECT 2024 AS file_year, CAST({_WEEK} AS INTEGER) AS file_month, {_STORED},
+         row_number() OVER (PARTITION BY {_WEEK} ORDER BY event_id) AS k
+  FROM raw_flights JOIN events USING (event_id) WHERE "Year" <> 'Year') WHERE k <= 100""",
+
+    "monthly_confusion": _DELIVERIES + f"""
+SELECT 2024 AS file_year, CAST(m.week AS INTEGER) AS file_month, g.actual, g.predicted, count(d.target) AS n
+FROM (SELECT DISTINCT week FROM d) m CROSS JOIN {GRID}
+LEFT JOIN d ON d.week = m.week AND d.target = g.actual AND (d.p > 0.5) = g.predicted
+GROUP BY ALL""",
+
+    "monthly_roc": _DELIVERIES + _MONTHLY_ROC,
+
     "csv_decode": _RF + "SELECT event_id, " + ", ".join(
         f"nullif(\"{c}\", '') AS \"{c}\"" for c in _RAW_COLS) + " FROM raw_flights",
 

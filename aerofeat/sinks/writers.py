@@ -67,8 +67,10 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def write_partitions(df: DataFrame, path: str, by: list[str], fmt: str = "parquet",
                      mode: str = "overwrite") -> None:
     """Write a partitioned table; with dynamic partition overwrite only the
-    partitions present in ``df`` are replaced."""
-    (df.write.mode(mode).option("partitionOverwriteMode", "dynamic")
+    partitions present in ``df`` are replaced. Rows are dealt by partition, and
+    the adaptive planner splits a large one and joins small ones by their measured
+    size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``): files and tasks follow the data."""
+    (df.hint("rebalance", *by).write.mode(mode).option("partitionOverwriteMode", "dynamic")
        .partitionBy(*by).format(fmt).save(path))
 
 
@@ -92,7 +94,7 @@ def append_load(df: DataFrame, table_path: str, load_id: int, fmt: str = "parque
     (``operators.pit.upsert``) over all loads, applied on read; a date range
     prunes it."""
     rows = df.withColumn(FEATURE_DATE, F.to_date(feature_time)).withColumn("load_id", F.lit(int(load_id)))
-    write_partitions(rows.repartition(FEATURE_DATE, F.pmod(F.xxhash64(*df.columns), F.lit(8))), table_path,
+    write_partitions(rows, table_path,
                      [FEATURE_DATE, "load_id"], fmt)
 
 

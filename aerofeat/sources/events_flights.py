@@ -43,8 +43,8 @@ def _is(rule) -> "F.Column":
     return (F.col("event_id") % m) == r
 
 
-def raw_flights_from_events(events: DataFrame) -> DataFrame:
-    return events.select(*_raw_flight_columns())
+def raw_flights_from_events(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return events.select(*_raw_flight_columns(), *keep)
 
 
 @per_context

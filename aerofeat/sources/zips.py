@@ -2,7 +2,7 @@
 
 Each archive must hold exactly one ``.csv`` member. Spark lists the archives
 (``binaryFile`` with only the ``path`` column selected, so no archive is
-loaded into a row); one Python task per archive opens it, checks the
+loaded into a row); one partition of the ``monthly_zip`` source opens it, checks the
 members and streams the CSV member's lines out in Arrow batches of bounded
 size, each with its 0-based line number. An archive cannot be split, so the
 parallelism of this step is the number of archives; everything after it is
@@ -30,6 +30,19 @@ LINE_BATCH = 20000
 LINES_SCHEMA = "path string, file_year int, file_month int, line_no long, value string"
 
 
+# Hadoop's names of schemes that Arrow knows by another
+SCHEMES = {"s3a": "s3", "s3n": "s3", "wasb": "abfs", "wasbs": "abfss"}
+
+
+def file_system(path: str):
+    """(Arrow file system, path on it) of a path as Hadoop writes it."""
+    from pyarrow import fs
+    scheme, colon, rest = path.partition(":")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/") if colon else path
+    return fs.FileSystem.from_uri(f"{SCHEMES.get(scheme, scheme)}:{rest}")
+
+
 def _extractor(line_batch: int = LINE_BATCH):
     """The task function, made inside a function so that workers get it by
     value: they need not have this package installed."""
@@ -94,8 +107,7 @@ def read_zip_lines(spark: SparkSession, zip_glob: str, strict_names: bool = True
         arch = arch.withColumn("_chk", F.when(~F.col("name_ok"), F.raise_error(
             F.concat(F.lit("archive name has no _year_month: "), F.col("path")))))
         arch = arch.filter(F.col("_chk").isNull())
-    arch = arch.filter("name_ok").select("path", "file_year", "file_month")
-    # round-robin: with no more archives than partitions, one archive per task
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    arch = arch.repartition(n)
-    return arch.mapInPandas(_extractor(), LINES_SCHEMA)
+    from .zip_format import read_archives
+    # names only, one for each archive
+    found = arch.filter("name_ok").select("path", "file_year", "file_month").orderBy("path").collect()
+    return read_archives(spark, [tuple(r) for r in found])

@@ -84,3 +84,25 @@ def test_area_is_summed_without_one_array(spark):
     assert evaluation.roc_area(df.limit(0)).first().area is None
     plan = catalog.q_training_job_roc(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_list" not in plan
+
+
+@pytest.mark.parametrize("n_ranges", [None, 1, 7])
+def test_grouped_roc_equals_one_curve_for_each_group(spark, n_ranges):
+    rng = np.random.default_rng(4)
+    rows = [(g, float(s), bool(rng.random() < (s + 1) / 30)) for g, n in (("a", 900), ("b", 40), (None, 60), ("c", 2))
+            for s in rng.integers(0, 25, n)]
+    rows += [(g, 3.0, y) for g in ("a", "b", None, "c") for y in (True, False)]
+    df = spark.createDataFrame(rows, "g string, score double, target boolean")
+    got = {}
+    for r in roc_curve(df, "target", "score", n_ranges=n_ranges, by=["g"]).collect():
+        got.setdefault(r.g, []).append((r.threshold, r.fpr, r.tpr))
+    assert set(got) == {"a", "b", "c", None}
+    for g, points in got.items():
+        part = [(s, y) for k, s, y in rows if k == g]
+        thr, fpr, tpr = roc_reference(np.array([y for _, y in part]).astype(int), np.array([s for s, _ in part]))
+        assert np.allclose(sorted(points), sorted(zip(thr, fpr, tpr)))
+
+
+def test_roc_of_no_rows(spark):
+    df = spark.createDataFrame([], "g string, score double, target boolean")
+    assert roc_curve(df, by=["g"]).collect() == [] and roc_curve(df).collect() == []
