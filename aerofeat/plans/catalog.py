@@ -31,6 +31,8 @@ LOAD1_BEFORE = "2024-01-20"        # first feature load: flights before this day
 LOAD2_FROM = "2024-01-15"          # second (correcting) load: flights from this day
 DELIVERY2_FROM = "2024-01-25"      # rows of the second delivery
 PROBABILITY_DIGITS = 4
+CLOSING = ("2024-03-01", "2024-04-01")   # times of the rows that close all windows of a finished input
+LATE_BEFORE = "2024-01-08"         # every 50th flight before this day reaches the stream too late
 SAMPLE_ROWS = 100                  # rows of each archive in the monthly sample
 DELIVERIES = [(1, 3), (4, 5)]      # first and last archive of the two deliveries
 FLIGHT_AGE, AIRPORT_AGE = "2 hours", "30 minutes"   # older feature values are stale
@@ -443,6 +445,57 @@ def q_daily_confusion(spark, sf):
     return daily_confusion(test, "FlightDate").withColumnRenamed("date", "flight_date")
 
 
+def _final_windows(spark, sf, closing: tuple[str, ...] = CLOSING) -> str:
+    """The flights as three files of a stream: by time in two, then every 50th flight of the
+    first week, too late; and closing rows, which no airport has."""
+    from ..streaming import final_windows as fw
+    path = scratch_path(spark, "final_windows")
+    late = (F.col("event_id") % 50 == 0) & (F.to_date("et") < F.lit(LATE_BEFORE).cast("date"))
+    flights = _flights(spark, sf).select(F.col("timestamp").cast("timestamp").alias("et"), "event_id", "origin_airport_id", "departure_delay_minutes")
+    flights = stage(flights.withColumn("file", F.when(late, 2).when(F.to_date("et") < F.lit(SPLIT_DATE).cast("date"), 0).otherwise(1)), "flights")
+    ends = spark.createDataFrame([(c,) for c in closing], "c string").select(
+        F.col("c").cast("timestamp").alias("et"), F.lit(-1).cast("long").alias("event_id"), F.lit("").alias("origin_airport_id"),
+        F.lit(None).cast("double").alias("departure_delay_minutes"))
+    schema = ends.schema
+    # each part is taken by a run of its own, as it would be when it arrives
+    parts = [flights.filter(F.col("file") == i).drop("file") for i in range(3)] + [ends]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(path + "/in")
+        fw.gate(spark.readStream.schema(schema).parquet(path + "/in"), "et", path, path + "/_gate")
+    fw.final_means(fw.on_time(spark, path, schema), "et", path + "/means", path + "/_means")
+    return path
+
+
+# Windows of a stream that are final, each emitted once
+def q_stream_final_windows(spark, sf):
+    means = spark.read.parquet(_final_windows(spark, sf) + "/means").filter("origin_airport_id <> ''")
+    return means.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "origin_airport_id", _r("average_departure_delay"))
+
+
+# What came too late for its windows, by airport
+def q_stream_late_rows(spark, sf):
+    late = spark.read.parquet(_final_windows(spark, sf) + "/late")
+    return late.groupBy("origin_airport_id").agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"), F.max("event_id").alias("last_event"))
+
+
+# Requests of a stream with the newest final mean of their airport
+def q_stream_enriched_requests(spark, sf):
+    from ..streaming import final_windows as fw
+    path = _final_windows(spark, sf)
+    flights = _flights(spark, sf).select("event_id", F.col("origin_airport_id").alias("airport"), F.col("timestamp").cast("timestamp").alias("time"))
+    end = spark.range(1).select(F.lit(-1).cast("long").alias("event_id"), F.lit("").alias("airport"),
+                                F.lit(CLOSING[0]).cast("timestamp").alias("time"))
+    for part in (flights, end):
+        part.write.mode("append").parquet(path + "/requests")
+    fw.enrich(spark.readStream.schema(flights.schema).parquet(path + "/requests"),
+              spark.readStream.schema(fw.MEAN_SCHEMA).option("recursiveFileLookup", True).parquet(path + "/means"),
+              path + "/enriched", path + "/_enriched")
+    return spark.read.parquet(path + "/enriched").filter("event_id >= 0").select(
+        "event_id", "airport", F.col("time").cast("timestamp_ntz").alias("time"),
+        F.col("feature_time").cast("timestamp_ntz").alias("feature_time"), _r("average_departure_delay"))
+
+
 # S1-S3 on files: raw rows rendered as CSV text files, read back by the
 # positional CSV reader (pruned CSV scan)
 def q_csv_file_decode(spark, sf):

@@ -270,7 +270,23 @@ SELECT 2024, CAST(week AS INTEGER), score, CASE WHEN N > 0 THEN CAST(fps AS DOUB
 FROM k JOIN tot USING (week)
 WHERE lt IS NULL OR nt IS NULL OR nt - 2 * tps + lt <> 0 OR nf - 2 * fps + lf <> 0"""
 
+_LATE = """event_id % 50 = 0 AND CAST("timestamp" AS DATE) < DATE '2024-01-08'"""
+_FINAL = _with(RAW_FLIGHTS, PARSED, AIRPORT_WINDOWS.replace("FROM flights f,", f"FROM (SELECT * FROM flights WHERE NOT ({_LATE})) f,"))
+
 SQL = {
+    "stream_final_windows": _FINAL + """
+SELECT window_start, window_end, origin_airport_id, (round(average_departure_delay, 6) + 0.0) AS average_departure_delay FROM airport_means""",
+
+    "stream_late_rows": _FL + f"""
+SELECT origin_airport_id, count(*) AS n, min(event_id) AS first_event, max(event_id) AS last_event
+FROM flights WHERE {_LATE} GROUP BY origin_airport_id""",
+
+    "stream_enriched_requests": _FINAL + """
+SELECT f.event_id, f.origin_airport_id AS airport, f."timestamp" AS "time", m.window_end AS feature_time,
+       (round(m.average_departure_delay, 6) + 0.0) AS average_departure_delay
+FROM flights f LEFT JOIN airport_means m
+  ON m.origin_airport_id = f.origin_airport_id AND m.window_end <= f."timestamp" AND m.window_end > f."timestamp" - INTERVAL 1 HOUR""",
+
     "zip_round_trip": _RF + f"""
 SELECT 2024 AS file_year, CAST({_WEEK} AS INTEGER) AS file_month, {_STORED}
 FROM raw_flights JOIN events USING (event_id) WHERE "Year" <> 'Year'""",
