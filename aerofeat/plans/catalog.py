@@ -33,6 +33,7 @@ DELIVERY2_FROM = "2024-01-25"      # rows of the second delivery
 PROBABILITY_DIGITS = 4
 CLOSING = ("2024-03-01", "2024-04-01")   # times of the rows that close all windows of a finished input
 LATE_BEFORE = "2024-01-08"         # every 50th flight before this day reaches the stream too late
+HEAD_ROWS = 400                    # rows read from the start of a set of files
 SAMPLE_ROWS = 100                  # rows of each archive in the monthly sample
 DELIVERIES = [(1, 3), (4, 5)]      # first and last archive of the two deliveries
 FLIGHT_AGE, AIRPORT_AGE = "2 hours", "30 minutes"   # older feature values are stale
@@ -196,6 +197,18 @@ def q_latest_after_loads(spark, sf):
     return latest.select("origin_airport_id", "timestamp", _r("average_departure_delay"))
 
 
+# The online view of the flights kept up by three loads, the second of which comes last
+def q_latest_online_view(spark, sf):
+    from .jobs import merge_online, read_online
+    path = scratch_path(spark, "online")
+    loads = _flight_loads(spark, sf)
+    third = loads.filter((F.col("load_id") == 2) & (F.to_date("timestamp") >= F.lit(DELIVERY2_FROM).cast("date"))
+                         & (F.col("event_id") % 3 == 0)).withColumn("taxi_out_minutes", F.lit(0.0))
+    for i, rows in ((1, loads.filter("load_id = 1")), (3, third), (2, loads.filter("load_id = 2"))):
+        merge_online(rows, path, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES, i, buckets=16)
+    return read_online(spark, path, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES)
+
+
 # Latest airport feature per airport
 def q_latest_features(spark, sf):
     feats = airport_windows(_flights(spark, sf))
@@ -496,6 +509,30 @@ def q_stream_enriched_requests(spark, sf):
         F.col("feature_time").cast("timestamp_ntz").alias("feature_time"), _r("average_departure_delay"))
 
 
+# E5, M7: the model's confusion matrix per day of a replayed stream of requests
+def q_daily_model_confusion(spark, sf):
+    from .jobs import evaluate_requests
+    path = scratch_path(spark, "requests")
+    fitted = _tight_model(_split(spark, sf).train)
+    rows = training.labelled(_raw(spark, sf)).filter(F.col("FlightDate") >= F.lit(SPLIT_DATE))
+    # three files, taken as three micro-batches
+    for i in range(3):
+        rows.filter(F.pmod(F.hash(*rows.columns), F.lit(3)) == i).coalesce(1).write.mode("append").parquet(path + "/in")
+    stream = spark.readStream.schema(spark.read.parquet(path + "/in").schema).option("maxFilesPerTrigger", 1).parquet(path + "/in")
+    evaluate_requests(fitted, stream, "FlightDate", path + "/days", path + "/_checkpoint")
+    return spark.read.parquet(path + "/days").select(F.col("date").cast("string").alias("flight_date"), "actual", "predicted", "n")
+
+
+# The first rows of header CSV files in file order, from the files that hold them
+def q_named_csv_head(spark, sf):
+    path = scratch_path(spark, "head")
+    cols = ["FlightDate", "Cancelled", "Diverted", "DepDelay", "TaxiOut", "Distance", "ArrDelay"]
+    raw = _raw(spark, sf).select("event_id", *cols)
+    raw.repartitionByRange(8, "event_id").sortWithinPartitions("event_id").write.option("header", True).option("escape", '"').csv(path)
+    return csvsrc.read_named_head(spark, path + "/*.csv", HEAD_ROWS, ["event_id", *cols]) \
+        .withColumn("event_id", F.col("event_id").cast("long"))
+
+
 # S1-S3 on files: raw rows rendered as CSV text files, read back by the
 # positional CSV reader (pruned CSV scan)
 def q_csv_file_decode(spark, sf):

@@ -20,7 +20,7 @@ from ..operators.airport import airport_features
 from ..operators.instances import read_instances
 from ..operators.parse import split_parsed, stage_parse
 from ..schemas import AIRPORT_ENTITY_FEATURES, FLIGHT_ENTITY_FEATURES, TRAIN_SCHEMA
-from ..session import configure, drop_paths, stage
+from ..session import configure, drop_paths, exists, stage
 from ..sinks import writers
 from ..sources import csv as csvsrc
 from ..sources import zips
@@ -209,6 +209,45 @@ def latest_feature_values(spark: SparkSession, table_path: str, entity_id: str,
     return pit.latest_values(current, entity_id, feature_time, features)
 
 
+ONLINE_BUCKETS = 64     # hash buckets of a new online view
+
+
+def merge_online(load: DataFrame, view_path: str, entity_id: str, feature_time: str, features: list[str],
+                 load_id: int, buckets: int = ONLINE_BUCKETS) -> None:
+    """Keep the online view (latest values per entity) up with one load: the
+    load's newest row per entity is merged into the hash buckets of its entities,
+    and only their files are read and replaced. Of two rows the later feature time
+    wins, at equal times the higher load, then the values: a maximum, so loads may
+    come late, in any order, or twice. A null id or time is no entity's value.
+
+    Buckets are partitions ``bucket_of_{n}``: the number is part of the
+    table, and a view of another number is refused."""
+    spark, bucket = load.sparkSession, f"bucket_of_{buckets}"
+    row = F.max(F.struct(F.col(feature_time).alias("_t"), F.col(pit.LOAD_ID).alias("_l"), *features)).alias("_best")
+    new = load.select(entity_id, feature_time, F.lit(int(load_id)).alias(pit.LOAD_ID), *features) \
+        .filter(F.col(entity_id).isNotNull() & F.col(feature_time).isNotNull()) \
+        .groupBy(entity_id).agg(row).select(entity_id, F.col("_best._t").alias(feature_time), F.col("_best._l").alias(pit.LOAD_ID),
+                                            *[F.col(f"_best.{c}").alias(c) for c in features])
+    new = stage(new.withColumn(bucket, F.pmod(F.xxhash64(entity_id), F.lit(buckets)).cast("int")), "online_load")
+    both = new
+    if exists(spark, view_path):
+        old = spark.read.parquet(view_path)
+        if bucket not in old.columns:
+            raise ValueError(f"{view_path} has another number of buckets than {buckets}")
+        touched = [r[0] for r in new.select(bucket).distinct().collect()]      # ``buckets`` numbers at most
+        both = old.filter(F.col(bucket).isin(touched)).select(*new.columns).unionByName(new)
+    merged = both.groupBy(bucket, entity_id).agg(row).select(
+        entity_id, F.col("_best._t").alias(feature_time), F.col("_best._l").alias(pit.LOAD_ID),
+        *[F.col(f"_best.{c}").alias(c) for c in features], bucket)
+    # staged first: the files that are read are those that are replaced
+    writers.write_partitions(stage(merged, "online"), view_path, [bucket])
+
+
+def read_online(spark: SparkSession, view_path: str, entity_id: str, feature_time: str, features: list[str]) -> DataFrame:
+    """The online view: per entity its latest feature time and values."""
+    return spark.read.parquet(view_path).select(entity_id, feature_time, *features)
+
+
 def ingest_flight_features(flights: DataFrame, table_path: str, load_id: int) -> None:
     ingest_features(flights, table_path, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES, load_id)
 
@@ -277,3 +316,16 @@ def daily_model_evaluation(fitted: PipelineModel, requests: DataFrame, date_col:
     requests (streaming needs an output mode that allows aggregation)."""
     scored = model.score(fitted, requests, keep=(date_col, actual))
     return daily_confusion(scored, date_col, actual, "prediction")
+
+
+def evaluate_requests(fitted: PipelineModel, requests: DataFrame, date_col: str, path: str, checkpoint: str,
+                      actual: str = "target") -> None:
+    """``daily_model_evaluation`` of a stream of requests: four counters a day
+    are the state, and each micro-batch hands on the days it changed (update mode).
+    The sink replaces those days' partitions of ``path`` by the new totals, so a
+    micro-batch that runs again changes nothing."""
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        writers.write_partitions(batch, path, ["date"])
+
+    daily_model_evaluation(fitted, requests, date_col, actual).writeStream.outputMode("update").foreachBatch(merge) \
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

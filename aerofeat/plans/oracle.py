@@ -273,7 +273,33 @@ WHERE lt IS NULL OR nt IS NULL OR nt - 2 * tps + lt <> 0 OR nf - 2 * fps + lf <>
 _LATE = """event_id % 50 = 0 AND CAST("timestamp" AS DATE) < DATE '2024-01-08'"""
 _FINAL = _with(RAW_FLIGHTS, PARSED, AIRPORT_WINDOWS.replace("FROM flights f,", f"FROM (SELECT * FROM flights WHERE NOT ({_LATE})) f,"))
 
+_HEAD = ", ".join(f"nullif(\"{c}\", '') AS \"{c}\"" for c in (
+    "FlightDate", "Cancelled", "Diverted", "DepDelay", "TaxiOut", "Distance", "ArrDelay"))
+
 SQL = {
+    "latest_online_view": _FL + _INGESTED.split("ranked AS (")[0] + """
+all_loads AS (
+  SELECT * FROM loads
+  UNION ALL
+  SELECT 3, event_id, "timestamp", flight_number, origin_airport_id, is_cancelled, departure_delay_minutes, arrival_delay_minutes,
+         0.0, distance_miles
+  FROM loads WHERE load_id = 2 AND CAST("timestamp" AS DATE) >= DATE '2024-01-25' AND event_id % 3 = 0
+)
+SELECT flight_number, "timestamp", origin_airport_id, is_cancelled, departure_delay_minutes,
+       arrival_delay_minutes, taxi_out_minutes, distance_miles
+FROM (SELECT *, row_number() OVER (PARTITION BY flight_number
+        ORDER BY "timestamp" DESC, load_id DESC, origin_airport_id DESC, is_cancelled DESC, departure_delay_minutes DESC,
+                 arrival_delay_minutes DESC, taxi_out_minutes DESC, distance_miles DESC) AS rn FROM all_loads) WHERE rn = 1""",
+
+    "daily_model_confusion": _MODEL + f"""
+, t AS (SELECT l.FlightDate AS flight_date, s.target, s.p > 0.5 AS predicted FROM scored s JOIN labelled l USING (event_id))
+SELECT d.flight_date, g.actual, g.predicted, count(t.target) AS n
+FROM (SELECT DISTINCT flight_date FROM t) d CROSS JOIN {GRID}
+LEFT JOIN t ON t.flight_date = d.flight_date AND t.target = g.actual AND t.predicted = g.predicted
+GROUP BY ALL""",
+
+    "named_csv_head": _RF + f"SELECT event_id, {_HEAD} FROM raw_flights ORDER BY event_id LIMIT 400",
+
     "stream_final_windows": _FINAL + """
 SELECT window_start, window_end, origin_airport_id, (round(average_departure_delay, 6) + 0.0) AS average_departure_delay FROM airport_means""",
 
