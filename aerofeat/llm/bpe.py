@@ -8,68 +8,98 @@ that can be merged: n log n steps for n symbols. The trees of many words of one
 size are rows of one numpy array and take their steps together.
 
 Normalising and splitting follow the vocabulary file: the tokenizers library's own
-steps do both (its Unicode tables are newer than Python's), for distinct words only.
+steps do both (its Unicode tables are newer than Python's). A text of Latin
+characters alone is lower-cased and split by the file's pattern with its classes
+spelled out for them, which gives the same pieces sooner.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import unicodedata
 from typing import NamedTuple
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 200_000      # encoded words that a task remembers
+KNOWN_PIECES = 400_000     # encoded pieces that a task remembers
 ROW_CELLS = 1 << 20        # cells of the trees that are merged together
 TEXT_BYTES = 4 << 20       # texts handled at a time
 NONE = np.iinfo(np.int64).max
-# the characters of Unicode's White_Space property
-SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LATIN_END = 0x180          # characters below are their own composed form; lower case, one by one, keeps their class in reach
 
 
 class Vocabulary(NamedTuple):
     """What a task needs of a vocabulary file; its size is that of the file."""
     tokens: dict           # id → token
-    symbols: dict          # symbol of one character (the last with the word's suffix) → id
-    suffix: str
+    first: np.ndarray      # id of each byte inside a piece
+    last: np.ndarray       # id of each byte at a piece's end
     pairs: np.ndarray      # left id * n + right id of each merge, sorted
     ranks: np.ndarray      # its rank
     merged: np.ndarray     # id that the merge of a rank gives
     n: int                 # above all ids
     specials: dict         # text of an added token → id
     steps: str             # normalising and splitting, as the library reads them
-    drops_space: bool      # words between white space are encoded one by one
+    latin: str | None      # the splitting pattern for characters below LATIN_END
+
+
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself
+    where it is a visible Latin-1 character, else the next one from U+0100 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
+def _latin_pattern(spec: dict) -> str | None:
+    """The file's pattern with its Unicode classes spelled out below
+    ``LATIN_END``, if its steps are composing, blanks, lower case, and one split."""
+    kinds = [s.get("type") for s in (spec["normalizer"] or {}).get("normalizers", [])]
+    split = spec["pre_tokenizer"]["pretokenizers"][0]
+    if kinds != ["NFC", "Replace", "Lowercase"] or split.get("behavior") != "Removed" or not split.get("invert"):
+        return None
+    pattern = split["pattern"].get("Regex", "")
+    if re.search(r"\\(?![spP])|\\[pP](?!\{[LN]\})", pattern) or r"^\s" not in pattern:
+        return None
+
+    def signs(wanted):
+        return "".join(f"\\u{c:04x}" for c in range(LATIN_END) if wanted(chr(c)))
+    letters, numbers = (signs(lambda c, k=k: unicodedata.category(c)[0] == k) for k in "LN")
+    # White_Space below LATIN_END
+    spaces = signs(lambda c: c in "\t\n\x0b\x0c\r \x85\xa0")
+    return pattern.replace(r"\p{L}", letters).replace(r"\p{N}", numbers).replace(r"\s", spaces)
 
 
 def read_vocabulary(path: str) -> Vocabulary:
-    """The vocabulary of a ``tokenizers`` file with a plain BPE model and no
-    post-processing of tokens; its truncation and padding are not used."""
+    """The vocabulary of a ``tokenizers`` file with a plain byte-level BPE model
+    and no decoder of its own; its truncation and padding are not used."""
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
-    model = spec["model"]
+    model, added = spec["model"], spec["added_tokens"]
     plain = model["type"] == "BPE" and not any(
         model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
-    added = spec["added_tokens"]
-    if not plain or spec["decoder"] or any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
-        raise ValueError(f"{path}: only a plain BPE model, and added tokens found as they stand, are supported")
+    steps = (spec["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+    byte_level = steps[-1].get("type") == "ByteLevel" and not steps[-1]["add_prefix_space"] and not steps[-1]["use_regex"]
+    if not plain or not byte_level or spec["decoder"] or any(
+            t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+        raise ValueError(f"{path}: only a plain byte-level BPE model, and added tokens found as they stand, are supported")
     vocab = model["vocab"]
+    suffix = model.get("end_of_word_suffix") or ""
     n = max([*vocab.values(), *(t["id"] for t in added)]) + 1
     merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
     pairs = np.array([vocab[a] * n + vocab[b] for a, b in merges], np.int64)
     order = np.argsort(pairs)
-    suffix = model.get("end_of_word_suffix") or ""
-    first = ((spec["pre_tokenizer"] or {}).get("pretokenizers") or [spec["pre_tokenizer"] or {}])[0]
-    steps = {**spec, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None,
-             "model": {**model, "vocab": {}, "merges": []}}
+    # the library's steps, with nothing to look up
+    spec = {**spec, "added_tokens": [], "post_processor": None, "truncation": None, "padding": None,
+            "model": {**model, "vocab": {}, "merges": []}}
+    signs = _byte_signs()
     return Vocabulary(
         {i: t for t, i in vocab.items()} | {t["id"]: t["content"] for t in added},
-        {t: i for t, i in vocab.items() if len(t) == 1 or (suffix and len(t) == 1 + len(suffix) and t.endswith(suffix))},
-        suffix, pairs[order], order, np.array([vocab[a + b] for a, b in merges], np.int64), n,
-        {t["content"]: t["id"] for t in added}, json.dumps(steps),
-        first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert") is True
-        and r"^\s" in first["pattern"].get("Regex", ""))
+        np.array([vocab[c] for c in signs], np.int64), np.array([vocab[c + suffix] for c in signs], np.int64),
+        pairs[order], order, np.array([vocab[a + b] for a, b in merges], np.int64), n,
+        {t["content"]: t["id"] for t in added}, json.dumps(spec), _latin_pattern(spec))
 
 
 def _pair_keys(v: Vocabulary, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
@@ -123,67 +153,65 @@ def merge_rows(v: Vocabulary, symbols: np.ndarray) -> np.ndarray:
 
 
 class _Encoder:
-    """Words → ids, in a task."""
+    """Texts → ids, in a task."""
 
     def __init__(self, v: Vocabulary):
         from tokenizers import Tokenizer
         steps = Tokenizer.from_str(v.steps)
         self.v, self.normal, self.split = v, steps.normalizer, steps.pre_tokenizer
         self.special = re.compile("|".join(map(re.escape, sorted(v.specials, key=len, reverse=True)))) if v.specials else None
-        self.words = re.compile(f"[^{SPACES}]+") if v.drops_space else None
-        self.known: dict[str, bytes] = {}
+        self.latin = re.compile(v.latin) if v.latin else None
+        self.beyond = re.compile(f"[^\0-{chr(LATIN_END - 1)}]")
+        self.known: dict = {}
 
-    def _pieces(self, word: str) -> list:
-        """Ids of added tokens, and the pieces between them."""
+    def _pieces(self, text: str) -> list:
+        """The pieces of a text, and the ids of added tokens between them."""
         out, last = [], 0
-        for m in self.special.finditer(word) if self.special else ():
-            out += [*self._split(word[last:m.start()]), self.v.specials[m[0]]]
+        for m in self.special.finditer(text) if self.special else ():
+            out += [*self._split(text[last:m.start()]), self.v.specials[m[0]]]
             last = m.end()
-        return out + self._split(word[last:])
+        return out + self._split(text[last:]) if out else self._split(text)
 
     def _split(self, part: str) -> list[str]:
-        if not part:
-            return []
+        if self.latin and not self.beyond.search(part):
+            return self.latin.findall(part.lower())
         part = self.normal.normalize_str(part) if self.normal else part
-        return [p for p, _ in self.split.pre_tokenize_str(part)] if self.split else [part]
-
-    def _symbols(self, piece: str) -> list[int]:
-        marked = [*piece[:-1], piece[-1] + self.v.suffix]
-        return [self.v.symbols[s] for s in marked if s in self.v.symbols]
+        return [part[a:b] for _, (a, b) in self.split.pre_tokenize_str(part)]
 
-    def learn(self, words: set[str]) -> None:
-        """Encode the given words; pieces of one size class share an array."""
-        pieces = {w: self._pieces(w) for w in words}
+    def learn(self, pieces: set) -> None:
+        """Encode new pieces; those of one size class share an array."""
         sizes: dict[int, list] = {}
-        for p in {p for found in pieces.values() for p in found if isinstance(p, str) and p}:
-            symbols = self._symbols(p)
-            sizes.setdefault(len(symbols) if len(symbols) < 2 else 1 << (len(symbols) - 1).bit_length(), []).append((p, symbols))
-        ids: dict = {i: np.array([i], "<u4").tobytes() for i in self.v.specials.values()} | {"": b""}
+        for p in pieces:
+            if isinstance(p, int):
+                self.known[p] = np.array([p], "<u4").tobytes()
+                continue
+            raw = p.encode()
+            sizes.setdefault(1 << (len(raw) - 1).bit_length() if raw else 0, []).append((p, raw))
         for size, found in sizes.items():
             step = max(1, ROW_CELLS // max(size, 1))
             for i in range(0, len(found), step):
                 part = found[i:i + step]
+                length = np.array([len(raw) for _, raw in part])
                 rows = np.full((len(part), size), -1, np.int64)
-                for row, (_, symbols) in zip(rows, part):
-                    row[:len(symbols)] = symbols
-                done = merge_rows(self.v, rows)
-                kept = done >= 0
-                flat = done[kept].astype("<u4").tobytes()
-                ends = np.cumsum(kept.sum(1)) * 4
-                for (p, _), start, end in zip(part, [0, *ends.tolist()], ends.tolist()):
-                    ids[p] = flat[start:end]
-        for word, found in pieces.items():
-            self.known[word] = b"".join([ids[p] for p in found])
+                if size:
+                    raw = np.frombuffer(b"".join(raw for _, raw in part), np.uint8)
+                    rows[np.arange(size) < length[:, None]] = self.v.first[raw]
+                    rows[np.arange(len(part)), length - 1] = self.v.last[raw[np.cumsum(length) - 1]]
+                    rows = merge_rows(self.v, rows)
+                kept = rows >= 0
+                flat = rows[kept].astype("<u4").tobytes()
+                ends = (np.cumsum(kept.sum(1)) * 4).tolist()
+                self.known.update((p, flat[start:end]) for (p, _), start, end in zip(part, [0, *ends], ends))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
-        split = [self.words.findall(t) if self.words else [t] for t in texts]
-        if len(self.known) > KNOWN_WORDS or not self.words:
+        split = [self._pieces(t) for t in texts]
+        if len(self.known) > KNOWN_PIECES:
             self.known = {}
         new = set().union(*split) - self.known.keys()
         if new:
             self.learn(new)
-        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in split]
 
 
 def _groups(texts: list):

@@ -31,7 +31,7 @@ def brute_merge(v, symbols):
 def test_rows_merge_like_one_pair_at_a_time():
     v = bpe.read_vocabulary(WORDS)
     rnd = random.Random(2)
-    letters = [v.symbols[c] for c in "aehinorst"]
+    letters = [int(v.first[ord(c)]) for c in "aehinorst"]
     for width in (1, 2, 3, 4, 7, 8, 33, 64):
         rows = [[rnd.choice(letters) for _ in range(rnd.randrange(width + 1))] for _ in range(200)]
         got = bpe.merge_rows(v, np.array([r + [-1] * (width - len(r)) for r in rows], np.int64).reshape(200, width))
@@ -59,6 +59,18 @@ def test_equals_the_library(spark):
         assert r.decoded == library.decode(want, skip_special_tokens=False)
 
 
+def test_latin_texts_are_split_like_the_library_does():
+    """Every character below LATIN_END, alone and beside others, by both ways."""
+    e = bpe._Encoder(bpe.read_vocabulary(WORDS))
+    library = Tokenizer.from_file(WORDS)
+    texts = [f"a{chr(c)}b {chr(c)}1{chr(c)}{chr(c)} 'S{chr(c)}'ll" for c in range(bpe.LATIN_END)]
+    assert e.latin and not any(e.beyond.search(t) for t in texts)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [numbers(i) for i in e.encode(texts)] == want
+    e.latin = None
+    assert [numbers(i) for i in e.encode(texts)] == want
+
+
 def test_other_kinds_of_vocabulary_are_refused():
     with pytest.raises(ValueError):
         bpe.read_vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
@@ -78,9 +90,9 @@ def test_empty_table(spark):
     assert bpe.encode_documents(df, WORDS, decode=True).collect() == []
 
 
-def test_words_forgotten_between_groups_give_the_same(monkeypatch):
+def test_pieces_forgotten_between_groups_give_the_same(monkeypatch):
     e = bpe._Encoder(bpe.read_vocabulary(WORDS))
-    monkeypatch.setattr(bpe, "KNOWN_WORDS", 3)
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 3)
     texts = [f"one two{i} three" for i in range(20)]
     library = Tokenizer.from_file(WORDS)
     assert [numbers(e.encode([t])[0]) for t in texts] == [library.encode(t, add_special_tokens=False).ids for t in texts]
