@@ -276,6 +276,24 @@ def q_model_fit_predict(spark, sf):
     return _model_scored(spark, sf).select("event_id", "target", _probability(), "prediction")
 
 
+# The model kept up by two deliveries, from merged moments
+# and the last coefficients; scores of the test set
+def q_model_refreshed_scores(spark, sf):
+    from ..operators import incremental
+    from ..sinks.writers import write_monthly
+    from .jobs import refresh_model
+    path = scratch_path(spark, "refreshed")
+    configure(spark)
+    week = F.expr("1 + (day(ts) - 1) div 7").cast("int")
+    raw = raw_flights_from_events(read_events(spark, sf), keep=("ts",)).withColumns({"file_year": F.lit(2024), "file_month": week}).drop("ts")
+    for first, last in DELIVERIES:
+        write_monthly(raw.filter(F.col("file_month").between(first, last)), path + "/raw", "file_year", "file_month")
+        stored = spark.read.parquet(path + "/raw")
+        fitted = refresh_model(spark, stored, path + "/state", SPLIT_DATE, [(2024, m) for m in range(first, last + 1)])
+    test = training.split_by_date(stored, SPLIT_DATE, keep=("event_id",)).test
+    return incremental.score_linear(fitted, test, ["event_id", "target"]).select("event_id", "target", _probability(), "prediction")
+
+
 # The same scores from a model that was saved and loaded
 def q_model_saved_scores(spark, sf):
     sp = _split(spark, sf)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import flight as ff
-from ..operators import evaluation, model, pit, training
+from ..operators import evaluation, incremental, model, pit, training
 from ..operators.airport import airport_features
 from ..operators.instances import read_instances
 from ..operators.parse import split_parsed, stage_parse
@@ -302,6 +302,27 @@ def monthly_refresh(spark: SparkSession, zip_glob, raw_dir: str, metrics_dir: st
     return TrainingResult(fitted, scored, roc, confusion)
 
 
+def refresh_model(spark: SparkSession, raw: DataFrame, state_dir: str, split_date: str, months: list[tuple[int, int]],
+                  C: float = model.INVERSE_REGULARISATION) -> incremental.LinearModel:
+    """Keep the model up with the loaded ``months`` of a monthly table: only
+    their rows are read for the moments, which replace those of the same months
+    in ``state_dir/moments``; the fit on all training rows starts from the last
+    coefficients (``state_dir/coefficients``, one row for each refresh)."""
+    configure(spark)
+    train = training.split_by_date(raw, split_date, keep=tuple(MONTH)).train
+    writers.write_monthly(incremental.moments(_of_months(train, months), MONTH), f"{state_dir}/moments", *MONTH)
+    means, deviations, _ = incremental.scales(spark.read.parquet(f"{state_dir}/moments"))
+    path, last = f"{state_dir}/coefficients", None
+    if exists(spark, path):
+        last = incremental.LinearModel(**spark.read.parquet(path).orderBy(F.desc("refresh")).drop("refresh").first().asDict())
+    fitted = incremental.fit_newton(train, means, deviations, start=last, C=C)
+    done = spark.read.parquet(path).agg(F.max("refresh")).first()[0] if last else 0
+    row = spark.createDataFrame([(done + 1, *fitted)], "refresh long, features array<string>, means array<double>, "
+                                "deviations array<double>, constant double, weights array<double>, steps int")
+    row.write.mode("append").parquet(path)
+    return fitted
+
+
 def daily_confusion(scored: DataFrame, date_col: str, actual: str = "target",
                     predicted: str = "prediction") -> DataFrame:
     """Confusion matrix per day of replayed requests: four rows per day

@@ -520,6 +520,8 @@ FROM b""",
 
     "model_saved_scores": _MODEL + _SCORES,
 
+    "model_refreshed_scores": _MODEL + _SCORES,
+
     "model_roc": _MODEL + _roc("SELECT round(p, 4) + 0.0 AS score, target FROM scored") + "SELECT * FROM roc",
 
     "model_confusion": _MODEL + _CONFUSION,
