@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path, stage
 
@@ -15,17 +16,19 @@ def keyed(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
     A document is a distinct (doc_id, text); ``_key`` orders documents by
     doc_id (null last), then by a hash of the text. Where every doc_id is
-    there and stands once, it is the key itself: only the ids are shuffled to
+    there, a whole number, and stands once, it is the key itself: only the ids are shuffled to
     find out. Otherwise the keys come from a range sort of (doc_id, hash of
     the text) written to the shared folder, and repeated rows become one.
+    Ids of any type that sorts are taken.
 
     A table of just ``_key``, ``doc_id`` and ``text`` has its keys already and
     is returned as it is."""
     if docs.columns == [KEY, "doc_id", "text"]:
         return docs
     d = docs.select("doc_id", "text", *keep)
+    whole = isinstance(d.schema["doc_id"].dataType, T.IntegralType)
     most, gaps = d.groupBy("doc_id").count().agg(
-        F.max("count"), F.max(F.col("doc_id").isNull())).first()
+        F.max("count"), F.max(F.col("doc_id").isNull())).first() if whole else (2, True)
     if most in (None, 1) and not gaps:
         # the filter drops nothing; with it, inner and outer joins read one and the same shuffle
         return d.filter(F.col("doc_id").isNotNull()).select(
