@@ -35,9 +35,13 @@ def test_language_keeps_what_has_a_language(results):
 
 
 def test_one_document_of_each_component_stays(results):
-    docs = texts(results[1])
-    want = {c for _, c in brute_components(docs).values()}
-    assert {d for d, _ in texts(results[2])} == want
+    """Components of five-word shingles at 0.8, as the stage's constants say:
+    each keeps its smallest document, whole, and no other."""
+    assert (cp.NEAR_WORDS, cp.NEAR_SHARE) == (5, (80, 100))
+    before, after = dict(texts(results[1])), texts(results[2])
+    component = {d: c for d, (_, c) in brute_components(list(before.items()), cp.NEAR_SHARE, cp.NEAR_WORDS).items()}
+    assert len({component[d] for d, _ in after}) == len(after) == len(set(component.values())) < len(before)
+    assert all(component[d] == d and before[d] == t for d, t in after)
 
 
 def test_near_copies_are_found_on_five_words(spark):
