@@ -33,6 +33,7 @@ DELIVERY2_FROM = "2024-01-25"      # rows of the second delivery
 PROBABILITY_DIGITS = 4
 CLOSING = ("2024-03-01", "2024-04-01")   # times of the rows that close all windows of a finished input
 LATE_BEFORE = "2024-01-08"         # every 50th flight before this day reaches the stream too late
+TABLE_BUCKETS = 8                  # buckets of the bucketed feature table
 HEAD_ROWS = 400                    # rows read from the start of a set of files
 SAMPLE_ROWS = 100                  # rows of each archive in the monthly sample
 DELIVERIES = [(1, 3), (4, 5)]      # first and last archive of the two deliveries
@@ -378,6 +379,16 @@ def q_batch_job_instances(spark, sf):
         .csv(_batch_job(spark, sf) + "/instances")
 
 
+# Two loads in a bucketed, time-sorted catalogue table; its latest values
+def q_bucketed_table_latest(spark, sf):
+    from ..sinks.writers import write_entity_table
+    path = scratch_path(spark, "bucketed")
+    name = "flight_features_" + path.split("/")[-2]
+    table = write_entity_table(_flight_loads(spark, sf).drop("event_id"), name, path, "flight_number", "timestamp", TABLE_BUCKETS)
+    current = pit.upsert(table, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES)
+    return pit.latest_values(current, "flight_number", "timestamp", FLIGHT_ENTITY_FEATURES)
+
+
 def _flight_table(spark, sf) -> str:
     from .jobs import ingest_flight_features
     path = scratch_path(spark, "flight_table")

@@ -291,6 +291,11 @@ FROM (SELECT *, row_number() OVER (PARTITION BY flight_number
         ORDER BY "timestamp" DESC, load_id DESC, origin_airport_id DESC, is_cancelled DESC, departure_delay_minutes DESC,
                  arrival_delay_minutes DESC, taxi_out_minutes DESC, distance_miles DESC) AS rn FROM all_loads) WHERE rn = 1""",
 
+    "bucketed_table_latest": _FL + _INGESTED.replace("SELECT flight_number, \"timestamp\", origin", "SELECT * EXCLUDE (k) FROM (SELECT flight_number, \"timestamp\", origin") \
+        .replace("distance_miles\nFROM ranked WHERE rn = 1", """distance_miles,
+  row_number() OVER (PARTITION BY flight_number ORDER BY "timestamp" DESC) AS k
+FROM ranked WHERE rn = 1) WHERE k = 1"""),
+
     "daily_model_confusion": _MODEL + f"""
 , t AS (SELECT l.FlightDate AS flight_date, s.target, s.p > 0.5 AS predicted FROM scored s JOIN labelled l USING (event_id))
 SELECT d.flight_date, g.actual, g.predicted, count(t.target) AS n

@@ -98,5 +98,17 @@ def append_load(df: DataFrame, table_path: str, load_id: int, fmt: str = "parque
                      [FEATURE_DATE, "load_id"], fmt)
 
 
+def write_entity_table(df: DataFrame, name: str, path: str, entity_id: str, feature_time: str, buckets: int,
+                       fmt: str = "parquet") -> DataFrame:
+    """Feature rows as a catalogue table bucketed by entity and sorted by time:
+    the merge of its loads and the latest values then need no shuffle of the
+    table. ``buckets`` is part of the layout; size it for the table's bytes over
+    the bytes a task should read. All rows of an entity are one bucket, so a table
+    whose entities are few and very large keeps the layout of ``append_load``."""
+    (df.repartition(buckets, entity_id).write.mode("overwrite").format(fmt).option("path", path)
+       .bucketBy(buckets, entity_id).sortBy(entity_id, feature_time).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)

@@ -82,16 +82,21 @@ def encode_lines(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return df.select(*keep, line.alias("value"))
 
 
+HEADERS = 100       # files whose header one job reads
+
+
 def header_groups(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
-    """Files by their header: {column names: paths}. One job of one row for
-    each file (monthly files: hundreds, not millions)."""
+    """Files by their header: {column names: paths}. One job asks ``HEADERS``
+    files for their first line, each by a scan that ends there."""
     paths = [path] if isinstance(path, str) else list(path)
     names = F.split(F.regexp_replace("value", "^\ufeff", ""), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)
+    files = sorted(spark.read.text(paths).inputFiles())
     groups: dict[tuple[str, ...], list[str]] = {}
-    for file in sorted(spark.read.text(paths).inputFiles()):
-        first = spark.read.text(file).select(names.alias("names")).first()
-        if first:                                   # an empty file has no rows either
-            groups.setdefault(tuple(n.strip().strip('"').replace('""', '"') for n in first["names"]), []).append(file)
+    for i in range(0, len(files), HEADERS):
+        firsts = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), names.alias("names")) for f in files[i:i + HEADERS]]
+        # an empty file has no first line, and no rows either
+        for r in sorted(functools.reduce(DataFrame.union, firsts).collect()):
+            groups.setdefault(tuple(n.strip().strip('"').replace('""', '"') for n in r["names"]), []).append(r["file"])
     return groups
 
 

@@ -71,3 +71,10 @@ def test_upsert_is_one_shuffle_and_one_key_sort(spark):
     text = plan(upsert(fl, "flight_number", "timestamp", ["departure_delay_minutes"]))
     assert text.count("Exchange hashpartitioning") == 1 and "Aggregate" not in text
     assert "WindowGroupLimit" in text          # a repeated key is thinned before the shuffle
+
+
+def test_bucketed_table_is_merged_and_served_without_a_shuffle(spark):
+    out = catalog.q_bucketed_table_latest(spark, SF001)
+    rows = out.collect()
+    text = out._jdf.queryExecution().executedPlan().toString()
+    assert rows and "Exchange" not in text and "Bucketed: true" in text
