@@ -30,7 +30,7 @@ LEAST = 10             # occurrences of a candidate
 INSIDE = (50, 100)     # a candidate goes if a longer one around it has this share of its count
 TOP = 2000             # phrases reported for each language
 SLICE_BYTES = 1 << 20  # texts hashed at a time
-TOGETHER = 1 << 20     # runs that a task adds up before they are shuffled
+TOGETHER = 1 << 18     # runs that a task adds up before they are shuffled
 MAP_BITS = 27          # positions of the bit map of frequent fingerprints: 16 MB, whatever the corpus
 BLOCK_BITS = 16        # positions of one row of it
 NO_LANG = "und"
@@ -60,8 +60,9 @@ def _prints(hashed, size: int, salt: np.ndarray, width: int):
 
 
 def _checks(hashed, size: int, first: np.ndarray) -> np.ndarray:
-    """A polynomial over other values of the same words."""
-    return run_hash(prefix_sums(mix(hashed[0] ^ np.uint64(0x5851F42D4C957F2D))), first, first + size)
+    """32 bits of a polynomial over other values of the same words."""
+    whole = run_hash(prefix_sums(mix(hashed[0] ^ np.uint64(0x5851F42D4C957F2D))), first, first + size)
+    return (whole >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
 def _marked(bits: np.ndarray, prints: np.ndarray) -> np.ndarray:
@@ -104,7 +105,7 @@ def _counts(size: int, parts, width: int, slice_bytes: int, together: int):
         def rows(size, prints, n, check, text, place):
             return pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(prints), size, np.int32)), pa.array(prints.view(np.int64)), pa.array(n),
-                 pa.array(check.view(np.int64)), pa.array(text), pa.array(place)],
+                 pa.array(check), pa.array(text), pa.array(place)],
                 names=["size", "print", "n", "check", "text", "place"])
 
         def added(held):
@@ -124,7 +125,7 @@ def _counts(size: int, parts, width: int, slice_bytes: int, together: int):
                     per_text = np.bincount(text, minlength=len(salt))
                     langs, where, of = np.unique(salt, return_index=True, return_inverse=True)
                     zero = np.zeros(len(langs), np.int64)
-                    yield rows(0, langs, np.bincount(of, per_text).astype(np.int64), zero, keys[row + where], zero)
+                    yield rows(0, langs, np.bincount(of, per_text).astype(np.int64), zero.astype(np.int32), keys[row + where], zero)
                 prints, first = _with_frequent_parts(hashed, size, salt, width, bits)
                 if not len(prints):
                     continue
@@ -147,23 +148,34 @@ def _phrase(raw: bytes) -> str:
 def _read(width: int):
     """(lang, salt, text, spots) → the phrases at the spots whose fingerprint
     they have: a text that only shares its key with the right one has not."""
+    def verified(size, salts, pieces, prints):
+        off = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        hashed = _hashed(np.frombuffer(b"".join(pieces), np.uint8), off)
+        same = np.ones(len(pieces), bool)
+        if size:
+            got, first = _prints(hashed, size, np.array(salts, np.int64).view(np.uint64), width)
+            of = hashed[3][first]
+            one = np.bincount(of, minlength=len(pieces)) == 1       # a phrase is one run of its size
+            same[:] = False
+            same[of] = got.view(np.int64) == np.array(prints, np.int64)[of]
+            same &= one
+        return same
+
     def run(batches):
         import pyarrow as pa
         for batch in batches:
+            sizes: dict[int, list] = {}
+            langs, salts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for i in range(batch.num_rows):
-                lang, salt, text, spots = (c[i] for c in batch.columns)
-                raw, salt = text.as_py().encode(), np.array([salt.as_py()], np.int64).view(np.uint64)
-                out = []
-                for s in spots.as_py():
+                raw = batch.column(2)[i].as_py().encode()
+                for s in batch.column(3)[i].as_py():
                     start, length = s["place"] >> 32, s["place"] & 0xFFFFFFFF
-                    piece = np.frombuffer(raw, np.uint8)[start:start + length]
-                    if s["size"]:
-                        prints = _prints(_hashed(piece, np.array([0, len(piece)])), s["size"], salt, width)[0].view(np.int64)
-                        if len(prints) != 1 or prints[0] != s["print"]:
-                            continue
-                    out.append((s["size"], _phrase(piece.tobytes()), s["n"]))
+                    sizes.setdefault(s["size"], []).append((langs[i], salts[i], raw[start:start + length], s["print"], s["n"]))
+            for size, found in sizes.items():
+                lang, salt, pieces, prints, n = zip(*found)
+                out = [(g, _phrase(p), f) for g, p, f, same in zip(lang, pieces, n, verified(size, salt, pieces, prints)) if same]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang.as_py()] * len(out), pa.string()), pa.array([o[0] for o in out], pa.int32()),
+                    [pa.array([o[0] for o in out], pa.string()), pa.array([size] * len(out), pa.int32()),
                      pa.array([o[1] for o in out], pa.string()), pa.array([o[2] for o in out], pa.int64())],
                     names=["lang", "size", "phrase", "f"])
     return run
@@ -227,7 +239,7 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
     docs = documents.select(lang, F.coalesce("text", F.lit("")).alias("text"))
     salted = docs.select("lang", F.xxhash64("lang").alias("salt"), "text")
     keyed = salted.withColumn("key", F.xxhash64("lang", "text"))
-    grams = "size int, print long, n long, check long, text long, place long"
+    grams = "size int, print long, n long, check int, text long, place long"
     parts, found, counted = None, [], []
     for size in range(1, longest + 1):
         # both parts of the pointer come from one and the same row
