@@ -243,8 +243,10 @@ def phrase_counts(documents: DataFrame, longest: int = LONGEST, least: int = LEA
     parts, found, counted = None, [], []
     for size in range(1, longest + 1):
         # both parts of the pointer come from one and the same row
-        sums = keyed.select("key", "salt", "text").mapInArrow(_counts(size, parts, width, slice_bytes, together), grams) \
-            .groupBy("size", "print").agg(F.sum("n").alias("n"), F.min("check").alias("least"), F.max("check").alias("most"),
+        runs = keyed.select("key", "salt", "text").mapInArrow(_counts(size, parts, width, slice_bytes, together), grams)
+        if size > 1:        # few are equal: no second adding up in the tasks that read the texts
+            runs = runs.repartition("size", "print")
+        sums = runs.groupBy("size", "print").agg(F.sum("n").alias("n"), F.min("check").alias("least"), F.max("check").alias("most"),
                                           F.first("text").alias("text"), F.first("place").alias("place"))
         frequent = stage(sums.filter((F.col("n") >= least) | (F.col("size") == 0)), "grams")
         if parts is not None:
