@@ -8,7 +8,9 @@ Reading takes each archive's bytes, plain or gzip (one member per record, or
 several records in a member). A record is checked: header syntax, declared
 length, end mark, payload digest, gzip checksum. After a failed check the
 reader searches for the next position where a valid member or record begins, goes on from
-there, and logs the bytes between as a quarantined gap.
+there, and logs the bytes between as a quarantined gap. Inside a member it searches the
+decompressed bytes alike; of a member that ends early or fails its checksum it
+takes the sound records that come before, and logs the member as a gap as well.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from .keys import stage
 
 REVISIT_BYTES = 1000      # equal payloads from this size on are stored once
 RECORDS_PER_FILE = 4000
+FILE_BYTES = 512 << 20    # no archive is written larger, unless one record is
 DATE = "2024-01-01T00:00:00Z"
 
 # --- fixed values of the format ---------------------------------------------
@@ -72,10 +75,15 @@ def records(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES,
-                   records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write ``pages`` as plain WARC files under ``path``."""
-    records(pages, revisit_bytes).write.option("lineSep", END) \
-        .option("maxRecordsPerFile", records_per_file).text(path)
+                   records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES) -> None:
+    """Write ``pages`` as plain WARC files under ``path``, of at most
+    ``records_per_file`` records, and of so few that even the largest ones fit
+    ``file_bytes`` (a file of one record may be larger)."""
+    made = records(pages, revisit_bytes)
+    # a record is its payload and a head of a few hundred bytes and the address
+    largest = pages.agg(F.max(F.coalesce(F.octet_length("html"), F.lit(0)) + F.coalesce(F.octet_length("url"), F.lit(0)))).first()[0] or 0
+    made.write.option("lineSep", END) \
+        .option("maxRecordsPerFile", max(1, min(records_per_file, file_bytes // (largest + 1024)))).text(path)
 
 
 class Damaged(Exception):
@@ -123,23 +131,52 @@ def read_record(data: bytes, at: int) -> tuple[dict, bytes, int]:
     return headers, payload, end + 4
 
 
-def _read_member(data: bytes, at: int) -> tuple[list, int]:
-    """(records, end) of the gzip member at ``at``, or Damaged."""
+def _inflated(data: bytes, at: int) -> tuple[bytes, int, str, bool]:
+    """(bytes, end, reason, sure) of the gzip member at ``at``: without a reason
+    the member is whole; otherwise the bytes are those before the failure, and
+    ``sure`` tells that the member only ends early."""
     z, parts, read = zlib.decompressobj(31), [], at
     try:
         while not z.eof and read < len(data):
             parts.append(z.decompress(data[read:read + (1 << 16)]))
             read += 1 << 16
-    except zlib.error as e:
-        raise Damaged("bad gzip member") from e
+    except zlib.error:
+        # the failing piece again, in small steps, for what comes before the failure
+        z = zlib.decompressobj(31)
+        parts = [z.decompress(data[at:read])] if read > at else []
+        try:
+            for i in range(read, min(read + (1 << 16), len(data)), 64):
+                parts.append(z.decompress(data[i:i + 64]))
+        except zlib.error:
+            pass
+        return b"".join(parts), at, "bad gzip member", False
     if not z.eof:
-        raise Damaged("gzip member does not end")
-    plain = b"".join(parts)
-    out, place = [], 0
-    while place < len(plain):
-        headers, payload, place = read_record(plain, place)
-        out.append((headers, payload))
-    return out, min(read, len(data)) - len(z.unused_data)
+        return b"".join(parts), at, "gzip member does not end", True
+    return b"".join(parts), min(read, len(data)) - len(z.unused_data), "", True
+
+
+def _inside(plain: bytes, sure: bool):
+    """The records and gaps of decompressed bytes: (headers, payload) or
+    (first, end, reason). Unless the bytes are ``sure``, a record must prove itself by a digest."""
+    at, bad, why = 0, None, ""
+    while at < len(plain):
+        try:
+            headers, payload, end = read_record(plain, at)
+            if not sure and not (headers.get("warc-payload-digest") and headers["warc-type"] != "revisit"):
+                raise Damaged("no digest to trust in a damaged member")
+        except Damaged as e:
+            if bad is None:
+                bad, why = at, str(e)
+            found = plain.find(b"WARC/", at + 1)
+            at = found if found >= 0 else len(plain)
+            continue
+        if bad is not None:
+            yield bad, at, why
+            bad = None
+        yield headers, payload
+        at = end
+    if bad is not None:
+        yield bad, len(plain), why
 
 
 def _start(data: bytes, at: int) -> int:
@@ -150,28 +187,48 @@ def _start(data: bytes, at: int) -> int:
 
 def salvage(data: bytes):
     """Yield ("record", offset, end, headers, payload) and ("gap", offset, end,
-    reason, None) in the order of the archive; they cover all of it."""
-    at, bad, why = 0, None, ""
+    reason, None) in the order of the archive; they cover all of it. Records and
+    gaps inside a member have the member's offsets. What is left of a damaged
+    member has those of the gap that it leaves, and its records follow the gap."""
+    at, bad, why, rest = 0, None, "", []
+
+    def closed(end):
+        yield "gap", bad, end, why, None
+        for headers, payload in rest:
+            yield "record", bad, end, headers, payload
+
     while at < len(data):
-        try:
-            if data.startswith(GZIP_MAGIC, at):
-                found, end = _read_member(data, at)
-            else:
+        found, failed = [], ""
+        if data.startswith(GZIP_MAGIC, at):
+            plain, end, failed, sure = _inflated(data, at)
+            found = list(_inside(plain, sure))
+        else:
+            try:
                 headers, payload, end = read_record(data, at)
                 found = [(headers, payload)]
-        except Damaged as e:
+            except Damaged as e:
+                failed = str(e)
+        if failed:
+            kept = [f for f in found if len(f) == 2]
             if bad is None:
-                bad, why = at, str(e)
+                bad, why = at, failed
+            elif kept:                          # a second damaged member is a gap of its own
+                yield from closed(at)
+                bad, why, rest = at, failed, []
+            rest = rest + kept
             at = _start(data, at + 1)
             continue
         if bad is not None:
-            yield "gap", bad, at, why, None
-            bad = None
-        for headers, payload in found:
-            yield "record", at, end, headers, payload
+            yield from closed(at)
+            bad, rest = None, []
+        for f in found:
+            if len(f) == 2:
+                yield "record", at, end, *f
+            else:
+                yield "gap", at, end, f"{f[2]} (bytes {f[0]} to {f[1]} of the member)", None
         at = end
     if bad is not None:
-        yield "gap", bad, len(data), why, None
+        yield from closed(len(data))
 
 
 ROWS = "path string, kind string, offset long, end long, reason string, headers map<string,string>, payload binary"

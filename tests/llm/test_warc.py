@@ -107,3 +107,47 @@ def test_gaps_and_records_of_damaged_files(spark, tmpdir_path):
     assert list(warc.salvage(b"")) == []
     member = gzip.compress(whole)
     assert [p[4] for p in warc.salvage(member)] == [b for _, b in made]
+
+
+def test_damage_inside_a_member_of_several_records():
+    made = archive(20, random.Random(3))
+    texts = [r for r, _ in made]
+    # a digest that does not hold: that record alone is lost, and logged inside the member
+    broken = bytearray(texts[9])
+    at = broken.index(b"sha1:") + 5
+    broken[at:at + 4] = b"zzzz"
+    member = gzip.compress(b"".join([*texts[:9], bytes(broken), *texts[10:]]))
+    parts = list(warc.salvage(b"".join([gzip.compress(texts[0]), member, gzip.compress(texts[1])])))
+    assert [p[4] for p in parts if p[0] == "record"] == [b for i, (_, b) in enumerate([made[0], *made[:9], *made[10:], made[1]])]
+    gaps = [p for p in parts if p[0] == "gap"]
+    start = len(b"".join(texts[:9]))
+    assert len(gaps) == 1 and f"bytes {start} to {start + len(broken)} of the member" in gaps[0][3]
+    # cut at the end: every record that is whole before the cut, then the next member
+    whole = gzip.compress(b"".join(texts))
+    for cut in (300, 500, len(whole) // 2):
+        parts = list(warc.salvage(whole[:-cut] + gzip.compress(texts[0])))
+        kinds, got = [p[0] for p in parts], [p[4] for p in parts if p[0] == "record"]
+        assert kinds.count("gap") == 1 and kinds[0] == "gap" and got[-1] == made[0][1]
+        assert got[:-1] == [b for _, b in made][:len(got) - 1] and len(got) > (5 if cut > 500 else 12)
+    # a byte changed in the middle: nothing that was never written, and records from before it
+    hurt = bytearray(whole)
+    hurt[len(hurt) * 2 // 3] ^= 0xFF
+    parts = list(warc.salvage(bytes(hurt)))
+    got = [p[4] for p in parts if p[0] == "record"]
+    assert len(got) >= 5 and all(g in [b for _, b in made] for g in got) and any(p[0] == "gap" for p in parts)
+    # two damaged members in a row
+    parts = list(warc.salvage(whole[:-300] + whole[:-300]))
+    assert [p[0] for p in parts].count("gap") == 2 and parts[-1][2] == 2 * len(whole) - 600
+    # a sound member without a record is a gap
+    assert [p[0] for p in warc.salvage(gzip.compress(b"no records"))] == ["gap"]
+
+
+def test_archives_are_bounded_by_bytes(spark, tmpdir_path):
+    import os
+    pages = spark.createDataFrame([(i, "u", ("x" if i else "y" * 9) * 10_000 + str(i)) for i in range(40)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), tmpdir_path + "/w", file_bytes=300_000)
+    sizes = [os.path.getsize(os.path.join(tmpdir_path + "/w", f)) for f in os.listdir(tmpdir_path + "/w") if f.startswith("part-")]
+    assert max(sizes) <= 300_000 and len(sizes) > 10
+    assert warc.pages_of(warc.read_archives(spark, tmpdir_path + "/w")).count() == 40
+    warc.write_archives(pages.limit(0), tmpdir_path + "/none")
+    assert warc.read_archives(spark, tmpdir_path + "/none").count() == 0
