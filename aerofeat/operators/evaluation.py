@@ -35,7 +35,8 @@ def _dealt(rows: DataFrame, by: list[str], name: str, n_ranges: int | None) -> D
     rows = stage(rows, name)
     n = n_ranges or -(-rows.count() // ROWS_PER_RANGE)
     if n <= 1:
-        return rows.withColumn("_r", F.lit(0))
+        # zero, but a column to the planner, so that joins and windows stay keyed
+        return rows.withColumn("_r", F.spark_partition_id() * F.lit(0))
     return stage(rows.repartitionByRange(n, *by).withColumn("_r", F.spark_partition_id()), name)
 
 
