@@ -65,8 +65,8 @@ def gate(rows: DataFrame, event_time: str, path: str, checkpoint: str, delay: st
 
 
 def on_time(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The rows that ``gate`` let through, as a stream, one of its batches at a time."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{path}/on_time")
+    """The rows that ``gate`` let through, as a stream."""
+    return spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/on_time")
 
 
 def final_means(rows: DataFrame, event_time: str, path: str, checkpoint: str, delay: str = DELAY,
