@@ -115,8 +115,10 @@ def fit(labelled: DataFrame, per_class: int = PER_CLASS, landmarks: int = LANDMA
     rates = np.stack([seen[y == c].mean(0) for c in range(len(langs))])
     spread = rates.max(0) - rates.min(0) + 1e-3 * rates.max(0)
     use = np.sort(np.argsort(-spread, kind="stable")[:grams])
+    every = codes
     codes, x = codes[use], seen[:, use].astype(np.float64)
-    column = np.full(_CODES, len(codes), np.int16)
+    column = np.full(_CODES, len(codes) + 1, np.int16)      # in no learnt text
+    column[every] = len(codes)          # seen, but without a weight
     column[codes] = np.arange(len(codes))
     block = np.searchsorted(codes, np.append(_START, _CODES))
     parts = []
@@ -139,17 +141,22 @@ def fit(labelled: DataFrame, per_class: int = PER_CLASS, landmarks: int = LANDMA
 
 
 def _scored(batch_text, letters, model: Model):
-    """(index of the language, score) of each text; -1 where it has no letter."""
+    """(index of the language, score, known share) of each text; -1 where it has no letter."""
     best = np.full(len(batch_text), -1)
-    score = np.zeros(len(batch_text))
+    score, known = np.zeros(len(batch_text)), np.zeros(len(batch_text))
     if model is None:
-        return best, score
-    width = len(model.weights) and int(model.block[-1]) + 1
+        return best, score, known
+    width = int(model.block[-1]) + 2
     for first, buf, off in string_slices(batch_text, max_rows=512):
         n = len(off) - 1
         seen = np.zeros(n * width, bool)
+        total, strange = np.zeros(n), np.zeros(n)
         for code, text in _grams(buf, off):
-            seen[text * width + model.column[code]] = True
+            column = model.column[code]
+            seen[text * width + column] = True
+            total += np.bincount(text, minlength=n)
+            strange += np.bincount(text[column == width - 1], minlength=n)     # few
+        known[first:first + n] = (total - strange) / np.maximum(total, 1)
         seen = seen.reshape(n, width)
         out = np.tile(model.bias, (n, 1))
         for b, e, w in zip(model.block[:-1], model.block[1:], model.weights):
@@ -160,7 +167,7 @@ def _scored(batch_text, letters, model: Model):
         score[first:first + n] = 1 / out.sum(1)
     best[~letters] = -1
     score[~letters] = 0
-    return best, score
+    return best, score, known
 
 
 def identify(documents: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
@@ -177,16 +184,16 @@ def identify(documents: DataFrame, model: Model | None, keep: list[str]) -> Data
         langs = np.array([*(model.langs if model else []), UNKNOWN], dtype=object)
         for batch in batches:
             letters = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            best, score = _scored(batch.column(0), letters, model)
+            best, score, known = _scored(batch.column(0), letters, model)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(langs[best], pa.string()), pa.array(score, pa.float64())],
-                names=[*names, "lang_pred", "score"])
+                [*batch.columns[2:], pa.array(langs[best], pa.string()), pa.array(score, pa.float64()), pa.array(known, pa.float64())],
+                names=[*names, "lang_pred", "score", "known"])
 
     rows = documents.select(F.col("text").alias("t"), has_letter(F.col("text")).alias("l"),
                             *[F.col(c).alias(n) for c, n in zip(keep, names)])
     kinds = ", ".join(f"{n} {documents.schema[c].dataType.simpleString()}" for c, n in zip(keep, names))
-    out = rows.mapInArrow(run, f"{kinds}, lang_pred string, score double")
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "lang_pred", "score")
+    out = rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, known double")
+    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "lang_pred", "score", "known")
 
 
 def held_out(doc_id):
@@ -196,7 +203,7 @@ def held_out(doc_id):
 
 def identify_documents(documents: DataFrame, **params) -> DataFrame:
     """Learn from the rows that are not held out and predict every row:
-    doc_id, held_out, lang_pred, score. One row for each input row, repeated
+    doc_id, held_out, lang_pred, score, known. One row for each input row, repeated
     ids included; an empty table gives an empty result; other columns are
     ignored."""
     d = documents.select("doc_id", "lang", "text", held_out(F.col("doc_id")).alias("held_out"))

@@ -61,3 +61,16 @@ def test_one_id_on_many_rows_keeps_the_sample_bounded(spark):
     for lang in ("en", "de"):
         mine = [r for r in got if r.lang == lang]
         assert sorted(r["rank"] for r in mine) == list(range(1, 21)) and len({r.text for r in mine}) == 20
+
+
+def test_known_share_of_ngrams(spark):
+    """Distinct from the score: n-grams count as known if any learnt text has
+    them, also those that the kernel leaves out."""
+    rows = [(i, t, lang) for i, (t, lang) in enumerate([("abab abab", "x"), ("cdcd cdcd", "y")] * 6)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    asked = spark.createDataFrame([("abab abab",), ("zqzq zqzq",), ("abab zqzq",), (None,)], "text string")
+    for grams in (6000, 2):
+        model = langid.fit(d, grams=grams)
+        got = {r.text: r.known for r in langid.identify(asked, model, ["text"]).collect()}
+        assert got["abab abab"] == 1.0 and got["zqzq zqzq"] < 0.5 and 0.4 < got["abab zqzq"] < 0.8 and got[None] == 0.0
+    assert [r.known for r in langid.identify(asked, None, ["text"]).collect()] == [0.0] * 4

@@ -112,3 +112,28 @@ def test_stages_take_missing_and_repeated_rows(spark):
         assert empty.columns[:5] == cp.COLUMNS and empty.count() == 0
         if name == "language":
             docs = out
+
+
+def strange_texts():
+    import random
+    rnd = random.Random(1)
+    gibberish = " ".join("".join(rnd.choice("bcdfghjklmnpqrstvwxz") for _ in range(6)) for _ in range(60))
+    return [
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        "すべての人間は、生まれながらにして自由であり、かつ、尊厳と権利とについて平等である。",
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.", gibberish,
+        "int main(void) { for (int i = 0; i < n; i++) { printf(\"%d\\n\", a[i]); } return 0; }"]
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_texts_of_no_learnt_language_go(spark, sf):
+    """At two sizes of the corpus: strange texts, which bear no language or a
+    wrong one, go; the corpus stays."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select(cp.COLUMNS)
+    # ids that are held out, so that nothing is learnt from the strange texts
+    from aerofeat.llm.langid import held_out
+    free = [r.id for r in spark.range(10 ** 7, 10 ** 7 + 100).filter(held_out(F.col("id"))).limit(5).collect()]
+    strange = spark.createDataFrame([(i, t, lang, "s", len(t)) for i, t, lang in zip(free, strange_texts(), [None, "en", "de", None, "en"])], SCHEMA)
+    kept = cp.language(spark, docs.unionByName(strange), "")
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert not ids & set(free) and len(ids) >= 0.97 * docs.count()
