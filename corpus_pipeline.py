@@ -18,6 +18,7 @@ from aerofeat.llm.keys import KEY, keyed, stage
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.3       # of a language that is accepted; an even guess among four scores 0.25
+LEAST_KNOWN = 0.95      # share of a text's n-grams that texts of the learnt languages have
 NEAR_WORDS = 5          # words of a shingle, and
 NEAR_SHARE = (80, 100)  # the similarity from which on documents are near copies (op10 has its own)
 #: No SQL: the stages learn models and remove byte spans across documents.
@@ -32,12 +33,15 @@ def _named(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is not identified go: those without text or
-    letters, and those whose best language scores under ``LEAST_SCORE``."""
+    letters, those whose best language scores under ``LEAST_SCORE``, and those
+    of languages that are not learnt: fewer than ``LEAST_KNOWN`` of their n-grams
+    occur in learnt texts, however many languages there are."""
     rows = docs.select(COLUMNS)
     model = langid.fit(rows.filter(~langid.held_out(F.col("doc_id"))))
     named = rows.select(F.struct(*COLUMNS).alias("row"), "text")
     got = langid.identify(named, model, ["row"])
-    return got.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("row.*")
+    return got.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+                      & (F.col("known") >= LEAST_KNOWN)).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
