@@ -87,13 +87,16 @@ HEADERS = 100       # files whose header one job reads
 
 def header_groups(spark: SparkSession, path) -> dict[tuple[str, ...], list[str]]:
     """Files by their header: {column names: paths}. One job asks ``HEADERS``
-    files for their first line, each by a scan that ends there."""
+    files for their first line that is not empty, each by a scan that ends there."""
     paths = [path] if isinstance(path, str) else list(path)
     names = F.split(F.regexp_replace("value", "^\ufeff", ""), ",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", -1)
     files = sorted(spark.read.text(paths).inputFiles())
+    # one task a file: of a file in several splits, a limit could take the first line of any split. A
+    # multi-line scan is not split; without quotes and with a separator that no header has, a row is a line
+    lines = spark.read.options(multiLine=True, header=False, quote="", sep="\u0001").schema("value string")
     groups: dict[tuple[str, ...], list[str]] = {}
     for i in range(0, len(files), HEADERS):
-        firsts = [spark.read.text(f).limit(1).select(F.lit(f).alias("file"), names.alias("names")) for f in files[i:i + HEADERS]]
+        firsts = [lines.csv(f).limit(1).select(F.lit(f).alias("file"), names.alias("names")) for f in files[i:i + HEADERS]]
         # an empty file has no first line, and no rows either
         for r in sorted(functools.reduce(DataFrame.union, firsts).collect()):
             groups.setdefault(tuple(n.strip().strip('"').replace('""', '"') for n in r["names"]), []).append(r["file"])

@@ -173,6 +173,29 @@ def test_command_line(spark, tmpdir_path):
     assert spark.read.parquet(out + "/a").count() > 0
 
 
+def test_header_of_a_file_in_many_splits_is_read_by_one_task(spark, tmpdir_path):
+    # with a task for each split, the first line to arrive could be of any split
+    rows = [f"{i},{i % 7}" for i in range(2000)]
+    for name, head in (("a", "x,y"), ("b", "y,x"), ("blank", "\n\ufeffx,y"), ("only", "x,y"), ("none", None)):
+        with open(f"{tmpdir_path}/{name}.csv", "w", encoding="utf-8") as f:
+            f.write("" if head is None else "\n".join([head] + rows * (name in "ab")) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    spark.sparkContext.setJobGroup("headers", "headers")
+    try:
+        groups = csvsrc.header_groups(spark, tmpdir_path + "/*.csv")
+        track = spark.sparkContext.statusTracker()
+        stages = [track.getStageInfo(s) for j in track.getJobIdsForGroup("headers") for s in track.getJobInfo(j).stageIds]
+        got = csvsrc.read_named_csv(spark, [f"{tmpdir_path}/{x}.csv" for x in "ab"], columns=["x", "y"])
+        assert got.count() == 2 * len(rows) and got.filter("cast(y as int) > 6").count() == 2000 - 7
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {k: sorted(f.rsplit("/", 1)[1] for f in v) for k, v in groups.items()} == {
+        ("x", "y"): ["a.csv", "blank.csv", "only.csv"], ("y", "x"): ["b.csv"]}
+    assert max(s.numTasks for s in stages if s) <= 5     # as many as files
+
+
 def test_named_csv_of_unlike_headers(spark, tmpdir_path):
     """Column orders that differ, an index column, a quoted header, an
     empty file; a file that lacks a column raises."""
