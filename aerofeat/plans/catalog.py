@@ -488,7 +488,7 @@ def q_daily_confusion(spark, sf):
 
 
 def _final_windows(spark, sf, closing: tuple[str, ...] = CLOSING) -> str:
-    """The flights as three files of a stream: by time in two, then every 50th flight of the
+    """The flights as three parts of a stream: by time in two, then every 50th flight of the
     first week, too late; and closing rows, which no airport has."""
     from ..streaming import final_windows as fw
     path = scratch_path(spark, "final_windows")
@@ -502,7 +502,7 @@ def _final_windows(spark, sf, closing: tuple[str, ...] = CLOSING) -> str:
     # each part is taken by a run of its own, as it would be when it arrives
     parts = [flights.filter(F.col("file") == i).drop("file") for i in range(3)] + [ends]
     for part in parts:
-        part.coalesce(1).write.mode("append").parquet(path + "/in")
+        part.write.mode("append").parquet(path + "/in")
         fw.gate(spark.readStream.schema(schema).parquet(path + "/in"), "et", path, path + "/_gate")
     fw.final_means(fw.on_time(spark, path, schema), "et", path + "/means", path + "/_means")
     return path

@@ -94,13 +94,21 @@ def enriched(requests: DataFrame, means: DataFrame, delay: str = DELAY, slide: s
     """Requests (``airport``, ``time``, ...) with ``feature_time`` and
     ``average_departure_delay`` of the airport's window that ended at or before the
     request, less than ``slide`` before it: an outer interval join of two streams.
-    A mean without an airport joins nothing and does not advance the watermark."""
-    asked = requests.withWatermark("time", delay).alias("r")
+    A mean without an airport joins nothing and does not advance the watermark.
+
+    The stretch of length ``slide`` is a join key beside the airport: a request is in one, and a
+    mean stands in the two that its requests can be in. A row then meets the few rows of its
+    stretch, not all of its airport, and one airport's rows are dealt over many tasks."""
+    seconds = _seconds(slide)
+    stretch = lambda c: F.floor(F.unix_seconds(c) / seconds)
+    asked = requests.withWatermark("time", delay).withColumn("_stretch", stretch("time")).alias("r")
     known = means.select(F.col("origin_airport_id"), F.col("window_end").alias("feature_time"), "average_departure_delay") \
-        .withWatermark("feature_time", delay).alias("m")
-    near = (F.col("r.airport") == F.col("m.origin_airport_id")) & (F.col("m.feature_time") <= F.col("r.time")) \
-        & (F.col("m.feature_time") > F.col("r.time") - F.expr(f"INTERVAL {slide}"))
-    return asked.join(known, near, "left_outer").select("r.*", "m.feature_time", "m.average_departure_delay")
+        .withWatermark("feature_time", delay) \
+        .withColumn("_stretch", F.explode(F.array(stretch("feature_time"), stretch("feature_time") + 1))).alias("m")
+    near = (F.col("r.airport") == F.col("m.origin_airport_id")) & (F.col("r._stretch") == F.col("m._stretch")) \
+        & (F.col("m.feature_time") <= F.col("r.time")) & (F.col("m.feature_time") > F.col("r.time") - F.expr(f"INTERVAL {slide}"))
+    return asked.join(known, near, "left_outer") \
+        .select("r.*", "m.feature_time", "m.average_departure_delay").drop("_stretch")
 
 
 def enrich(requests: DataFrame, means: DataFrame, path: str, checkpoint: str, delay: str = DELAY,

@@ -87,3 +87,23 @@ def test_plan_of_the_windows_has_two_stateful_aggregates(spark, tmpdir_path):
     out = fw.final_windows(spark.readStream.schema(ROW).parquet(tmpdir_path + "/in"), "et")
     assert out.isStreaming and out.columns == [c.split()[0] for c in fw.MEAN_SCHEMA.split(", ")]
     assert fw.final_windows(spark.read.parquet(tmpdir_path + "/in"), "et").filter(F.col("average_departure_delay") == 1.0).count() == 4
+
+
+def test_requests_meet_only_the_means_of_their_stretch(spark, tmpdir_path):
+    d = tmpdir_path
+    ends = [0.25 * i + 4 for i in range(0, 60, 5)]          # not on the hour
+    mean = [(at(e - 4), at(e), a, e + len(a)) for e in ends for a in ("A", "BB")]
+    close = [(at(100), at(104), "", None)]
+    asked = [(i, a, at(3 + 0.125 * i)) for i in range(140) for a in ("A", "BB", "C")]
+    put(spark, d + "/means", mean + close, fw.MEAN_SCHEMA)
+    request = "event_id long, airport string, time timestamp"
+    put(spark, d + "/requests", asked + [(-1, "", at(104))], request)
+    requests, means = (spark.readStream.schema(x).parquet(d + y) for x, y in ((request, "/requests"), (fw.MEAN_SCHEMA, "/means")))
+    fw.enrich(requests, means, d + "/out", d + "/_enriched")
+    got = {(r.event_id, r.airport): r.feature_time for r in spark.read.parquet(d + "/out").filter("event_id >= 0").collect()}
+    want = {(i, a): next((at(e) for e in ends if a != "C" and at(e) <= t < at(e + 1)), None) for i, a, t in asked}
+    assert got == want and len(want) == len(asked)
+    # two keys: without the stretch, a request is compared with every mean of its airport
+    plan = fw.enriched(spark.read.schema(request).parquet(d + "/requests"), spark.read.schema(fw.MEAN_SCHEMA).parquet(d + "/means"))
+    pairs = plan._jdf.queryExecution().executedPlan().toString()
+    assert "airport" in pairs and "_stretch" in pairs.split("Join", 1)[1].split("]", 1)[0]
