@@ -5,12 +5,16 @@ its right: hidden = tanh(L[left] + R[right] + b), probabilities = softmax(hidden
 U + c), trained in numpy. A document's score is the sum of the conditional
 log-probabilities of all its tokens.
 
-Tokens are words: the ``top`` most frequent words of the whole corpus, and
-``tails`` hashed classes for all others; the end of a text is a token of its own
-on either side. With so few symbols the corpus enters the training through one
+Tokens are words. The network's symbols are the ``top`` most frequent words of the
+whole corpus, and ``tails`` hashed classes for all others; the end of a text is a
+symbol of its own on either side. The vocabulary is every word of the corpus: a word of
+a class has the probability of its class there, times its own share in the class, which is
+its exact count over all documents by that of the class. With so few symbols the corpus enters the training through one
 table of counts, (left, token, right), gathered over every document; its size
 is the number of symbols cubed, whatever the corpus. The trained network is
-likewise one table of conditional log-probabilities, which tasks look up.
+likewise one table of conditional log-probabilities, which tasks look up. The words'
+counts are as many as the corpus has words; they stay distributed and are joined with the
+words of the texts.
 """
 
 from __future__ import annotations
@@ -19,6 +23,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .keys import stage
 from .text import LOWER, WORD_ALNUM, string_slices, word_hashes
 
 TOP = 96               # most frequent words that are symbols
@@ -78,11 +83,21 @@ class Symbols:
         return left, s, right, text
 
 
+def word_counts(documents: DataFrame) -> DataFrame:
+    """(word, n): every word of all documents, by hash, and how often it occurs."""
+    return documents.select("text").mapInArrow(_word_counts, "word long, n long") \
+        .groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def symbols_of(words: DataFrame, top: int = TOP, tails: int = TAILS) -> Symbols:
+    """Symbols from word counts (ties by hash)."""
+    most = words.orderBy(F.desc("n"), "word").limit(top).collect()
+    return Symbols(np.array([r["word"] for r in most], np.int64).view(np.uint64), tails)
+
+
 def vocabulary(documents: DataFrame, top: int = TOP, tails: int = TAILS) -> Symbols:
-    """Symbols from the word counts of all documents (ties by hash)."""
-    words = documents.select("text").mapInArrow(_word_counts, "word long, n long") \
-        .groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(top).collect()
-    return Symbols(np.array([r["word"] for r in words], np.int64).view(np.uint64), tails)
+    """Symbols from the word counts of all documents."""
+    return symbols_of(word_counts(documents), top, tails)
 
 
 def _triple_counts(symbols: Symbols):
@@ -164,10 +179,11 @@ def train(counts: np.ndarray, hidden: int = HIDDEN, steps: int = STEPS, rate: fl
     return forward(np.arange(ends * ends))[1].reshape(ends, ends, size)
 
 
-def score(documents: DataFrame, symbols: Symbols, table: np.ndarray) -> DataFrame:
+def score(documents: DataFrame, symbols: Symbols, table: np.ndarray, keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, n_tokens, log_likelihood (the sum of its tokens'
-    conditional log-probabilities) and mean_log_likelihood (null without
-    tokens). Whole texts; a null text has no tokens."""
+    conditional log-probabilities, as symbols) and mean_log_likelihood (null without
+    tokens). Whole texts; a null text has no tokens. ``keep`` may name long columns to stay,
+    and then ``n_tail`` is the number of tokens that are words of a class."""
     shared = documents.sparkSession.sparkContext.broadcast((symbols, table))   # symbols cubed
 
     def run(batches):
@@ -178,19 +194,66 @@ def score(documents: DataFrame, symbols: Symbols, table: np.ndarray) -> DataFram
                 left, token, right, text = symbols.triples(buf, off)
                 n = np.bincount(text, minlength=len(off) - 1)
                 total = np.bincount(text, weights=table[left, right, token].astype(np.float64), minlength=len(n))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(total),
-                     pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)],
-                    names=["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"])
+                cols = [batch.column(0).slice(first, len(n)), pa.array(n), pa.array(total),
+                        pa.array(total / np.maximum(n, 1), pa.float64(), mask=n == 0)]
+                names = ["doc_id", "n_tokens", "log_likelihood", "mean_log_likelihood"]
+                if keep:
+                    cols.append(pa.array(np.bincount(text[token >= len(symbols.words)], minlength=len(n))))
+                    cols += [batch.column(2 + i).slice(first, len(n)) for i in range(len(keep))]
+                    names += ["n_tail", *keep]
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
     id_type = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {id_type}, n_tokens long, log_likelihood double, mean_log_likelihood double")
+    more = "".join(f", {c} long" for c in ("n_tail", *keep)) if keep else ""
+    return documents.select("doc_id", "text", *keep).mapInArrow(
+        run, f"doc_id {id_type}, n_tokens long, log_likelihood double, mean_log_likelihood double" + more)
+
+
+def _tail_words(symbols: Symbols):
+    """(text, hash of the text) → (``_text``, word, times) of the words that are in a class."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            key = batch.column(1).to_numpy()
+            for first, buf, off in string_slices(batch.column(0)):
+                h, _, _, text = word_hashes(LOWER[buf], off, WORD_ALNUM)
+                tail = symbols.of(h) >= len(symbols.words)
+                h, text = h[tail], text[tail]
+                o = np.argsort(h)
+                o = o[np.argsort(text[o], kind="stable")]
+                h, text = h[o], text[o]
+                new = np.ones(len(h), bool)
+                new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+                at = np.flatnonzero(new)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[first + text[at]]), pa.array(h[at].view(np.int64)),
+                     pa.array(np.diff(np.append(at, len(h))).astype(np.int32))], names=["_text", "word", "times"])
+    return run
+
+
+def score_words(documents: DataFrame, words: DataFrame, symbols: Symbols, counts: np.ndarray, table: np.ndarray) -> DataFrame:
+    """``score`` with every word of its own: a word of a class adds the logarithm of its
+    share in the class. ``words`` has the corpus's counts, ``counts`` those of the triples.
+
+    A text is known by its hash, so equal texts add up to one sum; the share of a row in it
+    is that of its tokens."""
+    table = table.copy()
+    # the class's count goes into the table, the word's own count comes by the join
+    table[:, :, len(symbols.words):] -= np.log(np.maximum(1.0, counts.sum((0, 1), dtype=np.float64)))[len(symbols.words):]
+    docs = documents.select("doc_id", "text", F.xxhash64("text").alias("_text"))
+    own = docs.select("text", "_text").mapInArrow(_tail_words(symbols), "_text long, word long, times int") \
+        .join(words, "word").groupBy("_text").agg(F.sum(F.col("times") * F.log("n")).alias("_sum"), F.sum("times").alias("_times"))
+    total = F.col("log_likelihood") + F.coalesce(F.col("_sum") / F.col("_times") * F.col("n_tail"), F.lit(0.0))
+    return score(docs, symbols, table, keep=("_text",)).join(own, "_text", "left") \
+        .select("doc_id", "n_tokens", total.alias("log_likelihood"),
+                F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood"))
 
 
 def score_documents(documents: DataFrame, top: int = TOP, tails: int = TAILS, **params) -> DataFrame:
     """Vocabulary, counts, training and scores of one corpus. One row for each
     input row, repeated ids included; other columns are ignored; an empty
     table gives an empty result."""
-    symbols = vocabulary(documents, top, tails)
-    return score(documents, symbols, train(count_triples(documents, symbols), **params))
+    words = stage(word_counts(documents), "words")
+    symbols = symbols_of(words, top, tails)
+    counts = count_triples(documents, symbols)
+    return score_words(documents, words, symbols, counts, train(counts, **params))

@@ -58,3 +58,29 @@ def test_word_order_matters_and_missing_rows(spark):
     assert mean[0] > mean[100] + 0.5 and mean[101] is None and mean[102] is None
     assert lm.score_documents(df).count() == len(rows)
     assert lm.score_documents(df.limit(0)).count() == 0
+
+
+def test_every_word_has_its_own_probability(spark):
+    # "the" and "of" are symbols, all other words are of one class or of three
+    texts = ["the fox of the wood"] * 30 + ["the owl of the wood", "the owl of the wood", "the elk of the wood", "of the", "?", None]
+    df = spark.createDataFrame(list(enumerate(texts)) + [(0, "the elk, of the WOOD"), (None, "owl")], "doc_id long, text string").repartition(3)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    n = Counter(w for _, t in rows for w in words(t))
+    for tails in (1, 3):
+        symbols = lm.vocabulary(df, 2, tails)
+        table = lm.train(lm.count_triples(df, symbols), hidden=8, steps=40)
+        of = dict(zip(n, symbols.of(hashes(list(n))).tolist()))
+        in_class = Counter()
+        for w in n:
+            in_class[of[w]] += n[w]
+        want = []
+        for d, t in rows:
+            s = [2 + tails, *(of[w] for w in words(t)), 2 + tails]
+            want.append((str(d), len(s) - 2, sum(float(table[s[i], s[i + 2], s[i + 1]]) + np.log(n[w] / in_class[of[w]])
+                                                 for i, w in enumerate(words(t)))))
+        got = [(str(r.doc_id), r.n_tokens, r.log_likelihood) for r in lm.score_documents(df, 2, tails, hidden=8, steps=40).collect()]
+        assert len(got) == len(want)
+        for g, x in zip(sorted(got), sorted(want)):
+            assert g[:2] == x[:2] and abs(g[2] - x[2]) < 1e-4 * max(1, abs(x[2]))
+    mean = {r.doc_id: r.mean_log_likelihood for r in lm.score_documents(df, 2, 1).collect() if r.doc_id}
+    assert mean[1] > mean[30] + 0.2 > mean[32] + 0.2 and mean[30] == mean[31] and mean[34] is None and mean[35] is None
