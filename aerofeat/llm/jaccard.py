@@ -307,15 +307,15 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     members = reps.select(F.explode("cells").alias("cell"), KEY, "n") \
         .withColumn("before", F.lag(KEY).over(region)).withColumn("after", F.lead(KEY).over(region)) \
         .filter("before is not null or after is not null").select("cell", KEY, "n")
-    members = stage(members.join(feats.select(KEY, "few"), KEY), "members")
-    found = stage(members.repartition("cell").sortWithinPartitions("cell", "n", KEY)
+    members = stage(members, "members")       # without their bits, which are most of a row
+    found = stage(members.join(feats.select(KEY, "few"), KEY).repartition("cell").sortWithinPartitions("cell", "n", KEY)
                   .select("cell", KEY, "n", "few").mapInArrow(_near(share, partners), PAIRS), "near")
     pairs = stage(found.filter("not open").select("a", "b").distinct(), "pairs")
     links = stage(_linked(docs, feats, pairs, k, share), "links")
     labels = components(links)
     opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()
     if not opened.isEmpty():
-        again = members.drop("few").join(opened.select("cell").distinct(), "cell", "left_semi") \
+        again = members.join(opened.select("cell").distinct(), "cell", "left_semi") \
             .join(opened, [KEY, "cell"], "left").join(feats.select(KEY, F.col("odd").alias("few")), KEY) \
             .join(labels.withColumnRenamed("node", KEY), KEY, "left") \
             .select("cell", KEY, "n", "few", F.coalesce("component", KEY).alias("component"),

@@ -81,3 +81,12 @@ def test_ids_that_repeat_or_miss_and_empty_table(spark):
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.jaccard_components(df).collect()), key=str)
     assert got == sorted([(1, 2, 1), (None, 2, 1), (1, 1, 0), (0, 1, 0), (None, 0, None)], key=str)
     assert jaccard.jaccard_components(df.limit(0)).count() == 0
+
+
+def test_bits_are_not_written_for_each_region(spark, messy, monkeypatch):
+    staged = {}
+    monkeypatch.setattr(jaccard, "stage", lambda df, name: staged.setdefault(name, df.columns) and keep(df, name))
+    keep = jaccard.keyed.__globals__["stage"]
+    df = spark.createDataFrame(messy, "doc_id long, text string")
+    assert rows(jaccard.jaccard_components(df)) == brute(messy)
+    assert staged["members"] == ["cell", "_key", "n"] and "few" in staged["features"]
