@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import KEY, keyed, stage
-from .text import LOWER, WORD_ALNUM, gram_hashes, mix, string_slices, word_hashes, word_runs
+from .text import LOWER, PART_BYTES, WORD_ALNUM, gram_hashes, mix, string_slices, word_hashes, word_runs
 
 WINDOW = 13            # consecutive words of a window
 K = 7                  # words of a fingerprint
@@ -62,7 +62,7 @@ def _fingerprints(levels):
         import pyarrow as pa
         for batch in batches:
             keys = batch.column(0).to_numpy()
-            for row, buf, off in string_slices(batch.column(1)):
+            for row, buf, off in string_slices(batch.column(1), PART_BYTES):
                 h, _, _, text = word_hashes(LOWER[buf], off, WORD_ALNUM)
                 begin = np.searchsorted(text, np.arange(len(off)))
                 for length, k in levels:
@@ -93,7 +93,7 @@ def _extended(levels):
             names = batch.schema.names
             keys = batch.column(names.index(KEY))
             hits = batch.column(names.index("hits"))
-            for row, buf, off in string_slices(batch.column(names.index("text"))):
+            for row, buf, off in string_slices(batch.column(names.index("text")), PART_BYTES):
                 start, _, text = word_runs(LOWER[buf], off, WORD_ALNUM)
                 n_words = np.bincount(text, minlength=len(off) - 1)
                 found = []

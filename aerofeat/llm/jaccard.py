@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .keys import KEY, keyed, stage
-from .text import LOWER, WORD_NONSPACE, gram_hashes, mix, prefix_sums, run_hash, string_slices, word_hashes
+from .text import LOWER, PART_BYTES, WORD_NONSPACE, gram_hashes, mix, parts, prefix_sums, run_hash, string_slices, word_hashes
 
 K = 3                   # words of a shingle
 SHARE = (90, 100)       # linked: share[1] * |x & y| >= share[0] * |x | y|
 PARTNERS = 16           # near documents compared before the region is split
-SLICE = 2 << 20         # bytes of texts that are handled at once
+SLICE = 2 << 20         # bytes of texts in which common shingles are looked for
 COMMON_IN_SLICE = 3     # documents of one slice that make a shingle a candidate for "common"
 COMMON_SHINGLES = 1 << 16  # common shingles that are ordered by count; the others come first, by hash
 
@@ -72,19 +72,22 @@ def shingle_sets(buf: np.ndarray, offsets: np.ndarray, k: int = K):
     return g[new], d[new]
 
 
-def _slices(batches, k):
+def _slices(batches, k, size: int = PART_BYTES):
     for batch in batches:
         names = batch.schema.names
         keys = batch.column(names.index(KEY)).to_numpy()
-        for first, buf, off in string_slices(batch.column(names.index("text")), SLICE):
-            g, d = shingle_sets(buf, off, k)
+        for first, buf, off in string_slices(batch.column(names.index("text")), size):
+            sets = [(at, shingle_sets(b, o, k)) for at, b, o in parts(buf, off)]
+            g = np.concatenate([g for _, (g, _) in sets])
+            d = np.concatenate([at + d for at, (_, d) in sets])
+            del sets
             yield keys[first:first + len(off) - 1], g, d, np.searchsorted(d, np.arange(len(off)))
 
 
 def _common_in_slice(k: int, least: int):
     def run(batches):
         import pyarrow as pa
-        for _, g, _, _ in _slices(batches, k):
+        for _, g, _, _ in _slices(batches, k, SLICE):
             g, n = np.unique(g, return_counts=True)
             many = n >= least
             yield pa.RecordBatch.from_arrays([pa.array(g[many].view(np.int64)), pa.array(n[many])],

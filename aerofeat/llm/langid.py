@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .keys import stage
-from .text import string_slices
+from .text import parts, string_slices
 
 PER_CLASS = 250        # labelled texts a language is learnt from, at most
 LANDMARKS = 40         # of them landmarks
@@ -151,11 +151,13 @@ def _scored(batch_text, letters, model: Model):
         n = len(off) - 1
         seen = np.zeros(n * width, bool)
         total, strange = np.zeros(n), np.zeros(n)
-        for code, text in _grams(buf, off):
-            column = model.column[code]
-            seen[text * width + column] = True
-            total += np.bincount(text, minlength=n)
-            strange += np.bincount(text[column == width - 1], minlength=n)     # few
+        for at, part, part_off in parts(buf, off):
+            for code, text in _grams(part, part_off):
+                text = text + at
+                column = model.column[code]
+                seen[text * width + column] = True
+                total += np.bincount(text, minlength=n)
+                strange += np.bincount(text[column == width - 1], minlength=n)     # few
         known[first:first + n] = (total - strange) / np.maximum(total, 1)
         seen = seen.reshape(n, width)
         out = np.tile(model.bias, (n, 1))
@@ -175,8 +177,10 @@ def identify(documents: DataFrame, model: Model | None, keep: list[str]) -> Data
     or has no letter, or nothing could be learnt) and score (0 to 1). Only
     text is looked at."""
     sc = documents.sparkSession.sparkContext
+    own = [c for c in keep if c != "text"]       # the text goes to the workers and back once
+    with_text = "text" in keep
     shared = sc.broadcast(model)       # 2**21 short integers and 6000 weights for each language
-    names = [f"c{i}" for i in range(len(keep))]
+    names = [f"c{i}" for i in range(len(own))]
 
     def run(batches):
         import pyarrow as pa
@@ -186,14 +190,16 @@ def identify(documents: DataFrame, model: Model | None, keep: list[str]) -> Data
             letters = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
             best, score, known = _scored(batch.column(0), letters, model)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], pa.array(langs[best], pa.string()), pa.array(score, pa.float64()), pa.array(known, pa.float64())],
-                names=[*names, "lang_pred", "score", "known"])
+                [*batch.columns[2:], *([batch.column(0)] if with_text else []), pa.array(langs[best], pa.string()),
+                 pa.array(score, pa.float64()), pa.array(known, pa.float64())],
+                names=[*names, *(["t"] if with_text else []), "lang_pred", "score", "known"])
 
     rows = documents.select(F.col("text").alias("t"), has_letter(F.col("text")).alias("l"),
-                            *[F.col(c).alias(n) for c, n in zip(keep, names)])
-    kinds = ", ".join(f"{n} {documents.schema[c].dataType.simpleString()}" for c, n in zip(keep, names))
-    out = rows.mapInArrow(run, f"{kinds}, lang_pred string, score double, known double")
-    return out.select(*[F.col(n).alias(c) for c, n in zip(keep, names)], "lang_pred", "score", "known")
+                            *[F.col(c).alias(n) for c, n in zip(own, names)])
+    kinds = [f"{n} {documents.schema[c].dataType.simpleString()}" for c, n in zip(own, names)] + ["t string"] * with_text
+    out = rows.mapInArrow(run, ", ".join([*kinds, "lang_pred string", "score double", "known double"]))
+    name = dict(zip(own, names)) | {"text": "t"}
+    return out.select(*[F.col(name[c]).alias(c) for c in keep], "lang_pred", "score", "known")
 
 
 def held_out(doc_id):

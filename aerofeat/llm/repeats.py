@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import KEY, keyed, stage
-from .text import BYTE_CODE, mix, prefix_sums, run_hash, string_slices
+from .text import BYTE_CODE, mix, parts, prefix_sums, run_hash, string_slices
 
 LENGTH = 100          # bytes of a repeated string
 Q = 28                # bytes of an initial bucket
@@ -114,7 +114,11 @@ def _suffix_rows(length: int, q: int):
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False)
             for first, buf, off in string_slices(batch.column(1)):
-                bucket, context, text, at, n = kept_suffixes(buf, off, length, q)
+                # suffixes by part, what repeats by slice
+                found = [(t, kept_suffixes(b, o, length, q)) for t, b, o in parts(buf, off)]
+                text = np.concatenate([t + x[2] for t, x in found])
+                bucket, context, at, n = (np.concatenate([x[i] for _, x in found]) for i in (0, 1, 3, 4))
+                del found
                 if not len(bucket):
                     continue
                 rank = np.argsort(np.argsort(keys[first:first + len(off) - 1], kind="stable")).astype(np.uint16)

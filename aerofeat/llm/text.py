@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 SLICE_BYTES = 1 << 20
+PART_BYTES = 1 << 18     # bytes that are hashed at once: each takes some 100 bytes of working memory
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _rng = np.random.default_rng(20240229)
@@ -83,6 +84,17 @@ def string_slices(column, max_bytes: int = SLICE_BYTES, max_rows: int = 1 << 16)
         first = last
 
 
+def parts(buf: np.ndarray, offsets: np.ndarray, max_bytes: int = PART_BYTES):
+    """Cut texts that lie end to end in ``buf`` into parts of whole texts of
+    about ``max_bytes``: yields (first text, bytes, offsets)."""
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = int(np.searchsorted(offsets, offsets[first] + max_bytes, side="right")) - 1
+        last = min(max(last, first + 1), n)
+        yield first, buf[offsets[first]:offsets[last]], offsets[first:last + 1] - offsets[first]
+        first = last
+
+
 def word_runs(buf: np.ndarray, offsets: np.ndarray, is_word: np.ndarray):
     """Words of the texts that lie end to end in ``buf``: (start, end, text
     index) of each; a word never spans two texts."""

@@ -38,10 +38,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     occur in learnt texts, however many languages there are."""
     rows = docs.select(COLUMNS)
     model = langid.fit(rows.filter(~langid.held_out(F.col("doc_id"))))
-    named = rows.select(F.struct(*COLUMNS).alias("row"), "text")
-    got = langid.identify(named, model, ["row"])
+    got = langid.identify(rows, model, COLUMNS)
     return got.filter((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-                      & (F.col("known") >= LEAST_KNOWN)).select("row.*")
+                      & (F.col("known") >= LEAST_KNOWN)).select(COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
