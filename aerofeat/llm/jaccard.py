@@ -14,7 +14,13 @@ Window. Let d(x, y) <= eps. Then |x - y| <= |x| - ceil((1 - eps) |x|), so the
 first pivot that x shares with y is among its first
 |x| - ceil((1 - eps) |x|) + 1 pivots, and the same holds for y. Copying each
 document into the regions of so many pivots lets every linked pair meet in the
-region of its first shared pivot.
+region of its first shared pivot. A document stays in a region only if another
+one there is near enough in size.
+
+A linked pair meets more than once: the shared pivots outside both windows come
+after the one that ends first, so they are fewer than ceil((1 - eps) |x|) for the
+larger x. The pair needs ceil((1 - eps) / (2 - eps) (|x| + |y|)) in all, and the
+rest are regions that it shares; pairs that meet in fewer go uncompared.
 
 Inside a region, distances are bounded from below with reference sets that
 part the shingle universe (by hash): |x ^ y| is at least the number of reference
@@ -113,6 +119,12 @@ def _needed(n, share):
     return -(-n * share[0] // share[1])
 
 
+def _meetings(larger, smaller, share):
+    """The regions that a linked pair of so many shingles shares at least."""
+    both = -(-(larger + smaller) * share[0] // (share[0] + share[1]))
+    return both - _needed(larger, share) + 1
+
+
 def _odd(hashes: np.ndarray) -> bytes:
     """A bit for each of 2**j >= 2n reference sets: whether it holds an odd
     number of the n shingles. Folding the upper half onto the lower one by
@@ -192,10 +204,11 @@ FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, few binary, odd binary, c
 
 
 def _near(share, partners: int | None):
-    """Rows sorted by (cell, n, key) → pairs that pass the lower bound. With
-    ``partners``, the nearest so many for each document, and the documents
-    that have more in a cell (``open``). Without, the pairs of open documents outside
-    their component."""
+    """Rows sorted by (cell, n, key) → pairs that pass the lower bound, the
+    larger document first, with the regions in which they did (``met``) and those
+    in which a linked pair does (``least``). With ``partners``, the nearest so
+    many for each document, and the documents that have more in a cell
+    (``open``). Without, the pairs of open documents outside their component."""
     def gaps(new: list[bytes], held: list[bytes]) -> np.ndarray:
         size = 8 * min(map(len, new + held))
         a, b = (np.frombuffer(b"".join(_folded(x, size) for x in v), np.uint64).reshape(len(v), -1) for v in (new, held))
@@ -216,7 +229,7 @@ def _near(share, partners: int | None):
             bf = col["few"].to_pylist()
             bm = col["component"].to_numpy() if partners is None else bk
             bo = col["open"].to_numpy(zero_copy_only=False) if partners is None else np.ones(len(bc), bool)
-            out_a, out_b, out_cell, out_open = [], [], [], []
+            out_a, out_b, out_cell, out_open, out_least = [], [], [], [], []
             edges = np.flatnonzero(np.append(True, bc[1:] != bc[:-1]))
             for s, e in zip(edges, np.append(edges[1:], len(bc))):
                 if cell != bc[s]:
@@ -245,23 +258,36 @@ def _near(share, partners: int | None):
                             out_b.append(keys[new[i]][None])
                             out_cell.append(np.full(1, cell))
                             out_open.append(np.ones(1, bool))
+                            out_least.append(np.zeros(1, np.int64))
                     i, j = np.nonzero(ok)
                     out_a.append(keys[new[i]])
                     out_b.append(keys[j])
                     out_cell.append(np.zeros(len(i), np.int64))
                     out_open.append(np.zeros(len(i), bool))
+                    out_least.append(_meetings(ns[new[i]], ns[j], share))
             if not out_a:
                 continue
             # a pair may share several regions
-            rows = np.unique(np.stack([np.concatenate(x) for x in (out_a, out_b, out_cell, out_open)]), axis=1)
+            rows, met = np.unique(np.stack([np.concatenate(x) for x in (out_a, out_b, out_cell, out_open, out_least)]),
+                                  axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2]), pa.array(rows[3].astype(bool))],
-                names=["a", "b", "cell", "open"])
+                [pa.array(rows[0]), pa.array(rows[1]), pa.array(rows[2]), pa.array(rows[3].astype(bool)),
+                 pa.array(met), pa.array(rows[4])],
+                names=["a", "b", "cell", "open", "met", "least"])
 
     return run
 
 
-PAIRS = "a long, b long, cell long, open boolean"
+PAIRS = "a long, b long, cell long, open boolean, met long, least long"
+
+
+def _met(found: DataFrame) -> DataFrame:
+    """The pairs (a, b) that met in as many regions as linked ones do. Where
+    ``a`` has more than its partners in a region, not all meetings are
+    counted, and its pairs stay."""
+    crowded = found.filter("open").select("a", "open").distinct()
+    return found.filter("not open").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("least").alias("least")) \
+        .join(crowded, "a", "left").filter("open or met >= least").select("a", "b")
 
 
 def _sets(k: int):
@@ -308,12 +334,13 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     reps = feats.join(classes.select(F.col("class_key").alias(KEY)), KEY, "left_semi")
     region = Window.partitionBy("cell").orderBy("n", KEY)
     members = reps.select(F.explode("cells").alias("cell"), KEY, "n") \
-        .withColumn("before", F.lag(KEY).over(region)).withColumn("after", F.lead(KEY).over(region)) \
-        .filter("before is not null or after is not null").select("cell", KEY, "n")
+        .withColumn("before", F.lag("n").over(region)).withColumn("after", F.lead("n").over(region)) \
+        .filter((share[1] * F.col("before") >= share[0] * F.col("n")) | (share[1] * F.col("n") >= share[0] * F.col("after"))) \
+        .select("cell", KEY, "n")
     members = stage(members, "members")       # without their bits, which are most of a row
     found = stage(members.join(feats.select(KEY, "few"), KEY).repartition("cell").sortWithinPartitions("cell", "n", KEY)
                   .select("cell", KEY, "n", "few").mapInArrow(_near(share, partners), PAIRS), "near")
-    pairs = stage(found.filter("not open").select("a", "b").distinct(), "pairs")
+    pairs = stage(_met(found), "pairs")
     links = stage(_linked(docs, feats, pairs, k, share), "links")
     labels = components(links)
     opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()

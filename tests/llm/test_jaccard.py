@@ -90,3 +90,45 @@ def test_bits_are_not_written_for_each_region(spark, messy, monkeypatch):
     df = spark.createDataFrame(messy, "doc_id long, text string")
     assert rows(jaccard.jaccard_components(df)) == brute(messy)
     assert staged["members"] == ["cell", "_key", "n"] and "few" in staged["features"]
+
+
+@pytest.mark.parametrize("share", [(90, 100), (80, 100), (1, 2)])
+def test_linked_pairs_share_so_many_regions(share):
+    rnd = random.Random(5)
+    linked = 0
+    for _ in range(3000):
+        common = rnd.sample(range(400), rnd.randrange(1, 200))
+        x, y = (sorted({*common, *rnd.sample(range(400), rnd.randrange(0, 30))}) for _ in range(2))
+        x, y = sorted((x, y), key=len)
+        both = len({*x} & {*y})
+        if share[1] * both >= share[0] * (len(x) + len(y) - both):
+            linked += 1
+            px, py = ({*v[:len(v) - jaccard._needed(len(v), share) + 1]} for v in (x, y))
+            assert len(px & py) >= max(1, jaccard._meetings(len(y), len(x), share))
+    assert linked > 100
+
+
+def test_pairs_below_the_threshold_are_not_compared(spark, monkeypatch):
+    base = [f"b{i}" for i in range(2100)]
+
+    def variant(name, changed):     # each changed word makes three shingles of its own
+        at = random.Random(name).sample(range(700), changed)
+        return " ".join(f"{name}x{i}" if not i % 3 and i // 3 in at else w for i, w in enumerate(base))
+    docs = [variant(f"v{j}", 50) for j in range(12)] + [variant("u", 30), variant("t", 5)]
+    docs += [" ".join(base[:30 * 2 ** j] + [f"s{j}e{i}" for i in range(400 * 2 ** j)]) for j in range(3)]
+    docs = list(enumerate(docs))
+    kept = {}
+
+    def look(df, name):
+        got = stage(df, name)
+        kept.setdefault(name, got)
+        return got
+    stage = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", look)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = rows(jaccard.jaccard_components(df))
+    assert found == brute(docs) and found[13][1] == found[12][1] == 12
+    # twelve copies that share 0.86 meet in regions, and the bits of regions do not part them
+    assert {(r.a, r.b) for r in kept["pairs"].collect()} <= {(12, 13), (13, 12)}
+    # those that share rare shingles with documents of other sizes alone are in no region
+    assert not kept["members"].filter("_key >= 14").count()
