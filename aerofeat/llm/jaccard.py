@@ -30,11 +30,13 @@ shingle in one set alone changes one parity. A linked pair has
 sets (about |x| / 2 of them for large sets) meet the same bound with at least
 2 |x|, and those that pass again are compared on their whole sets.
 
-Recursion. A document with more than ``partners`` near ones in a region is
-compared with its nearest first. Components of the links found split such a
-region, and each open document is then compared, under the sharper bound, with
-all near ones outside its component: pairs inside a component cannot change the
-result.
+Recursion. Copies that lie near one another are pairs by the square of their
+number, of which components need one link each. So a document is compared with
+the nearest in a region first (``partners`` of them), and a region in which it has more
+is open to it. Components of the links found split such a region, and the
+document is compared, under the sharper bound, with ``WIDER`` times as many
+outside its component, until none of its regions hold more: pairs inside a
+component cannot change the result.
 """
 
 from __future__ import annotations
@@ -49,7 +51,8 @@ from .text import LOWER, PART_BYTES, WORD_NONSPACE, gram_hashes, mix, parts, pre
 
 K = 3                   # words of a shingle
 SHARE = (90, 100)       # linked: share[1] * |x & y| >= share[0] * |x | y|
-PARTNERS = 16           # near documents compared before the region is split
+PARTNERS = 1            # near documents of a region compared before it is split, and
+WIDER = 16              # times as many in each round after that
 SLICE = 2 << 20         # bytes of texts in which common shingles are looked for
 COMMON_IN_SLICE = 3     # documents of one slice that make a shingle a candidate for "common"
 COMMON_SHINGLES = 1 << 16  # common shingles that are ordered by count; the others come first, by hash
@@ -203,12 +206,13 @@ def _features(k: int, share, common, common_rank):
 FEATURES = f"{KEY} long, n long, sig1 long, sig2 long, few binary, odd binary, cells array<long>"
 
 
-def _near(share, partners: int | None):
+def _near(share, partners: int):
     """Rows sorted by (cell, n, key) → pairs that pass the lower bound, the
     larger document first, with the regions in which they did (``met``) and those
-    in which a linked pair does (``least``). With ``partners``, the nearest so
-    many for each document, and the documents that have more in a cell
-    (``open``). Without, the pairs of open documents outside their component."""
+    in which a linked pair does (``least``): for each document that is ``open`` in
+    a cell, the nearest ``partners`` of another component. Where it has more, the
+    pairs are ``open`` and name the cell. Without these columns, all documents are
+    open and components of their own."""
     def gaps(new: list[bytes], held: list[bytes]) -> np.ndarray:
         size = 8 * min(map(len, new + held))
         a, b = (np.frombuffer(b"".join(_folded(x, size) for x in v), np.uint64).reshape(len(v), -1) for v in (new, held))
@@ -227,8 +231,8 @@ def _near(share, partners: int | None):
             col = {c: batch.column(i) for i, c in enumerate(batch.schema.names)}
             bc, bk, bn = (col[c].to_numpy() for c in ("cell", KEY, "n"))
             bf = col["few"].to_pylist()
-            bm = col["component"].to_numpy() if partners is None else bk
-            bo = col["open"].to_numpy(zero_copy_only=False) if partners is None else np.ones(len(bc), bool)
+            bm = col["component"].to_numpy() if "component" in col else bk
+            bo = col["open"].to_numpy(zero_copy_only=False) if "open" in col else np.ones(len(bc), bool)
             out_a, out_b, out_cell, out_open, out_least = [], [], [], [], []
             edges = np.flatnonzero(np.append(True, bc[1:] != bc[:-1]))
             for s, e in zip(edges, np.append(edges[1:], len(bc))):
@@ -241,29 +245,25 @@ def _near(share, partners: int | None):
                     fit = int(np.searchsorted(ns, _needed(bn[s2], share)))
                     keys, ns, comps = (np.concatenate([x[fit:], y[s2:e2]]) for x, y in ((keys, bk), (ns, bn), (comps, bm)))
                     few = few[fit:] + bf[s2:e2]
-                    if len(keys) == 1 or partners is None and not bo[s2:e2].any():
+                    if len(keys) == 1 or not bo[s2:e2].any():
                         continue
                     new = np.arange(len(keys) - (e2 - s2), len(keys))
                     gap = gaps(bf[s2:e2], few)
                     ok = (gap <= ns[None] * (share[1] - share[0]) // share[0]) \
                         & (ns[None] >= _needed(ns[new], share)[:, None]) \
-                        & (np.arange(len(keys))[None] < new[:, None])
-                    if partners is None:
-                        ok &= (comps[None] != comps[new][:, None]) & bo[s2:e2][:, None]
-                    else:
-                        for i in np.flatnonzero(ok.sum(1) > partners):
-                            j = np.flatnonzero(ok[i])
-                            ok[i, j[np.argsort(gap[i, j], kind="stable")[partners:]]] = False
-                            out_a.append(keys[new[i]][None])
-                            out_b.append(keys[new[i]][None])
-                            out_cell.append(np.full(1, cell))
-                            out_open.append(np.ones(1, bool))
-                            out_least.append(np.zeros(1, np.int64))
+                        & (np.arange(len(keys))[None] < new[:, None]) \
+                        & (comps[None] != comps[new][:, None]) & bo[s2:e2][:, None]
+                    more = ok.sum(1) > partners
+                    if more.any():
+                        far = np.where(ok[more], gap[more], np.iinfo(gap.dtype).max)
+                        best = far.argmin(1)[:, None] if partners == 1 else far.argsort(1, kind="stable")[:, :partners]
+                        ok[more] = False
+                        ok[np.flatnonzero(more)[:, None], best] = True
                     i, j = np.nonzero(ok)
                     out_a.append(keys[new[i]])
                     out_b.append(keys[j])
-                    out_cell.append(np.zeros(len(i), np.int64))
-                    out_open.append(np.zeros(len(i), bool))
+                    out_cell.append(np.where(more[i], cell, 0))
+                    out_open.append(more[i])
                     out_least.append(_meetings(ns[new[i]], ns[j], share))
             if not out_a:
                 continue
@@ -286,7 +286,7 @@ def _met(found: DataFrame) -> DataFrame:
     ``a`` has more than its partners in a region, not all meetings are
     counted, and its pairs stay."""
     crowded = found.filter("open").select("a", "open").distinct()
-    return found.filter("not open").groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("least").alias("least")) \
+    return found.groupBy("a", "b").agg(F.sum("met").alias("met"), F.max("least").alias("least")) \
         .join(crowded, "a", "left").filter("open or met >= least").select("a", "b")
 
 
@@ -343,18 +343,28 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
     pairs = stage(_met(found), "pairs")
     links = stage(_linked(docs, feats, pairs, k, share), "links")
     labels = components(links)
-    opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()
-    if not opened.isEmpty():
+    while True:
+        opened = found.filter("open").select(F.col("a").alias(KEY), "cell", F.lit(True).alias("open")).distinct()
+        if opened.isEmpty():
+            break
+        partners *= WIDER
         again = members.join(opened.select("cell").distinct(), "cell", "left_semi") \
-            .join(opened, [KEY, "cell"], "left").join(feats.select(KEY, F.col("odd").alias("few")), KEY) \
             .join(labels.withColumnRenamed("node", KEY), KEY, "left") \
-            .select("cell", KEY, "n", "few", F.coalesce("component", KEY).alias("component"),
-                    F.coalesce("open", F.lit(False)).alias("open"))
-        more = again.repartition("cell").sortWithinPartitions("cell", "n", KEY) \
-            .mapInArrow(_near(share, None), PAIRS)
-        more = stage(more.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if not more.isEmpty():
-            labels = components(links.unionByName(_linked(docs, feats, more, k, share)))
+            .withColumn("component", F.coalesce("component", KEY))
+        split = again.groupBy("cell").agg(F.min("component").alias("low"), F.max("component").alias("high")) \
+            .filter("low < high").select("cell")
+        again = again.join(split, "cell", "left_semi").join(opened, [KEY, "cell"], "left") \
+            .join(feats.select(KEY, F.col("odd").alias("few")), KEY) \
+            .select("cell", KEY, "n", "few", "component", F.coalesce("open", F.lit(False)).alias("open"))
+        found = stage(again.repartition("cell").sortWithinPartitions("cell", "n", KEY)
+                      .mapInArrow(_near(share, partners), PAIRS), "near")
+        # an unseen pair meets only in regions that were open, so its meetings are counted
+        more = stage(_met(found).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        pairs = pairs.unionByName(more)
+        new = stage(_linked(docs, feats, more, k, share), "links")
+        if not new.isEmpty():
+            links = links.unionByName(new)
+            labels = components(links)
     ids = docs.select(KEY, "doc_id")
     of = feats.select(KEY, "n", "sig1", "sig2").join(classes, ["n", "sig1", "sig2"], "left") \
         .join(labels.withColumnRenamed("node", "class_key"), "class_key", "left") \

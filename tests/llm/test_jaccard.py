@@ -132,3 +132,35 @@ def test_pairs_below_the_threshold_are_not_compared(spark, monkeypatch):
     assert {(r.a, r.b) for r in kept["pairs"].collect()} <= {(12, 13), (13, 12)}
     # those that share rare shingles with documents of other sizes alone are in no region
     assert not kept["members"].filter("_key >= 14").count()
+
+
+def test_pairs_of_copies_do_not_grow_with_the_square_of_their_number(spark, monkeypatch):
+    base = [f"b{i}" for i in range(300)]
+    made = {}
+
+    def look(df, name):
+        got = stage(df, name)
+        made.setdefault(name, []).append(got.count())
+        return got
+    stage = jaccard.stage
+    monkeypatch.setattr(jaccard, "stage", look)
+    for n in (20, 60):
+        made.clear()
+        docs = [(j, " ".join(w if i != 4 * j else f"v{j}" for i, w in enumerate(base))) for j in range(n)]
+        found = rows(jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string")))
+        assert found == brute(docs) and {c for _, c in found.values()} == {0}
+        # every two of them link, and each is a row of a region at most once a round
+        assert sum(made["pairs"]) <= 4 * n and made["near"][0] <= made["members"][0]
+
+
+def test_documents_whose_nearest_ones_are_not_linked_are_compared_with_the_rest(spark, monkeypatch):
+    # the bound tells nothing: neighbours come in the order of size, and the linked one is the last
+    monkeypatch.setattr(jaccard, "_few", lambda n: 64)
+    monkeypatch.setattr(jaccard, "_odd", lambda hashes: bytes(8))
+    base = [f"b{i}" for i in range(200)]
+    texts = [" ".join(base[:150 + i] + [f"f{i}e{j}" for j in range(50 - i)]) for i in range(0, 40, 2)]
+    last = base[:198] + ["z0", "z1"]
+    docs = list(enumerate([*texts, " ".join(last), " ".join(last[:-1] + ["z2"])]))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for partners in (1, 2, 64):
+        assert rows(jaccard.jaccard_components(df, partners=partners)) == brute(docs)
