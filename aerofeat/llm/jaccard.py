@@ -360,6 +360,8 @@ def jaccard_components(documents: DataFrame, k: int = K, share: tuple[int, int]
                       .mapInArrow(_near(share, partners), PAIRS), "near")
         # an unseen pair meets only in regions that were open, so its meetings are counted
         more = stage(_met(found).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        if more.isEmpty():
+            continue
         pairs = pairs.unionByName(more)
         new = stage(_linked(docs, feats, more, k, share), "links")
         if not new.isEmpty():
